@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import quality_rules
+from corpusflow.llm import packing, quality_rules, token_counts
 
-QUERIES = {"op1_quality_rules": quality_rules.op1_quality_rules}
+QUERIES = {
+    "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op6_packing": packing.op6_packing,
+    "op9_token_counts": token_counts.op9_token_counts,
+}
 ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
