@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import packing, quality_rules, token_counts
+from corpusflow.llm import language_id, packing, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op5_language_id": language_id.op5_language_id,
     "op6_packing": packing.op6_packing,
     "op9_token_counts": token_counts.op9_token_counts,
 }
