@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import language_id, packing, quality_rules, token_counts
+from corpusflow.llm import language_id, license_scan, packing, quality_classifier, quality_rules, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op4_license_scan": license_scan.op4_license_scan,
     "op5_language_id": language_id.op5_language_id,
     "op6_packing": packing.op6_packing,
     "op9_token_counts": token_counts.op9_token_counts,
 }
-ORACLES = {"op1_quality_rules": quality_rules.ORACLE}
+ORACLES = {
+    "op1_quality_rules": quality_rules.ORACLE,
+    "op4_license_scan": license_scan.ORACLE,
+}
