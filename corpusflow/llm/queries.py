@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import language_id, license_scan, packing, quality_classifier, quality_rules, token_counts
+from corpusflow.llm import language_id, license_scan, packing, quality_classifier, quality_rules, secret_scan, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,8 +11,10 @@ QUERIES = {
     "op5_language_id": language_id.op5_language_id,
     "op6_packing": packing.op6_packing,
     "op9_token_counts": token_counts.op9_token_counts,
+    "op10_secret_scan": secret_scan.op10_secret_scan,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_license_scan": license_scan.ORACLE,
+    "op10_secret_scan": secret_scan.ORACLE,
 }
