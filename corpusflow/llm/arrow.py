@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusflow.session import ship
+
 #: Bytes of text that a kernel gets at once (a longer single text still comes whole).
 SLICE_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small: documents may be 100 kB each."""
+    """Keep Arrow batches small: documents may be 100 kB each; and let the workers import this package."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import language_id, license_scan, packing, quality_classifier, quality_rules, secret_scan, token_counts
+from corpusflow.llm import jaccard_join, language_id, license_scan, packing, quality_classifier, quality_rules, secret_scan, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_quality_classifier": quality_classifier.op2_quality_classifier,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_license_scan": license_scan.op4_license_scan,
     "op5_language_id": language_id.op5_language_id,
     "op6_packing": packing.op6_packing,
