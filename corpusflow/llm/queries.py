@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import jaccard_join, language_id, license_scan, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
+from corpusflow.llm import jaccard_join, language_id, license_scan, media, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_language_id": language_id.op5_language_id,
     "op6_packing": packing.op6_packing,
     "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
+    "op8_media_columns": media.op8_media_columns,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_secret_scan": secret_scan.op10_secret_scan,
 }
