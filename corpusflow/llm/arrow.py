@@ -70,10 +70,10 @@ def with_kernel(df: DataFrame, kernel: Callable[[list], Sequence], fields: Seque
     return df.mapInArrow(run, schema)
 
 
-def scored(df: DataFrame, kernel: Callable[[list], Sequence], fields: Sequence[tuple[str, T.DataType]], keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+def scored(df: DataFrame, kernel: Callable[[list], Sequence], fields: Sequence[tuple[str, T.DataType]], keep: Sequence[str] = ("doc_id",), text_col: str = "text", limit: int = SLICE_BYTES) -> DataFrame:
     """Only ``keep`` and the kernel's columns; of the input, nothing but ``keep`` and the text is read."""
     slim = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    return with_kernel(slim, kernel, fields, "__text").drop("__text")
+    return with_kernel(slim, kernel, fields, "__text", limit).drop("__text")
 
 
 def crc_bucket(doc_id: str, modulus: int):
