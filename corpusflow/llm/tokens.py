@@ -3,14 +3,28 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
 
 #: Words that a worker remembers; the memory is emptied when it is full (about 100 bytes each).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 #: Longer words are encoded anew each time.
 CACHE_BYTES = 48
+#: Texts with this are not lower-cased first: it begins the strings of special tokens.
+SPECIAL = b"<|"
+MARKS = b".,;:!?"
+
+
+def _byte_chars() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as themselves and the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_CHARS = _byte_chars()
 
 
 @lru_cache(4)
@@ -40,28 +54,58 @@ class WordIds:
 
     The vocabulary drops white space and splits at it before anything else, so a text's ids are those
     of its words in a row; each distinct word goes through the library once while it is remembered.
+    A word of letters alone is one unit, and goes straight to the library's model; one with punctuation
+    after its letters is two; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.known = word_tokenizer(path), {}
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
 
     def encode(self, raw: list) -> list[bytes]:
-        split = [b.split() if b else [] for b in raw]
+        split = [(b if SPECIAL in b else b.lower()).split() if b else [] for b in raw]
         wanted = set().union(*split)
-        miss = list(wanted.difference(self.known))
-        if len(self.known) + len(miss) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
-        known = self.known
-        for i in range(0, len(miss), 20_000):
-            part = miss[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        miss = wanted.difference(self.known)
+        self._learn(miss)
+        out = [b"".join(map(self.known.__getitem__, words)) for words in split]
         for w in miss:
             if len(w) > CACHE_BYTES:
-                del known[w]
+                del self.known[w]
         return out
 
+    def _learn(self, miss: set[bytes]) -> None:
+        plain, other, joined = set(), [], []
+        for w in miss:
+            stem = w.rstrip(MARKS)
+            if not _letters(stem):
+                other.append(w)
+            elif len(stem) == len(w):
+                plain.add(w)
+            else:
+                joined.append((w, stem, w[len(stem) :]))
+                plain.add(stem)
+        known, tokenize, bytes_of = self.known, self.tokenizer.model.tokenize, self.bytes_of
+        for w in plain:
+            if w not in known:
+                known[w] = b"".join([bytes_of[t.id] for t in tokenize(w.decode("latin-1").translate(BYTE_CHARS))])
+        other += {m for _, _, m in joined if m not in known}
+        for i in range(0, len(other), 2000):
+            part = other[i : i + 2000]
+            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, "<u4").tobytes()
+        for w, stem, mark in joined:
+            known[w] = known[stem] + known[mark]
+
+
+def _letters(w: bytes) -> bool:
+    """Letters alone, which neither normalising nor lower-casing changes in number or kind."""
+    if w.isascii():
+        return w.isalpha()
+    s = w.decode()
+    return s.isalpha() and s == s.lower() and unicodedata.is_normalized("NFC", s)
+
 
 @lru_cache(4)
 def word_ids(path: str) -> WordIds:
