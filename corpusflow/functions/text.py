@@ -118,6 +118,7 @@ def ngrams(text: Column, n: int) -> Column:
 
 
 def word_ngrams(w: Column, n: int) -> Column:
+    """Word n-grams joined by spaces; ``w`` should be a column, not an expression, which each n-gram would evaluate anew."""
     return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
 
 
@@ -171,9 +172,13 @@ def merged_unique(lists: Column) -> Column:
     return F.array_distinct(F.flatten(lists))
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def unzipped(rows: Column, *fields: str) -> Column:
     """An array of structs as a struct of arrays."""
-    return F.struct(*[F.transform(rows, lambda x, f=f: x[f]).alias(f) for f in fields])
+    return F.struct(*[F.transform(rows, _field(f)).alias(f) for f in fields])
 
 
 def zipped(arrays: Column, *fields: str) -> Column:

@@ -14,8 +14,11 @@ from corpusflow.functions.text import words, word_ngrams
 def term_counts(docs: DataFrame, key: str, text: str, order: int = 1) -> DataFrame:
     """(key, term, n): word n-grams up to ``order``."""
     w = words(F.lower(F.col(text)))
-    grams = F.flatten(F.array(*[word_ngrams(w, n) for n in range(1, order + 1)]))
-    return docs.select(key, F.explode(grams).alias("term")).groupBy(key, "term").agg(F.count("*").alias("n"))
+    if order == 1:
+        grams = docs.select(key, F.explode(w).alias("term"))
+    else:
+        grams = docs.select(key, w.alias("__w")).select(key, F.explode(F.flatten(F.array(*[word_ngrams(F.col("__w"), n) for n in range(1, order + 1)]))).alias("term"))
+    return grams.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
 def tf(scheme: str, n: Column, total: Column, most: Column) -> Column:
@@ -74,7 +77,7 @@ def categories(counts: DataFrame, order: str, more_than: int) -> DataFrame:
 def kn_counts(docs: DataFrame, text: str, order: int = 2) -> DataFrame:
     """(order, history, word, c): raw counts at the highest order, distinct left contexts below it, with sentence marks."""
     w = F.concat(F.array(F.lit("<s>")), words(F.lower(F.col(text))), F.array(F.lit("</s>")))
-    flat = docs.select(F.explode(F.filter(word_ngrams(w, order), lambda g: g.isNotNull())).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
+    flat = docs.select(w.alias("__w")).select(F.explode(word_ngrams(F.col("__w"), order)).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
     parts = F.split("gram", " ")
     level = flat.select(F.lit(order).alias("order"), F.slice(parts, 1, order - 1).alias("history"), F.element_at(parts, -1).alias("word"), "c")
     out = level

@@ -59,7 +59,7 @@ def uniform_windows(duration: Column, window: float = 30.0, overlap: float = 5.0
 
 
 def split_documents(words: Column, most: int = 1000) -> Column:
-    """Word arrays of like size, none of more than ``most`` words."""
+    """Word arrays of like size, none of more than ``most`` words; ``words`` should be a column."""
     n = F.size(words)
     docs = F.floor(n / F.lit(most)) + 1
     shift = (F.floor(n / docs) + 1).cast("int")

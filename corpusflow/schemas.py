@@ -9,6 +9,12 @@ def strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def fields(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
+LONGS, FLOATS, STRINGS = T.ArrayType(T.LongType()), T.ArrayType(T.FloatType()), T.ArrayType(T.StringType())
+
 # The field names of a catalogue file's entry and of its item metadata.
 FILE_FIELDS = "bitrate btih crc32 format height length license md5 mtime name original rotation sha1 size source title track width private".split()
 METADATA_FIELDS = (
@@ -37,10 +43,10 @@ CATALOGUE = T.StructType(
     ]
 )
 MAPPING = strings("identifier", "audio_document_id", "text_document_id")
-ALIGNMENT = T.StructType.fromDDL("start_ms array<bigint>, end_ms array<bigint>, label array<string>, cer array<float>, wer array<float>, hypotheses array<string>")
+ALIGNMENT = fields(start_ms=LONGS, end_ms=LONGS, label=STRINGS, cer=FLOATS, wer=FLOATS, hypotheses=STRINGS)
 ALIGNMENTS = T.StructType([*MAPPING.fields, T.StructField("alignments", ALIGNMENT)])
-MANIFEST = T.StructType([*MAPPING.fields, T.StructField("training_data", T.StructType.fromDDL("duration_ms array<bigint>, label array<string>, name array<string>"))])
-TRAINER_MANIFEST = T.StructType.fromDDL("audio_filepath string, text string, duration double, shard_id int")
-TAR = T.StructType.fromDDL("key string, value binary")
+MANIFEST = T.StructType([*MAPPING.fields, T.StructField("training_data", fields(duration_ms=LONGS, label=STRINGS, name=STRINGS))])
+TRAINER_MANIFEST = fields(audio_filepath=T.StringType(), text=T.StringType(), duration=T.DoubleType(), shard_id=T.IntegerType())
+TAR = fields(key=T.StringType(), value=T.BinaryType())
 DATASET_CSV = strings("path", "caption", "metadata")
-CTM = T.StructType.fromDDL("utt string, channel string, start_ms bigint, end_ms bigint, word string, conf double")
+CTM = fields(utt=T.StringType(), channel=T.StringType(), start_ms=T.LongType(), end_ms=T.LongType(), word=T.StringType(), conf=T.DoubleType())
