@@ -121,7 +121,7 @@ def device_transcripts(spark: SparkSession, path, channels: int = 7) -> DataFram
 
 def speakers(spark: SparkSession, path) -> DataFrame:
     """``id | gender | subset | hours | name`` with ``;`` comments; a name may hold bars."""
-    d = spark.read.text(path).filter(~F.ltrim("value").startswith(";") & F.contains("value", F.lit("|"))).select(F.transform(F.split("value", r"\|"), F.trim).alias("c"))
+    d = spark.read.text(path).filter(~F.ltrim("value").startswith(";") & F.contains("value", F.lit("|"))).select(F.transform(F.split("value", r"\|"), lambda x: F.trim(x)).alias("c"))
     return d.select(F.get("c", F.lit(0)).alias("speaker"), F.get("c", F.lit(1)).alias("gender"), F.get("c", F.lit(2)).alias("subset"), F.get("c", F.lit(3)).try_cast("double").alias("hours"), F.array_join(F.slice("c", 5, F.greatest(F.size("c") - 4, F.lit(0))), "|").alias("name"))
 
 
