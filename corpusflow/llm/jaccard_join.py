@@ -40,6 +40,8 @@ from corpusflow.llm.shingles import shingle_set
 HOT = 40
 #: Size of the bit map of common n-grams: 512 kB, whatever the corpus.
 MAP_BITS = 22
+#: The part of an n-gram's hash that is counted for that map: shorter keys are less to send, and a clash costs nothing but speed.
+COUNTED = (1 << 40) - 1
 #: Shingles, with 256 more for each document, that a block holds on average.
 BLOCK = 1 << 17
 #: Candidate pairs that a block of rare n-grams takes.
@@ -259,7 +261,7 @@ def multiply(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         tree = forest(i, j, len(ids))
         return pa.table({"a": pa.array([ids[x] for x, _ in tree], pa.int64()), "b": pa.array([ids[y] for _, y in tree], pa.int64())})
 
-    return blocks.join(sets, "id").select("block", "id", "query", "grams").groupBy("block").applyInArrow(run, "a long, b long")
+    return sets.join(small(blocks), "id").select("block", "id", "query", "grams").groupBy("block").applyInArrow(run, "a long, b long")
 
 
 def _pair_blocks(rare: DataFrame) -> DataFrame:
@@ -315,7 +317,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     classes = scratch.table(classes)
     reps = small(classes.select(F.col("rep").alias("id")).distinct())
     chosen = known.join(reps, "id", "left_semi").filter("n > 0")
-    counted = chosen.select(F.explode(F.slice("low", F.lit(1), F.ceil(F.size("low") / 2).cast("int"))).alias("gram")).groupBy("gram").count().filter(F.col("count") > HOT)
+    some = F.explode(F.slice("low", F.lit(1), F.ceil(F.size("low") / 2).cast("int"))).alias("gram")
+    counted = chosen.select(some).select(F.col("gram").bitwiseAND(F.lit(COUNTED)).alias("gram")).groupBy("gram").count().filter(F.col("count") > HOT)
     places = counted.select((F.col("gram").bitwiseAND(F.lit((1 << MAP_BITS) - 1))).alias("at")).distinct().toPandas()["at"].to_numpy()
     bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
