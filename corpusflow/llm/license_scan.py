@@ -1,6 +1,6 @@
 """Licence scan: normalised lines compared with licence templates by the Dice coefficient of word bigrams.
 
-All in DataFrame functions.  A line (and a whole text) is lower-cased, everything but letters and
+All in DataFrame functions.  A line (and, where no line matches, the whole text) is lower-cased, everything but letters and
 digits becomes a space, and its set of word bigrams is compared with each template's.  Two bounds keep
 the work small and lose nothing: a template can only reach the threshold for a line whose bigram count
 lies within [t / (2 - t), (2 - t) / t] times its own, and any such line must share so many bigrams with
@@ -107,7 +107,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, anchors=ANCHORS
     grams = cand.select(key, F.transform("cand", lambda x: F.struct(x["line"].alias("line"), bigrams_of(x["words"]).alias("grams"))).alias("cand"))
     near = grams.select(key, F.filter("cand", lambda x: (F.size(x["grams"]) >= least) & (F.size(x["grams"]) <= most)).alias("cand"))
     matched = near.select(key, F.transform("cand", lambda x: F.struct(x["line"].alias("line"), best_match(x["grams"], templates, t).alias("m"))).alias("cand"))
-    hit = F.filter("cand", lambda x: x["m"].isNotNull())
+    found = F.filter("cand", lambda x: x["m"].isNotNull())
+    in_lines = F.filter(found, lambda x: x["line"] >= 0)
+    hit = F.when(F.size(in_lines) > 0, in_lines).otherwise(found)
     return matched.select(key, F.transform(hit, lambda x: F.struct(x["line"].alias("line"), x["m"]["name"].alias("template"), x["m"]["dice"].alias("dice"))).alias("matches"))
 
 
@@ -132,8 +134,9 @@ w AS (SELECT r, line, {words} AS w FROM unit),
 g AS (SELECT r, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
 dice AS (SELECT r, line, name, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM g, tpl WHERE len(g) <= 100),
 best AS (SELECT * FROM dice WHERE dice >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY r, line ORDER BY dice DESC, name) = 1),
+hit AS (SELECT * FROM best QUALIFY line >= 0 OR max(line) OVER (PARTITION BY r) = -1),
 agg AS (SELECT r, count(*) AS n, array_to_string(list_sort(list_distinct(list(name))), ',') AS names,
-  string_agg(line || ':' || name, ',' ORDER BY line) AS spans, max(dice) AS top FROM best GROUP BY r)
+  string_agg(line || ':' || name, ',' ORDER BY line) AS spans, max(dice) AS top FROM hit GROUP BY r)
 SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, coalesce(spans, '') AS spans, round(CAST(coalesce(top, 0) AS DOUBLE), 6) AS best_dice
 FROM d LEFT JOIN agg USING (r)"""
 
