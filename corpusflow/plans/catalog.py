@@ -590,3 +590,102 @@ def top_slice(t):
 @query("SELECT ntile(8) OVER (ORDER BY c_custkey) AS part, c_custkey FROM customer")
 def even_split(t):
     return t.customer.select(F.ntile(8).over(W.orderBy("c_custkey")).cast("long").alias("part"), "c_custkey")
+
+
+@query("""WITH c AS (SELECT o_orderkey, o_totalprice, unnest([0.9, 1.0, 1.1]) AS speed FROM orders), n AS (SELECT *, CASE WHEN speed = 1.0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'sp' || speed || '-' || o_orderkey END AS name FROM c)
+ SELECT name, round(o_totalprice / speed, 4) AS duration, round(0.5 + CAST(('0x' || substr(md5('perturb/' || name), 1, 8)) AS BIGINT) / 4294967295.0 * 1.5, 6) AS volume FROM n""")
+def perturbed_copies(t):
+    """Copies at three speeds with a fixed random volume."""
+    from corpusflow.operators.edits import perturbed
+
+    return perturbed(t.orders.select("o_orderkey", F.col("o_totalprice").alias("duration")), "o_orderkey", "duration", volumes=(0.5, 2.0)).select("name", F.round("duration", 4).alias("duration"), F.round("volume", 6).alias("volume"))
+
+
+@query("""WITH s AS (SELECT user_id, event_id, epoch_us(ts) / 1000000.0 AS s, epoch_us(ts) / 1000000.0 + value * 2000 AS e, (event_id % 7) / 10.0 AS rate FROM events),
+ n AS (SELECT *, lag(e) OVER w AS pe, lag(rate) OVER w AS pr, lead(s) OVER w AS ns, lead(rate) OVER w AS nr FROM s WINDOW w AS (PARTITION BY user_id ORDER BY s, e, event_id)),
+ x AS (SELECT event_id, CASE WHEN pe > s AND pr <= rate THEN pe ELSE s END AS a, CASE WHEN ns < e AND nr < rate THEN ns ELSE e END AS b FROM n)
+ SELECT event_id, round(a, 3) AS "from", round(greatest(a, b), 3) AS "to" FROM x""")
+def overlap_owners(t):
+    """Overlaps given to the neighbour with the lower error rate."""
+    from corpusflow.operators.edits import better_halves
+
+    s = t.events.select("user_id", F.col("event_id").alias("utt"), seconds_of(F.col("ts")).alias("start"), (seconds_of(F.col("ts")) + F.col("value") * 2000).alias("end"), (F.col("event_id") % 7).alias("errors"), F.lit(10).alias("words"))
+    return better_halves(s, "user_id").select(F.col("utt").alias("event_id"), F.round("from", 3).alias("from"), F.round("to", 3).alias("to"))
+
+
+@query("SELECT doc_id, concat_ws(' ', coalesce(CAST(quality AS VARCHAR), '*'), coalesce(lang, '*'), source) AS credits FROM documents LEFT JOIN (SELECT DISTINCT doc_id, quality FROM labels) l USING (doc_id)")
+def starred_credits(t):
+    """Columns joined, nulls as stars."""
+    j = t.documents.join(t.labels.select("doc_id", "quality").distinct(), "doc_id", "left")
+    return j.select("doc_id", X.starred(F.col("quality"), F.col("lang"), F.col("source")).alias("credits"))
+
+
+@query("SELECT p_size AS rate, round(sum(p_retailprice) / 3600.0, 6) AS hours, count(*) AS n FROM part GROUP BY p_size")
+def hours_per_rate(t):
+    """Hours and files of each sampling rate in one pass."""
+    return R.hours_by(t.part, F.col("p_size"), F.col("p_retailprice"), "rate").select("rate", F.round("hours", 6).alias("hours"), "n")
+
+
+@query("SELECT c_nationkey, string_agg(CAST(c_custkey AS VARCHAR), ' ' ORDER BY c_custkey) AS utterances FROM customer GROUP BY c_nationkey")
+def utterances_of_speakers(t):
+    return R.collected(t.customer.withColumn("id", F.col("c_custkey").cast("string")), "c_nationkey", "id", ["c_custkey"], name="utterances")
+
+
+@query(f"WITH c AS (SELECT word, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS word FROM documents) GROUP BY word) SELECT word, round(sum(n) OVER (ORDER BY n DESC, word) / sum(n) OVER (), 9) AS covered FROM c QUALIFY row_number() OVER (ORDER BY n DESC, word) <= 100")
+def vocabulary_coverage(t):
+    return C.vocabulary(t.documents, "text", 100).select("word", F.round("covered", 9).alias("covered"))
+
+
+@query("""WITH k AS (SELECT c_custkey, row_number() OVER (ORDER BY md5('42/' || c_custkey), c_custkey) AS rn FROM customer WHERE c_custkey % 3 < 2),
+ h AS (SELECT c_custkey, CASE WHEN rn <= 10 THEN 'test' ELSE 'dev' END AS split FROM k WHERE rn <= 30) SELECT * FROM h UNION ALL SELECT c_custkey, 'train' FROM customer WHERE c_custkey % 3 <> 1 AND c_custkey NOT IN (SELECT c_custkey FROM h)""")
+def released_split(t):
+    """Test and development from two pools; the rest and a third for training, nothing twice."""
+    c = t.customer.select("c_custkey")
+    return P.released_split(c.filter("c_custkey % 3 = 0"), c.filter("c_custkey % 3 = 1"), c.filter("c_custkey % 3 = 2"), "c_custkey", 10, 20)
+
+
+@query("SELECT l_orderkey || '_' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag) - 1 AS VARCHAR), 5, '0') || '.flac' AS audio_filepath, l_returnflag AS text, l_quantity / 1000.0 AS duration FROM lineitem")
+def trainer_manifests(t):
+    """Nested manifests as a row a chunk."""
+    from corpusflow.operators.alignment import trainer_manifest
+
+    soa = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_returnflag"))).alias("r"))
+    data = F.struct(F.transform("r", lambda x: x["l_quantity"]).alias("duration_ms"), F.transform("r", lambda x: x["l_returnflag"]).alias("label"), X.chunk_names(F.col("l_orderkey").cast("string"), F.size("r"), "flac").alias("name"))
+    return trainer_manifest(soa.select(data.alias("training_data"))).select("audio_filepath", "text", "duration")
+
+
+@query("SELECT url, arg_min(page_id, page_id) AS page_id FROM pages GROUP BY url")
+def first_hits(t):
+    """One hit for each address, the first."""
+    return R.first_of(t.pages.select("url", "page_id"), ["url"], ["page_id"])
+
+
+@query("SELECT count(*) FILTER (text IS NULL) AS texts, count(*) FILTER (lang IS NULL) AS langs FROM documents")
+def null_counts(t):
+    return t.documents.agg(F.count_if(F.col("text").isNull()).alias("texts"), F.count_if(F.col("lang").isNull()).alias("langs"))
+
+
+@query("SELECT o_orderkey, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_totalprice > 100000")
+def looked_up_names(t):
+    """Lookups in small tables: the planner broadcasts what is small enough."""
+    return t.orders.filter("o_totalprice > 100000").join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("o_orderkey", "n_name")
+
+
+@query()
+def subword_texts(t):
+    """Benchmark texts in subwords learned from the documents (iterative merging: no SQL)."""
+    from corpusflow.operators import lm
+
+    merges = lm.learn_bpe(t.documents, "text", 200, 5000)
+    return t.benchmark.select("item_id", lm.apply_bpe(t.benchmark, "text", merges).alias("text"))
+
+
+@query()
+def utterance_edits(t):
+    """Edits of the words of two neighbouring turns (dynamic programming: no SQL)."""
+    from corpusflow.operators import edits
+
+    w = W.partitionBy("conv_id").orderBy("turn")
+    p = t.conversations.withColumn("ref", F.lag("text").over(w)).filter("ref IS NOT NULL")
+    ops = p.select("conv_id", "turn", edits.aligned_words(p, "ref", "text").alias("ops"))
+    return ops.select("conv_id", "turn", edits.edit_counts(F.col("ops")).alias("n")).select("conv_id", "turn", "n.*")
