@@ -181,7 +181,7 @@ def extended_segments(t):
     return S.extended(s, 5.0, 5.0, 1.0, "user_id", "event_id").select("event_id", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
 
 
-@query("""SELECT doc_id, i AS part, i * 25.0 AS start, CASE WHEN i = n THEN d ELSE least(d, i * 25.0 + 30) END AS "end" FROM (
+@query("""SELECT doc_id, i AS part, CAST(i * 25.0 AS DOUBLE) AS start, CASE WHEN i = n THEN d ELSE least(d, i * 25.0 + 30) END AS "end" FROM (
  SELECT doc_id, d, n, unnest(range(0, n + 1)) AS i FROM (SELECT doc_id, n_chars / 20.0 AS d, greatest(0, CAST(ceil((n_chars / 20.0 - 40) / 25.0) AS INT)) AS n FROM documents))""")
 def uniform_windows(t):
     d = t.documents.select("doc_id", F.posexplode(S.uniform_windows(F.col("n_chars") / 20.0)).alias("part", "w"))
@@ -273,7 +273,7 @@ def unigram_costs(t):
 
 
 @query(f"""WITH w AS (SELECT list_concat(['<s>'], {SQL_WORDS}, ['</s>']) AS w FROM documents), g AS (SELECT w[i] AS h, w[i + 1] AS word FROM (SELECT w, unnest(range(1, len(w))) AS i FROM w)),
- b AS (SELECT h, word, count(*) AS c FROM g GROUP BY ALL) SELECT 2 AS "order", count(*) AS grams, sum(c)::BIGINT AS mass, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2 FROM b
+ b AS (SELECT h, word, count(*) AS c FROM g GROUP BY ALL) SELECT CAST(2 AS BIGINT) AS "order", count(*) AS grams, sum(c)::BIGINT AS mass, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2 FROM b
  UNION ALL SELECT 1, count(*), sum(c)::BIGINT, count(*) FILTER (c = 1), count(*) FILTER (c = 2) FROM (SELECT word, count(*) AS c FROM b GROUP BY word)""")
 def kn_counts(t):
     """Kneser-Ney counts of two orders, summed up."""
@@ -303,7 +303,7 @@ def bm25_search(t):
 _OPS = """SELECT o_orderpriority AS speaker, o_orderkey % 7 AS c, o_orderkey % 3 AS s, o_custkey % 2 AS i, o_custkey % 3 AS d FROM orders"""
 
 
-@query(f"""WITH o AS ({_OPS}), g AS (SELECT coalesce(speaker, 'SUM') AS speaker, count(*) AS sent, sum(c) AS c, sum(s) AS s, sum(i) AS i, sum(d) AS d, count(*) FILTER (s + i + d > 0) AS bad FROM o GROUP BY ROLLUP (speaker))
+@query(f"""WITH o AS ({_OPS}), g AS (SELECT coalesce(speaker, 'SUM') AS speaker, count(*) AS sent, sum(c)::BIGINT AS c, sum(s)::BIGINT AS s, sum(i)::BIGINT AS i, sum(d)::BIGINT AS d, count(*) FILTER (s + i + d > 0) AS bad FROM o GROUP BY ROLLUP (speaker))
  SELECT speaker, sent, c + s + d AS words, c, s, i, d, round(100.0 * c / (c + s + d), 6) AS corr, round(100.0 * (s + i + d) / (c + s + d), 6) AS err, round(100.0 * bad / sent, 6) AS s_err FROM g""")
 def speaker_table(t):
     """Word error rates by speaker with an overall row."""
@@ -353,7 +353,7 @@ def interval_overlap(t):
     return R.segmentation_scores(hyp, ref, "file", 2, 45).select("file", F.round("hypothesised", 4).alias("hypothesised"), F.round("found", 4).alias("found"), "n_short", "n_long")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_totalprice >= 200000 THEN 200000.0 WHEN o_totalprice >= 100000 THEN 100000.0 WHEN o_totalprice >= 50000 THEN 50000.0 END AS below, CASE WHEN o_totalprice <= 50000 THEN 50000.0 WHEN o_totalprice <= 100000 THEN 100000.0 WHEN o_totalprice <= 200000 THEN 200000.0 END AS above FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_totalprice >= 200000 THEN 200000.0::DOUBLE WHEN o_totalprice >= 100000 THEN 100000.0::DOUBLE WHEN o_totalprice >= 50000 THEN 50000.0::DOUBLE END AS below, CASE WHEN o_totalprice <= 50000 THEN 50000.0::DOUBLE WHEN o_totalprice <= 100000 THEN 100000.0::DOUBLE WHEN o_totalprice <= 200000 THEN 200000.0::DOUBLE END AS above FROM orders")
 def nearest_bucket(t):
     """The bounds on either side of a value."""
     return t.orders.select("o_orderkey", R.bucket_of(F.col("o_totalprice"), [50000, 100000, 200000]).alias("b")).select("o_orderkey", "b.below", "b.above")
