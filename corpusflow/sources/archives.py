@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import gzip
 import io
+import json
+import struct
 import tarfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from corpusflow.session import ship
 
@@ -43,12 +45,16 @@ class _Written(WriterCommitMessage):
         self.name = name
 
 
-class _TarWriter(DataSourceWriter):
-    """One archive a task, under a temporary name until the job commits."""
+class _ArchiveWriter(DataSourceWriter):
+    """One file a task, under a temporary name until the job commits; the path is a mount that all executors share."""
 
-    def __init__(self, path: str, codec: str, overwrite: bool) -> None:
-        self.path, self.codec, self.overwrite = path, codec, overwrite
-        self.end = ".tar" + {"": "", "gz": ".gz", "bz2": ".bz2", "xz": ".xz"}[codec]
+    end = ""
+
+    def __init__(self, path: str, overwrite: bool, options: dict) -> None:
+        self.path, self.overwrite, self.options = path, overwrite, dict(options)
+
+    def put(self, path: str, rows) -> None:
+        raise NotImplementedError
 
     def write(self, iterator):
         import os
@@ -58,11 +64,7 @@ class _TarWriter(DataSourceWriter):
 
         os.makedirs(self.path, exist_ok=True)
         name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}{self.end}"
-        with tarfile.open(os.path.join(self.path, f"._{name}"), f"w:{self.codec}", format=tarfile.PAX_FORMAT) as tar:
-            for row in iterator:
-                info = tarfile.TarInfo(row.key)
-                info.size = len(row.value or b"")
-                tar.addfile(info, io.BytesIO(row.value or b""))
+        self.put(os.path.join(self.path, f"._{name}"), iterator)
         return _Written(name)
 
     def commit(self, messages):
@@ -71,7 +73,7 @@ class _TarWriter(DataSourceWriter):
         kept = {m.name for m in messages if m}
         if self.overwrite:
             for f in os.listdir(self.path):
-                if f.lstrip("._") not in kept and ".tar" in f:
+                if f.lstrip("._") not in kept and f.lstrip("._").startswith("part-"):
                     os.remove(os.path.join(self.path, f))
         for name in kept:
             os.replace(os.path.join(self.path, f"._{name}"), os.path.join(self.path, name))
@@ -84,8 +86,47 @@ class _TarWriter(DataSourceWriter):
                 os.remove(os.path.join(self.path, f"._{m.name}"))
 
 
+class _TarWriter(_ArchiveWriter):
+    @property
+    def end(self) -> str:
+        codec = self.options.get("codec", "")
+        return ".tar" + (f".{codec}" if codec else "")
+
+    def put(self, path: str, rows) -> None:
+        with tarfile.open(path, f"w:{self.options.get('codec', '')}", format=tarfile.PAX_FORMAT) as tar:
+            for row in rows:
+                info = tarfile.TarInfo(row.key)
+                info.size = len(row.value or b"")
+                tar.addfile(info, io.BytesIO(row.value or b""))
+
+
+class _SampleWriter(_ArchiveWriter):
+    end = ".sdb"
+
+    def put(self, path: str, rows) -> None:
+        with open(path, "wb") as out:
+            put_samples(out, ((row.audio or b"", row.transcript or "") for row in rows), self.options.get("audio_type", "audio/wav"))
+
+
+class _MountReader(DataSourceReader):
+    """Archives of a mounted folder, a partition each."""
+
+    def __init__(self, path: str, end: str, rows) -> None:
+        self.path, self.end, self.rows = path, end, rows
+
+    def partitions(self):
+        import os
+
+        names = [self.path] if os.path.isfile(self.path) else sorted(os.path.join(self.path, f) for f in os.listdir(self.path) if self.end in f and not f.startswith((".", "_")))
+        return [InputPartition(n) for n in names]
+
+    def read(self, partition):
+        with open(partition.value, "rb") as f:
+            yield from self.rows(f.read())
+
+
 class TarSource(DataSource):
-    """``df.write.format("tar").save(path)`` of (key, value); option ``codec``: gz, bz2 or xz. The path is a shared mount."""
+    """``format("tar")`` of (key, value), to read and to write; option ``codec``: gz, bz2 or xz. For paths on a shared mount."""
 
     @classmethod
     def name(cls) -> str:
@@ -94,10 +135,86 @@ class TarSource(DataSource):
     def schema(self) -> str:
         return "key string, value binary"
 
+    def reader(self, schema) -> DataSourceReader:
+        return _MountReader(self.options["path"], ".tar", _tar_rows)
+
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         if [f.name for f in schema.fields] != ["key", "value"]:
             raise ValueError("a tar archive is made of (key, value)")
-        return _TarWriter(self.options["path"], self.options.get("codec", ""), overwrite)
+        return _TarWriter(self.options["path"], overwrite, self.options)
+
+
+class SampleSource(DataSource):
+    """``format("sdb")`` of (audio, transcript): sample databases, to read and to write; option ``audio_type``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "sdb"
+
+    def schema(self) -> str:
+        return "audio binary, transcript string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _MountReader(self.options["path"], ".sdb", get_samples)
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _SampleWriter(self.options["path"], overwrite, self.options)
+
+
+def _tar_rows(data: bytes) -> Iterator[tuple[str, bytes]]:
+    with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
+        for member in tar:
+            if member.isfile():
+                yield member.name, tar.extractfile(member).read()
+
+
+# The sample database's mark, its header's keys, and its big-endian numbers of 4 and 8 bytes.
+SAMPLE_MARK, SCHEMA_KEY, SPEECH, TRANSCRIPT, TEXT = b"SAMPLEDB", "schema", "speech", "transcript", "text/plain"
+_SHORT, _LONG = struct.Struct(">I"), struct.Struct(">Q")
+
+
+def put_samples(out, samples: Iterable[tuple[bytes, str]], audio_type: str) -> None:
+    """Header, length-prefixed rows of length-prefixed cells, and an index of where rows begin."""
+    head = json.dumps({SCHEMA_KEY: [{"content": SPEECH, "mime-type": audio_type}, {"content": TRANSCRIPT, "mime-type": TEXT}]}).encode()
+    out.write(SAMPLE_MARK + _LONG.pack(len(head)) + head)
+    body = out.tell()
+    out.write(_LONG.pack(0) * 2)
+    places = []
+    for audio, text in samples:
+        cells = b"".join(_SHORT.pack(len(c)) + c for c in (audio, text.encode()))
+        places.append(out.tell())
+        out.write(_SHORT.pack(len(cells)) + cells)
+    index = out.tell()
+    out.write(_LONG.pack(8 * (len(places) + 1)) + b"".join(map(_LONG.pack, (len(places), *places))))
+    out.seek(body)
+    out.write(_LONG.pack(index - body - 8) + _LONG.pack(len(places)))
+
+
+def get_samples(data: bytes) -> Iterator[tuple[bytes, str]]:
+    """(audio, transcript) of a sample database, by its header's column order."""
+    if data[:8] != SAMPLE_MARK:
+        raise ValueError("not a sample database")
+    (size,) = _LONG.unpack_from(data, 8)
+    kinds = [c["content"] for c in json.loads(data[16 : 16 + size])[SCHEMA_KEY]]
+    (rows,) = _LONG.unpack_from(data, 16 + size)
+    index = 24 + size + rows + 8
+    (n,) = _LONG.unpack_from(data, index)
+    for i in range(n):
+        (at,) = _LONG.unpack_from(data, index + 8 * (i + 1))
+        at, cells = at + 4, []
+        for _ in kinds:
+            (length,) = _SHORT.unpack_from(data, at)
+            cells.append(data[at + 4 : at + 4 + length])
+            at += 4 + length
+        yield cells[kinds.index(SPEECH)], cells[kinds.index(TRANSCRIPT)].decode()
+
+
+def write_samples_by_duration(df: DataFrame, path: str, duration: str = "duration", files: int = 1, audio_type: str = "audio/wav") -> None:
+    """Sample databases whose rows go from short to long, over all files in order."""
+    ship(df.sparkSession)
+    df.sparkSession.dataSource.register(SampleSource)
+    ordered = df.repartitionByRange(files, duration).sortWithinPartitions(duration)
+    ordered.select("audio", "transcript").write.format("sdb").mode("overwrite").option("audio_type", audio_type).save(path)
 
 
 def write_tar(df: DataFrame, path: str, codec: str = "", mode: str = "overwrite") -> None:

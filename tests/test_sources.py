@@ -68,6 +68,15 @@ def test_tar_round_trip(spark, tmp_path):
         assert len([f for f in os.listdir(out) if ".tar" in f]) == 3
         assert sorted((r.key, bytes(r.value)) for r in Z.read_tar(spark, out).collect()) == sorted(rows)
     assert Z.read_tar(spark, out, value=False).columns == ["key"]
+    assert sorted((r.key, bytes(r.value)) for r in spark.read.format("tar").load(out).collect()) == sorted(rows)
+
+
+def test_sample_databases(spark, tmp_path):
+    rows = [(bytes([i]) * i, f"said {i} é", float(-i)) for i in range(9)]
+    d = spark.createDataFrame(rows, "audio binary, transcript string, duration double")
+    Z.write_samples_by_duration(d, str(tmp_path / "sdb"), files=2)
+    got = [(bytes(r.audio), r.transcript) for r in spark.read.format("sdb").load(str(tmp_path / "sdb")).collect()]
+    assert got == [(a, t) for a, t, _ in reversed(rows)]
 
 
 def test_warc():
