@@ -159,3 +159,31 @@ def arc_posteriors(arcs: DataFrame) -> DataFrame:
     """(utt, word, pron, post, start): posteriors summed, shared out to 1 within word and utterance; the first start."""
     s = arcs.groupBy("utt", "word", "pron").agg(F.sum("post").alias("post"), F.min("start").alias("start"))
     return s.withColumn("post", F.col("post") / F.sum("post").over(W.partitionBy("utt", "word")))
+
+
+def retrieved(scores: DataFrame, neighbours: int = 1, factor: float = 0.9, part: float = 0.2) -> DataFrame:
+    """(query, place, from_start, from_end) from scores (query, place, score): which documents, and how much of each.
+
+    The best document, and neighbours up to so many places away that score at least ``factor`` times as much, are
+    taken whole (1, 1).  Of a document beside one that is taken whole, ``part`` is taken at the side that touches it.
+    Without neighbours the documents on both sides of the best one are taken in part.
+    """
+    best = scores.groupBy("query").agg(F.min_by("place", F.struct(-F.col("score"), F.col("place"))).alias("best"), F.max("score").alias("top"))
+    away = F.abs(F.col("place") - F.col("best"))
+    near = scores.join(best, "query").filter(away <= max(neighbours, 1))
+    whole = (away == 0) if not neighbours else F.col("score") >= factor * F.col("top")
+    w = W.partitionBy("query").orderBy("place")
+    near = near.withColumn("whole", whole).withColumn("before", F.coalesce(F.lag("whole").over(w), F.lit(False))).withColumn("after", F.coalesce(F.lead("whole").over(w), F.lit(False)))
+    share = lambda beside: F.when(F.col("whole"), 1.0).when(F.col(beside), part).otherwise(0.0)
+    return near.filter("whole OR before OR after").select("query", "place", share("before").alias("from_start"), share("after").alias("from_end"))
+
+
+def pronunciation_counts(words_: DataFrame, prons: DataFrame) -> DataFrame:
+    """(word, pron, n) from words in time (utt, word, start, dur) and pronunciations in time (utt, pron, start, dur).
+
+    A pronunciation counts for the word that begins and ends with it; where several of a word's tokens share the
+    span, each takes an equal part.
+    """
+    same = words_.select("utt", "word", F.round("start", 2).alias("s"), F.round(F.col("start") + F.col("dur"), 2).alias("e")).join(prons.select("utt", "pron", F.round("start", 2).alias("s"), F.round(F.col("start") + F.col("dur"), 2).alias("e")), ["utt", "s", "e"])
+    share = 1.0 / F.count("*").over(W.partitionBy("utt", "word", "s", "e"))
+    return same.withColumn("share", share).groupBy("word", "pron").agg(F.sum("share").alias("n"))

@@ -689,3 +689,22 @@ def utterance_edits(t):
     p = t.conversations.withColumn("ref", F.lag("text").over(w)).filter("ref IS NOT NULL")
     ops = p.select("conv_id", "turn", edits.aligned_words(p, "ref", "text").alias("ops"))
     return ops.select("conv_id", "turn", edits.edit_counts(F.col("ops")).alias("n")).select("conv_id", "turn", "n.*")
+
+
+@query("""WITH s AS (SELECT user_id AS query, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place, value AS score FROM events),
+ b AS (SELECT query, place AS best, score AS top FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, place) = 1),
+ n AS (SELECT query, place, score >= 0.9 * top AS whole FROM s JOIN b USING (query) WHERE abs(place - best) <= 2),
+ e AS (SELECT *, coalesce(lag(whole) OVER w, false) AS before, coalesce(lead(whole) OVER w, false) AS after FROM n WINDOW w AS (PARTITION BY query ORDER BY place))
+ SELECT query, place, CAST(CASE WHEN whole THEN 1 WHEN before THEN 0.2 ELSE 0 END AS DOUBLE) AS from_start, CAST(CASE WHEN whole THEN 1 WHEN after THEN 0.2 ELSE 0 END AS DOUBLE) AS from_end FROM e WHERE whole OR before OR after""")
+def retrieved_documents(t):
+    """The best document of each query with its neighbours, whole or in part."""
+    place = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("long")
+    return C.retrieved(t.events.select(F.col("user_id").alias("query"), place.alias("place"), F.col("value").alias("score")), 2)
+
+
+@query("""WITH w AS (SELECT l_orderkey AS utt, l_returnflag AS word, round(l_quantity, 2) AS s, round(l_quantity + l_linenumber, 2) AS e, l_linestatus AS pron FROM lineitem),
+ j AS (SELECT a.word, b.pron, 1.0 / count(*) OVER (PARTITION BY a.utt, a.word, a.s, a.e) AS share FROM w a JOIN w b ON a.utt = b.utt AND a.s = b.s AND a.e = b.e)
+ SELECT word, pron, CAST(round(sum(share), 4) AS DOUBLE) AS n FROM j GROUP BY ALL""")
+def pronunciation_counts(t):
+    d = t.lineitem.select(F.col("l_orderkey").alias("utt"), F.col("l_returnflag").alias("word"), F.col("l_linestatus").alias("pron"), F.col("l_quantity").alias("start"), F.col("l_linenumber").cast("double").alias("dur"))
+    return C.pronunciation_counts(d, d).withColumn("n", F.round("n", 4))
