@@ -184,3 +184,33 @@ def unzipped(rows: Column, *fields: str) -> Column:
 def zipped(arrays: Column, *fields: str) -> Column:
     """A struct of arrays as an array of structs."""
     return F.arrays_zip(*[arrays[f].alias(f) for f in fields])
+
+
+# Frequent words that tell languages apart.
+STOP_WORDS = {
+    "de": "der die das und ist nicht ein eine mit von zu den dem des im auf für sich auch werden".split(),
+    "en": "the of and to in is that for it was with as on be at by this from are or".split(),
+    "es": "el la de que y en los del las por con no una su para es al lo como más".split(),
+    "fr": "le la les de des et est que qui dans en un une du pour pas sur au avec par".split(),
+}
+
+
+def guessed_language(w: Column, least: int = 1) -> Column:
+    """The language most of whose frequent words occur in ``w``, the first by code on ties; empty if fewer than ``least`` do."""
+    own = [F.struct((-F.size(F.array_intersect(w, F.array(*map(F.lit, words_))))).alias("n"), F.lit(code).alias("code")) for code, words_ in sorted(STOP_WORDS.items())]
+    best = F.array_min(F.array(*own))
+    return F.when(-best["n"] >= least, best["code"]).otherwise(F.lit(""))
+
+
+def longest_first(items: Column) -> Column:
+    """Texts by falling length, as they came where lengths are equal."""
+    ranked = F.array_sort(F.transform(items, lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), x.alias("x"))))
+    return F.transform(ranked, lambda r: r["x"])
+
+
+def outwards(items: Column, centre: Column | None = None) -> Column:
+    """Items from the middle (or a given place from 0) outwards, the later of two first."""
+    c = F.floor(F.size(items) / 2) if centre is None else centre
+    c = F.greatest(F.lit(0), F.least(c, F.size(items) - 1))
+    ranked = F.array_sort(F.transform(items, lambda x, i: F.struct(F.abs(i - c).alias("d"), (-i).alias("i"), x.alias("x"))))
+    return F.transform(ranked, lambda r: r["x"])

@@ -292,12 +292,12 @@ def kn_bigrams(t):
 
 
 @query(f"""WITH {_SQL_TERMS}, l AS (SELECT doc_id, sum(n) AS length FROM t GROUP BY doc_id), a AS (SELECT count(*) AS docs, avg(length) AS mean FROM l), w AS (SELECT term, count(*) AS with_term FROM t GROUP BY term),
- q AS (SELECT DISTINCT item_id, unnest({SQL_WORDS}) AS term FROM benchmark WHERE item_id < 10),
+ q AS (SELECT DISTINCT item_id, unnest({SQL_WORDS}) AS term FROM benchmark),
  s AS (SELECT item_id, doc_id, round(sum(ln(1 + (docs - with_term + 0.5) / (with_term + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
   FROM q JOIN w USING (term) JOIN t USING (term) JOIN l USING (doc_id), a GROUP BY ALL)
  SELECT item_id, doc_id, round(score, 4) AS score FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 5""")
 def bm25_search(t):
-    return C.bm25(t.benchmark.filter("item_id < 10"), t.documents, "item_id", "text", "doc_id", "text", 5).select("item_id", "doc_id", F.round("score", 4).alias("score"))
+    return C.bm25(t.benchmark, t.documents, "item_id", "text", "doc_id", "text", 5).select("item_id", "doc_id", F.round("score", 4).alias("score"))
 
 
 _OPS = """SELECT o_orderpriority AS speaker, o_orderkey % 7 AS c, o_orderkey % 3 AS s, o_custkey % 2 AS i, o_custkey % 3 AS d FROM orders"""
@@ -339,17 +339,17 @@ def conversation_texts(t):
     return R.collected(t.conversations, "conv_id", "text", ["turn"])
 
 
-_INTERVALS = "SELECT l_suppkey % 50 AS file, l_orderkey, l_linenumber, epoch(l_shipdate) / 86400.0 AS a, epoch(l_shipdate) / 86400.0 + l_quantity AS b FROM lineitem WHERE l_returnflag"
+_INTERVALS = "SELECT l_suppkey * 100 + l_linenumber AS file, l_orderkey, l_linenumber, epoch(l_shipdate) / 86400.0 AS a, epoch(l_shipdate) / 86400.0 + l_quantity AS b FROM lineitem WHERE l_returnflag"
 
 
-@query(f"""WITH h AS ({_INTERVALS} = 'R' AND l_orderkey % 4 = 0), r AS ({_INTERVALS} = 'A' AND l_orderkey % 4 = 1),
+@query(f"""WITH h AS ({_INTERVALS} = 'R'), r AS ({_INTERVALS} = 'A'),
  f AS (SELECT h.file, sum(least(h.b, r.b) - greatest(h.a, r.a)) AS found FROM h JOIN r ON h.file = r.file AND h.a < r.b AND r.a < h.b GROUP BY h.file),
  o AS (SELECT file, sum(b - a) AS hyp, count(*) FILTER (b - a < 2) AS n_short, count(*) FILTER (b - a > 45) AS n_long FROM h GROUP BY file)
  SELECT file, round(hyp, 4) AS hypothesised, round(coalesce(found, 0), 4) AS found, n_short, n_long FROM o LEFT JOIN f USING (file)""")
 def interval_overlap(t):
     """Overlap of two sets of intervals by file."""
-    i = t.lineitem.select((F.col("l_suppkey") % 50).alias("file"), "l_orderkey", "l_returnflag", (F.unix_seconds("l_shipdate") / 86400.0).alias("start"), (F.unix_seconds("l_shipdate") / 86400.0 + F.col("l_quantity")).alias("end"))
-    hyp, ref = i.filter("l_returnflag = 'R' AND l_orderkey % 4 = 0"), i.filter("l_returnflag = 'A' AND l_orderkey % 4 = 1")
+    i = t.lineitem.select((F.col("l_suppkey") * 100 + F.col("l_linenumber")).alias("file"), "l_orderkey", "l_returnflag", (F.unix_seconds("l_shipdate") / 86400.0).alias("start"), (F.unix_seconds("l_shipdate") / 86400.0 + F.col("l_quantity")).alias("end"))
+    hyp, ref = i.filter("l_returnflag = 'R'"), i.filter("l_returnflag = 'A'")
     return R.segmentation_scores(hyp, ref, "file", 2, 45).select("file", F.round("hypothesised", 4).alias("hypothesised"), F.round("found", 4).alias("found"), "n_short", "n_long")
 
 
@@ -488,11 +488,11 @@ def intersected(t):
     return t.customer.select(F.col("c_nationkey").alias("k")).intersect(t.supplier.select("s_nationkey"))
 
 
-@query(f"SELECT word FROM (SELECT unnest({SQL_WORDS}) AS word FROM benchmark) EXCEPT SELECT word FROM (SELECT unnest({SQL_WORDS}) AS word FROM documents WHERE doc_id % 2 = 0)")
+@query(f"SELECT word FROM (SELECT unnest({SQL_WORDS}) AS word FROM documents) EXCEPT SELECT word FROM (SELECT unnest({SQL_WORDS}) AS word FROM benchmark)")
 def vocabulary_difference(t):
-    """Words of the benchmark that half of the documents lack."""
-    w = lambda d: d.select(F.explode(X.words(F.lower("text"))).alias("word"))
-    return w(t.benchmark).exceptAll(w(t.benchmark).limit(0)).distinct().join(w(t.documents.filter("doc_id % 2 = 0")).distinct(), "word", "left_anti")
+    """Words of the documents that the benchmark lacks."""
+    w = lambda d: d.select(F.explode(X.words(F.lower("text"))).alias("word")).distinct()
+    return w(t.documents).join(w(t.benchmark), "word", "left_anti")
 
 
 @query("SELECT round(sum(n_chars) / 1000.0 / 60.0 / 60.0, 6) AS hours FROM documents")
@@ -636,12 +636,13 @@ def vocabulary_coverage(t):
     return C.vocabulary(t.documents, "text", 100).select("word", F.round("covered", 9).alias("covered"))
 
 
-@query("""WITH k AS (SELECT c_custkey, row_number() OVER (ORDER BY md5('42/' || c_custkey), c_custkey) AS rn FROM customer WHERE c_custkey % 3 < 2),
- h AS (SELECT c_custkey, CASE WHEN rn <= 10 THEN 'test' ELSE 'dev' END AS split FROM k WHERE rn <= 30) SELECT * FROM h UNION ALL SELECT c_custkey, 'train' FROM customer WHERE c_custkey % 3 <> 1 AND c_custkey NOT IN (SELECT c_custkey FROM h)""")
+@query("""WITH k AS (SELECT c_custkey, row_number() OVER (ORDER BY md5('42/' || c_custkey), c_custkey) AS rn FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')),
+ h AS (SELECT c_custkey, CASE WHEN rn <= 10 THEN 'test' ELSE 'dev' END AS split FROM k WHERE rn <= 30)
+ SELECT * FROM h UNION ALL SELECT c_custkey, 'train' FROM customer WHERE c_mktsegment <> 'AUTOMOBILE' AND c_custkey NOT IN (SELECT c_custkey FROM h)""")
 def released_split(t):
-    """Test and development from two pools; the rest and a third for training, nothing twice."""
-    c = t.customer.select("c_custkey")
-    return P.released_split(c.filter("c_custkey % 3 = 0"), c.filter("c_custkey % 3 = 1"), c.filter("c_custkey % 3 = 2"), "c_custkey", 10, 20)
+    """Test and development from two segments; the rest of the first and all others for training, nothing twice."""
+    c = lambda which: t.customer.filter(which).select("c_custkey")
+    return P.released_split(c("c_mktsegment = 'BUILDING'"), c("c_mktsegment = 'AUTOMOBILE'"), c("c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE')"), "c_custkey", 10, 20)
 
 
 @query("SELECT l_orderkey || '_' || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag) - 1 AS VARCHAR), 5, '0') || '.flac' AS audio_filepath, l_returnflag AS text, l_quantity / 1000.0 AS duration FROM lineitem")
@@ -708,3 +709,23 @@ def retrieved_documents(t):
 def pronunciation_counts(t):
     d = t.lineitem.select(F.col("l_orderkey").alias("utt"), F.col("l_returnflag").alias("word"), F.col("l_linestatus").alias("pron"), F.col("l_quantity").alias("start"), F.col("l_linenumber").cast("double").alias("dur"))
     return C.pronunciation_counts(d, d).withColumn("n", F.round("n", 4))
+
+
+def _sql_stop_words() -> str:
+    counts = ", ".join(f"{{'n': -len(list_intersect(w, {words!r})), 'code': '{code}'}}" for code, words in sorted(X.STOP_WORDS.items()))
+    return f"WITH w AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents), b AS (SELECT doc_id, list_min([{counts}]) AS b FROM w) SELECT doc_id, CASE WHEN b.n <= -1 THEN b.code ELSE '' END AS lang FROM b"
+
+
+@query(_sql_stop_words())
+def guessed_languages(t):
+    """Language by frequent words, without a model."""
+    w = t.documents.select("doc_id", X.words(F.lower("text")).alias("w"))
+    return w.select("doc_id", X.guessed_language(F.col("w")).alias("lang"))
+
+
+@query("""WITH w AS (SELECT item_id, regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+') AS w FROM benchmark), f AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM w)
+ SELECT item_id, string_agg(x, ' ' ORDER BY -length(x), i) AS by_length, string_agg(x, ' ' ORDER BY abs(i - n // 2), -i) AS outwards FROM f GROUP BY item_id""")
+def ordered_words(t):
+    """Words by length, and from the middle outwards."""
+    w = t.benchmark.select("item_id", F.split("text", r"\s+").alias("w"))
+    return w.select("item_id", F.array_join(X.longest_first(F.col("w")), " ").alias("by_length"), F.array_join(X.outwards(F.col("w")), " ").alias("outwards"))
