@@ -14,7 +14,7 @@ def rules_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no known language, or in one with a score below a half, go."""
+    """Documents in no known language, or in one with a score below 0.4, go."""
     return language_id.keep_known(docs, language_id.fit(docs))
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.llm.arrow import crc_bucket, fresh, scored, with_kernel
+from corpusflow.llm.scratch import small
 
 LENGTH = 256
 EMBED = 8
@@ -156,8 +157,11 @@ def predict(net: Net | None, raw: list) -> tuple[list[str], list[float]]:
 def fit(docs: DataFrame, per_lang: int = PER_LANG, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out=lambda key: crc_bucket(key, 3) == 1) -> Net | None:
     """A net learned from at most ``per_lang`` documents of each language outside ``held_out``."""
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(key))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = known.select(F.col(key).alias("id"), F.col(lang).alias("lang")).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).select("id").distinct()
+    plain = known.select(F.col(key).alias("id"), F.col(lang).alias("lang"))
+    rates = plain.groupBy("lang").agg((F.lit(2_000_000.0 * per_lang) / F.count("*")).alias("rate"))
+    few = plain.join(small(rates), "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("rate"))  # about twice as many as are asked for
+    order = W.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1_000_000)), "id")
+    ids = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).select("id").distinct()
     sample = known.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(F.broadcast(ids), "id", "left_semi")
     rows = sorted(sample.limit(per_lang * MAX_LANGS).collect(), key=lambda r: (r.id, r.lang, r.text))
     return train([r.text.encode() for r in rows], [r.lang for r in rows])
@@ -171,7 +175,7 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, net: Net | None, least: float = 0.5, text: str = "text") -> DataFrame:
+def keep_known(docs: DataFrame, net: Net | None, least: float = 0.4, text: str = "text") -> DataFrame:
     """The documents whose language is known with a score of ``least`` at least, as they came."""
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     made = with_kernel(docs, lambda raw: predict(net, raw), [(lang, T.StringType()), (score, T.DoubleType())], text)
