@@ -130,7 +130,7 @@ def entries(rows: DataFrame, bits: bytes, percent: int, whole: bool) -> DataFram
     return rows.select("id", "n", "low").mapInArrow(run, "gram long, id long, n int, share float, deep boolean")
 
 
-def candidates(sorted_entries: DataFrame, percent: int, hot: int = HOT) -> DataFrame:
+def candidates(sorted_entries: DataFrame, percent: int, hot: int) -> DataFrame:
     """(hot, a, b, na, nb) from entries that lie together by n-gram, the largest share first.
 
     For an n-gram of up to ``hot`` documents, their pairs of fitting sizes (a < b); for others a row for each
@@ -277,7 +277,7 @@ def _pair_blocks(rare: DataFrame) -> DataFrame:
 def _cut(group: DataFrame, name: str) -> DataFrame:
     """group (leader, id, n) with a part number: by hash, as many parts as the group has blocks."""
     parts = group.groupBy("leader").agg(F.ceil(F.sum(F.col("n") + 256) / F.lit(BLOCK)).alias(f"{name}_parts"))
-    return group.join(parts, "leader").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")))
+    return group.join(small(parts), "leader").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")))
 
 
 def _links(spark, docs: DataFrame, found: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -294,13 +294,13 @@ def _links(spark, docs: DataFrame, found: DataFrame, words: int, percent: int, s
     member = hot.join(known, "id", "left").select("leader", "id", "n", F.coalesce("component", "id").alias("c"))
     sizes = member.groupBy("leader", "c").agg(F.count("*").alias("k"))
     main = sizes.groupBy("leader").agg(F.max(F.struct("k", "c")).alias("top")).select("leader", F.col("top.c").alias("main"))
-    member = member.join(main, "leader")
+    member = member.join(small(main), "leader")
     apart = scratch.table(_cut(member.filter("c <> main").select("leader", "id", "n"), "row"))
     if apart.isEmpty():
         return links
     every = _cut(member.select("leader", "id", "n"), "col")
-    asked = apart.join(every.select("leader", "col_parts").distinct(), "leader").select("leader", "row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("col_parts") - 1)).alias("col"), "id", F.lit(1).alias("query"))
-    whole = every.join(apart.select("leader", "row_parts").distinct(), "leader").select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_parts") - 1)).alias("row"), "col", "id", F.lit(0).alias("query"))
+    asked = apart.join(small(every.select("leader", "col_parts").distinct()), "leader").select("leader", "row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("col_parts") - 1)).alias("col"), "id", F.lit(1).alias("query"))
+    whole = every.join(small(apart.select("leader", "row_parts").distinct()), "leader").select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_parts") - 1)).alias("row"), "col", "id", F.lit(0).alias("query"))
     grid = asked.unionByName(whole).groupBy("leader", "row", "col", "id").agg(F.max("query").alias("query"))
     grid = scratch.table(grid.select(F.concat_ws("/", "leader", "row", "col").alias("block"), "id", "query"))
     more = multiply(grid, sets_of(docs, grid.select("id").distinct(), words), percent)
@@ -329,11 +329,12 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
         again = sets_of(docs, deep_ids, words).select("id", F.size("grams").alias("n"), F.col("grams").alias("low")).dropDuplicates(["id"])
         grams = grams.unionByName(entries(again, bits.tobytes(), percent, whole=True))
     together = grams.repartition("gram").sortWithinPartitions("gram", F.desc("share"), "id")
-    pairs = candidates(together, percent).groupBy("hot", "a", "b").agg(F.count("*").alias("k"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    pairs = candidates(together, percent, HOT).groupBy("hot", "a", "b").agg(F.count("*").alias("k"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     rest = lambda n: F.floor(n * F.lit(percent) / 100.0 + F.lit(0.999999)) - 1  # noqa: E731  what follows a first part
     enough = F.col("k") + F.greatest(rest(F.col("na")), rest(F.col("nb"))) >= _need(F.col("na"), F.col("nb"), percent)
     found = scratch.table(pairs.filter(F.col("hot") | enough).select("hot", "a", "b", "na"))
     of = scratch.table(components(_links(spark, docs, found, words, percent, scratch), scratch))
+    scratch.keep_only(known, classes, of)
     owner = classes.join(of, classes.rep == of.id, "left").select("digest", F.coalesce("component", "rep").alias("component"))
     alone = known.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     grouped = known.filter("n > 0 and id is not null").join(owner, "digest").select("id", "n", "component")

@@ -39,11 +39,19 @@ class Scratch:
         out._scratch = path
         return out
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Remove all tables but these."""
+        kept = {t._scratch for t in tables}
+        for path in set(self.paths.values()) - kept:
+            self._remove(path)
+
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._scratch)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._remove(t._scratch)
+
+    def _remove(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
