@@ -22,6 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan whose files can't be split into as many parts as there are cores, dealt out for the work on its texts."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
+
+
 class Tables:
     """``t.orders`` is the table of that name."""
 
@@ -31,7 +37,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         times = {c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"}
-        return df.withColumns(times) if times else df
+        df = df.withColumns(times) if times else df
+        return spread(df) if name == "documents" else df
 
 
 def query(sql: str | None = None):
