@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +18,10 @@ from corpusflow.functions.text import words
 from corpusflow.session import ship
 
 END = "</w>"
+#: Codes of symbols: 0 between words, then characters, characters at the end of a word (from ENDED), merged symbols (from MADE).
+ENDED, MADE = 0x110001, 0x220001
+#: Characters of words in a block; merges that rounds apply anew before the blocks are rewritten; pairs that reach the driver.
+BLOCK, KEPT_STEPS, RANKED = 500_000, 24, 1000
 
 
 def learn_merges(counts: Mapping[str, int], merges: int, least: int = 2) -> list[tuple[str, str]]:
@@ -77,10 +84,173 @@ def subwords(word: str, ranks: Mapping[tuple[str, str], int], kept: Iterable[str
     return (*symbols[:-1], last) if last else symbols[:-1]
 
 
-def learn_bpe(docs: DataFrame, text: str, merges: int, vocabulary: int = 100_000) -> list[tuple[str, str]]:
-    """Merges from the ``vocabulary`` most frequent words (a documented bound on what reaches the driver)."""
-    top = docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(vocabulary)
-    return learn_merges({r.word: r.n for r in top.collect()}, merges)
+def encoded(texts: Sequence[str]) -> np.ndarray:
+    """Words as codes, a zero after each."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes + 1) - 1
+    codes = np.zeros(int(ends[-1]) + 1, np.int32)
+    inside = np.ones(len(codes), bool)
+    inside[ends] = False
+    codes[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int32) + 1
+    codes[ends - 1] += ENDED - 1
+    return codes
+
+
+def put_together(codes: np.ndarray, first: int, second: int, new: int) -> np.ndarray:
+    """All occurrences of a pair as the new code, from the left."""
+    at = np.flatnonzero((codes[:-1] == first) & (codes[1:] == second))
+    if not len(at):
+        return codes
+    begins = np.concatenate(([True], np.diff(at) != 1))
+    at = at[(at - np.maximum.accumulate(np.where(begins, at, 0))) % 2 == 0]
+    codes = codes.copy()
+    codes[at] = new
+    return np.delete(codes, at + 1)
+
+
+def pair_counts(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring codes as first << 32 | second, and how often they occur if word ``i`` occurs ``n[i]`` times."""
+    sizes = np.diff(np.flatnonzero(codes == 0), prepend=-1)
+    inside = np.flatnonzero((codes[:-1] != 0) & (codes[1:] != 0))
+    weight = np.repeat(n, sizes)[inside].astype(np.float64)
+    seen = np.zeros(int(codes.max()) + 1, bool)
+    seen[codes] = True
+    ids = np.flatnonzero(seen)
+    place = np.zeros(len(seen), np.int64)
+    place[ids] = np.arange(len(ids))
+    key = place[codes[inside]] * len(ids) + place[codes[inside + 1]]
+    if len(ids) ** 2 <= 1 << 22:
+        sums = np.bincount(key, weight, len(ids) ** 2)
+        keys = np.flatnonzero(sums)
+        sums = sums[keys]
+    else:
+        keys, back = np.unique(key, return_inverse=True)
+        sums = np.bincount(back, weight, len(keys))
+    return ids[keys // len(ids)] << 32 | ids[keys % len(ids)], sums.astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"codes": [encoded(held).tobytes()], "n": [np.array(times, np.int64).tobytes()]})
+
+    held, times, size = [], [], 0
+    for batch in batches:
+        for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held.append(w)
+            times.append(n)
+            size += len(w)
+            if size >= BLOCK:
+                yield made()
+                held, times, size = [], [], 0
+    if held:
+        yield made()
+
+
+def _after(batches: Iterator[pa.RecordBatch], steps: Sequence[tuple[int, int, int]]) -> Iterator[tuple[np.ndarray, bytes]]:
+    for batch in batches:
+        for codes, n in zip(batch.column(0), batch.column(1), strict=True):
+            c = np.frombuffer(codes.as_buffer(), np.int32)
+            for step in steps:
+                c = put_together(c, *step)
+            yield c, n.as_py()
+
+
+def settled(ranked: Sequence[tuple[int, tuple[str, str]]], limit: int) -> Iterator[tuple[str, str]]:
+    """The next merges that follow from one count of pairs, ``ranked`` by count and text; others occur ``limit`` times at most.
+
+    A merge of (a, b) changes only pairs that end in a or begin with b, and a pair that it makes stands for one of those. So
+    as long as the next pair is more frequent than all of them it is neither changed nor overtaken.
+    """
+    for i, (n, pair) in enumerate(ranked):
+        if i and n <= limit:
+            return
+        yield pair
+        limit = max([limit, *(m for m, (a, b) in ranked if b == pair[0] or a == pair[1])])
+
+
+def learn_bpe(docs: DataFrame, text: str, merges: int, least: int = 2) -> list[tuple[str, str]]:
+    """What ``learn_merges`` makes of the counts of all words, which stay in Spark.
+
+    The words are blocks of codes in ``spark.checkpoint.dir``. Each round applies the merges since the blocks were last
+    written, adds up the counts of pairs, and takes the ``RANKED`` most frequent ones to the driver.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusflow-")
+    root = f"{folder.rstrip('/')}/bpe-{uuid.uuid4().hex}"
+    made: list[str] = []
+    steps: list[tuple[int, int, int]] = []
+    out: list[tuple[str, str]] = []
+    schema = "codes binary, n binary"
+
+    def name(code: int) -> str:
+        return made[code - MADE] if code >= MADE else chr(code - ENDED) + END if code >= ENDED else chr(code - 1)
+
+    def code(symbol: str) -> int | None:
+        if len(symbol) == 1:
+            return ord(symbol) + 1
+        if len(symbol) == 1 + len(END) and symbol.endswith(END):
+            return ord(symbol[0]) + ENDED
+        return MADE + made.index(symbol) if symbol in made else None
+
+    def remove(path: str) -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    def written(df: DataFrame, k: int) -> DataFrame:
+        df.write.parquet(f"{root}/{k}")
+        return spark.read.schema(schema).parquet(f"{root}/{k}")
+
+    def ranked(blocks: DataFrame) -> tuple[list[tuple[int, tuple[str, str]]], int]:
+        now = tuple(steps)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = [pair_counts(c, np.frombuffer(n, np.int64)) for c, n in _after(batches, now)]
+            if found:
+                keys, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+                sums = np.zeros(len(keys), np.int64)
+                np.add.at(sums, back, np.concatenate([s for _, s in found]))
+                yield pa.RecordBatch.from_pydict({"pair": keys, "n": sums})
+
+        most, pairs = RANKED, blocks.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        while True:
+            rows = pairs.orderBy(F.desc("n")).limit(most).collect()
+            if len(rows) < most or rows[0].n > rows[-1].n:
+                break
+            most *= 4
+        top = sorted(((r.n, (name(r.pair >> 32), name(r.pair & 0xFFFFFFFF))) for r in rows if r.n >= least), reverse=True)
+        return top, rows[-1].n if len(rows) == most else 0
+
+    try:
+        counted = docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+        blocks, k = written(counted.mapInArrow(_blocks, schema), 0), 0
+        while len(out) < merges:
+            if len(steps) >= KEPT_STEPS:
+                now = tuple(steps)
+
+                def rewrite(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+                    for c, n in _after(batches, now):
+                        yield pa.RecordBatch.from_pydict({"codes": [c.tobytes()], "n": [n]})
+
+                blocks, k = written(blocks.mapInArrow(rewrite, schema), k + 1), k + 1
+                remove(f"{root}/{k - 1}")
+                steps.clear()
+            top, limit = ranked(blocks)
+            if not top:
+                break
+            for pair in settled(top, limit):
+                first, second, new = code(pair[0]), code(pair[1]), code("".join(pair))
+                fresh = new is None
+                if fresh:
+                    made.append("".join(pair))
+                    new = MADE + len(made) - 1
+                steps.append((first, second, new))
+                out.append(pair)
+                if not fresh or len(out) == merges:  # pairs with a symbol that was there before may grow
+                    break
+    finally:
+        remove(root)
+    return out
 
 
 def apply_bpe(df: DataFrame, text: str, merges: Sequence[tuple[str, str]], mark: str = "@@", kept: Sequence[str] = ()) -> Column:

@@ -684,7 +684,7 @@ def subword_texts(t):
     """Benchmark texts in subwords learned from the documents (iterative merging: no SQL)."""
     from corpusflow.operators import lm
 
-    merges = lm.learn_bpe(t.documents, "text", 200, 5000)
+    merges = lm.learn_bpe(t.documents, "text", 200)
     return t.benchmark.select("item_id", lm.apply_bpe(t.benchmark, "text", merges).alias("text"))
 
 

@@ -76,6 +76,25 @@ def test_bpe(spark):
     assert out[1] is None and out[0].replace("@@ ", "") == "low newest low"
 
 
+def test_bpe_counts_all_words(spark, small_data, monkeypatch):
+    from collections import Counter
+
+    from corpusflow.plans.catalog import QUERIES
+
+    docs = spark.read.parquet(f"{small_data}/documents.parquet")
+    counts = Counter(w for r in docs.collect() for w in (r.text or "").split())
+    assert len(counts) > 5000
+    merges = lm.learn_merges(counts, 200)
+    bench = spark.read.parquet(f"{small_data}/benchmark.parquet")
+    want = {r.item_id: r.x for r in bench.select("item_id", lm.apply_bpe(bench, "text", merges).alias("x")).collect()}
+    assert {r.item_id: r.text for r in QUERIES["subword_texts"](spark, small_data).collect()} == want
+    odd = Counter({"aaaaaaa": 9, "aaaa": 4, "abab</w>": 5, "a</w>b": 5, "ab\x00a": 3, "é😀é😀": 7, "babab": 5, "z": 2, "cab": 5, "bca": 5})
+    monkeypatch.setattr(lm, "RANKED", 3)
+    monkeypatch.setattr(lm, "KEPT_STEPS", 2)
+    few = spark.createDataFrame([(" ".join([w] * n),) for w, n in odd.items()], "t string")
+    assert lm.learn_bpe(few, "t", 40) == lm.learn_merges(odd, 40)
+
+
 def test_sentence_scores(spark):
     rows = [(1, "<s>", -99.0, -0.5), (1, "a", -1.0, -0.25), (1, "</s>", -1.5, 0.0), (1, "<unk>", -3.0, 0.0), (2, "<s> a", -0.25, 0.0)]
     model = spark.createDataFrame(rows, "order int, gram string, logp double, backoff double")
