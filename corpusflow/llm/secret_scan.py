@@ -4,7 +4,7 @@ All in DataFrame functions.  Three fixed patterns give the base spans.  Beside t
 of 20 or more key characters that holds a letter and a digit is judged by two first-order Markov models
 of its characters, one trained on random strings, one on ordinary identifiers: where the log-likelihood
 ratio for each step is above ``LEAST_RATIO`` the run is a span of kind ``random`` (unless a base span
-overlaps it).  The models are trained in Python from the labelled samples below, and reach Spark as one
+overlaps it).  ``redact`` goes further (``with_all_spans``).  The models are trained in Python from the labelled samples below, and reach Spark as one
 string of fixed-width integers (the ratio in hundredths), so sums are exact.
 
 Positions come from the text between matches: a match starts where the pieces and matches before it end.
@@ -29,6 +29,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 RUN = "[A-Za-z0-9+/_=-]{20,}"
+PIECE = "[A-Za-z0-9+]{20,}"
+LEAST_RUN = 20
 KINDS = ("assign", "access", "hex", "random")
 LEAST_SECRET = 6
 LEAST_RATIO = 20
@@ -133,6 +135,44 @@ def _judged(token: Column) -> Column:
     return token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (ratio_of(token) >= LEAST_RATIO * (F.length(token) - 1))
 
 
+def _alone(token: Column) -> Column:
+    """What the ratio alone says, with rows of separators (rules, padding) as one."""
+    token = F.regexp_replace(token, "([/_=-])[/_=-]+", "$1")
+    return (F.length(token) >= LEAST_RUN) & (ratio_of(token) >= LEAST_RATIO * (F.length(token) - 1))
+
+
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with as many spaces in place of the spans."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        begin, end = F.greatest(acc["at"], x["start"]), F.greatest(acc["at"], x["end"])
+        out = F.concat(acc["out"], F.substring(text, acc["at"] + 1, begin - acc["at"]), F.repeat(F.lit(" "), end - begin))
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    return F.reduce(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def with_all_spans(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """As ``with_spans``, but no part of a secret is left out: what ``redact`` needs.
+
+    Runs are judged whether or not they overlap base spans, by the ratio alone, whole and in the pieces between separators;
+    and again as what is left of them outside the base spans.
+    """
+    free = [fresh(docs, f"all_{x}") for x in ("base", "runs", "pieces", "rest", "rest_pieces", "mask")]
+    base, runs, pieces, rest, rest_pieces, mask = free
+    col = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    either = lambda m: _judged(m) | _alone(m)
+    tag = lambda spans, kind: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
+    made = spans_of(col)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    wide = docs.select(*own, F.array_sort(F.concat(*[tag(made[k], i) for i, k in enumerate(KINDS[:3])])).alias(base), _places(col, RUN, either).alias(runs), _places(col, PIECE, _alone).alias(pieces))
+    wide = wide.withColumn(mask, F.when(F.size(base) > 0, _masked(col, F.col(base))).otherwise(F.lit("")))
+    wide = wide.withColumns({rest: _places(F.col(mask), RUN, either), rest_pieces: _places(F.col(mask), PIECE, _alone)})
+    every = F.concat(F.col(base), *[tag(F.col(c), 3) for c in (runs, pieces, rest, rest_pieces)])
+    return wide.withColumn(name, F.array_sort(F.array_distinct(every))).drop(*free)
+
+
 def spans_of(text: Column) -> dict[str, Column]:
     """Base spans and judged runs by kind; the runs may still overlap base spans."""
     return {
@@ -178,7 +218,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>", text: str = "text") -> DataF
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
 
     clean = F.reduce(F.col(name), start, step, lambda acc: F.concat(acc["out"], F.substring(col, acc["at"] + 1, F.length(col))))
-    made = with_spans(docs, name, text)
+    made = with_all_spans(docs, name, text)
     return made.select(*[(F.when(F.size(name) > 0, clean).otherwise(col).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
 
 
