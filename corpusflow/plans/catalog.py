@@ -581,12 +581,20 @@ def speaker_parts(t):
 
 @query()
 def aligned_documents(t):
-    """Benchmark passages found again in documents: fragments of 12 words aligned to the passage (dynamic programming: no SQL)."""
+    """Benchmark passages found again in whole documents that share eight words in a row with them: fragments of a passage,
+    12 words at most, aligned to the document's text (dynamic programming: no SQL)."""
     from corpusflow.operators.alignment import align_table
 
+    grams = F.expr("CASE WHEN size(words) >= 8 THEN transform(sequence(1, size(words) - 7), i -> xxhash64(slice(words, i, 8))) END")
+    worded = lambda df, key: df.select(key, X.words(F.lower("text")).alias("words"))
+    gram = lambda df, key: df.select(key, F.explode(F.array_distinct(grams)).alias("gram"))
+    asked = gram(worded(t.benchmark, "item_id"), "item_id")
+    asked = F.broadcast(asked) if asked.count() <= 500_000 else asked
+    shared = gram(worded(t.documents, "doc_id"), "doc_id").join(asked, "gram").select("item_id", "doc_id").distinct()
     parts = F.transform(S.split_documents(F.col("words"), 12), lambda w, i: F.struct((i * 1000).cast("long").alias("start"), ((i + 1) * 1000).cast("long").alias("end"), F.array_join(w, " ").alias("transcript")))
-    d = t.benchmark.select("item_id", F.col("text").alias("transcript"), X.words(F.lower("text")).alias("words")).select("item_id", "transcript", parts.alias("fragments"))
-    return align_table(d).select("item_id", F.size("fragments").alias("n"), F.size("alignments.label").alias("aligned"), F.round(F.array_max("alignments.cer").cast("double"), 4).alias("worst_cer"))
+    passages = worded(t.benchmark, "item_id").select("item_id", parts.alias("fragments"))
+    d = t.documents.select("doc_id", F.col("text").alias("transcript")).join(shared, "doc_id").join(passages, "item_id")
+    return align_table(d).select("item_id", "doc_id", F.size("fragments").alias("n"), F.size("alignments.label").alias("aligned"), F.round(F.array_max("alignments.cer").cast("double"), 4).alias("worst_cer"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 5")

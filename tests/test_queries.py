@@ -40,3 +40,14 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_passages_are_found_in_documents(spark, tmp_path):
+    passage = "the quick brown fox jumps over the lazy dog while seven small birds sing in the old green tree by the river"
+    other = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300))
+    spark.createDataFrame([(7, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(1, f"{other} {passage} {other}"), (2, other), (3, None), (4, passage.replace("seven small", "eleven little").title())]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["aligned_documents"](spark, str(tmp_path)).collect()}
+    assert set(got) == {1, 4} and all(r.item_id == 7 and r.n == r.aligned for r in got.values())
+    assert got[1].worst_cer == 0 and 0 < got[4].worst_cer < 50
