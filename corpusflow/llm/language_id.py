@@ -155,7 +155,10 @@ def predict(net: Net | None, raw: list) -> tuple[list[str], list[float]]:
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out=lambda key: crc_bucket(key, 3) == 1) -> Net | None:
-    """A net learned from at most ``per_lang`` documents of each language outside ``held_out``."""
+    """A net learned from at most ``per_lang`` documents of each language outside ``held_out``.
+
+    With more than ``MAX_LANGS`` languages each has a smaller share, one document at least; within it the hash of the id decides.
+    """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(key))
     plain = known.select(F.col(key).alias("id"), F.col(lang).alias("lang"))
     rates = plain.groupBy("lang").agg((F.lit(2_000_000.0 * per_lang) / F.count("*")).alias("rate"))
@@ -163,7 +166,10 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, key: str = "doc_id", text: st
     order = W.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1_000_000)), "id")
     ids = few.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).select("id").distinct()
     sample = known.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(F.broadcast(ids), "id", "left_semi")
-    rows = sorted(sample.limit(per_lang * MAX_LANGS).collect(), key=lambda r: (r.id, r.lang, r.text))
+    share = min(per_lang, max(1, per_lang * MAX_LANGS // max(1, rates.count())))
+    order = W.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1_000_000)), "id", "text")
+    sample = sample.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= share)
+    rows = sorted(sample.collect(), key=lambda r: (r.id, r.lang, r.text))
     return train([r.text.encode() for r in rows], [r.lang for r in rows])
 
 
@@ -176,7 +182,9 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, net: Net | None, least: float = 0.4, text: str = "text") -> DataFrame:
-    """The documents whose language is known with a score of ``least`` at least, as they came."""
+    """The documents whose language is known with a score of ``least`` at least, as they came; all if no net could be learned."""
+    if net is None:
+        return docs
     lang, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     made = with_kernel(docs, lambda raw: predict(net, raw), [(lang, T.StringType()), (score, T.DoubleType())], text)
     return made.filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*[F.col(f"`{c}`") for c in docs.columns])

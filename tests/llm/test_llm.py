@@ -253,6 +253,18 @@ def test_language_gradient_and_batches():
     assert np.all(net.kernel[mask == 0] == 0)
 
 
+def test_no_labels_and_many_languages(spark, monkeypatch):
+    from pyspark.sql import functions
+
+    d = spark.createDataFrame([(i, "a plain text about nothing", None) for i in range(9)], "doc_id long, text string, lang string")
+    net = language_id.fit(d)
+    assert net is None and language_id.keep_known(d, net).count() == 9
+    monkeypatch.setattr(language_id, "MAX_LANGS", 2)
+    monkeypatch.setattr(language_id, "train", lambda raw, langs: sorted(langs))
+    d = spark.createDataFrame([(i, f"text {i}", f"l{i % 7}") for i in range(70)], "doc_id long, text string, lang string")
+    assert language_id.fit(d, per_lang=7, held_out=lambda key: functions.lit(False)) == sorted(f"l{i}" for i in range(7) for _ in range(2))
+
+
 # 6
 
 
