@@ -1,197 +1,139 @@
 """Secret scan: patterns, and character Markov models of random strings and ordinary identifiers.
 
-All in DataFrame functions.  Three fixed patterns give the base spans.  Beside them, every maximal run
-of 20 or more key characters that holds a letter and a digit is judged by two first-order Markov models
-of its characters, one trained on random strings, one on ordinary identifiers: where the log-likelihood
-ratio for each step is above ``LEAST_RATIO`` the run is a span of kind ``random`` (unless a base span
-overlaps it).  ``redact`` goes further (``with_all_spans``).  The models are trained in Python from the labelled samples below, and reach Spark as one
-string of fixed-width integers (the ratio in hundredths), so sums are exact.
-
-Positions come from the text between matches: a match starts where the pieces and matches before it end.
-They are in code points, ends exclusive.  Defined results: a null or empty text has no span; repeated
-rows give repeated rows; an empty table gives no row; extra columns are ignored by ``scan`` and kept by
-``redact``; the work on one text's span list grows with the square of its number of matches.
+All in DataFrame functions.  Three fixed patterns give the base spans.  What they cover is blanked; in the
+rest every maximal run of 20 or more key characters, and every part of 20 or more between separators of a
+run that is not taken whole, is judged by two first-order Markov models of its characters, one learned from
+random strings, one from ordinary identifiers (``secret_samples``, labelled): where the log-likelihood ratio
+is ``LEAST_RATIO`` hundredths a step or more it is a span of kind ``random``.  So UUIDs, digests, paths and
+names are left alone, and what stands beside a base span is judged, too.  The ratios reach Spark as a literal
+array of integers, so sums are exact.
+
+The work grows with the text's length, however long its runs and however many its matches: characters are
+numbered by splitting windows of a run, positions come from running sums, overlaps from running maxima
+(``arrays``).  Positions are in code points, ends exclusive.  Defined results: a null or empty text has no
+span; texts are scanned whole; spans that start together are in the order of the kinds; repeated rows give
+repeated rows; an empty table gives no row; extra columns are ignored by ``scan`` and kept by ``redact``.
 """
 
 from __future__ import annotations
 
 import math
-import random
-import re
 import string
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm import secret_samples
+from corpusflow.llm.arrays import let, replaced, running
 from corpusflow.llm.arrow import fresh
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 RUN = "[A-Za-z0-9+/_=-]{20,}"
-PIECE = "[A-Za-z0-9+]{20,}"
-LEAST_RUN = 20
+PART = "[A-Za-z0-9+]{20,}"
 KINDS = ("assign", "access", "hex", "random")
+BASE_KINDS = 3
 LEAST_SECRET = 6
-LEAST_RATIO = 20
-#: Characters of the models; any other one counts as the last.
-ALPHABET = string.digits + string.ascii_lowercase + string.ascii_uppercase + "_-+/=."
-WIDTH = 5
-
-#: Labelled sample of ordinary names: words that identifiers are made of.
-ORDINARY_WORDS = (
-    "about after again all also and another any are back because been before between both but can case change check class "
-    "client close code config connection content context copy count create current data date default delete directory document "
-    "each end error event every example false field file find first for format from function get group handle have header "
-    "index info input instance into item key label language last length level line list local log long make manager many map "
-    "message method model more most name network new next node not number object off only open option order other output over "
-    "page parent part path people place point position process public query read record remove report request reset response "
-    "result right row same search section select server service session set should show since size some source start state "
-    "aber alle auch auf aus bei dann das dass dem den der die durch ein eine einer für haben ich ihre immer ist kann kein mehr "
-    "nach nicht noch nur oder schon sein sich sind über und unter von vor war werden wie wird zeit zu zwischen "
-    "avec aussi autre bien cette comme dans depuis des deux elle encore entre est être faire leur mais même notre nous ou par pas "
-    "plus pour quand que qui sans ses son sont sous sur tous tout très une vous "
-    "algo antes aunque como con contra cuando desde donde dos ella entre era esta este estos hasta hay los más menos mismo muy "
-    "nos otro para pero poco porque puede que ser sin sobre son también tanto tiene todo una uno ver vez"
-).split()
-
-
-def samples(seed: int = 7, n: int = 4000) -> tuple[list[str], list[str]]:
-    """(random strings, ordinary identifiers), as labelled: drawn evenly from alphabets; put together from words and numbers."""
-    rng = random.Random(seed)
-    alphabets = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits, "0123456789abcdef", string.ascii_lowercase + string.digits)
-    noise = ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 48))) for i in range(n)]
-    names = []
-    words = [w for w in ORDINARY_WORDS if w.isascii()]
-    for i in range(n):
-        part = rng.choices(words, k=rng.randint(3, 7))
-        if i % 5 == 1:
-            part = [w.title() for w in part]
-        elif i % 5 == 2:
-            part = [w.upper() for w in part]
-        text = ("_", "", "-", "/", "_")[rng.randrange(5)].join(part)
-        if i % 3 == 0:
-            text += rng.choice(["", "_", "-"]) + str(rng.choice((1, 2, 3, 10, 42, 100, 1999, 2015, 2024, 20240131)))
-        names.append(text)
-    return noise, names
-
-
-def train(noise: list[str], names: list[str]) -> list[int]:
-    """The log-likelihood ratio of each step from one character to the next, in hundredths."""
+#: Hundredths a step, above all but a few of the held-out ordinary strings and below all but a few of the random ones.
+LEAST_RATIO = 30
+#: How often a string written by hand counts against one made up.
+HAND_WEIGHT = 20
+#: Characters of the models, which are those of ``RUN``.
+ALPHABET = string.digits + string.ascii_lowercase + string.ascii_uppercase + "_-+/="
+#: Steps of a run that are numbered at a time.
+STEPS = 512
+
+
+def train(noise: list[tuple[str, int]], names: list[tuple[str, int]]) -> list[int]:
+    """The log-likelihood ratio of each step from one character to the next, in hundredths, from (string, weight)."""
     place = {c: i for i, c in enumerate(ALPHABET)}
     n = len(ALPHABET)
 
-    def model(texts: list[str]) -> list[list[float]]:
+    def model(texts: list[tuple[str, int]]) -> list[list[float]]:
         counts = [[0.5] * n for _ in range(n)]
-        for t in texts:
-            for a, b in zip(t, t[1:], strict=False):
-                counts[place.get(a, n - 1)][place.get(b, n - 1)] += 1
+        for t, weight in texts:
+            known = [place[c] for c in t if c in place]
+            for a, b in zip(known, known[1:], strict=False):
+                counts[a][b] += weight
         return [[c / sum(row) for c in row] for row in counts]
 
     p, q = model(noise), model(names)
     return [round(100 * math.log(p[i][j] / q[i][j])) for i in range(n) for j in range(n)]
 
 
-def packed(table: list[int]) -> str:
-    """Fixed-width digits, each shifted to be positive."""
-    return "".join(f"{v + 10_000:0{WIDTH}d}" for v in table)
+def learned() -> list[int]:
+    """The table of ratios, from the part of the labelled strings that is not held out."""
+    first = lambda strings: secret_samples.split(strings)[0]
+    return train([(s, 1) for s in first(secret_samples.drawn())], [(s, HAND_WEIGHT) for s in first(secret_samples.ORDINARY)] + [(s, 1) for s in first(secret_samples.made_up())])
 
 
-TABLE = packed(train(*samples()))
+TABLE = learned()
 
 
-def ratio(token: str, table: str = TABLE) -> int:
+def ratio(run: str, table: list[int] = TABLE) -> int:
     """The plain-Python twin of ``ratio_of``."""
-    place = [max(ALPHABET.find(c), 0) if c in ALPHABET else len(ALPHABET) - 1 for c in token]
-    return sum(int(table[WIDTH * (a * len(ALPHABET) + b) :][:WIDTH]) - 10_000 for a, b in zip(place, place[1:], strict=False))
+    place = [ALPHABET.index(c) for c in run]
+    return sum(table[a * len(ALPHABET) + b] for a, b in zip(place, place[1:], strict=False))
 
 
-def ratio_of(token: Column, table: str = TABLE) -> Column:
-    n = len(ALPHABET)
-    place = lambda i: F.coalesce(F.nullif(F.instr(F.lit(ALPHABET), F.substring(token, i, F.lit(1))), F.lit(0)), F.lit(n)) - 1
-    step = lambda i: F.substring(F.lit(table), (place(i) * n + place(i + 1)) * WIDTH + 1, F.lit(WIDTH)).cast("int") - 10_000
-    return F.reduce(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0), lambda a, i: a + step(i))
-
-
-def _places(text: Column, pattern: str, keep) -> Column:
-    """array<struct(start, end)> of the matches for which ``keep`` (match) holds."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})") if not pattern.startswith("(") else F.lit(f"({pattern})"), F.lit(1))
-    between = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,end:int,m:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+def _numbers(values: list[int]) -> Column:
+    """A literal array, written as text so that the plan holds one node for it."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["m"])
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), x["m"].alias("m")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.when(keep(x["m"]), one).otherwise(empty)).alias("out"))
 
-    zipped = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-    spans = F.reduce(zipped, start, step, lambda acc: acc["out"])
-    return F.transform(F.when(text.rlike(pattern), spans).otherwise(empty), lambda x: F.struct(x["start"], x["end"]))
+def ratio_of(run: Column, table: list[int] = TABLE) -> Column:
+    """The sum of the ratios of a run's steps; the run is read in windows that overlap by a character."""
+    place, ratios, n = _numbers([max(ALPHABET.find(chr(c)), 0) for c in range(128)]), _numbers(table), len(ALPHABET)
+    windows = F.regexp_extract_all(run, F.lit(f"(?=(.{{1,{STEPS + 1}}})).{{1,{STEPS}}}"), F.lit(1))
+    steps = lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: F.get(ratios, a * n + b))
+    part = lambda w: let(F.transform(F.split(w, ""), lambda c: F.get(place, F.ascii(c))), lambda c: F.reduce(steps(c), F.lit(0), lambda a, x: a + x))
+    return F.reduce(windows, F.lit(0), lambda a, w: a + part(w))
 
 
-def _judged(token: Column) -> Column:
-    return token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (ratio_of(token) >= LEAST_RATIO * (F.length(token) - 1))
+def _random(run: Column) -> Column:
+    return ratio_of(run) >= LEAST_RATIO * (F.length(run) - 1)
 
 
-def _alone(token: Column) -> Column:
-    """What the ratio alone says, with rows of separators (rules, padding) as one."""
-    token = F.regexp_replace(token, "([/_=-])[/_=-]+", "$1")
-    return (F.length(token) >= LEAST_RUN) & (ratio_of(token) >= LEAST_RATIO * (F.length(token) - 1))
+def _places(text: Column, pattern: str, kind: int, keep=None) -> Column:
+    """Spans (start, kind, end) of the matches for which ``keep`` (match) holds: each starts where the texts between and the matches before it end."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
+    def of(found: Column) -> Column:
+        sizes = F.zip_with(F.transform(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), F.length), found, lambda gap, m: gap + F.length(m))
+        spans = lambda ends: F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), F.lit(kind).alias("kind"), e.alias("end"), (keep(m) if keep else F.lit(True)).alias("kept")))
+        kept = F.filter(let(running(sizes, lambda x, y: x + y), spans), lambda x: x["kept"])
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with as many spaces in place of the spans."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), of)).otherwise(none)
 
-    def step(acc: Column, x: Column) -> Column:
-        begin, end = F.greatest(acc["at"], x["start"]), F.greatest(acc["at"], x["end"])
-        out = F.concat(acc["out"], F.substring(text, acc["at"] + 1, begin - acc["at"]), F.repeat(F.lit(" "), end - begin))
-        return F.struct(end.alias("at"), out.alias("out"))
 
-    return F.reduce(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+def base_spans(text: Column) -> Column:
+    long_enough = lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= LEAST_SECRET
+    return F.array_sort(F.concat(_places(text, ASSIGN, 0, long_enough), _places(text, ACCESS, 1), _places(text, HEX, 2)))
 
 
-def with_all_spans(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
-    """As ``with_spans``, but no part of a secret is left out: what ``redact`` needs.
+def random_spans(text: Column) -> Column:
+    """Runs that are taken whole, and parts of the others; ``text`` is the text without what base spans cover."""
+    runs, parts = _places(text, RUN, 3, _random), _places(text, PART, 4, _random)
 
-    Runs are judged whether or not they overlap base spans, by the ratio alone, whole and in the pieces between separators;
-    and again as what is left of them outside the base spans.
-    """
-    free = [fresh(docs, f"all_{x}") for x in ("base", "runs", "pieces", "rest", "rest_pieces", "mask")]
-    base, runs, pieces, rest, rest_pieces, mask = free
-    col = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    either = lambda m: _judged(m) | _alone(m)
-    tag = lambda spans, kind: F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
-    made = spans_of(col)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    wide = docs.select(*own, F.array_sort(F.concat(*[tag(made[k], i) for i, k in enumerate(KINDS[:3])])).alias(base), _places(col, RUN, either).alias(runs), _places(col, PIECE, _alone).alias(pieces))
-    wide = wide.withColumn(mask, F.when(F.size(base) > 0, _masked(col, F.col(base))).otherwise(F.lit("")))
-    wide = wide.withColumns({rest: _places(F.col(mask), RUN, either), rest_pieces: _places(F.col(mask), PIECE, _alone)})
-    every = F.concat(F.col(base), *[tag(F.col(c), 3) for c in (runs, pieces, rest, rest_pieces)])
-    return wide.withColumn(name, F.array_sort(F.array_distinct(every))).drop(*free)
+    def apart(every: Column) -> Column:
+        covered = running(F.transform(every, lambda x: F.when(x["kind"] == 3, x["end"]).otherwise(0)), F.greatest)
+        return let(covered, lambda ends: F.filter(every, lambda x, i: (x["kind"] == 3) | (x["start"] >= F.get(ends, i))))
 
-
-def spans_of(text: Column) -> dict[str, Column]:
-    """Base spans and judged runs by kind; the runs may still overlap base spans."""
-    return {
-        "assign": _places(text, ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= LEAST_SECRET),
-        "access": _places(text, ACCESS, lambda m: F.lit(True)),
-        "hex": _places(text, HEX, lambda m: F.lit(True)),
-        "random": _places(text, RUN, _judged),
-    }
+    kept = F.when(F.size(parts) > 0, let(F.array_sort(F.concat(runs, parts)), apart)).otherwise(runs)
+    return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), F.lit(3).alias("kind"), x["end"].alias("end")))
 
 
 def with_spans(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     """``docs`` and a column ``name``: array<struct(start, kind, end)>, kind by number, in span order."""
-    made = spans_of(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    parts = {k: fresh(docs, f"spans_{k}") for k in made}
-    wide = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *[c.alias(parts[k]) for k, c in made.items()])
-    tag = lambda kind: F.transform(F.col(parts[KINDS[kind]]), lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
-    base = F.concat(tag(0), tag(1), tag(2))
-    apart = F.filter(tag(3), lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return wide.withColumn(name, F.array_sort(F.concat(base, apart))).drop(*parts.values())
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+
+    def both(base: Column) -> Column:
+        free = F.when(F.size(base) > 0, replaced(whole, base, lambda n: F.repeat(F.lit(" "), n))).otherwise(whole)
+        return F.array_sort(F.concat(base, let(free, random_spans)))
+
+    return docs.withColumn(name, let(base_spans(whole), both))
 
 
 def written(spans: Column) -> Column:
@@ -207,26 +149,18 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "<SECRET>", text: str = "text") -> DataFrame:
-    """``docs`` with each span, overlapping ones taken together, replaced by ``mark``; the texts of others stay."""
+    """``docs`` with each span, overlapping and touching ones taken together, replaced by ``mark``; the texts of others stay."""
     name = fresh(docs, "secret_spans")
-    col = F.col(f"`{text}`")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        clear = x["start"] >= acc["at"]
-        out = F.when(clear, F.concat(acc["out"], F.substring(col, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
-
-    clean = F.reduce(F.col(name), start, step, lambda acc: F.concat(acc["out"], F.substring(col, acc["at"] + 1, F.length(col))))
-    made = with_all_spans(docs, name, text)
-    return made.select(*[(F.when(F.size(name) > 0, clean).otherwise(col).alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
+    made = with_spans(docs, name, text)
+    clean = replaced(F.col(f"`{text}`"), F.col(name), lambda n: F.lit(mark))
+    return made.select(*[(clean.alias(c) if c == text else F.col(f"`{c}`")) for c in docs.columns])
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
     """Secrets of every document, as spans and counts."""
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
-    base = written(F.filter("spans", lambda x: x["kind"] < 3))
+    base = written(F.filter("spans", lambda x: x["kind"] < BASE_KINDS))
     return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(base, 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
@@ -236,28 +170,29 @@ def _quoted(x: str) -> str:
 
 def _oracle() -> str:
     n = len(ALPHABET)
-    place = lambda i: f"(CASE WHEN instr({_quoted(ALPHABET)}, substr(m, {i}, 1)) = 0 THEN {n} ELSE instr({_quoted(ALPHABET)}, substr(m, {i}, 1)) END - 1)"
-    step = f"CAST(substr(tbl, ({place('i')} * {n} + {place('i + 1')}) * {WIDTH} + 1, {WIDTH}) AS INT) - 10000"
+    place = lambda i: f"(instr({_quoted(ALPHABET)}, substr(m, {i}, 1)) - 1)"
+
+    def places(kind: int, pattern: str, source: str) -> str:
+        return f"""SELECT r, {kind} AS kind, regexp_extract_all(t, {_quoted(pattern)}) AS ms, string_split_regex(t, {_quoted(pattern)}) AS gaps FROM {source} WHERE regexp_matches(t, {_quoted(pattern)})"""
 
-    def places(kind: int, pattern: str) -> str:
-        return f"""SELECT r, {kind} AS kind, {_quoted(pattern)} AS p,
-  regexp_extract_all(t, {_quoted(pattern)}) AS ms, string_split_regex(t, {_quoted(pattern)}) AS gaps FROM d WHERE regexp_matches(t, {_quoted(pattern)})"""
+    def placed(name: str, source: str) -> str:
+        return f"""{name}_flat AS (SELECT r, kind, unnest(range(1, len(ms) + 1)) AS k, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM {source}),
+{name} AS (SELECT r, kind, m, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY k) AS e FROM {name}_flat))"""
 
-    assign = ASSIGN.replace("(?i:", "(?i:")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-found AS ({" UNION ALL ".join(places(k, p) for k, p in enumerate((assign, ACCESS, HEX, RUN)))}),
-flat AS (SELECT r, kind, unnest(range(1, len(ms) + 1)) AS k, unnest(ms) AS m, unnest(gaps[1:len(ms)]) AS gap FROM found),
-placed AS (SELECT r, kind, m, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY k) AS e FROM flat),
-tbl AS (SELECT '{TABLE}' AS tbl),
-kept AS (
-  SELECT r, kind, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, m FROM placed
-  WHERE kind IN (1, 2) OR (kind = 0 AND length(regexp_extract(m, {_quoted(assign)}, 2)) >= {LEAST_SECRET})
-    OR (kind = 3 AND regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]'))),
-ratio AS (SELECT r, s, sum({step}) AS llr FROM (SELECT r, s, m, unnest(range(1, length(m))) AS i FROM kept WHERE kind = 3), tbl GROUP BY r, s),
-spans AS (
-  SELECT kept.r, kind, kept.s, e FROM kept LEFT JOIN ratio ON kept.r = ratio.r AND kept.s = ratio.s
-  WHERE kind < 3 OR (llr >= {LEAST_RATIO} * (length(m) - 1) AND NOT EXISTS (SELECT 1 FROM kept b WHERE b.r = kept.r AND b.kind < 3 AND b.s < kept.e AND kept.s < b.e))),
+fixed AS ({" UNION ALL ".join(places(k, p, "d") for k, p in enumerate((ASSIGN, ACCESS, HEX)))}),
+{placed("met", "fixed")},
+base AS (SELECT r, kind, s, e FROM met WHERE kind > 0 OR length(regexp_extract(m, {_quoted(ASSIGN)}, 2)) >= {LEAST_SECRET}),
+edge AS (SELECT r, kind, s, e, coalesce(max(e) OVER (PARTITION BY r ORDER BY s, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c FROM base),
+blank AS (SELECT r, string_agg(substr(t, c + 1, greatest(s - c, 0)) || repeat(' ', greatest(e - greatest(s, c), 0)), '' ORDER BY s, kind) || substr(any_value(t), max(e) + 1) AS t FROM edge JOIN d USING (r) GROUP BY r),
+free AS (SELECT r, coalesce(blank.t, d.t) AS t FROM d LEFT JOIN blank USING (r)),
+judged AS ({places(3, RUN, "free")} UNION ALL {places(4, PART, "free")}),
+{placed("run", "judged")},
+tbl AS (SELECT {TABLE!r} AS tbl),
+likely AS (SELECT r, kind, s, any_value(e) AS e FROM (SELECT r, kind, s, e, m, tbl[{place('i')} * {n} + {place('i + 1')} + 1] AS step FROM (SELECT *, unnest(range(1, length(m))) AS i FROM run), tbl)
+  GROUP BY r, kind, s HAVING sum(step) >= {LEAST_RATIO} * (any_value(length(m)) - 1)),
+spans AS (SELECT * FROM base UNION ALL SELECT r, 3, s, e FROM likely p WHERE kind = 3 OR NOT EXISTS (SELECT 1 FROM likely w WHERE w.r = p.r AND w.kind = 3 AND w.s <= p.s AND p.e <= w.e)),
 named AS (SELECT r, kind, s, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || s || ':' || e AS x FROM spans),
 agg AS (
   SELECT r, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
