@@ -15,9 +15,11 @@ QUERIES = {
     "op8_media_columns": media.op8_media_columns,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "rule_ablation": quality_rules.rule_ablation,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_license_scan": license_scan.ORACLE,
     "op10_secret_scan": secret_scan.ORACLE,
+    "rule_ablation": quality_rules.ABLATION_ORACLE,
 }
