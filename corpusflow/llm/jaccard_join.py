@@ -52,9 +52,16 @@ def first_part(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1 if n else 0
 
 
+def _first(n, percent: int):
+    """``first_part`` as a column: n - ceil(percent n / 100) + 1."""
+    part = n.cast("long") * F.lit(percent) + 99
+    return n.cast("long") + 1 - F.floor((part - F.pmod(part, F.lit(100))) / 100)
+
+
 def _need(a, b, percent: int):
-    """The least overlap of linked sets of sizes a and b, as a column."""
-    return F.ceil((a + b) * F.lit(percent) / F.lit(100.0 + percent) - F.lit(1e-9))
+    """The least overlap of linked sets of sizes a and b, as a column: ceil(percent (a + b) / (100 + percent)), in whole numbers."""
+    part, whole = (a.cast("long") + b.cast("long")) * F.lit(percent), F.lit(100 + percent)
+    return F.floor((part + whole - 1 - F.pmod(part + whole - 1, whole)) / whole)
 
 
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -222,10 +229,12 @@ def linked(sets: list[np.ndarray], queries: int | None, percent: int, slab: int
         x = np.zeros((m, min(slab, int(wide[-1]) + 1 - first)), np.float32)
         x[who[a:b], col[a:b] - first] = 1
         over += x[:rows] @ x.T
-    union = size[:rows, None] + size[None] - over
-    i, j = np.nonzero(100 * over >= percent * union)
-    up = (j > i) & (over[i, j] > 0)
-    return i[up], j[up]
+    i, j = np.nonzero(over)
+    up = j > i
+    i, j = i[up], j[up]
+    shared = over[i, j].astype(np.int64)  # counts below 2^24 are exact in single precision
+    far = 100 * shared >= percent * (size[i] + size[j] - shared)
+    return i[far], j[far]
 
 
 def forest(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -330,8 +339,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
         grams = grams.unionByName(entries(again, bits.tobytes(), percent, whole=True))
     together = grams.repartition("gram").sortWithinPartitions("gram", F.desc("share"), "id")
     pairs = candidates(together, percent, HOT).groupBy("hot", "a", "b").agg(F.count("*").alias("k"), F.max("na").alias("na"), F.max("nb").alias("nb"))
-    rest = lambda n: F.floor(n * F.lit(percent) / 100.0 + F.lit(0.999999)) - 1  # noqa: E731  what follows a first part
-    enough = F.col("k") + F.greatest(rest(F.col("na")), rest(F.col("nb"))) >= _need(F.col("na"), F.col("nb"), percent)
+    rest = lambda n: F.col(n).cast("long") - _first(F.col(n), percent)  # noqa: E731  what follows a first part
+    enough = F.col("k") + F.greatest(rest("na"), rest("nb")) >= _need(F.col("na"), F.col("nb"), percent)
     found = scratch.table(pairs.filter(F.col("hot") | enough).select("hot", "a", "b", "na"))
     of = scratch.table(components(_links(spark, docs, found, words, percent, scratch), scratch))
     scratch.keep_only(known, classes, of)

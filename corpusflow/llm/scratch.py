@@ -63,7 +63,8 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 100) -> DataFra
     """Connected components of ``edges`` (a, b): (id, component), the component's smallest id.
 
     Alternating large-star and small-star steps; a step joins each node with its smallest neighbour, so
-    no neighbourhood is ever gathered, and rounds grow with the logarithm of the longest chain.
+    no neighbourhood is ever gathered, and rounds grow with the logarithm of the longest chain.  Should
+    ``rounds`` not be enough, that is an error, never an unfinished result.
     """
     at = scratch.table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
@@ -80,4 +81,6 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 100) -> DataFra
         after = scratch.table(down.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct())
         scratch.drop(at)
         at = after
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return at.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(at.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
