@@ -181,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, held_out=lam
     chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     made = scored(texts, features, [(f, T.DoubleType()) for f in FEATURES], ("doc_id", "quality"))
-    got = sorted(made.limit(2 * rows).collect())
+    got = sorted(made.orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(2 * rows).collect())  # repeated ids could swell it
     table = np.array([[float(v) for v in r] for r in got]).reshape(-1, 2 + len(FEATURES))
     return fit_gam(table[:, 2:], (table[:, 1] > 0).astype(float))
 
