@@ -1,18 +1,29 @@
 """SentencePiece encoding and decoding by weighted finite-state transduction.
 
-The normaliser (dummy prefix, escaped spaces), the pieces and the byte fallback are compiled into arcs;
-a text composed with them is a lattice, and its ids are the labels of the shortest path in the tropical
-semiring (sums along a path, the least over paths).  For a unigram model arcs weigh minus the piece's
-score.  A BPE model does not maximise a sum of scores, so there the lattice's states also hold the last
-piece, and an arc weighs infinity where the two pieces would not stand side by side, that is where
-merging their joined text by score does not give the two back.  A segmentation all of whose neighbours
-stand is the one that merging the whole text gives, so the path with finite weight is the right one.
-
-Texts are composed a unit at a time: no piece runs over a space into the next word, nor over a character
-that no piece has.  Units are remembered in a table of bounded size.  Only models whose normaliser is the
-identity are compiled.  Defined results: a null or empty text has no ids; repeated rows get equal results;
-an empty table gives no row; extra columns are ignored.  Decoding gives the text back, but for U+2581,
-which reads as a space.
+A model is compiled into one transducer, from bytes to piece ids (``Transducer``):
+
+* the normaliser N: a dummy prefix (an arc that reads nothing and writes U+2581), space to U+2581, all else
+  to itself;
+* the pieces L: a prefix tree of their UTF-8 bytes from one root, with an arc back to the root at each piece's
+  end that writes its id;
+* the byte fallback B: a character that no piece spells goes back to the root with the ids of its bytes;
+* N is composed with L and B when the model is compiled: a space is an arc to where U+2581 leads;
+* for BPE the context machine C, one state for each piece: it reads ids, and the arc for a piece weighs 0
+  where merging the two pieces' joined text by score gives the two back, and infinity elsewhere.  A BPE model
+  does not maximise a sum of scores, but a row of pieces all of whose neighbours stand side by side is the row
+  that merging gives, so its one finite path is the model's own.  C has as many arcs as there are pairs of pieces,
+  so it is composed as the lattice needs it, from each piece's outer merges (``spine``).  For a unigram model
+  there is no C, and a piece's arc weighs minus its score.
+
+Texts are composed with it in batches: the lattice's arcs are found by walking the tree from all places at once,
+and the shortest paths in the tropical semiring (sums along a path, the least over paths) are relaxed for all
+units of a batch, place by place.  A text is cut into units before, at spaces and at line ends, if no piece runs
+over one; units are remembered in a table of bounded size.  One unit needs some 100 bytes of memory a byte.
+
+Only models whose normaliser is the identity, with byte fallback and without user-defined pieces, are compiled.
+Defined results: a null or empty text has no ids; texts are encoded whole; of paths of equal weight the one whose
+last piece is the longest is taken; repeated rows get equal results; an empty table gives no row; extra columns
+are ignored.  Decoding gives the text back, but for U+2581, which reads as a space.
 """
 
 from __future__ import annotations
@@ -33,36 +44,83 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 INFINITY = float("inf")
-PAIRS = 2_000_000
-_UNITS = re.compile(rb" +[^ ]*")
+#: Arcs of the context machine that are remembered (9 bytes each).
+PAIR_SLOTS = 1 << 20
+#: Bytes of units that are composed together, and places that are relaxed for all of them at once; what is longer follows one by one.
+TOGETHER = 1 << 20
+PLACES = 192
+#: No UTF-8 text has this byte: it stands between units.
+STOP = 0xFF
+_SPACED = re.compile(rb" +[^ ]*")
+_LENGTH = np.array([1] * 0xC0 + [2] * 0x20 + [3] * 0x10 + [4] * 0x10, np.int64)
 
 
 class Transducer:
-    """A compiled model: ``path`` is composition and shortest path for one unit."""
+    """A compiled model.  ``step[state, byte]`` is the composed tree (0: no arc); ``made[state]`` the piece that ends there, or -1."""
 
-    def __init__(self, model_file: str) -> None:
+    def __init__(self, model: bytes) -> None:
         from sentencepiece import sentencepiece_model_pb2
 
-        model = sentencepiece_model_pb2.ModelProto()
-        with open(model_file, "rb") as f:
-            model.ParseFromString(f.read())
-        norm, kind = model.normalizer_spec, model.trainer_spec.model_type
+        proto = sentencepiece_model_pb2.ModelProto()
+        proto.ParseFromString(model)
+        norm, kind = proto.normalizer_spec, proto.trainer_spec.model_type
         if norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.escape_whitespaces or not norm.add_dummy_prefix or kind not in (UNIGRAM, BPE):
             raise ValueError("only identity normalisers with a dummy prefix, and unigram or BPE models, are compiled")
+        types = [p.type for p in proto.pieces]
+        if types.count(BYTE) != 256 or USER in types:
+            raise ValueError("only models with byte fallback and without user-defined pieces are compiled")
         self.bpe = kind == BPE
-        self.score = {p.piece: p.score for p in model.pieces if p.type in (NORMAL, USER)}
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (NORMAL, USER)}
-        self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
-        self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
-        self.longest = max(map(len, self.score), default=1)
-        self.text = [p.piece.replace(SPACE, " ").encode() if p.type in (NORMAL, USER) else bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" for p in model.pieces]
-        self.inner = {c for p in self.score if len(p) > 1 for c in p}
-        self.beside: dict[tuple[str, str], bool] = {}
-        self.known: dict[bytes, bytes] = {}
-
-    def merge(self, text: str) -> list[str]:
-        """BPE by score, the leftmost of equals first: defines which pieces stand side by side."""
-        symbols = list(text)
+        self.byte_id = np.zeros(256, np.int64)
+        for i, p in enumerate(proto.pieces):
+            if p.type == BYTE:
+                self.byte_id[int(p.piece[3:5], 16)] = i
+        self.text = [p.piece.replace(SPACE, " ").encode() if p.type == NORMAL else bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else b"" for p in proto.pieces]
+        self.score = {p.piece: p.score for p in proto.pieces if p.type == NORMAL}
+        if SPACE not in self.score:
+            raise ValueError("the model has no piece for a space")
+        #: Pieces by id; after them, under ids of their own, characters that only longer pieces spell; last, any other character.
+        self.name = [p.piece if p.type == NORMAL else None for p in proto.pieces]
+        self.first_other = len(self.name)
+        self.name += sorted({c for p in self.score for c in p} - set(self.score)) if self.bpe else []
+        self.other = len(self.name)
+        self.start = self.other + 1
+        rare = 10 - min(self.score.values())  # what a character without a piece weighs in a unigram model
+        self.weight = np.zeros(self.start) if self.bpe else np.array([-self.score.get(n, 0.0) if n else 0.0 for n in self.name] + [rare])
+        self._compile()
+        self.spines: dict[int, tuple | None] = {}
+        self.pair_key, self.pair_ok = np.full(PAIR_SLOTS, -1, np.int64), np.zeros(PAIR_SLOTS, bool)
+        inner = re.compile(f"{SPACE}*[^{SPACE}]*")
+        self.by_word, self.by_line = all(map(inner.fullmatch, self.score)), not any("\n" in p for p in self.score)
+        self.known: tuple[dict[bytes, bytes], dict[bytes, bytes]] = ({}, {})  # after a space, and not
+
+    def _compile(self) -> None:
+        """The tree of the pieces' bytes, with the normaliser composed into it."""
+        arcs: list[dict[int, int]] = [{}]
+        made = [-1]
+        for i, name in enumerate(self.name):
+            if name:
+                at = 0
+                for b in name.encode():
+                    if b not in arcs[at]:
+                        arcs[at][b] = len(arcs)
+                        arcs.append({})
+                        made.append(-1)
+                    at = arcs[at][b]
+                made[at] = i
+        self.step, self.made = np.zeros((len(arcs), 256), np.int32), np.array(made, np.int64)
+        for s, out in enumerate(arcs):
+            self.step[s, list(out)] = list(out.values())
+        written = np.arange(len(arcs))
+        for b in SPACE.encode():
+            written = np.where(written >= 0, self.step[written, b], 0)
+            written = np.where(written > 0, written, -1)
+        self.step[:, ord(" ")] = np.maximum(written, 0)
+
+    # The context machine
+
+    def merge(self, text: str) -> tuple[list[str], list[tuple[str, bool, bool]]]:
+        """BPE by score, the leftmost of equals first: the symbols, and the merges in order (result, at the left end, at the right end)."""
+        symbols, done = list(text), []
         while True:
             best, at = -INFINITY, -1
             for k in range(len(symbols) - 1):
@@ -70,125 +128,214 @@ class Transducer:
                 if s is not None and s > best:
                     best, at = s, k
             if at < 0:
-                return symbols
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-
-    def weight(self, before: str, piece: str) -> float:
-        """Of the arc for ``piece`` in a state after ``before`` ("" at the start)."""
-        if not self.bpe:
-            return -self.score.get(piece, -1e6)
-        key = (before, piece)
-        held = self.beside.get(key)
-        if held is None:
-            held = self.merge(before + piece) == ([before, piece] if before else [piece])
-            if len(self.beside) >= PAIRS:
-                self.beside.clear()
-            self.beside[key] = held
-        return 0.0 if held else INFINITY
-
-    def path(self, text: str) -> list[str]:
-        """Labels of the shortest path; single characters that are no piece are arcs, too."""
-        return self._first_path(text) if self.bpe else self._least_path(text)
-
-    def _least_path(self, text: str) -> list[str]:
-        """Weights add up: the least sum at each place, from the left."""
-        n, best = len(text), [(0.0, "")]
-        for j in range(1, n + 1):
-            arcs = ((best[i][0] + self.weight("", text[i:j]), text[i:j]) for i in range(max(0, j - self.longest), j) if text[i:j] in self.score or i == j - 1)
-            best.append(min(arcs))
-        out, at = [], n
-        while at:
-            out.append(best[at][1])
-            at -= len(best[at][1])
-        return out[::-1]
-
-    def _first_path(self, text: str) -> list[str]:
-        """All finite weights are 0, so the first path that reaches the end is a shortest one; longest pieces go first, states without a way on are not entered twice."""
-        n, longest, score, beside = len(text), self.longest, self.score, self.beside
-        frames, dead = [[0, "", min(n, longest)]], set()
-        while frames:
-            i, before, j = frame = frames[-1]
-            if i == n:
-                return [f[1] for f in frames[1:]]
-            while j > i:
-                piece = text[i:j]
-                j -= 1
-                if piece not in score and j > i:
-                    continue
-                held = beside.get((before, piece))
-                if held is None:
-                    held = self.weight(before, piece) == 0 and self.weight("", piece) == 0
-                    self.beside[before, piece] = held
-                if held and (j + 1, piece) not in dead:
-                    frame[2] = j
-                    frames.append([j + 1, piece, min(n, j + 1 + longest)])
-                    break
+                return symbols, done
+            done.append((symbols[at] + symbols[at + 1], at == 0, at + 2 == len(symbols)))
+            symbols[at : at + 2] = [done[-1][0]]
+
+    def spine(self, piece: int) -> tuple | None:
+        """(left symbols, right symbols, in order): what stands at either end while the piece is merged, each with the score that ends it.
+
+        None if merging does not make the piece; not in order if a later merge has a higher score.
+        """
+        if piece not in self.spines:
+            name = self.name[piece]
+            symbols, done = self.merge(name)
+            if len(symbols) > 1:
+                self.spines[piece] = None
             else:
-                dead.add((i, before))
-                frames.pop()
-        raise ValueError("no path")
-
-    def labels(self, text: str) -> bytes:
-        """Ids of one unit; runs between characters that no longer piece holds are composed apart."""
-        out, start = [], 0
-        cuts = [i for i, c in enumerate(text) if c not in self.inner] if self.bpe else []
-        for i in [*cuts, len(text)]:
-            if i > start:
-                out += self.path(text[start:i])
-            if i < len(text):
-                out.append(text[i])
-            start = i + 1
-        ids: list[int] = []
-        for p in out:
-            if p in self.ids:
-                ids.append(self.ids[p])
-            elif self.bytes:
-                ids += [self.bytes[b] for b in p.encode()]
+                scores = [self.score[r] for r, _, _ in done]
+                ends = []
+                for first, side in ((name[0], 1), (name[-1], 2)):
+                    names = [first, *(d[0] for d in done if d[side])]
+                    ends.append([(n, self.score[m]) for n, m in zip(names, names[1:], strict=False)] + [(names[-1], -INFINITY)])
+                self.spines[piece] = (*ends, all(a > b for a, b in zip(scores, scores[1:], strict=False)))
+        return self.spines[piece]
+
+    def stands(self, before: int, piece: int) -> bool:
+        """Whether C's arc for ``piece`` from the state ``before`` has finite weight: no merge joins the two while they are made."""
+        if piece == self.other:
+            return True
+        here = self.spine(piece)
+        if here is None or before >= self.other:
+            return here is not None
+        there = self.spine(before)
+        if not (here[2] and there[2]):
+            return self.merge(self.name[before] + self.name[piece])[0] == [self.name[before], self.name[piece]]
+        left, right = iter(there[1]), iter(here[0])
+        a, b = next(left), next(right)
+        while True:
+            joined = self.score.get(a[0] + b[0])
+            if joined is not None and joined > a[1] and joined >= b[1]:
+                return False
+            if a[1] == b[1] == -INFINITY:
+                return True
+            if a[1] >= b[1]:
+                a = next(left)
             else:
-                ids.append(self.unknown)
-        return np.array(ids, "<u4").tobytes()
+                b = next(right)
+
+    def _finite(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """``stands`` of many pairs, through a table of those asked for lately."""
+        key = before * (self.start + 1) + piece
+        slot = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64) & (PAIR_SLOTS - 1)
+        ok = self.pair_ok[slot]
+        miss = np.flatnonzero(self.pair_key[slot] != key)
+        if len(miss):
+            new, at, back = np.unique(key[miss], return_index=True, return_inverse=True)
+            made = np.array([self.stands(int(b), int(p)) for b, p in zip(before[miss][at], piece[miss][at], strict=True)], bool)
+            ok[miss] = made[back]
+            self.pair_key[slot[miss][at]], self.pair_ok[slot[miss][at]] = new, made
+        return ok
+
+    # Composition with texts, and shortest paths
+
+    def lattice(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, piece) of the arcs over places of ``flat``, whose units end with ``STOP``."""
+        place = np.flatnonzero(((flat & 0xC0) != 0x80) & (flat != STOP))
+        start, state, end = place, self.step[0, flat[place]], place + 1
+        starts, ends, pieces = [], [], []
+        while len(start):
+            alive = state > 0
+            start, state, end = start[alive], state[alive], end[alive]
+            made = self.made[state]
+            hit = made >= 0
+            starts.append(start[hit])
+            ends.append(end[hit])
+            pieces.append(made[hit])
+            state = self.step[state, flat[end]]
+            end = end + 1
+        start, end, piece = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends, pieces))
+        size = _LENGTH[flat]
+        spelled = np.zeros(len(flat), bool)
+        spelled[start[(end - start == size[start])]] = True
+        other = place[~spelled[place]]
+        return np.concatenate((start, other)), np.concatenate((end, other + size[other])), np.concatenate((piece, np.full(len(other), self.other)))
+
+    def paths(self, units: list[bytes]) -> list[bytes]:
+        """The ids of each unit, as bytes: labels of its shortest path."""
+        flat = np.frombuffer(b"".join([u + b"\xff" for u in units]), np.uint8)
+        stop = np.flatnonzero(flat == STOP)
+        first = np.concatenate(([0], stop[:-1] + 1))
+        start, end, piece = self.lattice(flat)
+        reach = end - first[np.searchsorted(stop, start)]
+        order = np.lexsort((-start, reach))  # of arcs to one place the longest is last, and wins a tie
+        start, end, piece, reach = start[order], end[order], piece[order], reach[order]
+        total, last, back = np.full(len(flat), INFINITY), np.full(len(flat), self.start), np.zeros(len(flat), np.int64)
+        total[first] = 0
+        bounds = np.searchsorted(reach, np.arange(1, PLACES + 2))
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            if a < b:
+                s, e, p = start[a:b], end[a:b], piece[a:b]
+                cost = total[s] + self.weight[p]
+                if self.bpe:
+                    live = np.flatnonzero(cost < INFINITY)
+                    live = live[self._finite(last[s[live]], p[live])]
+                    s, e, p, cost = s[live], e[live], p[live], cost[live]
+                np.minimum.at(total, e, cost)
+                best = cost == total[e]
+                last[e[best]], back[e[best]] = p[best], s[best]
+        if bounds[-1] < len(start):
+            self._one_by_one(start[bounds[-1] :], end[bounds[-1] :], piece[bounds[-1] :], total, last, back)
+        return self._labels(flat, first, stop, last, back)
+
+    def _one_by_one(self, start, end, piece, total: np.ndarray, last: np.ndarray, back: np.ndarray) -> None:
+        """The same for the arcs beyond ``PLACES``, of few and long units."""
+        memory: dict[tuple[int, int], bool] = {}
+        cost, before = {}, {}
+        for s, e, p in zip(start.tolist(), end.tolist(), piece.tolist(), strict=True):
+            base = cost.get(s, INFINITY) if s in cost else float(total[s])
+            whole = base + float(self.weight[p])
+            if whole > cost.get(e, INFINITY) or whole == INFINITY:
+                continue
+            if self.bpe:
+                key = (before[s] if s in before else int(last[s]), p)
+                if key not in memory:
+                    memory[key] = self.stands(*key)
+                if not memory[key]:
+                    continue
+            cost[e], before[e] = whole, p
+            back[e] = s
+        at = np.fromiter(cost, np.int64, len(cost))
+        total[at], last[at] = list(cost.values()), list(before.values())
+
+    def _labels(self, flat: np.ndarray, first: np.ndarray, stop: np.ndarray, last: np.ndarray, back: np.ndarray) -> list[bytes]:
+        """Pieces from the ends of the units back to their beginnings, turned round; characters without a piece by their bytes."""
+        at, unit = stop.copy(), np.arange(len(stop))
+        units, places = [], []
+        while len(unit):
+            live = at > first[unit]
+            at, unit = at[live], unit[live]
+            units.append(unit)
+            places.append(at)
+            at = back[at]
+        unit, at = np.concatenate(units)[::-1], np.concatenate(places)[::-1]
+        order = np.argsort(unit, kind="stable")
+        unit, at = unit[order], at[order]
+        piece, begin = last[at], back[at]
+        byte = piece >= self.first_other
+        count = np.where(byte, at - begin, 1)
+        which = np.repeat(np.arange(len(piece)), count)
+        offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        ids = np.where(byte[which], self.byte_id[flat[begin[which] + offset]], piece[which]).astype("<u4").tobytes()
+        ends = np.cumsum(np.bincount(unit, count, len(stop)).astype(np.int64)).tolist()
+        return [ids[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    # Whole texts
 
     def encode(self, raw: list) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
-        split = [self._units(b) if b else [] for b in raw]
-        wanted = set().union(*split)
-        if len(self.known) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
-        miss = wanted.difference(self.known)
-        for w in miss:
-            self.known[w] = self._learn(w)
-        out = [b"".join(map(self.known.__getitem__, units)) for units in split]
-        for w in miss:
-            if len(w) > CACHE_BYTES:
-                del self.known[w]
+        cut = [self._units(b) if b else [] for b in raw]
+        wanted = [set().union(*[line[spaced] for lines in cut for line in lines]) for spaced in (0, 1)]
+        for spaced in (0, 1):
+            self._learn(spaced, wanted[spaced])
+        after, plain = self.known[1].__getitem__, self.known[0].__getitem__
+        newline = self.byte_id[ord("\n")].astype("<u4").tobytes()
+        out = [newline.join([b"".join(map(plain, head)) + b"".join(map(after, words)) for head, words in lines]) for lines in cut]
+        for known, words in zip(self.known, wanted, strict=True):
+            if len(known) > CACHE_WORDS // 2:
+                known.clear()
+            else:
+                for w in words:
+                    if len(w) > CACHE_BYTES:
+                        del known[w]
         return out
 
-    def _learn(self, unit: bytes) -> bytes:
-        lines = unit.split(b"\n")
-        if len(lines) == 1 or not self.bpe or "\n" in self.inner:
-            return self.labels((SPACE + unit.decode()).replace(" ", SPACE))
-        out = [self.known[lines[0]] if lines[0] in self.known else self.labels((SPACE + lines[0].decode()).replace(" ", SPACE))]
-        for x in lines[1:]:
-            out += [self.labels("\n"), self.labels(x.decode().replace(" ", SPACE))]
-        return b"".join(out)
-
-    @staticmethod
-    def _units(b: bytes) -> list[bytes]:
-        """Words after a space; a unit keeps the spaces before its word but one."""
-        if b"\xe2\x96\x81" in b:
-            b = b.replace(b"\xe2\x96\x81", b" ")
-        if b"  " not in b and b[:1] != b" " and b[-1:] != b" ":
-            return b.split(b" ")
-        return [u[1:] for u in _UNITS.findall(b" " + b)]
+    def _learn(self, spaced: int, wanted: set[bytes]) -> None:
+        known = self.known[spaced]
+        miss = sorted(wanted.difference(known), key=len)
+        part, size = [], 0
+        for k, w in enumerate(miss):
+            part.append(b" " + w if spaced else w)
+            size += len(w) + 2
+            if size > TOGETHER or k + 1 == len(miss):
+                known.update(zip(miss[k + 1 - len(part) : k + 1], self.paths(part), strict=True))
+                part, size = [], 0
+
+    def _units(self, b: bytes) -> list[tuple[list[bytes], list[bytes]]]:
+        """For each line: the unit before its first space, if any, and those after a space (without it, and without what is part of the word)."""
+        b = b" " + (b.replace(SPACE.encode(), b" ") if SPACE.encode() in b else b)
+        lines = b.split(b"\n") if self.by_line else [b]
+        if not self.by_word:
+            return [([x] if x[:1] != b" " and x else [], [x[1:]] if x[:1] == b" " else []) for x in lines]
+        out = []
+        for x in lines:
+            if b"  " in x:
+                words, head = [u[1:] for u in _SPACED.findall(x)], x[: x.index(b" ")]
+            else:
+                head, *words = x.split(b" ")
+            out.append(([head] if head else [], words))
+        return out
 
     def decode(self, ids: bytes) -> bytes:
+        """The inverse: what the ids spell, without the dummy prefix."""
         out = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return out[1:] if out[:1] == b" " else out
 
 
 @lru_cache(4)
 def transducer(model_file: str) -> Transducer:
-    return Transducer(model_file)
+    with open(model_file, "rb") as f:
+        return Transducer(f.read())
 
 
 FIELDS = [("n_tokens", T.LongType()), ("n_byte_tokens", T.LongType()), ("ids_crc32", T.LongType()), ("decoded_sha256", T.StringType()), ("round_trip", T.BooleanType())]
@@ -196,7 +343,7 @@ FIELDS = [("n_tokens", T.LongType()), ("n_byte_tokens", T.LongType()), ("ids_crc
 
 def digests(model_file: str, raw: list) -> list[list]:
     t = transducer(model_file)
-    low, high = (min(t.bytes.values()), max(t.bytes.values())) if t.bytes else (1, 0)
+    low, high = int(t.byte_id.min()), int(t.byte_id.max())
     rows = []
     for b, ids in zip(raw, t.encode(raw), strict=True):
         b = b or b""

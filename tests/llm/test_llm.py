@@ -323,6 +323,9 @@ def test_pieces_cover_documents(spark, small_data, texts):
 # 7
 
 
+PIECE_TEXTS = ["  a  b ", "a b\n\n c  ", "▁x▁▁y", "<s> <0x41> hello</s>", "a" * 300, "x\n y\n", " \n", "\n", "日本語 Ünïcödé\x00z", "Zk9+/" * 2000]
+
+
 def test_pieces_are_the_librarys(texts):
     import public_tokenizers
     import sentencepiece
@@ -330,8 +333,8 @@ def test_pieces_are_the_librarys(texts):
     path = public_tokenizers.path("piece_bpe_32k.model")
     t, lib = sentence_pieces.transducer(path), sentencepiece.SentencePieceProcessor(model_file=path)
     rng = random.Random(1)
-    sample = [x for _, x in texts][:60] + [x or "" for x in ODD if x != LONG] + ["  a  b ", "a b\n\n c  ", "▁x▁▁y", "<s> <0x41> hello</s>", "a" * 300]
-    sample += ["".join(rng.choices("abcdeinorst ▁.,\né日", k=rng.randint(1, 50))) for _ in range(200)]
+    sample = [x for _, x in texts] + [x or "" for x in ODD] + PIECE_TEXTS
+    sample += ["".join(rng.choices("abcdeinorst ▁.,\né日", k=rng.randint(1, 300))) for _ in range(200)]
     for x, ids in zip(sample, t.encode([x.encode() for x in sample]), strict=True):
         want = lib.encode(x)
         assert np.frombuffer(ids, "<u4").tolist() == want
@@ -340,6 +343,67 @@ def test_pieces_are_the_librarys(texts):
             assert t.decode(ids).decode() == x
 
 
+def unigram_model(rng):
+    """A small unigram model put together by hand: nothing is trained."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    m = sentencepiece_model_pb2.ModelProto()
+    m.trainer_spec.model_type, m.trainer_spec.byte_fallback = sentence_pieces.UNIGRAM, True
+    m.normalizer_spec.name, m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.escape_whitespaces, m.normalizer_spec.remove_extra_whitespaces = "identity", True, True, False
+    for p, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3), *((f"<0x{b:02X}>", 6) for b in range(256))):
+        m.pieces.add(piece=p, score=0, type=kind)
+    names = {"▁", "▁▁", "qa", *"abcdeinorst.,é"}
+    while len(names) < 600:
+        names.add(rng.choice(["", "▁"]) + "".join(rng.choices("abcdeinorst", k=rng.randint(1, 6))))
+    for p in sorted(names):
+        m.pieces.add(piece=p, score=-rng.uniform(3, 14), type=1)
+    return m.SerializeToString()
+
+
+def test_shortest_paths_of_a_unigram_model(monkeypatch):
+    import sentencepiece
+
+    rng = random.Random(5)
+    raw = unigram_model(rng)
+    lib, t = sentencepiece.SentencePieceProcessor(model_proto=raw), sentence_pieces.Transducer(raw)
+    sample = ["".join(rng.choices("abcdeinorst ▁.,\né日q", k=rng.randint(1, 300))) for _ in range(300)]
+    want = [lib.encode(x) for x in sample]
+    assert [np.frombuffer(x, "<u4").tolist() for x in t.encode([x.encode() for x in sample])] == want
+    monkeypatch.setattr(sentence_pieces, "PLACES", 3)  # the arcs beyond, one by one
+    assert [np.frombuffer(x, "<u4").tolist() for x in sentence_pieces.Transducer(raw).encode([x.encode() for x in sample])] == want
+
+
+def test_context_machine():
+    """Its arcs are what merging the joined text of two pieces says, for pieces in and out of order."""
+    import public_tokenizers
+
+    t = sentence_pieces.transducer(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    usable = [i for i in range(t.first_other) if t.name[i]]
+    late = [i for i in usable if t.spine(i) and not t.spine(i)[2]]
+    pairs = [(rng.choice(usable), rng.choice(usable)) for _ in range(4000)] + [(rng.choice(late), rng.choice(usable)) for _ in range(300)] + [(rng.choice(usable), rng.choice(late)) for _ in range(300)]
+    pairs += [(usable[i], usable[j]) for i in range(0, 400) for j in range(0, 400, 37)]
+    for a, b in pairs:
+        if t.spine(a) and t.spine(b):
+            assert t.stands(a, b) == (t.merge(t.name[a] + t.name[b])[0] == [t.name[a], t.name[b]])
+
+
+def test_pieces_query(spark, folder):
+    """The query's rows against the library's, nulls, empty and very long texts, repeated rows included."""
+    import public_tokenizers
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet/*.parquet'").fetchall()
+    got = sorted(tuple(r) for r in sentence_pieces.op7_sentence_pieces(spark, folder).select("doc_id", "n_tokens", "ids_crc32", "round_trip").collect() if r.doc_id is not None)
+    want = []
+    for i, x in rows:
+        ids = lib.encode(x or "")
+        if i is not None:
+            want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), "▁" not in (x or "")))
+    assert got == sorted(want)
+
+
 # 8
 
 
