@@ -1,67 +1,69 @@
-"""Licence scan: normalised lines compared with licence templates by the Dice coefficient of word bigrams.
-
-All in DataFrame functions.  A line (and, where no line matches, the whole text) is lower-cased, everything but letters and
-digits becomes a space, and its set of word bigrams is compared with each template's.  Two bounds keep
-the work small and lose nothing: a template can only reach the threshold for a line whose bigram count
-lies within [t / (2 - t), (2 - t) / t] times its own, and any such line must share so many bigrams with
-the template that one of ``ANCHORS`` is among its words (``check_anchors`` proves that for a template set).
-
-Defined results: a null or empty text has no match; ties go to the smaller template name; a line that
-occurs twice matches twice; repeated rows give repeated rows; an empty table gives no row; extra columns
-are ignored.
+"""Licence scan: normalised text compared with licence templates by the Dice coefficient of word bigrams.
+
+All in DataFrame functions.  A text is lower-cased, everything but letters and digits becomes a space, line
+ends too, so a wrapped notice or one inside a longer line is found.  The Dice coefficient is that of a
+template's set of bigrams and the set of a window of the text that is as long as the template.  A window
+starts at every bigram of the text that a template in question has.  Bounds keep the work small and lose nothing
+of this:
+
+* to reach the threshold t a window must share ``least_overlap`` bigrams with the template, as it is no larger
+  than that, so a template is only in question for a text that holds so many of its bigrams somewhere;
+* fewer bigrams than that of any template lack all of ``ANCHORS`` (``anchors_of`` picks words until this holds), so
+  a text without one of these words has no match.
+
+Windows for one place give their best template: the largest coefficient, then the longer template, then the
+name that sorts first.  Of windows that overlap by half of the shorter one or more the best stays, the first
+of equals.  Defined results: a null or empty text has no match; texts are scanned whole, and the work grows with the
+text's length times the templates'; a notice that occurs twice matches twice; repeated rows give repeated rows; an
+empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.llm.arrays import let
+from corpusflow.llm.license_texts import TEMPLATES
+
 THRESHOLD = 0.8
-#: Notices as they are put into files, by the SPDX name of the licence.
-TEMPLATES = {
-    "AGPL-3.0": "Licensed under the GNU Affero General Public License, version 3.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": "Released under the BSD 2-Clause License.",
-    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
-    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Released under the CC0 1.0 Universal public domain dedication.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
-    "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
-}
-#: Pieces of normalised text.
-ANCHORS = ("licen", "released", "cc0", "under cc", "cc by", "general public")
+#: Short words that are anchors rather than others of their length.
+SHORT = ("cc", "cc0", "gnu", "mit", "mpl", "bsd")
 
 
 def normalise(text: str) -> list[str]:
-    """The words of a text; the same as ``words_of`` does in Spark."""
-    return re.sub(r"[^a-z0-9]+", " ", text.lower()).strip().split()
+    """The words of a text; the same as ``words_of`` in Spark."""
+    return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
 
 
-def bigrams(text: str) -> set[str]:
+def bigrams(text: str) -> list[str]:
+    """In order, with repetitions."""
     w = normalise(text)
-    return {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)}
+    return [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
 
 
 def least_overlap(size: int, t: float = THRESHOLD) -> int:
-    """Bigrams that a text must share with a template of ``size`` bigrams to reach ``t``."""
-    return int(-(-(t * size) // (2 - t)))
+    """Bigrams that a set must share with a template of ``size`` distinct ones to reach ``t``: o of t/2 (o + size) at least."""
+    return int(-(-(round(1000 * t) * size) // (2000 - round(1000 * t))))
+
 
+def anchors_of(templates=TEMPLATES, t: float = THRESHOLD) -> tuple[str, ...]:
+    """Words such that whoever reaches ``t`` for a template has one: while a template has too many bigrams without any, the longer word that most such bigrams have."""
+    anchors: set[str] = set()
+    sets = [{tuple(g.split()) for g in bigrams(x)} for x in templates.values()]
+    while True:
+        free = [[g for g in grams if anchors.isdisjoint(g)] for grams in sets]
+        lacking = [g for own, grams in zip(free, sets, strict=True) if len(own) >= least_overlap(len(grams), t) for g in own]
+        if not lacking:
+            return tuple(sorted(anchors))
+        count = Counter(w for g in lacking for w in g)
+        anchors.add(max(count, key=lambda w: (len(w) > 6, w in SHORT, len(w) > 4, count[w], w)))
 
-def check_anchors(templates: dict[str, str] = TEMPLATES, anchors=ANCHORS, t: float = THRESHOLD) -> None:
-    for name, text in templates.items():
-        free = [g for g in bigrams(text) if not any(a in g for a in anchors)]
-        if len(free) >= least_overlap(len(bigrams(text)), t):
-            raise ValueError(f"{name} can be matched without an anchor")
+
+ANCHORS = anchors_of()
 
 
 def words_of(text: Column) -> Column:
@@ -69,74 +71,96 @@ def words_of(text: Column) -> Column:
 
 
 def bigrams_of(words: Column) -> Column:
-    n = F.size(words)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.when(n > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
+    n = F.size(words) - 1
+    pairs = lambda n: F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(n > 0, pairs(n)).otherwise(F.array().cast("array<string>"))
+
+
+def _list(grams: list[str]) -> Column:
+    return F.split(F.lit("|".join(grams)), r"\|")
 
 
-def _literal(templates: dict[str, str]) -> Column:
-    rows = [F.struct(F.lit(n).alias("name"), F.array(*[F.lit(g) for g in sorted(bigrams(t))]).alias("grams")) for n, t in sorted(templates.items())]
+def _literal(templates, t: float) -> Column:
+    """array<struct(rank, long, need, grams)>; rank -k for the k-th name, so that the greatest is the first."""
+    rows = []
+    for k, key in enumerate(sorted(templates)):
+        grams = bigrams(templates[key])
+        own = sorted(set(grams))
+        rows.append(F.struct(F.lit(-k).alias("rank"), F.lit(len(grams)).alias("long"), F.lit(least_overlap(len(own), t)).alias("need"), _list(own).alias("grams")))
     return F.array(*rows)
 
 
-def best_match(grams: Column, templates: dict[str, str] = TEMPLATES, t: float = THRESHOLD) -> Column:
-    """struct(name, dice) of the best template at or above the threshold, else null."""
-    low, high = t / (2 - t), (2 - t) / t
-    n = F.size(grams)
-    near = F.filter(_literal(templates), lambda x: (n >= F.floor(F.size(x["grams"]) * low)) & (n <= F.ceil(F.size(x["grams"]) * high)))
-    dice = F.transform(near, lambda x: F.struct((F.lit(2.0) * F.size(F.array_intersect(grams, x["grams"])) / (n + F.size(x["grams"]))).alias("dice"), x["name"].alias("name")))
-    best = F.reduce(F.filter(dice, lambda x: x["dice"] >= t), F.lit(None).cast("struct<dice:double,name:string>"), lambda a, x: F.when(a.isNull() | (x["dice"] > a["dice"]), x).otherwise(a))
-    return best
+def _matches(grams: Column, templates, t: float) -> Column:
+    """array<struct(dice, long, rank, start)> of the windows that stay, by start; ``grams`` in text order."""
+    every = _list(sorted({g for x in templates.values() for g in bigrams(x)}))
+    none = F.array().cast("array<struct<dice:double,long:int,rank:int,start:int>>")
+    longest = max(len(bigrams(x)) for x in templates.values())
+
+    def scored(asked: Column) -> Column:
+        held = F.array_distinct(F.flatten(F.transform(asked, lambda x: x["grams"])))
+        starts = let(F.array_intersect(held, grams), lambda h: F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(h, g), i)), lambda i: i.isNotNull()))
+
+        def window(i: Column) -> Column:
+            def one(x: Column) -> Column:
+                dice = let(F.array_distinct(F.slice(grams, i + 1, x["long"])), lambda w: F.lit(2.0) * F.size(F.array_intersect(w, x["grams"])) / (F.size(w) + F.size(x["grams"])))
+                return F.struct(dice.alias("dice"), x["long"].alias("long"), x["rank"].alias("rank"), i.alias("start"))
+
+            return F.array_max(F.transform(asked, one))
+
+        return F.filter(F.transform(starts, window), lambda m: m["dice"] >= t)
+
+    def best(found: Column) -> Column:
+        # one window a start, so no more than ``longest`` entries to either side can overlap
+        value = lambda m: F.struct(m["dice"], m["long"], m["rank"], -m["start"])
+        shared = lambda m, o: F.least(m["start"] + m["long"], o["start"] + o["long"]) - F.greatest(m["start"], o["start"])
+        near = lambda i: F.slice(found, F.greatest(i + 1 - longest, F.lit(1)), F.lit(2 * longest + 1))
+        return F.filter(found, lambda m, i: ~F.exists(near(i), lambda o: (value(o) > value(m)) & (2 * shared(m, o) >= F.least(m["long"], o["long"]))))
+
+    def asked(present: Column) -> Column:
+        return F.filter(_literal(templates, t), lambda x: (F.size(present) >= x["need"]) & (F.size(F.array_intersect(x["grams"], present)) >= x["need"]))
+
+    found = let(let(F.array_intersect(every, grams), asked), lambda a: F.when(F.size(a) > 0, scored(a)).otherwise(none))
+    return let(found, lambda m: F.when(F.size(m) > 1, best(m)).otherwise(m))
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, anchors=ANCHORS, t: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``matches`` (line from 0, template, dice; line -1: the text as a whole), in line order."""
-    check_anchors(templates, anchors, t)
-    pattern = "(?i)" + "|".join(a.replace(" ", "[^a-z0-9]+") for a in anchors)
-    sizes = [len(bigrams(x)) for x in templates.values()]
-    least, most = int(min(sizes) * t / (2 - t)), int(-(-max(sizes) * (2 - t) // t))
-    none = F.array().cast("array<struct<line:int,words:array<string>>>")
+def scan(docs: DataFrame, templates=TEMPLATES, t: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, ``matches``: (start and end in words of the normalised text, license, form, dice), in text order."""
+    anchors = ANCHORS if templates is TEMPLATES and t == THRESHOLD else anchors_of(templates, t)
+    names = sorted(templates)
+    license_, form = (_list([n[k] for n in names]) for k in (0, 1))
+    none = F.array().cast("array<struct<start:int,end:int,license:string,form:string,dice:double>>")
     slim = docs.select(F.col(key).alias(key), F.col(text).cast("string").alias("__text"))
-    lines = F.transform(F.split("__text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("t")))
-    lines = F.filter(lines, lambda x: x["t"].rlike(pattern))
-    whole = F.when(F.contains("__text", F.lit("\n")), F.array(F.struct(F.lit(-1).alias("line"), F.col("__text").alias("t"))))
-    unit = F.concat(F.coalesce(whole, F.array().cast("array<struct<line:int,t:string>>")), lines)
-    worded = F.transform(unit, lambda x: F.struct(x["line"].alias("line"), words_of(x["t"]).alias("words")))
-    enough = F.filter(worded, lambda x: F.size(x["words"]) > least)
-    cand = slim.select(key, F.when(F.col("__text").rlike(pattern), enough).otherwise(none).alias("cand"))
-    grams = cand.select(key, F.transform("cand", lambda x: F.struct(x["line"].alias("line"), bigrams_of(x["words"]).alias("grams"))).alias("cand"))
-    near = grams.select(key, F.filter("cand", lambda x: (F.size(x["grams"]) >= least) & (F.size(x["grams"]) <= most)).alias("cand"))
-    matched = near.select(key, F.transform("cand", lambda x: F.struct(x["line"].alias("line"), best_match(x["grams"], templates, t).alias("m"))).alias("cand"))
-    found = F.filter("cand", lambda x: x["m"].isNotNull())
-    in_lines = F.filter(found, lambda x: x["line"] >= 0)
-    hit = F.when(F.size(in_lines) > 0, in_lines).otherwise(found)
-    return matched.select(key, F.transform(hit, lambda x: F.struct(x["line"].alias("line"), x["m"]["name"].alias("template"), x["m"]["dice"].alias("dice"))).alias("matches"))
+    one = lambda m: F.struct(m["start"].alias("start"), (m["start"] + m["long"] + 1).alias("end"), F.get(license_, -m["rank"]).alias("license"), F.get(form, -m["rank"]).alias("form"), m["dice"].alias("dice"))
+    made = lambda words: let(bigrams_of(words), lambda g: F.transform(_matches(g, templates, t), one))
+    return slim.select(key, F.coalesce(let(words_of(F.col("__text")), lambda w: F.when(F.arrays_overlap(w, _list(anchors)), made(w))), none).alias("matches"))
 
 
 def op4_license_scan(spark, sf_dir: str) -> DataFrame:
-    """Licence notices of every document: how many lines, which licences, and the best Dice coefficient."""
+    """Licence notices of every document: how many, which licences, where and in which form, and the best Dice coefficient."""
     found = scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    names = F.transform("matches", lambda m: m["template"])
-    spans = F.transform("matches", lambda m: F.concat_ws(":", m["line"].cast("string"), m["template"]))
+    names = F.transform("matches", lambda m: m["license"])
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["form"], m["start"].cast("string"), m["end"].cast("string")))
     return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("licenses"), F.array_join(spans, ",").alias("spans"), F.round(F.coalesce(F.array_max(F.transform("matches", lambda m: m["dice"])), F.lit(0.0)), 6).alias("best_dice"))
 
 
 def _oracle() -> str:
-    rows = ", ".join(f"('{n}', {sorted(bigrams(t))!r})" for n, t in sorted(TEMPLATES.items()))
-    words = "list_filter(string_split(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
+    rows = ", ".join(f"('{n[0]}', '{n[1]}', {-k}, {len(bigrams(TEMPLATES[n]))}, {least_overlap(len(set(bigrams(TEMPLATES[n]))))}, {sorted(set(bigrams(TEMPLATES[n])))!r})" for k, n in enumerate(sorted(TEMPLATES)))
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-tpl(name, grams) AS (VALUES {rows}),
-unit AS (
-  SELECT r, i - 1 AS line, l[i] AS t FROM (SELECT r, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT r, string_split(text, chr(10)) AS l FROM d))
-  UNION ALL SELECT r, -1, text FROM d WHERE contains(text, chr(10))),
-w AS (SELECT r, line, {words} AS w FROM unit),
-g AS (SELECT r, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
-dice AS (SELECT r, line, name, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice FROM g, tpl WHERE len(g) <= 100),
-best AS (SELECT * FROM dice WHERE dice >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY r, line ORDER BY dice DESC, name) = 1),
-hit AS (SELECT * FROM best QUALIFY line >= 0 OR max(line) OVER (PARTITION BY r) = -1),
-agg AS (SELECT r, count(*) AS n, array_to_string(list_sort(list_distinct(list(name))), ',') AS names,
-  string_agg(line || ':' || name, ',' ORDER BY line) AS spans, max(dice) AS top FROM hit GROUP BY r)
+tpl(license, form, rank, long, need, own) AS (VALUES {rows}),
+gram AS (SELECT license, form, unnest(own) AS g FROM tpl),
+w AS (SELECT r, list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM d),
+b AS (SELECT r, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS b FROM w WHERE len(w) > 1),
+place AS (SELECT r, unnest(b) AS g, unnest(range(0, len(b))) AS i FROM b),
+asked AS (SELECT r, license, form FROM (SELECT DISTINCT r, g FROM place) JOIN gram USING (g) JOIN tpl USING (license, form) GROUP BY r, license, form HAVING count(*) >= any_value(need)),
+start AS (SELECT DISTINCT place.r, i FROM place JOIN gram USING (g) JOIN asked ON asked.r = place.r AND asked.license = gram.license AND asked.form = gram.form),
+win AS (SELECT r, i, license, form, rank, long, own, list_distinct(b[i + 1 : i + long]) AS x FROM start JOIN asked USING (r) JOIN tpl USING (license, form) JOIN b USING (r)),
+dice AS (SELECT r, i, license, form, rank, long, 2.0 * len(list_intersect(x, own)) / (len(x) + len(own)) AS dice FROM win),
+best AS (SELECT * FROM dice WHERE dice >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY r, i ORDER BY dice DESC, long DESC, rank DESC) = 1),
+hit AS (SELECT * FROM best m WHERE NOT EXISTS (SELECT 1 FROM best o WHERE o.r = m.r AND (o.dice, o.long, o.rank, -o.i) > (m.dice, m.long, m.rank, -m.i)
+  AND 2 * (least(m.i + m.long, o.i + o.long) - greatest(m.i, o.i)) >= least(m.long, o.long))),
+agg AS (SELECT r, count(*) AS n, array_to_string(list_sort(list_distinct(list(license))), ',') AS names,
+  string_agg(license || ':' || form || ':' || i || ':' || (i + long + 1), ',' ORDER BY i) AS spans, max(dice) AS top FROM hit GROUP BY r)
 SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, coalesce(spans, '') AS spans, round(CAST(coalesce(top, 0) AS DOUBLE), 6) AS best_dice
 FROM d LEFT JOIN agg USING (r)"""
 

@@ -212,25 +212,59 @@ def test_graph_components(spark):
 # 4
 
 
-def test_licences(spark):
-    rows = [(1, "x\nLicensed under CC BY-NC 4.0.\ny"), (2, "Released under the MIT License, as is."), (3, "We licensed the stage under the moon of the public"), (4, "This work is licensed under the\nGNU General Public License, version 3."), (5, None)]
-    got = {r.doc_id: [(m.line, m.template) for m in r.matches] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: [(1, "CC-BY-NC-4.0")], 2: [(0, "MIT")], 3: [], 4: [(-1, "GPL-3.0")], 5: []}
+def plain_matches(text):
+    """Every window of every template, and of those that overlap by half the best."""
+    grams = license_scan.bigrams(text or "")
+    names = sorted(license_scan.TEMPLATES)
+    own = {n: license_scan.bigrams(license_scan.TEMPLATES[n]) for n in names}
+    asked = [n for n in names if 2 * len(set(grams) & set(own[n])) >= 0.8 * (len(set(grams) & set(own[n])) + len(set(own[n])))]
+    starts = {i for n in asked for i, g in enumerate(grams) if g in own[n]}
+    found = {}
+    for k, n in enumerate(names):
+        for i in starts if n in asked else ():
+            w = set(grams[i : i + len(own[n])])
+            dice = 2 * len(w & set(own[n])) / (len(w) + len(set(own[n])))
+            if dice >= 0.8:
+                found[i] = max(found.get(i, (0,)), (dice, len(own[n]), -k, -i))
+    shared = lambda a, b: min(a[1] - a[3], b[1] - b[3]) - max(-a[3], -b[3])
+    kept = [m for m in found.values() if not any(o > m and 2 * shared(m, o) >= min(m[1], o[1]) for o in found.values())]
+    return sorted((-m[3], m[1] - m[3] + 1, *names[-m[2]], m[0]) for m in kept)
+
 
+def test_licences(spark):
+    from corpusflow.llm.license_texts import TEMPLATES
 
-def test_every_template_matches_itself_and_bounds_lose_nothing():
-    license_scan.check_anchors()
+    keys = sorted(TEMPLATES)
+    rng = random.Random(1)
+    rows = [(k, "A tale goes before it.\n" + TEMPLATES[n].replace(" ", "\n * ", 9) + " And after it the tale goes on and on.") for k, n in enumerate(keys)]
+    more = ["x\nLicensed under CC BY-NC 4.0.\ny", "Released under the MIT License, as is.", "We licensed the stage under the moon of the public", "This work is licensed under the\nGNU General Public License, version 3.", None, "", TEMPLATES["MIT", "body"] + "\n" + TEMPLATES["Apache-2.0", "header"], "Released under the MIT License. " * 5]
+    rows += [(100 + k, t) for k, t in enumerate(more)]
+    for k, n in enumerate(keys):  # with words changed
+        w = TEMPLATES[n].split()
+        for _ in range(max(1, len(w) // 12)):
+            w[rng.randrange(len(w))] = rng.choice(["zebra", "the", "under"])
+        rows.append((200 + k, "It was so. " + " ".join(w)))
+    got = {r.doc_id: [tuple(m) for m in r.matches] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: plain_matches(t) for i, t in rows}
+    assert [[m[2:4] for m in got[k]] for k in range(len(keys))] == [[n] for n in keys]
+    names = [[m[2] for m in got[100 + k]] for k in range(len(more))]
+    assert names == [["CC-BY-NC-4.0"], ["MIT"], [], ["GPL-3.0"], [], [], ["MIT", "Apache-2.0"], ["MIT"] * 5]
+
+
+def test_bounds_lose_nothing():
     rng = random.Random(0)
-    pattern = re.compile("|".join(a.replace(" ", "[^a-z0-9]+") for a in license_scan.ANCHORS))
+    for size in range(1, 400):
+        need = license_scan.least_overlap(size)
+        assert 2 * need >= 0.8 * (need + size) - 1e-9 and 2 * (need - 1) < 0.8 * (need - 1 + size)
     for text in license_scan.TEMPLATES.values():
-        grams = license_scan.bigrams(text)
-        for _ in range(50):
+        grams = set(license_scan.bigrams(text))
+        for _ in range(30):
             w = license_scan.normalise(text)
-            for _ in range(rng.randrange(4)):
+            for _ in range(rng.randrange(1 + len(w) // 5)):
                 w[rng.randrange(len(w))] = rng.choice(["zebra", "the", "under"])
-            other = license_scan.bigrams(" ".join(w))
+            other = set(license_scan.bigrams(" ".join(w)))
             if 2 * len(grams & other) >= 0.8 * (len(grams) + len(other)):
-                assert pattern.search(" ".join(w))
+                assert not set(license_scan.ANCHORS).isdisjoint(w)
 
 
 # 5
