@@ -335,7 +335,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     deep_ids = scratch.table(first.filter("deep").select("id").distinct())
     grams = first.filter("not deep")
     if not deep_ids.isEmpty():
-        again = sets_of(docs, deep_ids, words).select("id", F.size("grams").alias("n"), F.col("grams").alias("low")).dropDuplicates(["id"])
+        again = sets_of(docs, deep_ids, words).select("id", F.size("grams").alias("n"), F.col("grams").alias("low"), F.xxhash64("grams").alias("same")).dropDuplicates(["id", "same"])
         grams = grams.unionByName(entries(again, bits.tobytes(), percent, whole=True))
     together = grams.repartition("gram").sortWithinPartitions("gram", F.desc("share"), "id")
     pairs = candidates(together, percent, HOT).groupBy("hot", "a", "b").agg(F.count("*").alias("k"), F.max("na").alias("na"), F.max("nb").alias("nb"))
