@@ -96,6 +96,13 @@ def guess_text(content: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(content, "ISO-8859-1"))
 
 
+def repaired(text: Column) -> Column:
+    """UTF-8 that was read as Latin-1, read again: where all characters are Latin-1 and their bytes are UTF-8 with fewer characters."""
+    raw = F.encode(F.regexp_replace(text, "[^\x00-\xFF]", "?"), "ISO-8859-1")
+    back = raw.cast("string")
+    return F.when(text.rlike("^[\\x00-\\xFF]*$") & F.is_valid_utf8(back) & (F.length(back) < F.length(text)), back).otherwise(text)
+
+
 def html_text(html: Column) -> Column:
     """Text of a page: no scripts, styles or tags; trimmed pieces, none empty, one a line."""
     bare = F.regexp_replace(F.replace(html, F.lit("\x00"), F.lit("")), "(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
@@ -202,6 +209,13 @@ def guessed_language(w: Column, least: int = 1) -> Column:
     return F.when(-best["n"] >= least, best["code"]).otherwise(F.lit(""))
 
 
+def merged_targets(a: Column, b: Column, sure: float = 0.5) -> Column:
+    """The mean of two arrays of class shares where both are above ``sure`` for the same class, else zeros."""
+    top = lambda x: F.array_position(x, F.array_max(x))
+    agree = (F.array_max(a) > sure) & (F.array_max(b) > sure) & (top(a) == top(b))
+    return F.zip_with(a, b, lambda x, y: F.when(agree, (x + y) / 2).otherwise(F.lit(0.0)))
+
+
 def longest_first(items: Column) -> Column:
     """Texts by falling length, as they came where lengths are equal."""
     ranked = F.array_sort(F.transform(items, lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), x.alias("x"))))

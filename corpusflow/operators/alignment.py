@@ -105,7 +105,8 @@ def align_document(fragments: list[dict], transcript: str, settings: Settings) -
 
 
 def align_table(docs: DataFrame, fragments: str = "fragments", transcript: str = "transcript", settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with ``alignments``: a struct of parallel arrays; empty arrays where a document takes too long.
+    """``docs`` with ``alignments``: a struct of parallel arrays, and ``timed_out``: whether the document took longer than
+    ``settings.seconds``, in which case the arrays are null, not empty.
 
     ``fragments``: array<struct(start, end, transcript)>, as ``sequences.fragments`` makes them.
     """
@@ -120,14 +121,14 @@ def align_table(docs: DataFrame, fragments: str = "fragments", transcript: str =
             rows = []
             for f, t in zip(frags.to_pylist(), texts.to_pylist(), strict=True):
                 found = _in_time(lambda f=f, t=t: align_document(f or [], t or "", settings), settings.seconds)
-                rows.append(dict(zip(names, ([x[k] for x in found] for k in ("start", "end", "label", "cer", "wer", "hypothesis")), strict=True)))
+                rows.append(None if found is None else dict(zip(names, ([x[k] for x in found] for k in ("start", "end", "label", "cer", "wer", "hypothesis")), strict=True)))
             yield pa.array(rows, pa.struct([pa.field(f.name, {"bigint": pa.list_(pa.int64()), "string": pa.list_(pa.string()), "float": pa.list_(pa.float32())}[f.dataType.elementType.simpleString()]) for f in ALIGNMENT.fields]))
 
-    return docs.withColumn("alignments", run(F.col(fragments), F.col(transcript)))
+    return docs.withColumn("alignments", run(F.col(fragments), F.col(transcript))).withColumn("timed_out", F.col("alignments").isNull())
 
 
-def _in_time(work, seconds: float) -> list:
-    """``work()``, or nothing if it takes longer (checked in the worker's main thread by an alarm)."""
+def _in_time(work, seconds: float) -> list | None:
+    """``work()``, or None if it takes longer (checked in the worker's main thread by an alarm)."""
     import signal
     import threading
 
@@ -142,7 +143,7 @@ def _in_time(work, seconds: float) -> list:
     try:
         return work()
     except TimeoutError:
-        return []
+        return None
     finally:
         signal.setitimer(signal.ITIMER_REAL, 0)
         signal.signal(signal.SIGALRM, before)

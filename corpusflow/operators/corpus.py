@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words, word_ngrams
+from corpusflow.operators.relational import numbered
 
 # Terms
 
@@ -53,9 +54,9 @@ def vocabulary(docs: DataFrame, text: str, most: int | None = None) -> DataFrame
     """(word, n, share up to it), the most frequent first, ties by word."""
     counts = docs.select(F.explode(words(F.lower(F.col(text)))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
-    top = counts.orderBy(F.desc("n"), "word").limit(most) if most else counts
-    w = W.orderBy(F.desc("n"), "word")
-    return top.crossJoin(F.broadcast(total)).withColumn("covered", F.sum("n").over(w) / F.col("total")).drop("total")
+    top = (counts.orderBy(F.desc("n"), "word").limit(most) if most else counts).withColumn("__first", -F.col("n"))
+    upto = numbered(top, ["__first", "word"], "__place", "__before", "n").crossJoin(F.broadcast(total))  # one row
+    return upto.select("word", "n", ((F.col("__before") + F.col("n")) / F.col("total")).alias("covered"))
 
 
 def unigram_costs(docs: DataFrame, text: str) -> DataFrame:
@@ -67,8 +68,8 @@ def unigram_costs(docs: DataFrame, text: str) -> DataFrame:
 
 def categories(counts: DataFrame, order: str, more_than: int) -> DataFrame:
     """(word, n, category): frequent words numbered from 1 in vocabulary order; others 0."""
-    flag = (F.col("n") > more_than).cast("int")
-    return counts.withColumn("category", F.when(flag == 1, F.sum(flag).over(W.orderBy(order))).otherwise(F.lit(0)).cast("long"))
+    placed = numbered(counts.withColumn("__flag", (F.col("n") > more_than).cast("int")), [order], "__place", "category", "__flag")
+    return placed.withColumn("category", F.when(F.col("__flag") == 1, F.col("category") + 1).otherwise(F.lit(0)).cast("long")).drop("__flag", "__place")
 
 
 # Kneser-Ney

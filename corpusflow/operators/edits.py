@@ -32,20 +32,55 @@ def edit_counts(ops: Column) -> Column:
     return F.struct(*[F.size(F.filter(ops, _is(k.upper()))).alias(k) for k in "csid"])
 
 
+def similarities(df: DataFrame, a: str, b: str, names: Sequence[str]) -> Column:
+    """struct of similarities (``kernels.SIMILARITIES``) of two texts, from 0 to 1; null texts count as empty."""
+    ship(df.sparkSession)
+    from pyspark.sql.functions import arrow_udf
+
+    chosen = {n: kernels.SIMILARITIES[n] for n in names}
+    kind = pa.struct([(n, pa.float64()) for n in chosen])
+
+    @arrow_udf(f"struct<{','.join(f'{n}:double' for n in chosen)}>")
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([{n: float(f(x or "", y or "")) for n, f in chosen.items()} for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
+
+    return run(F.col(a), F.col(b))
+
+
+def letter_pairs(df: DataFrame, query: str, text: str) -> Column:
+    """map<string, bigint>: letters set against each other in the local alignment of two texts, the smaller first."""
+    ship(df.sparkSession)
+    from pyspark.sql.functions import arrow_udf
+
+    kind = pa.map_(pa.string(), pa.int64())
+
+    @arrow_udf("map<string,bigint>")
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([sorted(kernels.local_align(x or "", y or "", 0, len(y or ""))[3].items()) for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
+
+    return run(F.col(query), F.col(text))
+
+
 def _is(op: str):
     return lambda x: x["op"] == op
 
 
+#: Distinct words that ``word_distance`` tells apart: as many characters as there are from U+0100 on, without the surrogates.
+MOST_WORDS = 0x110000 - 0x100 - 0x800
+
+
 def word_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance of two word arrays without Python: each distinct word becomes one character.
+    """Levenshtein distance of two word arrays without Python: each distinct word becomes one character; null for a null array.
 
-    Good for up to 50,000 distinct words in the two arrays together.
+    More than ``MOST_WORDS`` distinct words in the two arrays together are an error.
     """
     table = F.array_distinct(F.concat(a, b))
-    # from U+4E00 on, past the surrogates' block when there are many
-    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(19968 + F.array_position(table, w)), 4, "0")), "UTF-16BE")
-    text = lambda ws: F.array_join(F.transform(ws, letter), "")
-    return F.levenshtein(text(a), text(b))
+    code = lambda n: F.when(n < 0xD800, n).otherwise(n + 0x800)  # noqa: E731  past the surrogates
+    letter = lambda n: F.decode(F.unhex(F.lpad(F.hex(code(n)), 8, "0")), "UTF-32")
+    letters = F.map_from_arrays(table, F.transform(table, lambda w, i: letter(i + 0x100)))
+    small = F.when(F.size(table) <= MOST_WORDS, F.lit(True)).otherwise(F.raise_error(F.lit(f"more than {MOST_WORDS} distinct words")).cast("boolean"))
+    text = lambda ws, m: F.array_join(F.transform(ws, lambda w: F.element_at(m, w)), "")
+    return F.when(small, F.element_at(F.transform(F.array(letters), lambda m: F.levenshtein(text(a, m), text(b, m))), 1))
 
 
 def better_halves(edits: DataFrame, recording: str = "recording") -> DataFrame:

@@ -60,14 +60,45 @@ def cap_repeats(df: DataFrame, by: str, order: str, most: int) -> DataFrame:
 
 def thin_repeats(df: DataFrame, by: str, key: str, most: int, seed: str = "thin") -> DataFrame:
     """All rows of values that occur up to ``most`` times; of others each with probability most / n, by a seeded digest."""
-    n = F.count("*").over(W.partitionBy(by))
+    n = df.groupBy(by).agg(F.count("*").alias("__n")).withColumnRenamed(by, "__by")
     chance = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.col(key).cast("string")).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
-    return df.withColumn("__n", n).filter((F.col("__n") <= most) | (chance < F.lit(float(most)) / F.col("__n"))).drop("__n")
+    return df.join(n, F.col(by).eqNullSafe(F.col("__by"))).filter((F.col("__n") <= most) | (chance < F.lit(float(most)) / F.col("__n"))).select(*df.columns)
 
 
 def frequent(df: DataFrame, by: str, more_than: int) -> DataFrame:
-    """Rows of groups with more than so many rows."""
-    return df.withColumn("__n", F.count("*").over(W.partitionBy(by))).filter(F.col("__n") > more_than).drop("__n")
+    """Rows of groups with more than so many rows: groups are counted and joined back, so no group is gathered."""
+    n = df.groupBy(by).agg(F.count("*").alias("__n")).filter(F.col("__n") > more_than).select(F.col(by).alias("__by"))
+    return df.join(n, F.col(by).eqNullSafe(F.col("__by")), "left_semi")
+
+
+def permitted(df: DataFrame, grants: DataFrame, on: str, who: str, owner: str | None = None) -> DataFrame:
+    """Rows that ``who`` may see: those granted (on, who), to ``*`` too, and one's own."""
+    seen = df.join(grants.filter(F.col("who").isin(who, "*")).select(on).distinct().withColumn("__granted", F.lit(True)), on, "left")
+    free = F.col("__granted").isNotNull()
+    return seen.filter(free | (F.col(owner) == who) if owner else free).select(*df.columns)
+
+
+def weighted_pick(df: DataFrame, key: Column, items: Sequence[tuple[str, float]], seed: str = "pick", name: str = "item") -> DataFrame:
+    """An item for each row with a chance in proportion to its weight, by a seeded digest of ``key``; weights need not add up to 1."""
+    total, upto, out = sum(w for _, w in items), 0.0, None
+    chance = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), key.cast("string")).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    for item, weight in items:
+        upto += weight
+        hit = chance * total < F.lit(upto)
+        out = F.when(hit, F.lit(item)) if out is None else out.when(hit, F.lit(item))
+    return df.withColumn(name, out.otherwise(F.lit(items[-1][0])))
+
+
+def sampled(df: DataFrame, key: str, share: float, seed: str = "sample") -> DataFrame:
+    """Each row with probability ``share``, by a seeded digest of its key."""
+    chance = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.col(key).cast("string")).cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return df.filter(chance < share)
+
+
+def sample_rows(population: Column, z: float = 2.58, error: float = 0.01, share: float = 0.5) -> Column:
+    """Rows that estimate a share within ``error`` at confidence ``z``, of a finite population (see ``kernels.sample_size``)."""
+    n = z * z * share * (1 - share) / (error * error)
+    return F.when(population > 0, F.floor(F.lit(n) / (1 + F.lit(n) / population))).otherwise(F.lit(0)).cast("long")
 
 
 # Joins
@@ -215,14 +246,54 @@ def digest_order(*cols: Column, seed: str = "") -> Column:
     return F.md5(F.concat_ws("/", F.lit(seed), *[c.cast("string") for c in cols]).cast("binary"))
 
 
+#: Ranges that rows are dealt to for their places in an order; each is one task's work.
+RANGES = 64
+
+
+def numbered(df: DataFrame, order: Sequence[str], place: str = "place", total: str | None = None, value: str | None = None) -> DataFrame:
+    """``place``: how many rows come before in the order of ``order``; with ``total`` also the sum of ``value`` over these.
+
+    No task sees more than a range of the order: bounds come from a sample (speed alone depends on them), counts of the
+    ranges are added up, and rows are numbered within their range.  Columns in ``order`` should tell all rows apart.
+    """
+    keys = [F.col(c) for c in order]
+    rows = df.count()
+    share = min(1.0, 40.0 * RANGES / max(rows, 1))
+    seen = sorted((tuple(r) for r in df.select(*keys).sample(share, seed=7).collect() if None not in tuple(r)))
+    bounds = [seen[k * len(seen) // RANGES] for k in range(1, RANGES)] if len(seen) >= RANGES else []
+    types = dict(df.select(*keys).dtypes)
+    at = lambda b: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, b, strict=True)])
+    bucket = F.size(F.filter(F.array(*map(at, bounds)), lambda b: b <= F.struct(*keys))) if bounds else F.lit(0)
+    dealt = df.withColumn("__range", bucket)
+    sums = [F.count("*").alias("__n")] + ([F.sum(value).alias("__v")] if total else [])
+    before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # a row a range
+    of_range = dealt.groupBy("__range").agg(*sums)
+    of_range = of_range.select("__range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in of_range.columns[1:]])
+    own = W.partitionBy("__range").orderBy(*order)
+    out = dealt.join(F.broadcast(of_range), "__range").withColumn(place, F.col("__n_before") + F.row_number().over(own) - 1)
+    if total:
+        out = out.withColumn(total, F.col("__v_before") + F.coalesce(F.sum(value).over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    return out.select(*df.columns, place, *([total] if total else []))
+
+
 def round_robin(df: DataFrame, order: Sequence[str], parts: int, name: str = "split") -> DataFrame:
     """Row i (from 0) goes to part i mod ``parts``."""
-    return df.withColumn(name, F.pmod(F.row_number().over(W.orderBy(*order)) - 1, F.lit(parts)))
+    return numbered(df, order, name).withColumn(name, F.pmod(F.col(name), F.lit(parts)))
 
 
 def chunked(df: DataFrame, order: Sequence[str], rows: int, name: str = "shard") -> DataFrame:
     """Runs of ``rows`` rows in order."""
-    return df.withColumn(name, F.floor((F.row_number().over(W.orderBy(*order)) - 1) / F.lit(rows)))
+    return numbered(df, order, name).withColumn(name, F.floor(F.col(name) / F.lit(rows)))
+
+
+def evenly(df: DataFrame, order: Sequence[str], parts: int, name: str = "part") -> DataFrame:
+    """Runs of rows in order, numbered from 1, whose sizes differ by one at most, the longer ones first."""
+    rows = df.count()
+    small, more = divmod(rows, parts)
+    at = F.col(name)
+    edge = more * (small + 1)
+    part = F.when(at < edge, F.floor(at / F.lit(small + 1))).otherwise(more + F.floor((at - edge) / F.lit(max(small, 1))))
+    return numbered(df, order, name).withColumn(name, part + 1)
 
 
 def range_shards(df: DataFrame, key: str, rows_a_shard: int = 335, most: int = 9900) -> DataFrame:

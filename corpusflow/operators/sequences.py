@@ -84,10 +84,13 @@ def adjacent_overlap(df: DataFrame, key: str, tie: str) -> DataFrame:
 def without_overlap(words: DataFrame, segments: DataFrame) -> DataFrame:
     """Words (utt, start, dur, word in segment time) of overlapping segments (utt, recording, start, end), each once.
 
-    Of a pair of neighbours that overlap, the earlier keeps words whose middle lies before the middle of the overlap.
+    A segment that lies inside an earlier one gives no word, and the earlier one is left whole.  Of a pair of neighbours that
+    overlap, the earlier keeps words whose middle lies before the middle of the overlap, the later the others.
     """
-    w = W.partitionBy("recording").orderBy("start", "end", "utt")
-    cut = segments.withColumn("to", F.lead("start").over(w)).withColumn("from", F.lag("end").over(w))
+    w = W.partitionBy("recording").orderBy("start", F.desc("end"), "utt")
+    reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    outer = segments.withColumn("__reach", reach).filter(F.col("__reach").isNull() | (F.col("end") > F.col("__reach")))
+    cut = outer.withColumn("to", F.lead("start").over(w)).withColumn("from", F.lag("end").over(w))
     cut = cut.select("utt", "recording", F.col("start").alias("base"), F.when(F.col("from") > F.col("start"), (F.col("from") + F.col("start")) / 2).alias("from"), F.when(F.col("to") < F.col("end"), (F.col("to") + F.col("end")) / 2).alias("to"))
     mid = F.col("base") + F.col("start") + F.col("dur") / 2
     kept = words.join(cut, "utt").filter((F.col("from").isNull() | (mid >= F.col("from"))) & (F.col("to").isNull() | (mid < F.col("to"))))
@@ -171,6 +174,33 @@ def split_speakers(df: DataFrame, speaker: str, key: str, most: int) -> DataFram
     return df.withColumn("part", F.format_string("%s-%03d", F.col(speaker), F.floor(rn / F.lit(most)).cast("int")))
 
 
+def split_speakers_by_seconds(df: DataFrame, speaker: str, key: str, duration: str, most: float) -> DataFrame:
+    """Speakers cut into runs of at most ``most`` seconds: an utterance that would make a run longer begins the next one.
+
+    The sum starts anew at each cut, so a speaker's durations (numbers alone) are folded in order.
+    """
+    rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(duration).cast("double").alias("d"))))
+    per = df.groupBy(speaker).agg(rows.alias("__rows"))
+    kind = dict(df.dtypes)[key]
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            keys, parts = [], []
+            for who, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                part, held = 0, 0.0
+                for n, r in enumerate(own):
+                    if n and held + r["d"] > most:
+                        part, held = part + 1, 0.0
+                    held += r["d"]
+                    keys.append((who, r["k"]))
+                    parts.append(f"{who}-{part:03d}")
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], batch.schema.field(0).type), pa.array([k[1] for k in keys], batch.schema.field(1).type.value_type.field("k").type), pa.array(parts, pa.string())], names=[speaker, key, "part"])
+
+    return per.mapInArrow(cut, f"{speaker} {dict(df.dtypes)[speaker]}, {key} {kind}, part string")
+
+
 def speech_segments(frames: DataFrame, key: str, frame_s: float, speech: str, least: float = 0.0, pad: float = 0.0) -> DataFrame:
     """Speech runs of frame labels (key, frame, label): padded, kept apart at the middle of the silence between them."""
     r = runs(frames, key, "frame", "label").filter(F.col("label") == speech)

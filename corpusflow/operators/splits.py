@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusflow.operators.relational import digest_order
+from corpusflow.operators.relational import digest_order, numbered
 
 
 def debiased(df: DataFrame, by: str, quality: str, key: str, sigma: float = 3.0) -> DataFrame:
@@ -34,24 +34,24 @@ def quality_part(quality: Column, parts: Sequence[tuple[float, str]], other: str
 
 def random_split(df: DataFrame, key: str, test: int, dev: int, seed: str = "42") -> DataFrame:
     """``split``: the first ``test`` rows of a fixed shuffle, the next ``dev``, the rest for training."""
-    rn = F.row_number().over(W.orderBy(digest_order(F.col(key), seed=seed), key))
-    return df.withColumn("__rn", rn).withColumn("split", F.when(F.col("__rn") <= test, "test").when(F.col("__rn") <= test + dev, "dev").otherwise("train")).drop("__rn")
+    placed = numbered(df.withColumn("__digest", digest_order(F.col(key), seed=seed)), ["__digest", key], "__place")
+    split = F.when(F.col("__place") < test, "test").when(F.col("__place") < test + dev, "dev").otherwise("train")
+    return placed.withColumn("split", split).drop("__digest", "__place")
 
 
 def entity_split(df: DataFrame, entity: str, test: int, dev: int) -> DataFrame:
     """``split`` in which no entity is in two: entities, smallest first, fill test up to its rows, then dev; the rest train."""
     sizes = df.groupBy(entity).agg(F.count("*").alias("n"))
-    before = F.sum("n").over(W.orderBy("n", entity).rowsBetween(W.unboundedPreceding, W.currentRow))
-    split = F.when(F.col("cum") <= test, "test").when(F.col("cum") <= test + dev, "dev").otherwise("train")
-    return df.join(sizes.withColumn("cum", before).select(entity, split.alias("split")), entity)
+    upto = F.col("before") + F.col("n")
+    split = F.when(upto <= test, "test").when(upto <= test + dev, "dev").otherwise("train")
+    return df.join(numbered(sizes, ["n", entity], "place", "before", "n").select(entity, split.alias("split")), entity)
 
 
 def speaker_split(df: DataFrame, speaker: str, test_speakers: int, seed: str = "42") -> DataFrame:
     """``split``: all rows of so many speakers (but not of all) are for testing."""
-    who = df.select(speaker).distinct()
-    w = W.orderBy(digest_order(F.col(speaker), seed=seed), speaker)
-    who = who.withColumn("rn", F.row_number().over(w)).withColumn("all", F.count("*").over(W.partitionBy()))
-    return df.join(who.select(speaker, F.when(F.col("rn") <= F.least(F.lit(test_speakers), F.col("all") - 1), "test").otherwise("train").alias("split")), speaker)
+    who = df.select(speaker).distinct().withColumn("digest", digest_order(F.col(speaker), seed=seed))
+    few = min(test_speakers, who.count() - 1)
+    return df.join(numbered(who, ["digest", speaker]).select(speaker, F.when(F.col("place") < few, "test").otherwise("train").alias("split")), speaker)
 
 
 def released_split(both: DataFrame, test: DataFrame, train: DataFrame, key: str, test_rows: int, dev_rows: int, seed: str = "42") -> DataFrame:

@@ -22,12 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan whose files can't be split into as many parts as there are cores, dealt out for the work on its texts."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
-
-
 class Tables:
     """``t.orders`` is the table of that name."""
 
@@ -37,8 +31,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         times = {c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"}
-        df = df.withColumns(times) if times else df
-        return spread(df) if name == "documents" else df
+        return df.withColumns(times) if times else df
 
 
 def query(sql: str | None = None):
@@ -139,22 +132,24 @@ def thinned_repeats(t):
     return R.thin_repeats(d, "l_partkey", "key", 20).select("l_orderkey", "l_linenumber")
 
 
-@query("""SELECT c_custkey, s_suppkey, distance FROM (SELECT c_custkey, s_suppkey, levenshtein(c_name, s_name) AS distance FROM customer JOIN supplier ON c_nationkey = s_nationkey)
- QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY distance, s_suppkey) = 1""")
+@query("""WITH n AS (SELECT *, o_orderpriority || '-' || o_orderstatus || '-' || o_orderkey AS name FROM orders)
+ SELECT a, b, distance FROM (SELECT x.o_orderkey AS a, y.o_orderkey AS b, levenshtein(x.name, y.name) AS distance FROM n x JOIN n y ON x.o_custkey = y.o_custkey AND x.o_orderkey % 2 = 0 AND y.o_orderkey % 2 = 1)
+ QUALIFY row_number() OVER (PARTITION BY a ORDER BY distance, b) = 1""")
 def nearest_names(t):
-    """The supplier of a customer's nation with the nearest name."""
-    both = t.customer.join(t.supplier, F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey", F.levenshtein("c_name", "s_name").cast("long").alias("distance"))
-    return R.first_of(both, ["c_custkey"], ["distance", "s_suppkey"])
+    """For an order the customer's other order with the nearest name (a customer stands for an item, with few files at any size)."""
+    d = t.orders.select("o_orderkey", "o_custkey", F.concat_ws("-", "o_orderpriority", "o_orderstatus", "o_orderkey").alias("name"))
+    x, y = d.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("a"), "o_custkey", F.col("name").alias("x")), d.filter("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("b"), "o_custkey", F.col("name").alias("y"))
+    both = x.join(y, "o_custkey").select("a", "b", F.levenshtein("x", "y").cast("long").alias("distance"))
+    return R.first_of(both, ["a"], ["distance", "b"])
 
 
 @query()
 def stable_matching(t):
-    """Customers and suppliers of a nation matched one to one by name (greedy deferred acceptance: no SQL)."""
+    """Recordings and transcripts of an item matched one to one by name (greedy deferred acceptance: no SQL); a customer stands for an item."""
     from corpusflow.operators.alignment import match_documents
 
-    ident = F.col("n_name").alias("identifier")
-    a = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(ident, F.col("c_name").alias("audio_document_id"))
-    b = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(ident, F.col("s_name").alias("text_document_id"))
+    d = t.orders.select(F.col("o_custkey").cast("string").alias("identifier"), F.concat_ws("-", "o_orderpriority", "o_orderstatus", "o_orderkey").alias("name"), "o_orderkey")
+    a, b = d.filter("o_orderkey % 2 = 0").select("identifier", F.col("name").alias("audio_document_id")), d.filter("o_orderkey % 2 = 1").select("identifier", F.col("name").alias("text_document_id"))
     return match_documents(a, b)
 
 
@@ -504,8 +499,8 @@ def vocabulary_difference(t):
 
 @query("SELECT round(sum(n_chars) / 1000.0 / 60.0 / 60.0, 6) AS hours FROM documents")
 def hours_of_arrays(t):
-    """Hours summed inside arrays of durations."""
-    a = t.documents.groupBy("source").agg(F.collect_list("n_chars").alias("ms"))
+    """Hours summed inside arrays of durations, a thousand documents an array."""
+    a = t.documents.groupBy(F.floor(F.col("doc_id") / 1000)).agg(F.collect_list("n_chars").alias("ms"))
     return R.array_hours(a, F.col("ms")).select(F.round("hours", 6).alias("hours"))
 
 
@@ -532,10 +527,14 @@ def path_parts(t):
     return t.pages.select("page_id", X.tail(F.col("url")).alias("tail"), X.speaker_of(F.col("url")).alias("speaker"))
 
 
-@query("SELECT o_orderkey, CAST(3661500 AS BIGINT) AS clock, CAST(1610612736 AS BIGINT) AS size, (CAST(o_orderkey AS BIGINT) * 1000 + 500) AS ms FROM orders")
+@query("""SELECT o_orderkey, (o_orderkey % 5 * 3600 + o_custkey % 60 * 60 + o_orderkey % 60) * 1000 + 500 AS clock, CAST(floor((o_custkey % 7 + 0.5) * power(1024, 1 + o_orderkey % 3)) AS BIGINT) AS size,
+ CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_orderkey AS BIGINT) * 1000 + 250 ELSE -1 END AS ms FROM orders""")
 def parsed_quantities(t):
-    """Clock times and sizes written as text."""
-    return t.orders.select("o_orderkey", X.clock_ms(F.lit("1:01:01.5")).alias("clock"), X.byte_size(F.lit("1.5GB")).alias("size"), X.clock_ms(F.concat(F.col("o_orderkey").cast("string"), F.lit(".5"))).alias("ms"))
+    """Clock times and sizes written as text, some of them no numbers."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    unit = F.get(F.array(*map(F.lit, ("K", "mB", "GB"))), (k % 3).cast("int"))
+    d = t.orders.select("o_orderkey", F.format_string("%d:%02d:%02d.5", k % 5, c % 60, k % 60).alias("clock"), F.concat((c % 7).cast("string"), F.lit(".5"), unit).alias("size"), F.when(k % 4 > 0, F.concat(k.cast("string"), F.lit(".25"))).otherwise(F.lit("n/a")).alias("ms"))
+    return d.select("o_orderkey", X.clock_ms(F.col("clock")).alias("clock"), X.byte_size(F.col("size")).alias("size"), F.coalesce(X.clock_ms(F.col("ms")), F.lit(-1).cast("long")).alias("ms"))
 
 
 @query("SELECT item_id, len(list_distinct(list_transform(range(1, greatest(length(text) - 1, 1)), lambda i: substr(text, i, 3)))) AS trigrams FROM benchmark")
@@ -604,7 +603,7 @@ def top_slice(t):
 
 @query("SELECT ntile(8) OVER (ORDER BY c_custkey) AS part, c_custkey FROM customer")
 def even_split(t):
-    return t.customer.select(F.ntile(8).over(W.orderBy("c_custkey")).cast("long").alias("part"), "c_custkey")
+    return R.evenly(t.customer.select("c_custkey"), ["c_custkey"], 8).select(F.col("part").cast("long").alias("part"), "c_custkey")
 
 
 @query("""WITH c AS (SELECT o_orderkey, o_totalprice, unnest([0.9, 1.0, 1.1]) AS speed FROM orders), n AS (SELECT *, CASE WHEN speed = 1.0 THEN CAST(o_orderkey AS VARCHAR) ELSE 'sp' || speed || '-' || o_orderkey END AS name FROM c)

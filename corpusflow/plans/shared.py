@@ -1,0 +1,19 @@
+"""A folder of its own for what a query writes and reads again."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def folder(spark: SparkSession) -> str:
+    """Under ``spark.checkpoint.dir``; where it is unset, under a folder of this machine (local mode only)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="corpusflow-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/queries-{uuid.uuid4().hex}"

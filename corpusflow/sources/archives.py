@@ -40,6 +40,11 @@ def read_tar(spark: SparkSession, path: str, value: bool = True, glob: str = "*.
     return content.mapInArrow(run, schema)
 
 
+def _mounted(path: str) -> str:
+    """A path that ``open`` takes: without ``file:``; other stores must be mounted."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
 class _Written(WriterCommitMessage):
     def __init__(self, name: str) -> None:
         self.name = name
@@ -51,7 +56,7 @@ class _ArchiveWriter(DataSourceWriter):
     end = ""
 
     def __init__(self, path: str, overwrite: bool, options: dict) -> None:
-        self.path, self.overwrite, self.options = path, overwrite, dict(options)
+        self.path, self.overwrite, self.options = _mounted(path), overwrite, dict(options)
 
     def put(self, path: str, rows) -> None:
         raise NotImplementedError
@@ -112,7 +117,7 @@ class _MountReader(DataSourceReader):
     """Archives of a mounted folder, a partition each."""
 
     def __init__(self, path: str, end: str, rows) -> None:
-        self.path, self.end, self.rows = path, end, rows
+        self.path, self.end, self.rows = _mounted(path), end, rows
 
     def partitions(self):
         import os

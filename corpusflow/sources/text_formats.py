@@ -106,9 +106,9 @@ def transcript_lines(spark: SparkSession, path, extension: str = ".flac") -> Dat
 
 
 def sidecar_labels(spark: SparkSession, path, drop_words: int = 2) -> DataFrame:
-    """One text file beside each recording: its stem, and its words after the first ones."""
-    d = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), X.words(F.col("value")).alias("w"))
-    return d.select(X.stem(F.col("path")).alias("stem"), F.array_join(F.slice("w", drop_words + 1, F.greatest(F.size("w") - drop_words, F.lit(0))), " ").alias("label"))
+    """One text file beside each recording: its stem, its words after the first ones, and its path."""
+    d = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), X.words(F.col("value")).alias("w"))
+    return d.select(X.stem(F.col("path")).alias("stem"), F.array_join(F.slice("w", drop_words + 1, F.greatest(F.size("w") - drop_words, F.lit(0))), " ").alias("label"), "path")
 
 
 def device_transcripts(spark: SparkSession, path, channels: int = 7) -> DataFrame:

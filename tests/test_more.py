@@ -23,6 +23,13 @@ def test_word_distance(spark):
     assert [r.d for r in d.select(E.word_distance(F.col("a"), F.col("b")).alias("d")).collect()] == [K.edit_distance(a.split(" "), b.split(" ")) for a, b in rows]
 
 
+def test_word_distance_beyond_the_surrogates(spark):
+    """More distinct words than there are characters before the surrogates' block."""
+    a = F.transform(F.sequence(F.lit(1), F.lit(56_000)), lambda i: F.concat(F.lit("w"), i.cast("string")))
+    d = spark.range(1).select(a.alias("a"))
+    assert d.select(E.word_distance(F.col("a"), F.slice("a", 55_991, 9)).alias("d")).first().d == 55_991
+
+
 def test_overlap_goes_to_the_better(spark):
     d = spark.createDataFrame([("r", "u1", 0.0, 10.0, 1, 10), ("r", "u2", 8.0, 20.0, 5, 10), ("r", "u3", 18.0, 30.0, 0, 10)], "recording string, utt string, start double, end double, errors int, words int")
     assert {r.utt: (r["from"], r.to) for r in E.better_halves(d).collect()} == {"u1": (0.0, 10.0), "u2": (10.0, 18.0), "u3": (18.0, 30.0)}
@@ -79,7 +86,7 @@ def test_bpe(spark):
 def test_bpe_counts_all_words(spark, small_data, monkeypatch):
     from collections import Counter
 
-    from corpusflow.plans.catalog import QUERIES
+    from corpusflow.plans.queries import QUERIES
 
     docs = spark.read.parquet(f"{small_data}/documents.parquet")
     counts = Counter(w for r in docs.collect() for w in (r.text or "").split())

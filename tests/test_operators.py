@@ -80,6 +80,33 @@ def test_overlap_resolution(spark):
     assert sorted((r.word, r.utt) for r in S.without_overlap(words, seg).collect()) == [("a", "u1"), ("b", "u2")]
 
 
+def test_a_contained_segment_gives_no_word(spark):
+    seg = spark.createDataFrame([("u1", "r", 0.0, 30.0), ("u2", "r", 10.0, 14.0), ("u3", "r", 28.0, 40.0)], "utt string, recording string, start double, end double")
+    words = spark.createDataFrame([("u1", 5.0, 1.0, "a"), ("u1", 25.0, 1.0, "b"), ("u2", 2.0, 1.0, "x"), ("u3", 0.0, 1.0, "y"), ("u3", 5.0, 1.0, "c")], "utt string, start double, dur double, word string")
+    assert sorted((r.start, r.word, r.utt) for r in S.without_overlap(words, seg).collect()) == [(5.0, "a", "u1"), (25.0, "b", "u1"), (33.0, "c", "u3")]
+
+
+def test_numbered(spark):
+    rows = [(i * 7 % 1000, i % 3) for i in range(1000)] + [(None, 5)]
+    d = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    got = {r.k: (r.place, r.before) for r in R.numbered(d, ["k"], "place", "before", "v").collect()}
+    want, total = {}, 0
+    for n, (k, v) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))):
+        want[k] = (n, total)
+        total += v
+    assert got == want and R.numbered(d.limit(0), ["k"]).collect() == []
+    assert R.numbered(d, ["v", "k"]).agg(F.count_distinct("place").alias("n"), F.max("place").alias("m")).first() == (1001, 1000)
+
+
+def test_a_document_that_takes_too_long_is_marked(spark):
+    words = " ".join(f"word{i}" for i in range(400))
+    d = spark.createDataFrame([(1, [(0, 1, words)], words), (2, [], "x")], "k int, fragments array<struct<start:bigint,end:bigint,transcript:string>>, transcript string")
+    slow = A.align_table(d, settings=A.Settings(seconds=0.001)).orderBy("k").collect()
+    assert (slow[0].timed_out, slow[0].alignments) == (True, None)
+    fine = A.align_table(d).orderBy("k").collect()
+    assert [r.timed_out for r in fine] == [False, False] and fine[1].alignments.label == []
+
+
 def test_splits_are_whole_and_pure(spark):
     d = spark.createDataFrame([(i, i % 7) for i in range(100)], "k int, e int")
     r = P.random_split(d, "k", 10, 20).groupBy("split").count().collect()

@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from corpusflow.plans.catalog import ORACLES, QUERIES
+from corpusflow.plans.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
