@@ -1,12 +1,12 @@
 """Packing: best-fit decreasing into fixed windows.
 
 Documents are encoded where they lie; one longer than a window is first cut into full windows, which
-are sequences of their own, and a rest.  Rests are dealt by hash into buckets of a bounded expected
-size; in each bucket, longest first, a segment tree indexed by remaining capacity finds the tightest
+are sequences of their own, and a rest.  Pieces are dealt by hash, of their number in their task, too, so that no
+id however frequent gathers in one, into buckets of a bounded expected size; in each bucket, longest first, a segment tree indexed by remaining capacity finds the tightest
 open window.  Padding is what the last windows of each bucket lack, well under one per cent.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed as often as they
-occur; ties in length go by (doc_id, start); an empty table gives no piece; extra columns are ignored.
+occur; ties in length go by (doc_id, start, ids_crc32); texts are encoded whole; an empty table gives no piece; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,12 +79,12 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> tuple[list[int], list[
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Full windows and one rest of each document, with the crc32 of their ids."""
+    """Full windows and one rest of each document, with the crc32 of their ids, and the piece's number in its task."""
     bounded_batches(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(tokenizer)
+        encoder, number = word_ids(tokenizer), 0
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for first, raw in slices(batch.column(1)):
@@ -94,19 +94,20 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         part = ids[4 * start : 4 * (start + window)]
-                        rows.append((k, start, len(part) // 4, zlib.crc32(part), total))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                        rows.append((k, start, len(part) // 4, zlib.crc32(part), total, number))
+                        number += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "number"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECES + ", number long")
 
 
 def pack(cut: DataFrame, n_docs: int, window: int = WINDOW, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; the bucket is the id's upper half, so ids never clash."""
     buckets = max(1, -(-n_docs // bucket_docs))
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "number"), F.lit(buckets))).drop("number")
 
     def fill(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
+        group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
         base = group.column("bucket")[0].as_py() << 32
         where, offset = best_fit(group.column("length").to_pylist(), window)
         out = group.drop_columns(["bucket"])
