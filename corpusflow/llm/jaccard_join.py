@@ -19,8 +19,9 @@ group, block by block.  A block returns a spanning forest of its links, never al
 
 Links cover all pairs of different sets; classes and components are joined back at the end.  Defined
 results: a null or empty text, or one without words, has an empty set and is linked with nothing; one
-with fewer words than an n-gram has a set of one; a repeated document is in the class of its twin; an id
-met with different texts stands for all of them; an empty table gives no row; extra columns are ignored.
+with fewer words than an n-gram has a set of one; texts are hashed whole; a repeated document is in the class of
+its twin; an id met with different texts stands for all of them; a row with a null id is linked with nothing, its
+component is null, and ``keep_one`` keeps it; an empty table gives no row; extra columns are ignored, by ``keep_one`` kept.
 """
 
 from __future__ import annotations
@@ -365,3 +366,18 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc
 def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Size of the shingle set and component of every document."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: On small tables: every pair that shares an n-gram, and all that can be reached from each document.
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s FROM w),
+d AS (SELECT DISTINCT doc_id, s FROM s WHERE doc_id IS NOT NULL),
+g AS (SELECT doc_id, unnest(s) AS g FROM d),
+k AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM k JOIN d a ON a.doc_id = x JOIN d b ON b.doc_id = y WHERE 100 * k >= 85 * (len(a.s) + len(b.s) - k)),
+twoway AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT a, y FROM reach JOIN twoway ON b = x),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN least ON a IS NOT DISTINCT FROM doc_id"""

@@ -19,6 +19,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op3_jaccard_join": jaccard_join.ORACLE,
     "op4_license_scan": license_scan.ORACLE,
     "op10_secret_scan": secret_scan.ORACLE,
     "rule_ablation": quality_rules.ABLATION_ORACLE,
