@@ -8,7 +8,9 @@ at most ``PER_LANG`` labelled documents a language, chosen by a hash of the id,
 mean of its windows' logits.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text when
-no labelled text was given; repeated rows get equal results; an empty table gives no row.
+no labelled text was given; texts are read whole, window by window; of languages with equal probability the first by
+name is taken; a document with a null id counts as one whose id is the empty text; repeated rows get equal results; an
+empty table gives no row; extra columns are ignored by the query and kept by ``keep_known``.
 """
 
 from __future__ import annotations
@@ -82,6 +84,32 @@ def cut(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(flat, np.uint8).reshape(-1, LENGTH), counts
 
 
+def gradients(p: dict[str, np.ndarray], w: np.ndarray, y: np.ndarray, weight: np.ndarray, mask: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """The weighted mean cross-entropy of windows ``w`` with languages ``y``, and its gradient by each parameter."""
+    n, f = len(w), p["bias"].shape[0]
+    cols = unfold(p["embed"], w)
+    conv = (cols @ p["kernel"]).reshape(n, LENGTH, f)
+    at = conv.argmax(axis=1)
+    pooled = np.take_along_axis(conv, at[:, None], 1)[:, 0] + p["bias"]
+    hidden = np.maximum(pooled, 0)
+    z = hidden @ p["dense"] + p["offset"]
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    d = e / e.sum(axis=1, keepdims=True)
+    loss = float(-(np.log(d[np.arange(n), y]) * weight).sum() / n)
+    d[np.arange(n), y] -= 1
+    d *= weight[:, None] / n
+    back = (d @ p["dense"].T) * (pooled > 0)
+    under = cols.reshape(n, LENGTH, -1)[np.arange(n)[:, None], at]
+    grad = {"dense": hidden.T @ d, "offset": d.sum(0), "bias": back.sum(0), "kernel": np.einsum("nfk,nf->kf", under, back) * mask}
+    spread = (back[:, :, None] * p["kernel"].T[None]).reshape(n, f, max(WIDTHS), EMBED)
+    where = at[:, :, None] + np.arange(max(WIDTHS))
+    padded = np.pad(w, ((0, 0), (0, max(WIDTHS) - 1)))
+    grad["embed"] = np.zeros_like(p["embed"])
+    np.add.at(grad["embed"], padded[np.arange(n)[:, None, None], where], spread)
+    grad["embed"][0] = 0
+    return loss, grad
+
+
 def train(texts: list[bytes], langs: list[str], seed: int = 0, epochs: int = EPOCHS, batch: int = 32, rate: float = 0.01) -> Net | None:
     names = sorted(set(langs))
     if not names:
@@ -109,26 +137,7 @@ def train(texts: list[bytes], langs: list[str], seed: int = 0, epochs: int = EPO
     step = 0
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(len(y)), max(1, len(y) // batch)):
-            w, n = x[part], len(part)
-            cols = unfold(p["embed"], w)
-            conv = (cols @ p["kernel"]).reshape(n, LENGTH, f)
-            at = conv.argmax(axis=1)
-            pooled = np.take_along_axis(conv, at[:, None], 1)[:, 0] + p["bias"]
-            hidden = np.maximum(pooled, 0)
-            z = hidden @ p["dense"] + p["offset"]
-            e = np.exp(z - z.max(axis=1, keepdims=True))
-            d = e / e.sum(axis=1, keepdims=True)
-            d[np.arange(n), y[part]] -= 1
-            d *= weight[part, None] / n
-            back = (d @ p["dense"].T) * (pooled > 0)
-            under = cols.reshape(n, LENGTH, -1)[np.arange(n)[:, None], at]
-            grad = {"dense": hidden.T @ d, "offset": d.sum(0), "bias": back.sum(0), "kernel": np.einsum("nfk,nf->kf", under, back) * mask}
-            spread = (back[:, :, None] * p["kernel"].T[None]).reshape(n, f, max(WIDTHS), EMBED)
-            where = at[:, :, None] + np.arange(max(WIDTHS))
-            padded = np.pad(w, ((0, 0), (0, max(WIDTHS) - 1)))
-            grad["embed"] = np.zeros_like(p["embed"])
-            np.add.at(grad["embed"], padded[np.arange(n)[:, None, None], where], spread)
-            grad["embed"][0] = 0
+            grad = gradients(p, x[part], y[part], weight[part], mask)[1]
             step += 1
             for k, g in grad.items():
                 m[k] = 0.9 * m[k] + 0.1 * g

@@ -9,7 +9,8 @@ sum of looked-up entries.
 Training uses at most ``TRAIN_ROWS`` labelled documents, chosen by a hash of the id; scores use the
 text alone.  Defined results: null and empty texts have features (zeros) and a score like any other;
 without any label every score is 0.5; a document labelled twice takes the lower label; labels that
-are null are ignored; repeated rows get equal scores; an empty table gives no row.
+are null are ignored; texts are measured whole; of splits that gain alike the first is taken; rows with a null id are
+scored and never learned from; repeated rows get equal scores; an empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
