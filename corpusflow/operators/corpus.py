@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words, word_ngrams
 from corpusflow.operators.relational import numbered
+from corpusflow.session import written
 
 # Terms
 
@@ -188,3 +189,68 @@ def pronunciation_counts(words_: DataFrame, prons: DataFrame) -> DataFrame:
     same = words_.select("utt", "word", F.round("start", 2).alias("s"), F.round(F.col("start") + F.col("dur"), 2).alias("e")).join(prons.select("utt", "pron", F.round("start", 2).alias("s"), F.round(F.col("start") + F.col("dur"), 2).alias("e")), ["utt", "s", "e"])
     share = 1.0 / F.count("*").over(W.partitionBy("utt", "word", "s", "e"))
     return same.withColumn("share", share).groupBy("word", "pron").agg(F.sum("share").alias("n"))
+
+
+def pruned_prons(prons: DataFrame, reference: DataFrame, ratio: float) -> DataFrame:
+    """(word, pron) beyond ``ratio`` times as many new pronunciations as the reference lexicon has for the word.
+
+    A word that it lacks may have as many as its words have on average, rounded up.  Of (word, pron, prob) the most probable stay,
+    of equals the one that sorts last; pronunciations of the reference neither count nor go.
+    """
+    known = reference.select("word", "pron").distinct()
+    per_word = known.groupBy("word").agg(F.count("*").alias("own"))
+    mean = per_word.agg(F.ceil(F.avg("own")).alias("mean"))  # one row
+    new = prons.join(known, ["word", "pron"], "left_anti").join(per_word, "word", "left").crossJoin(F.broadcast(mean))
+    rank = F.row_number().over(W.partitionBy("word").orderBy(F.desc("prob"), F.desc("pron")))
+    return new.withColumn("rank", rank).filter(F.col("rank") > F.ceil(ratio * F.coalesce("own", "mean"))).select("word", "pron")
+
+
+BACKOFF = "<backoff>"
+
+
+def biased_model(lines: DataFrame, key: str, text: str, order: int = 3, least: int = 1, discount: float = 0.3, top: DataFrame | None = None) -> DataFrame:
+    """(key, history, word, p): an interpolated model of each key's own lines, for all keys at once.
+
+    Each word counts under the longest history it has (with sentence marks).  Histories of two words or more that are met
+    fewer than ``least`` times, with all that back off to them, give their counts to the history without its first word.
+    From the longest histories down, each count loses ``discount`` to its history's back-off mass, and counts 1 in the history
+    without its first word.  ``top`` (word, prob) adds so much of the total to the empty history.  ``<backoff>`` is that mass.
+    """
+    w = F.concat(F.array(F.lit("<s>")), words(F.lower(F.col(text))), F.array(F.lit("</s>")))
+    place = lines.select(key, w.alias("__w")).select(key, "__w", F.explode(F.sequence(F.lit(2), F.size("__w"))).alias("__i"))
+    first = F.greatest(F.lit(1), F.col("__i") - (order - 1))
+    raw = place.select(key, F.slice("__w", first, F.col("__i") - first).alias("history"), F.get("__w", F.col("__i") - 1).alias("word"))
+    counts = written(raw.groupBy(key, "history", "word").agg(F.count("*").cast("double").alias("c")))
+    n = F.size("history")
+    tails = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.slice("history", i, n))
+    total = counts.filter(n >= 2).select(key, F.explode(tails).alias("history"), "c").groupBy(key, "history").agg(F.sum("c").alias("met"))
+    shorter = lambda df: df.select(key, F.slice("history", 2, F.greatest(n - 1, F.lit(0))).alias("history"), "word", "c")
+    summed = lambda df: df.groupBy(key, "history", "word").agg(F.sum("c").alias("c"))
+    for size in range(order - 1, 1, -1):
+        if least > 1:
+            few = counts.join(total.filter(F.col("met") < least), [key, "history"], "left_semi").filter(n == size)
+            counts = written(summed(counts.join(few.select(key, "history").distinct(), [key, "history"], "left_anti").unionByName(shorter(few))))
+    out = None
+    for size in range(order - 1, 0, -1):
+        level = counts.filter(n == size)
+        counts = written(summed(counts.filter(n < size).unionByName(shorter(level.withColumn("c", F.lit(1.0))))))
+        level = level.withColumn("c", F.col("c") - discount).unionByName(level.groupBy(key, "history").agg((F.count("*") * discount).alias("c")).withColumn("word", F.lit(BACKOFF)))
+        out = level if out is None else out.unionByName(level)
+    empty = counts.filter(n == 0)
+    if top is not None:
+        whole = empty.groupBy(key).agg(F.sum("c").alias("all"))
+        more = whole.crossJoin(F.broadcast(top.limit(100_000))).select(key, F.array().cast("array<string>").alias("history"), "word", (F.col("prob") * F.col("all")).alias("c"))
+        empty = summed(empty.unionByName(more))
+    every = written(out.unionByName(empty))
+    share = every.join(every.groupBy(key, "history").agg(F.sum("c").alias("total")), [key, "history"]).withColumn("p", F.col("c") / F.col("total")).select(key, "history", "word", "p")
+    share = written(share)
+    below = share.filter(n == 0)
+    made = below
+    for size in range(1, order):
+        level = share.filter((n == size) & (F.col("word") != BACKOFF))
+        mass = share.filter((n == size) & (F.col("word") == BACKOFF)).select(key, "history", F.col("p").alias("mass"))
+        lower = below.select(key, F.col("history").alias("__short"), "word", F.col("p").alias("lower"))
+        level = level.join(mass, [key, "history"]).withColumn("__short", F.slice("history", 2, n)).join(lower, [key, "__short", "word"])
+        below = level.select(key, "history", "word", (F.col("p") + F.col("mass") * F.col("lower")).alias("p"))
+        made = made.unionByName(below)
+    return made

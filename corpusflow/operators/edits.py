@@ -105,6 +105,43 @@ def forgiven(edits: DataFrame, unscored: Sequence[str]) -> DataFrame:
     return edits.withColumn("ref", F.when(soft, F.col("hyp")).otherwise(F.col("ref"))).withColumn("edit_type", F.when(soft, F.lit("fix")).otherwise(F.col("edit_type")))
 
 
+def repetitions_fixed(edits: DataFrame, unscored: Sequence[str] = (), key: str = "utt", order: str = "pos", silence: str = "<eps>") -> DataFrame:
+    """Edits (utt, pos, hyp, ref, edit_type) in which inserted repetitions of one or two correct words become correct.
+
+    Lines whose words on both sides are silence or not scored don't come between; a spoken word in place of one that is not
+    scored counts as inserted.  Words of an utterance are gone through in order (``kernels.repeated``).
+    """
+    ship(edits.sparkSession)
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("array<int>")
+    def found(hyps: pa.Array, kinds: pa.Array) -> pa.Array:
+        return pa.array([kernels.repeated(h or [], k or []) for h, k in zip(hyps.to_pylist(), kinds.to_pylist(), strict=True)], pa.list_(pa.int32()))
+
+    silent = lambda c: F.coalesce(F.col(c).isin(silence, *unscored), F.lit(True))
+    kind = F.when((F.col("edit_type") == "sub") & silent("ref"), F.lit("ins")).otherwise(F.col("edit_type"))
+    told = edits.filter(~(silent("hyp") & silent("ref")))
+    per = told.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce("hyp", F.lit(silence)).alias("h"), kind.alias("k")))).alias("rows"))
+    field = lambda n: F.transform("rows", lambda x: x[n])
+    per = per.select(key, field("o").alias("o"), field("h").alias("h"), field("k").alias("k"))
+    fixed = per.withColumn("at", found("h", "k")).select(F.col(key).alias("__key"), F.explode(F.transform("at", lambda i: F.get("o", i))).alias("__order"))
+    both = edits.join(fixed.withColumn("__fixed", F.lit(True)), (F.col(key) == F.col("__key")) & (F.col(order) == F.col("__order")), "left")
+    hit = F.coalesce("__fixed", F.lit(False))
+    return both.withColumn("ref", F.when(hit, F.col("hyp")).otherwise(F.col("ref"))).withColumn("edit_type", F.when(hit, F.lit("cor")).otherwise(F.col("edit_type"))).select(*edits.columns)
+
+
+def spoken_column(df: DataFrame, text: str) -> Column:
+    """English with numbers, ordinals and money in words (``kernels.spoken``)."""
+    ship(df.sparkSession)
+    from pyspark.sql.functions import arrow_udf
+
+    @arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else kernels.spoken(t) for t in texts.to_pylist()], pa.string())
+
+    return run(F.col(text))
+
+
 def clean_cores(edits: DataFrame, key: str = "utt", order: str = "pos", least: float = 0.5, pad: float = 0.05, max_error_share: float = 0.0) -> DataFrame:
     """Segments (utt, start, end, text) around maximal runs without errors, from edits (utt, pos, start, dur, ref, edit_type, tainted).
 

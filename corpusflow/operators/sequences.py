@@ -97,9 +97,11 @@ def without_overlap(words: DataFrame, segments: DataFrame) -> DataFrame:
     return kept.select("recording", (F.col("base") + F.col("start")).alias("start"), "dur", "word", "utt")
 
 
-def tainted(edits: DataFrame, key: str = "utt", order: str = "pos") -> DataFrame:
+def tainted(edits: DataFrame, key: str = "utt", order: str = "pos", remove_deletions: bool = False) -> DataFrame:
     """Edits with ``tainted``: runs of silence, fixes and unknown words next to an error, on either side.
 
+    With ``remove_deletions``, deletions that taint a neighbour go: that says all that they say.
+
     edit_type is one of cor, sub, ins, del, sil, fix; ``oov`` marks correct unknown words.
     """
     w = W.partitionBy(key).orderBy(order)
@@ -111,7 +113,11 @@ def tainted(edits: DataFrame, key: str = "utt", order: str = "pos") -> DataFrame
     own = W.partitionBy(key, "__run").orderBy(order)
     whole = own.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     edge = F.coalesce(F.first("__before").over(whole), F.lit(False)) | F.coalesce(F.last("__after").over(whole), F.lit(False))
-    return d.withColumn("tainted", F.col("__soft") & edge).select(*edits.columns, "tainted")
+    told = d.withColumn("tainted", F.col("__soft") & edge)
+    if remove_deletions:
+        beside = F.coalesce(F.lag("__soft").over(w), F.lit(False)) | F.coalesce(F.lead("__soft").over(w), F.lit(False))
+        told = told.withColumn("__gone", (F.col("edit_type") == "del") & beside).filter(~F.col("__gone"))
+    return told.select(*edits.columns, "tainted")
 
 
 def coverage_range(df: DataFrame, value: str, outside: float = 0.05, least: float = 0.3) -> DataFrame:
@@ -201,12 +207,46 @@ def split_speakers_by_seconds(df: DataFrame, speaker: str, key: str, duration: s
     return per.mapInArrow(cut, f"{speaker} {dict(df.dtypes)[speaker]}, {key} {kind}, part string")
 
 
-def speech_segments(frames: DataFrame, key: str, frame_s: float, speech: str, least: float = 0.0, pad: float = 0.0) -> DataFrame:
-    """Speech runs of frame labels (key, frame, label): padded, kept apart at the middle of the silence between them."""
+def speech_segments(frames: DataFrame, key: str, frame_s: float, speech: str, least: float = 0.0, pad: float = 0.0, most: float = 0.0) -> DataFrame:
+    """Speech runs of frame labels (key, frame, label) that are long enough, padded on both sides.
+
+    Padding ends at the next run; what it leaves of the silence the next run's padding may take.  With ``most``, segments that
+    then touch are put together while they are no longer than that.
+    """
     r = runs(frames, key, "frame", "label").filter(F.col("label") == speech)
     s = r.select(key, (F.col("first") * frame_s).alias("start"), ((F.col("last") + 1) * frame_s).alias("end")).filter(F.col("end") - F.col("start") >= least - 1e-9)
     w = W.partitionBy(key).orderBy("start")
     s = s.withColumn("p", F.lag("end").over(w)).withColumn("n", F.lead("start").over(w))
-    low = F.greatest(F.lit(0.0), F.coalesce((F.col("p") + F.col("start")) / 2, F.lit(0.0)), F.col("start") - pad)
-    high = F.least(F.coalesce((F.col("n") + F.col("end")) / 2, F.col("end") + pad), F.col("end") + pad)
-    return s.select(key, low.alias("start"), high.alias("end"))
+    low = F.greatest(F.lit(0.0), F.col("start") - pad, F.coalesce(F.least(F.col("p") + pad, F.col("start")), F.lit(0.0)))
+    high = F.least(F.col("end") + pad, F.coalesce("n", F.col("end") + pad))
+    out = s.select(key, low.alias("start"), high.alias("end"))
+    return merged_touching(out, key, most) if most > 0 else out
+
+
+def merged_touching(segments: DataFrame, key: str, most: float) -> DataFrame:
+    """Segments (key, start, end) of which each that begins where the one before ends joins it, up to ``most`` in all.
+
+    Where one ends depends on all joined before, so the numbers of each run of touching segments are gone through in order.
+    """
+    w = W.partitionBy(key).orderBy("start", "end")
+    turn = F.coalesce((F.col("start") != F.lag("end").over(w)).cast("int"), F.lit(1))
+    run = segments.withColumn("__run", F.sum(turn).over(w)).groupBy(key, "__run").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("s"))
+    kind = dict(segments.dtypes)[key]
+
+    def join(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for who, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                kept = []
+                for x in own:
+                    if kept and x["end"] - kept[-1][1] <= most:
+                        kept[-1][2] = x["end"]
+                    else:
+                        kept.append([who, x["start"], x["end"]])
+                rows += kept
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (batch.schema.field(0).type, pa.float64(), pa.float64()), strict=True)], names=[key, "start", "end"])
+
+    return run.select(key, "s").mapInArrow(join, f"{key} {kind}, start double, end double")

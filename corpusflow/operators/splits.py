@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.functions import kernels
 from corpusflow.operators.relational import digest_order, numbered
 
 
@@ -39,8 +40,16 @@ def random_split(df: DataFrame, key: str, test: int, dev: int, seed: str = "42")
     return placed.withColumn("split", split).drop("__digest", "__place")
 
 
-def entity_split(df: DataFrame, entity: str, test: int, dev: int) -> DataFrame:
-    """``split`` in which no entity is in two: entities, smallest first, fill test up to its rows, then dev; the rest train."""
+def entity_split(df: DataFrame, entity: str, test: int, dev: int, assigned: DataFrame | None = None) -> DataFrame:
+    """``split`` in which no entity is in two: entities, smallest first, fill test up to its rows, then dev; the rest train.
+
+    Entities of ``assigned`` (entity, split) go where it says, and their rows count as filled.
+    """
+    if assigned is not None:
+        own = df.join(assigned, entity)
+        held = {r["split"]: r["count"] for r in own.groupBy("split").count().collect()}  # a row a split
+        rest = entity_split(df.join(assigned, entity, "left_anti"), entity, max(0, test - held.get("test", 0)), max(0, dev - held.get("dev", 0)))
+        return rest.unionByName(own.select(*rest.columns))
     sizes = df.groupBy(entity).agg(F.count("*").alias("n"))
     upto = F.col("before") + F.col("n")
     split = F.when(upto <= test, "test").when(upto <= test + dev, "dev").otherwise("train")
@@ -60,3 +69,17 @@ def released_split(both: DataFrame, test: DataFrame, train: DataFrame, key: str,
     held = pool.filter("split <> 'train'")
     rest = both.dropDuplicates([key]).unionByName(train).join(held, key, "left_anti").dropDuplicates([key])
     return held.unionByName(rest.withColumn("split", F.lit("train")))
+
+
+def balanced_split(df: DataFrame, speaker: str, parts: int, most_speakers: int = 1_000_000) -> DataFrame:
+    """``part`` from 0: speakers in order, dealt out evenly and then moved over at the edges while that evens out two neighbours.
+
+    The moves go over a number a speaker, in order, on the driver: more than ``most_speakers`` of these are an error.
+    """
+    sizes = df.groupBy(speaker).agg(F.count("*").alias("n"))
+    if sizes.count() > most_speakers:
+        raise ValueError(f"more than {most_speakers} speakers")
+    rows = sizes.orderBy(speaker).collect()
+    dealt = kernels.balanced([r.n for r in rows], parts)
+    table = df.sparkSession.createDataFrame([(r[speaker], p) for r, p in zip(rows, dealt, strict=True)], f"{speaker} {dict(df.dtypes)[speaker]}, part int")
+    return df.join(table, speaker)

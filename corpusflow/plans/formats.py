@@ -7,7 +7,7 @@ from corpusflow.functions import text as X
 from corpusflow.operators import alignment as A
 from corpusflow.operators import relational as R
 from corpusflow.plans.catalog import SQL_LICENCE, licence_url, query
-from corpusflow.plans.shared import folder
+from corpusflow.session import folder
 from corpusflow.sources import archives
 from corpusflow.sources import text_formats as T
 

@@ -133,9 +133,9 @@ def words_without_overlap(t):
  g AS (SELECT *, frame - row_number() OVER (PARTITION BY user_id, speech ORDER BY frame) AS grp FROM f),
  r AS (SELECT user_id, min(frame) * 0.03 AS a, (max(frame) + 1) * 0.03 AS b FROM g WHERE speech GROUP BY user_id, grp HAVING (max(frame) + 1 - min(frame)) * 0.03 >= 0.06 - 1e-9),
  n AS (SELECT *, lag(b) OVER w AS p, lead(a) OVER w AS x FROM r WINDOW w AS (PARTITION BY user_id ORDER BY a))
- SELECT user_id, CAST(round(greatest(0, coalesce((p + a) / 2, 0), a - 0.05), 4) AS DOUBLE) AS start, CAST(round(least(coalesce((x + b) / 2, b + 0.05), b + 0.05), 4) AS DOUBLE) AS "end" FROM n""")
+ SELECT user_id, CAST(round(greatest(0, a - 0.05, coalesce(least(p + 0.05, a), 0)), 4) AS DOUBLE) AS start, CAST(round(least(b + 0.05, coalesce(x, b + 0.05)), 4) AS DOUBLE) AS "end" FROM n""")
 def speech_segments(t):
-    """Runs of speech frames: long enough, padded, kept apart at the middle of the silence."""
+    """Runs of speech frames: long enough, and padded as far as the next run."""
     w = W.partitionBy("user_id").orderBy("event_id")
     frames = t.events.select("user_id", (F.row_number().over(w) - 1).alias("frame"), F.when(F.col("event_type").isin("click", "view"), "speech").otherwise("silence").alias("label"))
     return S.speech_segments(frames, "user_id", 0.03, "speech", 0.06, 0.05).select("user_id", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"))
@@ -277,3 +277,76 @@ def sample_sizes(t):
     """Rows that estimate a share within one per cent, for each source."""
     n = t.documents.groupBy("source").agg(F.count("*").alias("n"))
     return n.select("source", R.sample_rows(F.col("n")).alias("rows"))
+
+
+@query("""WITH p AS (SELECT p_brand AS word, p_type AS pron, count(*) AS n FROM part GROUP BY ALL), r AS (SELECT DISTINCT p_brand AS word, p_type AS pron FROM part WHERE p_size = 1),
+ w AS (SELECT word, count(*) AS own FROM r GROUP BY word), m AS (SELECT ceil(avg(own)) AS mean FROM w),
+ x AS (SELECT p.*, ceil(2 * coalesce(own, mean)) AS most, row_number() OVER (PARTITION BY p.word ORDER BY n DESC, pron DESC) AS rn FROM p LEFT JOIN w USING (word), m WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.word = p.word AND r.pron = p.pron))
+ SELECT word, pron FROM x WHERE rn > most""")
+def pruned_pronunciations(t):
+    """Pronunciations beyond twice as many new ones as the reference lexicon has for the word."""
+    prons = t.part.groupBy(F.col("p_brand").alias("word"), F.col("p_type").alias("pron")).agg(F.count("*").cast("double").alias("prob"))
+    return C.pruned_prons(prons, t.part.filter("p_size = 1").select(F.col("p_brand").alias("word"), F.col("p_type").alias("pron")), 2.0)
+
+
+_SQL_BIASED = """l AS (SELECT user_id AS k, list_concat(['<s>'], list(event_type ORDER BY event_id), ['</s>']) AS w FROM events GROUP BY user_id, event_id // 2000),
+ g AS (SELECT k, w[greatest(1, i - 2):i - 1] AS h, w[i] AS word FROM (SELECT k, w, unnest(range(2, len(w) + 1)) AS i FROM l)),
+ c AS (SELECT k, h, word, count(*)::DOUBLE AS c FROM g GROUP BY ALL), met AS (SELECT k, h, sum(c) AS met FROM c WHERE len(h) = 2 GROUP BY ALL),
+ few AS (SELECT c.* FROM c JOIN met USING (k, h) WHERE met < 3),
+ c3 AS (SELECT c.* FROM c WHERE len(h) = 2 AND NOT EXISTS (SELECT 1 FROM few f WHERE f.k = c.k AND f.h = c.h)),
+ c2 AS (SELECT k, h, word, sum(c) AS c FROM (SELECT * FROM c WHERE len(h) = 1 UNION ALL SELECT k, h[2:], word, c FROM few UNION ALL SELECT k, h[2:], word, 1.0 FROM c3) GROUP BY ALL),
+ c1 AS (SELECT k, word, sum(c) AS c FROM (SELECT k, word, c FROM c WHERE len(h) = 0 UNION ALL SELECT k, word, 1.0 FROM c2) GROUP BY ALL),
+ p1 AS (SELECT k, word, c / sum(c) OVER (PARTITION BY k) AS p FROM c1),
+ p2 AS (SELECT c2.k, h, c2.word, (c - 0.3) / sum(c) OVER v + 0.3 * count(*) OVER v / sum(c) OVER v * p1.p AS p FROM c2 JOIN p1 ON p1.k = c2.k AND p1.word = c2.word WINDOW v AS (PARTITION BY c2.k, h)),
+ p3 AS (SELECT c3.k, c3.h, c3.word, (c - 0.3) / sum(c) OVER v + 0.3 * count(*) OVER v / sum(c) OVER v * p2.p AS p FROM c3 JOIN p2 ON p2.k = c3.k AND p2.h = c3.h[2:] AND p2.word = c3.word WINDOW v AS (PARTITION BY c3.k, c3.h))"""
+
+
+@query(f"""WITH {_SQL_BIASED} SELECT k AS user_id, '' AS history, word, CAST(floor(p * 1000000 + 0.4137) AS BIGINT) AS millionths FROM p1 UNION ALL SELECT k, array_to_string(h, ' '), word, CAST(floor(p * 1000000 + 0.4137) AS BIGINT) FROM p2 UNION ALL SELECT k, array_to_string(h, ' '), word, CAST(floor(p * 1000000 + 0.4137) AS BIGINT) FROM p3""")
+def biased_models(t):
+    """A three-gram model of each user's own lines of events, rare histories backed off."""
+    lines = R.collected(t.events.withColumn("part", F.floor(F.col("event_id") / 2000)).withColumn("line", F.struct("user_id", "part")), "line", "event_type", ["event_id"], name="text").select("line.user_id", "text")
+    m = C.biased_model(lines, "user_id", "text", order=3, least=3)
+    return m.select("user_id", F.array_join("history", " ").alias("history"), "word", F.floor(F.col("p") * 1000000 + 0.4137).alias("millionths"))
+
+
+@query("""WITH a AS (SELECT c_custkey AS o_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'test' ELSE 'dev' END AS split FROM customer WHERE c_custkey % 500 < 2), o AS (SELECT o_orderkey, o_custkey FROM orders),
+ h AS (SELECT count(*) FILTER (split = 'test') AS t, count(*) FILTER (split = 'dev') AS d FROM o JOIN a USING (o_custkey)),
+ s AS (SELECT o_custkey, count(*) AS n FROM o WHERE o_custkey NOT IN (SELECT o_custkey FROM a) GROUP BY 1), c AS (SELECT o_custkey, sum(n) OVER (ORDER BY n, o_custkey ROWS UNBOUNDED PRECEDING) AS cum FROM s)
+ SELECT o_orderkey, split FROM o JOIN a USING (o_custkey) UNION ALL SELECT o_orderkey, CASE WHEN cum <= greatest(0, 100 - t) THEN 'test' WHEN cum <= greatest(0, 100 - t) + greatest(0, 200 - d) THEN 'dev' ELSE 'train' END FROM o JOIN c USING (o_custkey), h""")
+def assigned_split(t):
+    """Orders split by customer, some customers given beforehand."""
+    from corpusflow.operators import splits as P
+
+    given = t.customer.filter("c_custkey % 500 < 2").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_custkey") % 2 == 0, "test").otherwise("dev").alias("split"))
+    return P.entity_split(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", 100, 200, given).select("o_orderkey", "split")
+
+
+@query()
+def balanced_speakers(t):
+    """Orders in eight parts of like size, no customer in two (edges moved over step by step: no SQL)."""
+    from corpusflow.operators import splits as P
+
+    return P.balanced_split(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", 8).groupBy("part").agg(F.count("*").alias("n"), F.min("o_custkey").alias("first"), F.max("o_custkey").alias("last"))
+
+
+_ONES = "['zero', 'one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten', 'eleven', 'twelve', 'thirteen', 'fourteen', 'fifteen', 'sixteen', 'seventeen', 'eighteen', 'nineteen']"
+_TENS = "['twenty', 'thirty', 'forty', 'fifty', 'sixty', 'seventy', 'eighty', 'ninety']"
+
+
+@query(f"""WITH n AS (SELECT o_orderkey, o_orderkey % 1000 AS n FROM orders), w AS (SELECT o_orderkey, n, CASE WHEN n % 100 >= 20 THEN {_TENS}[n % 100 // 10 - 1] || CASE WHEN n % 10 > 0 THEN '-' || {_ONES}[n % 10 + 1] ELSE '' END
+ WHEN n % 100 > 0 OR n = 0 THEN {_ONES}[n % 100 + 1] ELSE '' END AS low, CASE WHEN n >= 100 THEN {_ONES}[n // 100 + 1] || ' hundred' ELSE '' END AS high FROM n),
+ x AS (SELECT o_orderkey, n, trim(high || ' ' || low) AS words FROM w)
+ SELECT o_orderkey, 'Pay ' || words || CASE WHEN n = 1 THEN ' dollar' ELSE ' dollars' END || ' and five cents for ' || words || ' point five tons' AS text FROM x""")
+def spoken_numbers(t):
+    """Sentences with numbers and money as they are read."""
+    n = (F.col("o_orderkey") % 1000).cast("string")
+    d = t.orders.select("o_orderkey", F.concat(F.lit("Pay $"), n, F.lit(".05  for\n"), n, F.lit(".5 tons")).alias("text"))
+    return d.select("o_orderkey", E.spoken_column(d, "text").alias("text"))
+
+
+@query()
+def repeated_words(t):
+    """Inserted words that repeat their neighbours become correct (gone through in order: no SQL)."""
+    kind = F.when(F.col("event_id") % 3 == 0, "ins").otherwise("cor")
+    e = t.events.select(F.col("user_id").alias("utt"), F.struct("ts", "event_id").alias("pos"), F.col("event_type").alias("hyp"), F.when(kind == "cor", F.col("event_type")).alias("ref"), kind.alias("edit_type"))
+    return E.repetitions_fixed(e).groupBy("edit_type").agg(F.count("*").alias("n"))

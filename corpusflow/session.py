@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
 DEFAULTS = {
@@ -36,3 +37,21 @@ def ship(spark: SparkSession) -> None:
             z.write(f, f.relative_to(PACKAGE.parent))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def folder(spark: SparkSession, kind: str = "queries") -> str:
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, under a folder of this machine (local mode only)."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix=f"{PACKAGE.name}-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table in the shared folder: what is used several times is computed once, and outlives lost executors."""
+    path = folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

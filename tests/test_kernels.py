@@ -138,3 +138,50 @@ def test_cleaning_keeps_places():
 
 def test_sample_size():
     assert K.sample_size(0) == 0 and K.sample_size(10**9) == 16640
+
+
+def test_spoken_english():
+    assert K.spoken("It cost $1,250.50 on the 21st, not 3.14 or -7.") == "It cost one thousand two hundred fifty dollars and fifty cents on the twenty-first, not three point one four or minus seven."
+    assert K.spoken("£1.01 and €3 for the 12th\n and  100th") == "one pound and one penny and three euros for the twelfth and one hundredth"
+    assert K.spoken("v1.2.3 a5 5a") == "v1.2.3 a5 5a" and K.number_words(1_000_001) == "one million one" and K.number_words(0) == "zero"
+    assert K.ordinal_words(20) == "twentieth" and K.ordinal_words(103) == "one hundred third"
+
+
+def plain_repetitions(hyps, kinds):
+    kinds, out = list(kinds), []
+    for size in (2, 1):
+        for i in range(len(hyps)):
+            k, h = kinds[i : i + 2 * size], hyps[i : i + 2 * size]
+            if len(h) == 2 * size and h[:size] == h[size:] and (size == 1 or h[0] != h[1]) and k in (["cor"] * size + ["ins"] * size, ["ins"] * size + ["cor"] * size):
+                out += [i + n for n in range(2 * size) if k[n] == "ins"]
+                kinds[i : i + 2 * size] = [None] * (2 * size)
+    return sorted(out)
+
+
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from(["cor", "ins", "sub"])), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_repetitions(rows):
+    hyps, kinds = [h for h, _ in rows], [k for _, k in rows]
+    assert K.repeated(hyps, kinds) == plain_repetitions(hyps, kinds)
+
+
+@given(st.lists(st.integers(1, 50), min_size=1, max_size=20), st.integers(1, 5))
+@settings(max_examples=200, deadline=None)
+def test_balanced_parts(counts, parts):
+    if parts > len(counts):
+        return
+    dealt = K.balanced(counts, parts)
+    assert dealt == sorted(dealt) and len(dealt) == len(counts)
+    size = [sum(c for c, p in zip(counts, dealt, strict=True) if p == k) for k in range(parts)]
+    for k in range(parts - 1):
+        own, after = [c for c, p in zip(counts, dealt, strict=True) if p == k], [c for c, p in zip(counts, dealt, strict=True) if p == k + 1]
+        apart = abs(size[k + 1] - size[k])
+        if own:
+            assert abs(size[k + 1] - size[k] + 2 * own[-1]) >= apart
+        if after:
+            assert abs(size[k + 1] - size[k] - 2 * after[0]) >= apart
+
+
+def test_lowest_by_halving():
+    asked = []
+    assert K.lowest(0, 100, lambda x: asked.append(x) or abs(x - 37)) == (37, 0) and len(asked) == len(set(asked)) < 10
