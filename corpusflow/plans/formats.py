@@ -387,3 +387,105 @@ def wave_headers(t):
 
     d = t.events.filter("event_id % 20 = 0 AND value >= 0.01").select("event_id", recorded(F.floor(F.col("value") * 100)).alias("content"))
     return d.select("event_id", audio.info_column(d).alias("i")).select("event_id", F.round("i.seconds", 7).alias("seconds"), "i.rate", "i.channels")
+
+
+@query("SELECT item_id, md5(text) AS digest, item_id * -3 AS negative, CAST(item_id / 4.0 AS DOUBLE) AS quarter, item_id % 3 AS n FROM benchmark")
+def example_records(t):
+    """Record files of examples with texts, numbers and lists, written and read back."""
+    from corpusflow.sources import records
+
+    path = folder(t.spark)
+    d = t.benchmark.select("item_id", "text", (F.col("item_id") * -3).alias("negative"), (F.col("item_id") / 4.0).alias("quarter"), F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (F.col("item_id") % 3).cast("int")).alias("tags"))
+    records.write_examples(d.repartition(3), path)
+    back = records.read_examples(t.spark, path, {"item_id": "long", "text": "string", "negative": "long", "quarter": "double", "tags": "[string]"})
+    return back.select("item_id", F.md5(F.col("text").cast("binary")).alias("digest"), "negative", "quarter", F.size("tags").cast("long").alias("n"))
+
+
+@query("SELECT count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS chars, count(*) FILTER (lang = 'en') AS english FROM documents")
+def written_counts(t):
+    """Counts that are there once a table has been written, without another pass."""
+    from pyspark.sql import types as K
+
+    seen, metrics = R.observed(t.documents.select("doc_id", "lang", "n_chars"), "written", F.count("*").alias("rows"), F.sum("n_chars").alias("chars"), F.count_if(F.col("lang") == "en").alias("english"))
+    seen.write.parquet(folder(t.spark))
+    got = metrics.get
+    return t.spark.createDataFrame([tuple(int(got[k]) for k in ("rows", "chars", "english"))], K.StructType([K.StructField(k, K.LongType()) for k in ("rows", "chars", "english")]))
+
+
+@query("SELECT count(*) AS rows, greatest(1, least(9900, count(*) // 335)) AS shards, CAST(0 AS BIGINT) AS overlapping FROM part")
+def ordered_shards(t):
+    """Shards of like size by ranges of the key: none overlaps the next."""
+    path = folder(t.spark)
+    R.range_shards(t.part.select("p_partkey"), "p_partkey").write.parquet(path)
+    files = t.spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("low"), F.max("p_partkey").alias("high"))
+    from pyspark.sql import Window as W
+
+    over = files.withColumn("before", F.max("high").over(W.orderBy("low").rowsBetween(W.unboundedPreceding, -1)))  # a row a file
+    return over.agg(F.sum("n").alias("rows"), F.count("*").alias("shards"), F.count_if(F.col("before") >= F.col("low")).alias("overlapping"))
+
+
+@query("SELECT event_id, k AS chunk, CAST(least(1000, greatest(0, len - k * 1000)) * 16 AS BIGINT) AS samples FROM (SELECT event_id, 500 + event_id % 3000 AS len, unnest(range(0, 3)) AS k FROM events WHERE event_id % 50 = 0)")
+def audio_chunks(t):
+    """Recordings cut into second-long WAVs, as many samples in each as the recording has there."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    from corpusflow.functions import audio
+
+    archives.ship(t.spark)
+
+    @arrow_udf("array<binary>")
+    def cut(ms: pa.Array) -> pa.Array:
+        return pa.array([audio.slices(audio.make_wav(np.zeros(16 * k)), [(1000 * i, 1000 * i + 1000) for i in range(3)]) for k in ms.to_pylist()], pa.list_(pa.binary()))
+
+    d = t.events.filter("event_id % 50 = 0").select("event_id", F.posexplode(cut(500 + F.col("event_id") % 3000)).alias("chunk", "content"))
+    return d.select("event_id", F.col("chunk").cast("long").alias("chunk"), F.round(audio.info_column(d)["seconds"] * 16000).cast("long").alias("samples"))
+
+
+@query()
+def voiced_sections(t):
+    """Voiced spans of recordings by a ring buffer of loud frames (gone through in order: no SQL)."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql.functions import arrow_udf
+
+    from corpusflow.functions import audio
+
+    archives.ship(t.spark)
+
+    @arrow_udf("binary")
+    def recorded(k: pa.Array) -> pa.Array:
+        wave = lambda n: np.concatenate([np.zeros(4800 * (1 + n % 3)), 0.5 * np.sin(np.arange(9600 + 160 * (n % 50)) / 5), np.zeros(8000)])
+        return pa.array([audio.make_wav(wave(n)) for n in k.to_pylist()], pa.binary())
+
+    d = t.events.filter("event_id % 100 = 0").select("event_id", recorded("event_id").alias("content"))
+    return d.select("event_id", audio.voice_column(d).alias("v")).select("event_id", "v.start_ms", "v.end_ms")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def kept_manifest(t):
+    """A manifest cut down to names that are kept."""
+    kept = t.orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return R.by_ids(t.lineitem.select("l_orderkey", "l_linenumber"), kept, "l_orderkey")
+
+
+@query()
+def corpus_manifest(t):
+    """Catalogue, timed words and subtitles to a trainer's manifest, in written stages (alignment: no SQL)."""
+    from corpusflow.plans import stages
+
+    path = folder(t.spark)
+    c = t.conversations.filter("conv_id % 10 = 0").select(F.concat(F.lit("item"), F.col("conv_id").cast("string")).alias("identifier"), "turn", F.lower(flat(F.regexp_replace("text", "[^A-Za-z ]", " "))).alias("text"))
+    file = lambda name, kind: F.struct(F.lit(name).alias("name"), F.lit(kind).alias("format"), F.lit("100").alias("size"))
+    items = c.select("identifier").distinct()
+    items.select("identifier", F.array(file("talk.mp3", "MP3"), file("talk.srt", "SubRip")).alias("files"), F.struct(F.lit("https://licences.example/by/4.0").alias("licenseurl")).alias("metadata")).write.json(f"{path}/catalogue")
+    said = R.collected(c, "identifier", "text", ["turn"], name="words").select("identifier", X.words(F.col("words")).alias("w"))
+    line = lambda w, i: F.concat(F.lit("utt 1 "), (i * 0.4).cast("decimal(12,2)").cast("string"), F.lit(" 0.30 "), w, F.lit(" 1.0"))
+    ctm = said.select(F.concat("identifier", F.lit("-talk.mp3.ctm")).alias("name"), F.array_join(F.transform("w", line), "\n").cast("binary").alias("value"))
+    srt = said.select(F.concat(F.lit("/"), F.col("identifier"), F.lit("/talk.srt")).alias("name"), F.concat(F.lit("1\n00:00:00,000 --> 00:10:00,000\n"), F.array_join("w", " "), F.lit("\n\n")).cast("binary").alias("value"))
+    archives.write_files(ctm, f"{path}/words")
+    archives.write_files(srt, f"{path}/texts")
+    corpus = stages.Corpus(f"{path}/catalogue", f"{path}/words", f"{path}/texts")
+    made = stages.run(t.spark, stages.corpus_stages(corpus), f"{path}/out")
+    return made.select("audio_filepath", "text", F.round("duration", 3).alias("duration"))

@@ -166,6 +166,49 @@ class SampleSource(DataSource):
         return _SampleWriter(self.options["path"], overwrite, self.options)
 
 
+class _FileWriter(_ArchiveWriter):
+    """A file for each row, under its own name; the same row written again replaces it."""
+
+    def write(self, iterator):
+        import os
+
+        for row in iterator:
+            path = os.path.join(self.path, row.name.lstrip("/"))
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            made = f"{path}._{os.getpid()}"
+            with open(made, "wb") as out:
+                out.write(row.value or b"")
+            os.replace(made, path)
+        return _Written("")
+
+    def commit(self, messages):
+        pass
+
+    def abort(self, messages):
+        pass
+
+
+class FileSink(DataSource):
+    """``format("files")`` of (name, value), to write: a file a row.  For paths on a shared mount."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "files"
+
+    def schema(self) -> str:
+        return "name string, value binary"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _FileWriter(self.options["path"], overwrite, self.options)
+
+
+def write_files(df: DataFrame, path: str) -> None:
+    """Each row's ``value`` in a file of its ``name`` below ``path``."""
+    ship(df.sparkSession)
+    df.sparkSession.dataSource.register(FileSink)
+    df.select("name", "value").write.format("files").mode("append").save(path)
+
+
 def _tar_rows(data: bytes) -> Iterator[tuple[str, bytes]]:
     with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as tar:
         for member in tar:
