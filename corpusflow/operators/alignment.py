@@ -40,7 +40,9 @@ def match_documents(audio: DataFrame, text: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds are (least, most) by metric: tlen, mlen, SWS, CER, WER or a name in ``kernels.SIMILARITIES``; None is no bound."""
+    """With ``snap``, ends of matches move to where they fit best (``kernels.snapped``).
+
+    Bounds are (least, most) by metric: tlen, mlen, SWS, CER, WER or a name in ``kernels.SIMILARITIES``; None is no bound."""
 
     alphabet: str = " 'abcdefghijklmnopqrstuvwxyz"
     keep_dashes: bool = False
@@ -51,6 +53,7 @@ class Settings:
     gap: int = -100
     bounds: Mapping[str, tuple[float | None, float | None]] = field(default_factory=lambda: {"tlen": (1, None), "mlen": (1, None)})
     seconds: float = 200.0
+    snap: bool = False
 
 
 def clean_with_places(text: str, settings: Settings) -> tuple[str, list[int]]:
@@ -82,10 +85,12 @@ def align_document(fragments: list[dict], transcript: str, settings: Settings) -
         return []
     index = kernels.FuzzyText(clean, settings.candidates, settings.ratio, match=settings.match, mismatch=settings.mismatch, gap=settings.gap)
     said = [f["transcript"].strip() for f in fragments]
+    found = [m for m in kernels.anchored(said, index) if m[1][1] > m[1][0]]
+    spans = [(m[0], m[1]) for _, m in found]
+    if settings.snap:
+        spans = kernels.snapped([said[i] for i, _ in found], spans, clean)
     out = []
-    for i, (start, end, score, pairs) in kernels.anchored(said, index):
-        if end <= start:
-            continue
+    for (i, (_, _, score, pairs)), (start, end) in zip(found, spans, strict=True):
         text = clean[start:end]
         if not text.split():
             continue

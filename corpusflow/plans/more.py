@@ -350,3 +350,36 @@ def repeated_words(t):
     kind = F.when(F.col("event_id") % 3 == 0, "ins").otherwise("cor")
     e = t.events.select(F.col("user_id").alias("utt"), F.struct("ts", "event_id").alias("pos"), F.col("event_type").alias("hyp"), F.when(kind == "cor", F.col("event_type")).alias("ref"), kind.alias("edit_type"))
     return E.repetitions_fixed(e).groupBy("edit_type").agg(F.count("*").alias("n"))
+
+
+def _measured():
+    return lambda data: f"{len(data)} bytes"
+
+
+def _initials():
+    return lambda texts: [t[:1].lower() or None for t in texts]
+
+
+@query("SELECT page_id, strlen(html) || ' bytes' AS transcript FROM pages")
+def recognised_recordings(t):
+    """A recogniser as a plug-in: a function of a recording's bytes, made once a worker."""
+    from corpusflow.operators import models
+
+    return models.transcribed(t.pages.select("page_id", F.col("html").cast("binary").alias("content")), "content", _measured, ["page_id"])
+
+
+@query("SELECT conv_id, turn, lower(substr(text, 1, 1)) AS label FROM conversations")
+def classified_texts(t):
+    """A classifier as a plug-in: a function of a list of texts."""
+    from corpusflow.operators import models
+
+    return t.conversations.select("conv_id", "turn", models.labelled(t.conversations, "text", _initials).alias("label"))
+
+
+@query(r"SELECT tag, count(*) AS n FROM (SELECT 'PERCENT' AS tag, unnest(regexp_extract_all(html, '[0-9]+(\.[0-9]+)?\s*%')) FROM pages UNION ALL SELECT 'YEAR', unnest(regexp_extract_all(html, '20[0-9][0-9]')) FROM pages) GROUP BY tag")
+def entity_counts(t):
+    """Entities that patterns find, by kind."""
+    from corpusflow.operators import models
+
+    found = models.entities(t.pages, "page_id", "html", {"PERCENT": r"[0-9]+(?:\.[0-9]+)?\s*%", "YEAR": r"20[0-9][0-9]"})
+    return found.groupBy("tag").agg(F.count("*").alias("n"))

@@ -185,3 +185,23 @@ def test_balanced_parts(counts, parts):
 def test_lowest_by_halving():
     asked = []
     assert K.lowest(0, 100, lambda x: asked.append(x) or abs(x - 37)) == (37, 0) and len(asked) == len(set(asked)) < 10
+
+
+def test_snapped_ends():
+    text = "it was the best of times it was the worst of times"
+    said = ["it was the best of times", "it was the worst of times"]
+    whole = [(0, 24), (25, 50)]
+    assert K.snapped(said, [(0, 22), (27, 50)], text) == whole and K.snapped(said, whole, text) == whole
+    assert K.snapped([], [], text) == []
+    # places that a plain search over both ends finds, for one fragment alone
+    start, end = 11, 15
+    word = lambda p: 1.5 if text[p : p + 1] == " " else 1.0
+    best = max(range(end, end + 1), key=lambda p: word(p) * K.SIMILARITIES["wng"]("best", text[start:p]))
+    assert K.snapped(["best"], [(start, end)], text)[0][1] == best
+
+
+def test_snapped_alignment():
+    text = "It was the best of times, it was the worst of times"
+    said = ["it was the best of tim", "t was the worst of times"]
+    plain, snap = (align_document([{"start": i, "end": i + 1, "transcript": s} for i, s in enumerate(said)], text, Settings(snap=k)) for k in (False, True))
+    assert [x["hypothesis"] for x in plain] == said and [x["label"] for x in snap] == ["it was the best of times", "it was the worst of times"]
