@@ -13,13 +13,15 @@ from corpusflow.session import written
 # Terms
 
 
-def term_counts(docs: DataFrame, key: str, text: str, order: int = 1) -> DataFrame:
-    """(key, term, n): word n-grams up to ``order``."""
+def term_counts(docs: DataFrame, key: str, text: str, order: int = 1, only: DataFrame | None = None) -> DataFrame:
+    """(key, term, n): word n-grams up to ``order``; of the terms in ``only`` (term), whose others are left out before they are counted."""
     w = words(F.lower(F.col(text)))
     if order == 1:
         grams = docs.select(key, F.explode(w).alias("term"))
     else:
         grams = docs.select(key, w.alias("__w")).select(key, F.explode(F.flatten(F.array(*[word_ngrams(F.col("__w"), n) for n in range(1, order + 1)]))).alias("term"))
+    if only is not None:
+        grams = grams.join(only.select("term").distinct(), "term", "left_semi")
     return grams.groupBy(key, "term").agg(F.count("*").alias("n"))
 
 
@@ -33,14 +35,18 @@ def idf(scheme: str, docs: Column, with_term: Column) -> Column:
     return {"unary": F.lit(1.0), "log": F.log(docs / with_term), "log-smoothed": F.log(1 + docs / with_term), "probabilistic": F.log((docs - with_term) / with_term)}[scheme]
 
 
-def tf_idf(docs: DataFrame, key: str, text: str, order: int = 1, tf_scheme: str = "raw", idf_scheme: str = "log") -> DataFrame:
-    """(key, term, n, weight)."""
-    counts = term_counts(docs, key, text, order)
+def tf_idf(docs: DataFrame, key: str, text: str, order: int = 1, tf_scheme: str = "raw", idf_scheme: str = "log", only: DataFrame | None = None) -> DataFrame:
+    """(key, term, n, weight), for the terms in ``only`` if given.  Texts are read once: the counts are written, and joined with sums of themselves."""
+    counts = written(term_counts(docs, key, text, order, only))
     total = docs.agg(F.count("*").alias("docs"))
     of_term = counts.groupBy("term").agg(F.count("*").alias("with_term"))
-    per = counts.groupBy(key).agg(F.sum("n").alias("total"), F.max("n").alias("most"))
-    joined = counts.join(of_term, "term").join(per, key).crossJoin(F.broadcast(total))  # one row
-    weight = tf(tf_scheme, F.col("n"), F.col("total"), F.col("most")) * idf(idf_scheme, F.col("docs"), F.col("with_term"))
+    joined = counts.join(of_term, "term").crossJoin(F.broadcast(total))  # one row
+    own, most = F.lit(None).cast("long"), F.lit(None).cast("long")
+    if tf_scheme in ("share", "normalized"):
+        every = counts if only is None else written(term_counts(docs, key, text, order))
+        joined = joined.join(every.groupBy(key).agg(F.sum("n").alias("total"), F.max("n").alias("most")), key)
+        own, most = F.col("total"), F.col("most")
+    weight = tf(tf_scheme, F.col("n"), own, most) * idf(idf_scheme, F.col("docs"), F.col("with_term"))
     return joined.select(key, "term", "n", weight.alias("weight"))
 
 
@@ -53,7 +59,7 @@ def most_similar(queries: DataFrame, sources: DataFrame, query: str, source: str
 
 def vocabulary(docs: DataFrame, text: str, most: int | None = None) -> DataFrame:
     """(word, n, share up to it), the most frequent first, ties by word."""
-    counts = docs.select(F.explode(words(F.lower(F.col(text)))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = written(docs.select(F.explode(words(F.lower(F.col(text)))).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n").alias("total"))
     top = (counts.orderBy(F.desc("n"), "word").limit(most) if most else counts).withColumn("__first", -F.col("n"))
     upto = numbered(top, ["__first", "word"], "__place", "__before", "n").crossJoin(F.broadcast(total))  # one row
@@ -63,7 +69,7 @@ def vocabulary(docs: DataFrame, text: str, most: int | None = None) -> DataFrame
 def unigram_costs(docs: DataFrame, text: str) -> DataFrame:
     """(word, cost): minus the log of its share of words and text ends; ``</s>`` for the latter."""
     w = docs.select(F.explode(F.concat(words(F.col(text)), F.array(F.lit("</s>")))).alias("word"))
-    counts = w.groupBy("word").agg(F.count("*").alias("n"))
+    counts = written(w.groupBy("word").agg(F.count("*").alias("n")))
     return counts.crossJoin(F.broadcast(counts.agg(F.sum("n").alias("total")))).select("word", "n", (-F.log(F.col("n") / F.col("total"))).alias("cost"))
 
 
@@ -79,7 +85,7 @@ def categories(counts: DataFrame, order: str, more_than: int) -> DataFrame:
 def kn_counts(docs: DataFrame, text: str, order: int = 2) -> DataFrame:
     """(order, history, word, c): raw counts at the highest order, distinct left contexts below it, with sentence marks."""
     w = F.concat(F.array(F.lit("<s>")), words(F.lower(F.col(text))), F.array(F.lit("</s>")))
-    flat = docs.select(w.alias("__w")).select(F.explode(word_ngrams(F.col("__w"), order)).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
+    flat = written(docs.select(w.alias("__w")).select(F.explode(word_ngrams(F.col("__w"), order)).alias("gram")).groupBy("gram").agg(F.count("*").alias("c")))
     parts = F.split("gram", " ")
     level = flat.select(F.lit(order).alias("order"), F.slice(parts, 1, order - 1).alias("history"), F.element_at(parts, -1).alias("word"), "c")
     out = level
@@ -107,12 +113,13 @@ def interpolated(probs: DataFrame, order: int = 2) -> DataFrame:
 
 
 def bm25(queries: DataFrame, docs: DataFrame, query: str, query_text: str, key: str, text: str, best: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(query, key, score, rank): the best documents for each query by BM25."""
-    counts = term_counts(docs, key, text)
-    length = counts.groupBy(key).agg(F.sum("n").alias("length"))
+    """(query, key, score, rank): the best documents for each query by BM25.  Only the queries' terms are counted and shuffled."""
+    terms = queries.select(query, F.explode(F.array_distinct(words(F.lower(F.col(query_text))))).alias("term"))
+    counts = written(term_counts(docs, key, text, only=terms))
+    sizes = docs.select(key, F.size(words(F.lower(F.col(text)))).alias("n")).filter("n > 0")
+    length = written(sizes.groupBy(key).agg(F.sum("n").alias("length")))
     total = length.agg(F.count("*").alias("docs"), F.avg("length").alias("mean"))
     of_term = counts.groupBy("term").agg(F.count("*").alias("with_term"))
-    terms = queries.select(query, F.explode(F.array_distinct(words(F.lower(F.col(query_text))))).alias("term"))
     hit = terms.join(of_term, "term").join(counts, "term").join(length, key).crossJoin(F.broadcast(total))
     idf_ = F.log(1 + (F.col("docs") - F.col("with_term") + 0.5) / (F.col("with_term") + 0.5))
     part = idf_ * F.col("n") * (k1 + 1) / (F.col("n") + k1 * (1 - b + b * F.col("length") / F.col("mean")))

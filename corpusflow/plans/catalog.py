@@ -260,7 +260,7 @@ def tf_idf(t):
 def similar_documents(t):
     """For each benchmark item the three documents with the largest TF-IDF dot product."""
     q = C.term_counts(t.benchmark, "item_id", "text").select("item_id", "term", F.col("n").cast("double").alias("weight"))
-    return C.most_similar(q, C.tf_idf(t.documents, "doc_id", "text"), "item_id", "doc_id", 3).select("item_id", "doc_id", F.round("score", 4).alias("score"))
+    return C.most_similar(q, C.tf_idf(t.documents, "doc_id", "text", only=q), "item_id", "doc_id", 3).select("item_id", "doc_id", F.round("score", 4).alias("score"))
 
 
 @query(f"SELECT word, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS word FROM documents) GROUP BY word ORDER BY n DESC, word LIMIT 50")
@@ -283,14 +283,16 @@ def kn_counts(t):
     return c.groupBy(F.col("order").cast("long").alias("order")).agg(F.count("*").alias("grams"), F.sum("c").alias("mass"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"))
 
 
-@query(f"""WITH w AS (SELECT list_concat(['<s>'], {SQL_WORDS}, ['</s>']) AS w FROM benchmark), g AS (SELECT w[i] AS h, w[i + 1] AS word FROM (SELECT w, unnest(range(1, len(w))) AS i FROM w)),
+@query(f"""WITH w AS (SELECT list_concat(['<s>'], {SQL_WORDS}, ['</s>']) AS w FROM documents), g AS (SELECT w[i] AS h, w[i + 1] AS word FROM (SELECT w, unnest(range(1, len(w))) AS i FROM w)),
  b AS (SELECT h, word, count(*) AS c FROM g GROUP BY ALL), u AS (SELECT word, count(*) AS c FROM b GROUP BY word),
  d AS (SELECT count(*) FILTER (c = 1) / greatest(1, count(*) FILTER (c = 1) + 2 * count(*) FILTER (c = 2)) AS d FROM b), p AS (SELECT word, c / sum(c) OVER () AS p1 FROM u),
  x AS (SELECT h, word, greatest(0, c - d) / sum(c) OVER (PARTITION BY h) + d * count(*) OVER (PARTITION BY h) / sum(c) OVER (PARTITION BY h) * p1 AS p FROM b JOIN p USING (word), d)
- SELECT h AS history, word, round(p, 6) AS p FROM x""")
+ SELECT h AS history, count(*) AS words, CAST(floor(sum(p) * 10000 + 0.4137) AS BIGINT) AS mass, CAST(floor(max(p) * 1000000 + 0.4137) AS BIGINT) AS most FROM x GROUP BY h""")
 def kn_bigrams(t):
-    """Interpolated Kneser-Ney bigram probabilities of the benchmark."""
-    return C.interpolated(C.kn_probabilities(C.kn_counts(t.benchmark, "text"))).select(F.get("history", F.lit(0)).alias("history"), "word", F.round("p", 6).alias("p"))
+    """Interpolated Kneser-Ney bigram probabilities of the documents, summed up by history (ten-thousandths and millionths)."""
+    p = C.interpolated(C.kn_probabilities(C.kn_counts(t.documents, "text")))
+    per = p.groupBy(F.get("history", F.lit(0)).alias("history")).agg(F.count("*").alias("words"), F.sum("p").alias("mass"), F.max("p").alias("most"))
+    return per.select("history", "words", F.floor(F.col("mass") * 10000 + 0.4137).alias("mass"), F.floor(F.col("most") * 1000000 + 0.4137).alias("most"))
 
 
 @query(f"""WITH {_SQL_TERMS}, l AS (SELECT doc_id, sum(n) AS length FROM t GROUP BY doc_id), a AS (SELECT count(*) AS docs, avg(length) AS mean FROM l), w AS (SELECT term, count(*) AS with_term FROM t GROUP BY term),
