@@ -15,7 +15,9 @@ Pairs that are left meet in blocks of bounded size, where the product of whole s
 N-grams that more than ``HOT`` first parts hold give no pairs.  Their documents form groups (by the
 document with the largest share of common n-grams); a group is cut by hash into blocks, multiplied each
 by itself, and then only documents that are not yet in the component of most of the group meet the whole
-group, block by block.  A block returns a spanning forest of its links, never all pairs.
+group, block by block.  Where these are many, they meet by bands of like size, and only those with enough n-grams that
+another document of the group has, too (``_banded``): pages of one template that are no near copies meet no one.
+A block returns a spanning forest of its links, never all pairs.
 
 Links cover all pairs of different sets; classes and components are joined back at the end.  Defined
 results: a null or empty text, or one without words, has an empty set and is linked with nothing; one
@@ -45,6 +47,8 @@ MAP_BITS = 22
 COUNTED = (1 << 40) - 1
 #: Shingles, with 256 more for each document, that a block holds on average.
 BLOCK = 1 << 17
+#: Sizes of a band, the largest over the smallest.
+BAND = 1.02
 #: Candidate pairs that a block of rare n-grams takes.
 BLOCK_PAIRS = 1000
 
@@ -285,7 +289,7 @@ def _pair_blocks(rare: DataFrame) -> DataFrame:
 
 
 def _cut(group: DataFrame, name: str) -> DataFrame:
-    """group (leader, id, n) with a part number: by hash, as many parts as the group has blocks."""
+    """``group`` (leader, id, n) with a part number: by hash, as many parts as the group has blocks."""
     parts = group.groupBy("leader").agg(F.ceil(F.sum(F.col("n") + 256) / F.lit(BLOCK)).alias(f"{name}_parts"))
     return group.join(small(parts), "leader").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")))
 
@@ -308,15 +312,47 @@ def _links(spark, docs: DataFrame, found: DataFrame, words: int, percent: int, s
     apart = scratch.table(_cut(member.filter("c <> main").select("leader", "id", "n"), "row"))
     if apart.isEmpty():
         return links
-    every = _cut(member.select("leader", "id", "n"), "col")
-    asked = apart.join(small(every.select("leader", "col_parts").distinct()), "leader").select("leader", "row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("col_parts") - 1)).alias("col"), "id", F.lit(1).alias("query"))
-    whole = every.join(small(apart.select("leader", "row_parts").distinct()), "leader").select("leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("row_parts") - 1)).alias("row"), "col", "id", F.lit(0).alias("query"))
-    grid = asked.unionByName(whole).groupBy("leader", "row", "col", "id").agg(F.max("query").alias("query"))
-    grid = scratch.table(grid.select(F.concat_ws("/", "leader", "row", "col").alias("block"), "id", "query"))
+    keyed = lambda df: df.select(F.col("leader").cast("string").alias("leader"), "id", "n")
+    few, many = apart.filter("row_parts = 1"), apart.filter("row_parts > 1")
+    grid = _grid(keyed(few), keyed(member.join(small(few.select("leader").distinct()), "leader", "left_semi")))
+    if not many.isEmpty():
+        grid = grid.unionByName(_grid(*_banded(docs, many, member.join(small(many.select("leader").distinct()), "leader", "left_semi"), words, percent, scratch)))
+    grid = scratch.table(grid)
     more = multiply(grid, sets_of(docs, grid.select("id").distinct(), words), percent)
     return links.unionByName(scratch.table(more))
 
 
+def _grid(asked: DataFrame, every: DataFrame) -> DataFrame:
+    """(block, id, query): for each leader all blocks of ``asked`` with all blocks of ``every`` (leader, id, n)."""
+    rows, cols = _cut(asked, "row"), _cut(every, "col")
+    over = lambda name: F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{name}_parts") - 1)).alias(name)
+    queries = rows.join(small(cols.select("leader", "col_parts").distinct()), "leader").select("leader", "row", over("col"), "id", F.lit(1).alias("query"))
+    others = cols.join(small(rows.select("leader", "row_parts").distinct()), "leader").select("leader", over("row"), "col", "id", F.lit(0).alias("query"))
+    both = queries.unionByName(others).groupBy("leader", "row", "col", "id").agg(F.max("query").alias("query"))
+    return both.select(F.concat_ws("/", "leader", "row", "col").alias("block"), "id", "query")
+
+
+def _banded(docs: DataFrame, apart: DataFrame, member: DataFrame, words: int, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(asked, every) of groups with many documents apart, by pairs of size bands, without documents that can have no link there.
+
+    An n-gram that no other document of the group has is in no overlap.  So a document with r others can only link with
+    one of a band if r is the least overlap with the band's smallest size, or more.
+    """
+    whole = scratch.table(member.select("leader", "id", "n").distinct())
+    grams = sets_of(docs, whole.select("id").distinct(), words).join(whole.select("leader", "id"), "id").select("leader", "id", F.explode("grams").alias("gram"))
+    alone = grams.groupBy("leader", "gram").agg(F.min("id").alias("id"), F.max("id").alias("last")).filter("id = last").groupBy("leader", "id").agg(F.count("*").alias("alone"))
+    band = F.floor(F.log("n") / F.log(F.lit(BAND)) + F.lit(1e-9)).cast("int")
+    sized = scratch.table(whole.join(alone, ["leader", "id"], "left").select("leader", "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r"), band.alias("band")))
+    reach = int(np.ceil(np.log(100 / percent) / np.log(BAND))) + 1
+    lows = small(scratch.table(sized.groupBy("leader", F.col("band").alias("other")).agg(F.min("n").alias("low"))))
+    near = lambda df: df.withColumn("other", F.explode(F.sequence(F.col("band") - reach, F.col("band") + reach))).join(lows, ["leader", "other"])
+    fits = lambda df: near(df).filter(F.col("r") >= _need(F.col("n"), F.col("low"), percent))
+    key = lambda a, b: F.concat_ws(":", "leader", a, b).alias("leader")
+    asked = scratch.table(fits(sized.join(apart.select("leader", "id"), ["leader", "id"], "left_semi")).select(key("band", "other"), "id", "n"))
+    every = scratch.table(fits(sized).select(key("other", "band"), "id", "n").join(small(asked.select("leader").distinct()), "leader", "left_semi"))
+    return asked.join(small(every.select("leader").distinct()), "leader", "left_semi"), every
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles, component_id: a row for each row of ``docs``."""
     spark = docs.sparkSession

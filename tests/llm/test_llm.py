@@ -278,6 +278,35 @@ def test_components(hot, words, percent, spark, small_data, texts, monkeypatch):
     assert want[30_003] == (1, 30_002) and got == want
 
 
+def test_pages_of_one_template(spark, monkeypatch):
+    """A hot group whose documents are nearly all apart: the grid is cut down by bands and by n-grams of one's own, and no link is lost."""
+    monkeypatch.setattr(jaccard_join, "HOT", 10)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1 << 13)
+    seen = []
+    banded = jaccard_join._banded
+
+    def noted(*args):
+        asked, every = banded(*args)
+        seen.append((asked.select("id").distinct().count(), args[1].select("id").distinct().count()))
+        return asked, every
+
+    monkeypatch.setattr(jaccard_join, "_banded", noted)
+    rng = random.Random(0)
+    base, rows = [f"w{i}" for i in range(120)], []
+    for i in range(200):
+        w = list(base[: 120 - i % 3])
+        for k in range(4 + i % 2):
+            w[rng.randrange(len(w))] = f"x{i}_{k}"
+        rows.append((i, " ".join(w)))
+        if i % 20 == 0:  # with a near copy
+            rows.append((1000 + i, rows[-1][1] + " end"))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d).collect()}
+    want = plain_components(rows, 4, 85)
+    assert got == want and sum(i != c for i, (_, c) in want.items()) >= 10
+    assert seen and seen[0][0] < seen[0][1] / 2
+
+
 def test_links_of_a_block():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 30, 12)).astype(np.int64) for _ in range(40)]
