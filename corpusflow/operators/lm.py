@@ -12,6 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words
@@ -287,8 +288,34 @@ def sentence_logprob(model: Mapping[tuple[str, ...], tuple[float, float]], sente
     return sum(of(tuple(line[max(0, i - order + 1) : i]), line[i]) for i in range(1, len(line)))
 
 
-def score_sentences(df: DataFrame, text: str, model: DataFrame, most_grams: int = 5_000_000) -> Column:
-    """Log probability of each text under an ARPA table (order, gram, logp, backoff) of at most ``most_grams`` rows."""
+def joined_scores(df: DataFrame, key: str, text: str, model: DataFrame, order: int, unknown: str = "<unk>") -> DataFrame:
+    """(key, logp): log probability of each text under an ARPA table (order, gram, logp, backoff) of any size; no row without words.
+
+    Each place asks for its n-grams of all orders and for their histories' back-off weights, by joins; the longest n-gram
+    that the model has counts, with the weights of the longer histories that it backs off from.
+    """
+    marked = F.concat(F.array(F.lit("<s>")), words(F.col(text)), F.array(F.lit("</s>")))
+    flat = df.select(key, F.posexplode(marked).alias("pos", "w"))
+    of = lambda n: model.filter(F.col("order") == n)
+    known = of(1).select(F.col("gram").alias("w"), F.lit(True).alias("known")).distinct()
+    flat = flat.join(known, "w", "left").select(key, "pos", F.when(F.col("known") | F.col("w").isin("<s>", "</s>"), F.col("w")).otherwise(F.lit(unknown)).alias("w"))
+    place = W.partitionBy(key).orderBy("pos")
+    back = lambda k: F.lag("w", k).over(place) if k else F.col("w")
+    gram = lambda first, last: F.when(F.col("pos") >= first, F.concat_ws(" ", *[back(k) for k in range(first, last - 1, -1)]))
+    asked = flat.select(key, "pos", *[gram(n - 1, 0).alias(f"g{n}") for n in range(1, order + 1)], *[gram(n - 1, 1).alias(f"h{n}") for n in range(2, order + 1)]).filter("pos > 0")
+    for n in range(1, order + 1):
+        asked = asked.join(of(n).select(F.col("gram").alias(f"g{n}"), F.col("logp").alias(f"p{n}")), f"g{n}", "left")
+        if n > 1:
+            asked = asked.join(of(n - 1).select(F.col("gram").alias(f"h{n}"), F.col("backoff").alias(f"b{n}")), f"h{n}", "left")
+    missing = of(1).filter(F.col("gram") == unknown).agg(F.coalesce(F.max("logp"), F.lit(float("-inf"))).alias("none"))  # one row
+    logp = F.coalesce("p1", "none")
+    for n in range(2, order + 1):
+        logp = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"b{n}"), F.lit(0.0)) + logp)
+    return asked.crossJoin(F.broadcast(missing)).groupBy(key).agg(F.sum(logp).alias("logp"))
+
+
+def score_sentences(df: DataFrame, text: str, model: DataFrame, most_grams: int = 500_000) -> Column:
+    """The same as a column, for an ARPA table of at most ``most_grams`` rows, which go to every worker; more are an error."""
     ship(df.sparkSession)
     from pyspark.sql.functions import arrow_udf
 

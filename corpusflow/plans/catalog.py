@@ -642,9 +642,10 @@ def hours_per_rate(t):
     return R.hours_by(t.part, F.col("p_size"), F.col("p_retailprice"), "rate").select("rate", F.round("hours", 6).alias("hours"), "n")
 
 
-@query("SELECT c_nationkey, string_agg(CAST(c_custkey AS VARCHAR), ' ' ORDER BY c_custkey) AS utterances FROM customer GROUP BY c_nationkey")
+@query("SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ' ' ORDER BY o_orderkey) AS utterances FROM orders GROUP BY o_custkey")
 def utterances_of_speakers(t):
-    return R.collected(t.customer.withColumn("id", F.col("c_custkey").cast("string")), "c_nationkey", "id", ["c_custkey"], name="utterances")
+    """Each speaker's utterances on one line, in order (a customer stands for a speaker)."""
+    return R.collected(t.orders.withColumn("id", F.col("o_orderkey").cast("string")), "o_custkey", "id", ["o_orderkey"], name="utterances")
 
 
 @query(f"WITH c AS (SELECT word, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS word FROM documents) GROUP BY word) SELECT word, round(sum(n) OVER (ORDER BY n DESC, word) / sum(n) OVER (), 9) AS covered FROM c QUALIFY row_number() OVER (ORDER BY n DESC, word) <= 100")

@@ -256,7 +256,7 @@ def sentence_scores(t):
     from corpusflow.operators import lm
 
     d = R.collected(t.events.filter("event_id % 3 = 0"), "user_id", "event_type", ["event_id"], name="text")
-    return d.select("user_id", F.round(lm.score_sentences(d, "text", _arpa(t)), 3).alias("logp"))
+    return lm.joined_scores(d, "user_id", "text", _arpa(t), order=2).select("user_id", F.round("logp", 3).alias("logp"))
 
 
 @query("SELECT CAST(vec_id AS VARCHAR) AS word FROM embeddings")

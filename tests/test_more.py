@@ -151,3 +151,21 @@ def test_streams(spark, tmp_path):
 def test_annotate(spark):
     assert stages.annotate(spark.range(1), {"lang": "en"}).first().lang == "en"
     assert stages.catalogue_of([spark.createDataFrame([("/r/a", "/x/b")], "audio string, text string")], "/r", ["audio"]).first().audio == "a"
+
+
+def test_scores_by_joins(spark):
+    """Against the model in memory: n-grams that are there, back-off over two orders, unknown words, short histories."""
+    import random
+
+    rng = random.Random(4)
+    vocabulary = ["a", "b", "c", "d", "</s>"]
+    rows = [(1, w, -rng.uniform(0.1, 2), -rng.uniform(0, 1)) for w in ["<s>", *vocabulary, "<unk>"]]
+    rows += [(2, f"{x} {y}", -rng.uniform(0.1, 2), -rng.uniform(0, 1)) for x in ["<s>", *vocabulary[:4]] for y in vocabulary if rng.random() < 0.6]
+    rows += [(3, f"{x} {y} {z}", -rng.uniform(0.1, 2), 0.0) for x in ["<s>", "a", "b"] for y in "abcd" for z in vocabulary if rng.random() < 0.5]
+    model = spark.createDataFrame(rows, "order int, gram string, logp double, backoff double")
+    texts = [(k, " ".join(rng.choices(["a", "b", "c", "d", "zebra"], k=rng.randint(1, 9)))) for k in range(40)] + [(99, "")]
+    d = spark.createDataFrame(texts, "k int, t string")
+    got = {r.k: r.logp for r in lm.joined_scores(d, "k", "t", model, 3).collect()}
+    table = {tuple(g.split(" ")): (p, b) for _, g, p, b in rows}
+    want = {k: lm.sentence_logprob(table, t.split(), 3) for k, t in texts}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
