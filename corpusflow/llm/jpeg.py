@@ -552,17 +552,25 @@ def colours(y: np.ndarray, cb: np.ndarray, cr: np.ndarray) -> np.ndarray:
     return np.clip((rgb + 32768) >> 16, 0, 255).astype(np.uint8)
 
 
-def rgb(image: Image, coef: np.ndarray) -> np.ndarray:
-    """(height, width, 3) of one image; smaller planes are brought to full resolution by repeating samples."""
-    f, at, planes = image.frame, image.frame.offsets, []
+def assembled(f: Frame, blocks: np.ndarray) -> np.ndarray:
+    """(height, width, 3) of a frame's blocks of samples; smaller planes are brought to full resolution by repeating samples."""
+    at, planes = f.offsets, []
     hm, vm = max(c.h for c in f.components), max(c.v for c in f.components)
     for k, c in enumerate(f.components):
         rows, cols = f.grid(k)
-        plane = samples(coef[at[k] : at[k + 1]], image.quant[c.table]).reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
-        planes.append(plane.repeat(vm // c.v, axis=0).repeat(hm // c.h, axis=1)[: f.height, : f.width])
+        plane = blocks[at[k] : at[k + 1]].reshape(rows, cols, 8, 8).transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)
+        if (hm, vm) != (c.h, c.v):
+            plane = np.broadcast_to(plane[:, None, :, None], (rows * 8, vm // c.v, cols * 8, hm // c.h)).reshape(rows * 8 * vm // c.v, cols * 8 * hm // c.h)
+        planes.append(plane[: f.height, : f.width])
     return colours(*planes) if len(planes) == 3 else np.stack([planes[0]] * 3, axis=-1)
 
 
+def rgb(image: Image, coef: np.ndarray) -> np.ndarray:
+    """(height, width, 3) of one image."""
+    at = image.frame.offsets
+    return assembled(image.frame, np.concatenate([samples(coef[at[k] : at[k + 1]], image.quant[c.table]) for k, c in enumerate(image.frame.components)]))
+
+
 def decode(data: bytes) -> np.ndarray:
     image = parse(data)
     return rgb(image, coefficients([image])[0])

@@ -1,10 +1,12 @@
 """Media columns: texts kept in progressive JPEGs, and JPEGs as full-resolution RGB tensors.
 
-A JPEG's lossless unit is the quantised coefficient, so a payload byte b is the coefficient b - 128; with
-three components and no subsampling, 192 bytes are one 8 by 8 pixel MCU.  Images are strips of 8 pixels by
-as many MCUs as there are, up to 8191, then of more columns.  The payload's length is in a comment.
+A JPEG's lossless unit is the quantised coefficient, so a payload byte b is the coefficient b - 128.  The two
+chroma components have half the luma's resolution both ways, so an MCU of 16 by 16 pixels has six blocks, that is 384
+bytes; a file's bytes go through its luma blocks, then through those of either chroma component.  Images are strips of
+16 pixels by as many MCUs as there are, up to 4095, then of more columns.  The payload's length is in a comment.  Tensors
+are RGB at full resolution: coefficients are transformed back and chroma is upsampled.
 
-Defined results: null and empty texts are one MCU of spaces; equal texts give equal files and features;
+Defined results: null and empty texts are 192 spaces; texts are stored whole; equal texts give equal files and features;
 repeated rows give repeated rows; an empty table gives no row; extra columns are ignored.
 """
 
@@ -23,10 +25,12 @@ from corpusflow.llm import jpeg
 from corpusflow.llm.arrow import scored, with_kernel
 
 UNIT = 192
-TALLEST = 8191
+#: Bytes of an MCU.
+MCU = 384
+TALLEST = 4095
 #: Bytes of text that are coded together: working arrays take some 80 bytes for each.
 TOGETHER = 1 << 20
-PARTS = tuple(jpeg.Component(k, 1, 1, 0) for k in (1, 2, 3))
+PARTS = (jpeg.Component(1, 2, 2, 0), jpeg.Component(2, 1, 1, 0), jpeg.Component(3, 1, 1, 0))
 FIELDS = [("n_bytes", T.LongType()), ("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
 
 
@@ -37,18 +41,16 @@ def payload(text: bytes | None) -> bytes:
 
 def strip(units: int) -> jpeg.Frame:
     columns = -(-units // TALLEST)
-    return jpeg.frame_of(8 * columns, 8 * -(-units // columns), PARTS)
+    return jpeg.frame_of(16 * columns, 16 * -(-units // columns), PARTS)
 
 
 def write(payloads: list[bytes]) -> list[bytes]:
     """One JPEG for each payload."""
     frames, rows = [], []
     for p in payloads:
-        f = strip(len(p) // UNIT)
-        cells = f.mcus[0] * f.mcus[1]
-        block = np.frombuffer(p.ljust(cells * UNIT, b"\x80"), np.uint8).reshape(cells, 3, 64)
+        f = strip(-(-len(p) // MCU))
         frames.append(f)
-        rows.append(block.transpose(1, 0, 2).reshape(-1, 64))
+        rows.append(np.frombuffer(p.ljust(f.mcus[0] * f.mcus[1] * MCU, b"\x80"), np.uint8).reshape(-1, 64))
     coef = np.concatenate(rows).astype(np.int16) - 128
     return jpeg.encode(frames, coef, [b"payload %d" % len(p) for p in payloads])
 
@@ -61,12 +63,8 @@ def read(files: list[bytes]) -> list[tuple[bytes, np.ndarray]]:
     pixels = jpeg.samples(coef, images[0].quant[0]) if images else None
     out = []
     for n, i in enumerate(images):
-        a, cells = int(base[n]), (int(base[n + 1]) - int(base[n])) // 3
-        size = int(i.comment.split()[1])
-        p = stored[a : a + 3 * cells].reshape(3, cells, 64).transpose(1, 0, 2).tobytes()[:size]
-        rows, cols = i.frame.mcus
-        planes = pixels[a : a + 3 * cells].reshape(3, rows, cols, 8, 8).transpose(0, 1, 3, 2, 4).reshape(3, rows * 8, cols * 8)
-        out.append((p, jpeg.colours(*planes)))
+        a, b = int(base[n]), int(base[n + 1])
+        out.append((stored[a:b].tobytes()[: int(i.comment.split()[1])], jpeg.assembled(i.frame, pixels[a:b])))
     return out
 
 
