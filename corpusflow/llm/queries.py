@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import band_join, jaccard_join, language_id, license_scan, media, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
+from corpusflow.llm import band_join, id_store, jaccard_join, language_id, license_scan, media, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_media_columns": media.op8_media_columns,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_secret_scan": secret_scan.op10_secret_scan,
+    "op11_id_store": id_store.op11_id_store,
     "op13_band_join": band_join.op13_band_join,
     "rule_ablation": quality_rules.rule_ablation,
 }
