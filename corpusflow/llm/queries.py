@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusflow.llm import band_join, id_store, jaccard_join, language_id, license_scan, media, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
+from corpusflow.llm import band_join, id_store, impact_index, jaccard_join, language_id, license_scan, media, packing, quality_classifier, quality_rules, secret_scan, sentence_pieces, token_counts
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_secret_scan": secret_scan.op10_secret_scan,
     "op11_id_store": id_store.op11_id_store,
+    "op12_impact_search": impact_index.op12_impact_search,
     "op13_band_join": band_join.op13_band_join,
     "rule_ablation": quality_rules.rule_ablation,
 }
@@ -24,6 +25,7 @@ ORACLES = {
     "op3_jaccard_join": jaccard_join.ORACLE,
     "op4_license_scan": license_scan.ORACLE,
     "op10_secret_scan": secret_scan.ORACLE,
+    "op12_impact_search": impact_index.ORACLE,
     "op13_band_join": band_join.ORACLE,
     "rule_ablation": quality_rules.ABLATION_ORACLE,
 }
