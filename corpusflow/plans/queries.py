@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from corpusflow.plans import catalog, formats, more
+from corpusflow.plans import catalog, formats, more, speech
 
 #: Each module adds its own to these as it is imported.
-MODULES = (catalog, formats, more)
+MODULES = (catalog, formats, more, speech)
 QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
