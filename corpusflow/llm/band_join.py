@@ -225,7 +225,7 @@ def first_pairs(lines: DataFrame, asked: DataFrame, scratch: Scratch, top: int =
             cut = slice(s, s + (1 << 16))
             near = _nearest(u, rows, p[cut], d[cut], item[cut], top) if len(u) else [np.zeros(0, np.int64)] * len(p[cut])
             yield batch_of(0, part, item[cut], p[cut], d[cut], [np.column_stack((u[x], rows[x])).ravel() if len(x) else x for x in near])
-        if len(u):
+        if len(u) or len(p):  # a range of items alone needs its neighbours, too
             ends = _ends(((int(u[i]), *map(int, rows[i])) for i in range(len(u))), top), _ends(_downward(u, rows), top)
             for kind, lines_ in zip((1, 2), ends, strict=True):
                 yield batch_of(kind, part, [None], [None], [None], [[v for line in lines_ for v in line]])
