@@ -115,33 +115,42 @@ def word_ids(path: str) -> WordIds:
 
 #: White space that is no ASCII space, tab or line end; texts with any of it are encoded whole.
 RARE_SPACE = re.compile(rb"[\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf")
-#: A run of white space and what follows it.
-UNIT = re.compile(rb"[ \t\n\r]+[^ \t\n\r]*|[^ \t\n\r]+")
+RARE_CONTROL = re.compile(rb"[\x0b\x0c\x1c-\x1f]")
+#: A word of ASCII letters before a punctuation mark, with the white space before it; or white space and what follows it.
+UNIT = re.compile(rb"[ \t\n\r]*+[A-Za-z]++(?=[.,;:!?])|[ \t\n\r]+[^ \t\n\r]*|[^ \t\n\r]+")
+#: One space at most, and ASCII letters: one unit of the vocabulary's pattern.
+PLAIN = re.compile(rb" ?[A-Za-z]+")
 
 
 class ByteUnitIds:
     """Ids of whole texts by a byte-level vocabulary, as little-endian unsigned 32-bit bytes.
 
-    Its pattern never takes a character and white space after it together, so a text's ids are those of its units (white
-    space and what follows) in a row.  Each distinct unit goes through the library once while it is remembered; texts with
-    other white space than the common four go through it whole.
+    Its pattern never takes a character and white space after it together, nor a letter and a mark after it, so a text's ids
+    are those of its units in a row.  Each distinct unit goes through the library once while it is remembered, one of letters
+    straight to the library's model; texts with other white space than the common four go through it whole.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.known = word_tokenizer(path), {}
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
 
     def encode(self, raw: list) -> list[bytes]:
         """A null text has no ids."""
-        split = [None if b and RARE_SPACE.search(b) else UNIT.findall(b) if b else [] for b in raw]
+        split = [None if b and _rare(b) else UNIT.findall(b) if b else [] for b in raw]
         wanted = set().union(*(units for units in split if units))
         if len(self.known) > CACHE_WORDS:
             self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
-        miss = list(wanted.difference(self.known))
-        for i in range(0, len(miss), 5000):
-            part = miss[i : i + 5000]
+        known, bytes_of, tokenize = self.known, self.bytes_of, self.tokenizer.model.tokenize
+        miss, other = wanted.difference(known), []
+        for w in miss:
+            if PLAIN.fullmatch(w):
+                known[w] = b"".join([bytes_of[t.id] for t in tokenize(w.decode().replace(" ", BYTE_CHARS[32]))])
+            else:
+                other.append(w)
+        for i in range(0, len(other), 5000):
+            part = other[i : i + 5000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        known = self.known
+                known[w] = b"".join([bytes_of[i] for i in e.ids])
         out = [self._whole(b) if units is None else b"".join(map(known.__getitem__, units)) for b, units in zip(raw, split, strict=True)]
         for w in miss:
             if len(w) > CACHE_BYTES:
@@ -152,6 +161,10 @@ class ByteUnitIds:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def _rare(text: bytes) -> bool:
+    return bool((RARE_CONTROL if text.isascii() else RARE_SPACE).search(text))
+
+
 @lru_cache(4)
 def byte_unit_ids(path: str) -> ByteUnitIds:
     return ByteUnitIds(path)
