@@ -5,7 +5,9 @@ Bytes are embedded; filters of several widths slide over the window; each filter
 window, rectified, feeds a softmax.  Trained here in numpy (Adam, cross-entropy) on a bounded sample:
 at most ``PER_LANG`` labelled documents a language, chosen by a hash of the id, and of those at most
 ``TRAIN_WINDOWS`` windows a document spread evenly over it.  A text's logits are the byte-weighted
-mean of its windows' logits.
+mean of its windows' logits.  The trained weights are rounded to whole multiples of small powers of two, so that all
+sums of a window are exact in the numbers that hold them: scores are a function of the text alone, whatever lies beside
+it in a batch and however the products are ordered.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text when
 no labelled text was given; texts are read whole, window by window; of languages with equal probability the first by
@@ -15,6 +17,7 @@ empty table gives no row; extra columns are ignored by the query and kept by ``k
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -52,6 +55,19 @@ class Net:
     offset: np.ndarray
 
 
+#: Weights are multiples of these: a product of an embedding and a kernel takes 17 bits, a sum of 32 of them 22, and single
+#: precision holds 24.
+EMBED_STEP, KERNEL_STEP, DENSE_STEP = 2.0**-6, 2.0**-7, 2.0**-12
+#: Larger embeddings and kernel weights are cut to this.
+MOST_WEIGHT = 4.0 - 2.0**-6
+
+
+def rounded(net: Net) -> Net:
+    """The net with weights on the grid that makes its sums exact."""
+    grid = lambda a, step, most: np.clip(np.rint(a / step) * step, -most, most)
+    return Net(net.langs, grid(net.embed, EMBED_STEP, MOST_WEIGHT).astype(np.float32), grid(net.kernel, KERNEL_STEP, MOST_WEIGHT).astype(np.float32), grid(net.bias.astype(np.float64), EMBED_STEP * KERNEL_STEP, 256.0), grid(net.dense.astype(np.float64), DENSE_STEP, 64.0), grid(net.offset.astype(np.float64), EMBED_STEP * KERNEL_STEP * DENSE_STEP, 64.0))
+
+
 def kernel_mask() -> np.ndarray:
     mask = np.zeros((max(WIDTHS), EMBED, len(WIDTHS) * FILTERS), np.float32)
     for i, w in enumerate(WIDTHS):
@@ -69,11 +85,13 @@ def unfold(embed: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 
 def logits(net: Net, windows: np.ndarray, chunk: int = 16) -> np.ndarray:
-    out = np.empty((len(windows), len(net.langs)), np.float32)
+    """Logits of windows in steps of EMBED_STEP * KERNEL_STEP * DENSE_STEP, as whole numbers; exact for a rounded net."""
+    out = np.empty((len(windows), len(net.langs)), np.int64)
+    unit = EMBED_STEP * KERNEL_STEP * DENSE_STEP
     for i in range(0, len(windows), chunk):
         w = windows[i : i + chunk]
-        pooled = (unfold(net.embed, w) @ net.kernel).reshape(len(w), LENGTH, -1).max(axis=1) + net.bias
-        out[i : i + chunk] = np.maximum(pooled, 0) @ net.dense + net.offset
+        pooled = (unfold(net.embed, w) @ net.kernel).reshape(len(w), LENGTH, -1).max(axis=1).astype(np.float64) + net.bias
+        out[i : i + chunk] = (np.maximum(pooled, 0) @ net.dense + net.offset) / unit
     return out
 
 
@@ -143,7 +161,7 @@ def train(texts: list[bytes], langs: list[str], seed: int = 0, epochs: int = EPO
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
                 p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    return Net(names, **p)
+    return rounded(Net(names, **p))
 
 
 def predict(net: Net | None, raw: list) -> tuple[list[str], list[float]]:
@@ -152,14 +170,14 @@ def predict(net: Net | None, raw: list) -> tuple[list[str], list[float]]:
     if net is None or not lettered:
         return langs, scores
     windows, counts = cut([raw[i] for i in lettered])
-    filled = (windows != 0).sum(axis=1).astype(np.float64) + 1e-6
-    z = logits(net, windows) * filled[:, None]
+    filled = (windows != 0).sum(axis=1)
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))
-    z = np.add.reduceat(z, first) / np.add.reduceat(filled, first)[:, None]
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    e /= e.sum(axis=1, keepdims=True)
-    for i, best, share in zip(lettered, e.argmax(axis=1), e.max(axis=1), strict=True):
-        langs[i], scores[i] = net.langs[best], float(share)
+    sums = np.add.reduceat(logits(net, windows) * filled[:, None], first)
+    unit = EMBED_STEP * KERNEL_STEP * DENSE_STEP
+    for i, z, n in zip(lettered, sums.tolist(), np.add.reduceat(filled, first).tolist(), strict=True):
+        z = [x / n * unit for x in z]
+        top = max(z)
+        langs[i], scores[i] = net.langs[z.index(top)], 1 / sum(math.exp(x - top) for x in z)
     return langs, scores
 
 

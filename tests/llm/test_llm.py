@@ -432,6 +432,19 @@ def test_language_gradient_and_batches():
     assert np.all(net.kernel[mask == 0] == 0)
 
 
+def test_language_scores_are_of_the_text_alone(small_data):
+    rows = duckdb.sql(f"SELECT text, lang FROM '{small_data}/documents.parquet' WHERE text IS NOT NULL AND lang IS NOT NULL ORDER BY doc_id").fetchall()
+    raw = [t.encode() for t, _ in rows]
+    net = language_id.train(raw, [lang for _, lang in rows], epochs=2)
+    alone = [language_id.predict(net, [b]) for b in raw]
+    for order in (range(len(raw)), reversed(range(len(raw))), random.Random(1).sample(range(len(raw)), len(raw))):
+        order = list(order)
+        got = list(zip(*language_id.predict(net, [raw[i] for i in order]), strict=True))
+        assert got == [(alone[i][0][0], alone[i][1][0]) for i in order]
+    for i in range(0, len(raw), 9):
+        assert language_id.predict(net, [raw[i], *raw[:7]])[1][0] == language_id.predict(net, [*raw[:13], raw[i]])[1][-1] == alone[i][1][0]
+
+
 def plain_prediction(net, text):
     """Windows, convolutions, maxima and softmax one number at a time."""
     b = (text or "").encode()
