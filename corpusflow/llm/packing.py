@@ -1,9 +1,11 @@
 """Packing: best-fit decreasing into fixed windows.
 
 Documents are encoded where they lie; one longer than a window is first cut into full windows, which
-are sequences of their own, and a rest.  Pieces are dealt by hash, of their number in their task, too, so that no
-id however frequent gathers in one, into buckets of a bounded expected size; in each bucket, longest first, a segment tree indexed by remaining capacity finds the tightest
-open window.  Padding is what the last windows of each bucket lack, well under one per cent.
+are sequences of their own, and a rest.  Pieces are dealt by hash into buckets of a bounded expected number of pieces; in each
+bucket, longest first, a segment tree indexed by remaining capacity finds the tightest open window.  Equal pieces (of
+repeated rows) are first counted and numbered, and the number is hashed, too, so that no id however frequent gathers in one
+bucket.  What is hashed is the piece alone: documents lie in the same places whatever their partitions were, and a task that
+is run again deals the same.  Padding is what the last windows of each bucket lack, well under one per cent.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed as often as they
 occur; ties in length go by (doc_id, start, ids_crc32); texts are encoded whole; an empty table gives no piece; extra columns are ignored.
@@ -19,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.llm.arrow import bounded_batches, slices
+from corpusflow.llm.scratch import Scratch
 from corpusflow.llm.tokens import word_ids
 
 WINDOW = 2048
 END_ID = 1
-#: Documents a bucket, on average.
-BUCKET_DOCS = 8192
+#: Pieces a bucket, on average.
+BUCKET_PIECES = 16384
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -79,12 +82,12 @@ def best_fit(lengths: list[int], window: int = WINDOW) -> tuple[list[int], list[
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Full windows and one rest of each document, with the crc32 of their ids, and the piece's number in its task."""
+    """Full windows and one rest of each document, with the crc32 of their ids."""
     bounded_batches(docs.sparkSession)
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = word_ids(tokenizer), 0
+        encoder = word_ids(tokenizer)
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for first, raw in slices(batch.column(1)):
@@ -94,17 +97,19 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         part = ids[4 * start : 4 * (start + window)]
-                        rows.append((k, start, len(part) // 4, zlib.crc32(part), total, number))
-                        number += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "number"])
+                        rows.append((k, start, len(part) // 4, zlib.crc32(part), total))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECES + ", number long")
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECES)
 
 
-def pack(cut: DataFrame, n_docs: int, window: int = WINDOW, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
+def pack(cut: DataFrame, window: int = WINDOW, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; the bucket is the id's upper half, so ids never clash."""
-    buckets = max(1, -(-n_docs // bucket_docs))
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "number"), F.lit(buckets))).drop("number")
+    cut = Scratch(cut.sparkSession).table(cut)
+    buckets = max(1, -(-cut.count() // bucket_pieces))
+    names = cut.columns
+    copies = cut.groupBy(*names).agg(F.count("*").alias("copies")).select(*names, F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    dealt = copies.select(*names, F.pmod(F.xxhash64("doc_id", "start", "length", "ids_crc32", "copy"), F.lit(buckets)).alias("bucket"))
 
     def fill(group: pa.Table) -> pa.Table:
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
@@ -121,7 +126,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return pack(pieces(docs, tokenizer), docs.count())
+    return pack(pieces(docs, tokenizer))
 
 
 def op6_packing(spark, sf_dir: str) -> DataFrame:

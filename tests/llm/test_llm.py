@@ -588,10 +588,21 @@ def test_packing_of_odd_rows(spark, folder, odd):
     got = packing.op6_packing(spark, folder).collect()
     assert Counter(tuple(r)[:5] for r in got) == want
     same = spark.createDataFrame([(1, f"word {i}") for i in range(3000)], "doc_id long, text string").repartition(2)
-    sizes = packing.pack(packing.pieces(same, public_tokenizers.path("word_bpe_49k.json")), 3000, bucket_docs=100).selectExpr("sequence_id >> 32 AS bucket").groupBy("bucket").count().collect()
+    sizes = packing.pack(packing.pieces(same, public_tokenizers.path("word_bpe_49k.json")), bucket_pieces=100).selectExpr("sequence_id >> 32 AS bucket").groupBy("bucket").count().collect()
     assert len(sizes) == 30 and max(r["count"] for r in sizes) < 200
 
 
+def test_packing_is_the_same_for_all_partitions(spark, odd, monkeypatch):
+    monkeypatch.setattr(packing.pack, "__defaults__", (packing.WINDOW, 10))
+    rows = odd.select("doc_id", "text").unionByName(odd.select("doc_id", "text")).unionByName(spark.range(40).selectExpr("id doc_id", "repeat(concat('word ', id, ' '), int(id * 60)) text"))
+    first, *others = [sorted(map(tuple, packing.pack_documents(rows.repartition(n, "text")).collect()), key=repr) for n in (1, 3, 7)]
+    assert all(x == first for x in others) and len({x[5] >> 32 for x in first}) > 3
+    filled = Counter()
+    for x in first:
+        filled[x[5]] += x[2]
+    assert max(filled.values()) <= packing.WINDOW
+
+
 # 7
 
 
