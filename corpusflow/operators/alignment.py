@@ -132,6 +132,12 @@ def align_table(docs: DataFrame, fragments: str = "fragments", transcript: str =
     return docs.withColumn("alignments", run(F.col(fragments), F.col(transcript))).withColumn("timed_out", F.col("alignments").isNull())
 
 
+def all_in_time(aligned: DataFrame) -> DataFrame:
+    """What ``align_table`` gives; a document that took too long is an error, not a document without alignments."""
+    late = F.raise_error(F.lit("a document took longer to align than Settings.seconds allows"))
+    return aligned.withColumn("alignments", F.when(~F.col("timed_out"), F.col("alignments")).otherwise(late.cast(ALIGNMENT)))
+
+
 def _in_time(work, seconds: float) -> list | None:
     """``work()``, or None if it takes longer (checked in the worker's main thread by an alarm)."""
     import signal

@@ -215,13 +215,15 @@ def pruned_prons(prons: DataFrame, reference: DataFrame, ratio: float) -> DataFr
 BACKOFF = "<backoff>"
 
 
-def biased_model(lines: DataFrame, key: str, text: str, order: int = 3, least: int = 1, discount: float = 0.3, top: DataFrame | None = None) -> DataFrame:
+def biased_model(lines: DataFrame, key: str, text: str, order: int = 3, least: int = 1, discount: float = 0.3, top: DataFrame | None = None, asked: DataFrame | None = None) -> DataFrame:
     """(key, history, word, p): an interpolated model of each key's own lines, for all keys at once.
 
     Each word counts under the longest history it has (with sentence marks).  Histories of two words or more that are met
     fewer than ``least`` times, with all that back off to them, give their counts to the history without its first word.
     From the longest histories down, each count loses ``discount`` to its history's back-off mass, and counts 1 in the history
-    without its first word.  ``top`` (word, prob) adds so much of the total to the empty history.  ``<backoff>`` is that mass.
+    without its first word.  ``top`` (word, prob; each word once) adds so much of the total to the empty history; its words have rows
+where the key's own lines hold them or ``asked`` (key, word) names them, and all of them have their share of the whole in
+any case.  ``<backoff>`` is that mass.
     """
     w = F.concat(F.array(F.lit("<s>")), words(F.lower(F.col(text))), F.array(F.lit("</s>")))
     place = lines.select(key, w.alias("__w")).select(key, "__w", F.explode(F.sequence(F.lit(2), F.size("__w"))).alias("__i"))
@@ -244,12 +246,19 @@ def biased_model(lines: DataFrame, key: str, text: str, order: int = 3, least: i
         level = level.withColumn("c", F.col("c") - discount).unionByName(level.groupBy(key, "history").agg((F.count("*") * discount).alias("c")).withColumn("word", F.lit(BACKOFF)))
         out = level if out is None else out.unionByName(level)
     empty = counts.filter(n == 0)
+    extra = F.lit(0.0)
     if top is not None:
         whole = empty.groupBy(key).agg(F.sum("c").alias("all"))
-        more = whole.crossJoin(F.broadcast(top.limit(100_000))).select(key, F.array().cast("array<string>").alias("history"), "word", (F.col("prob") * F.col("all")).alias("c"))
-        empty = summed(empty.unionByName(more))
+        told = empty.select(key, "word") if asked is None else empty.select(key, "word").unionByName(asked.select(key, "word")).distinct()
+        more = told.join(top, "word").join(whole, key).select(key, F.array().cast("array<string>").alias("history"), "word", (F.col("prob") * F.col("all")).alias("c"))
+        mass = top.agg(F.coalesce(F.sum("prob"), F.lit(0.0))).first()[0]
+        own, empty = whole, summed(empty.unionByName(more))
+        extra = F.lit(float(mass))
     every = written(out.unionByName(empty))
-    share = every.join(every.groupBy(key, "history").agg(F.sum("c").alias("total")), [key, "history"]).withColumn("p", F.col("c") / F.col("total")).select(key, "history", "word", "p")
+    totals = every.groupBy(key, "history").agg(F.sum("c").alias("total"))
+    if top is not None:  # words of the mix that have no row count, too
+        totals = totals.join(own, key).withColumn("total", F.when(n == 0, F.col("all") * (1 + extra)).otherwise(F.col("total"))).drop("all")
+    share = every.join(totals, [key, "history"]).withColumn("p", F.col("c") / F.col("total")).select(key, "history", "word", "p")
     share = written(share)
     below = share.filter(n == 0)
     made = below

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
@@ -16,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words
-from corpusflow.session import ship
+from corpusflow.session import folder, ship
 
 END = "</w>"
 #: Codes of symbols: 0 between words, then characters, characters at the end of a word (from ENDED), merged symbols (from MADE).
@@ -177,8 +175,7 @@ def learn_bpe(docs: DataFrame, text: str, merges: int, least: int = 2) -> list[t
     """
     spark = docs.sparkSession
     ship(spark)
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusflow-")
-    root = f"{folder.rstrip('/')}/bpe-{uuid.uuid4().hex}"
+    root = folder(spark, "bpe")
     made: list[str] = []
     steps: list[tuple[int, int, int]] = []
     out: list[tuple[str, str]] = []

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.session import written
+
 # Filters
 
 
@@ -246,33 +248,22 @@ def digest_order(*cols: Column, seed: str = "") -> Column:
     return F.md5(F.concat_ws("/", F.lit(seed), *[c.cast("string") for c in cols]).cast("binary"))
 
 
-#: Ranges that rows are dealt to for their places in an order; each is one task's work.
-RANGES = 64
-
-
 def numbered(df: DataFrame, order: Sequence[str], place: str = "place", total: str | None = None, value: str | None = None) -> DataFrame:
     """``place``: how many rows come before in the order of ``order``; with ``total`` also the sum of ``value`` over these.
 
-    No task sees more than a range of the order: bounds come from a sample (speed alone depends on them), counts of the
-    ranges are added up, and rows are numbered within their range.  Columns in ``order`` should tell all rows apart.
+    Rows are sorted by range over as many partitions as the session shuffles to, and written with their partition and their place
+    in it; what comes before a partition is added up from one row for each.  Columns in ``order`` should tell all rows apart.
     """
-    keys = [F.col(c) for c in order]
-    rows = df.count()
-    share = min(1.0, 40.0 * RANGES / max(rows, 1))
-    seen = sorted((tuple(r) for r in df.select(*keys).sample(share, seed=7).collect() if None not in tuple(r)))
-    bounds = [seen[k * len(seen) // RANGES] for k in range(1, RANGES)] if len(seen) >= RANGES else []
-    types = dict(df.select(*keys).dtypes)
-    at = lambda b: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, b, strict=True)])
-    bucket = F.size(F.filter(F.array(*map(at, bounds)), lambda b: b <= F.struct(*keys))) if bounds else F.lit(0)
-    dealt = df.withColumn("__range", bucket)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    at = written(ranged.withColumn("__at", F.monotonically_increasing_id())).withColumn("__range", F.shiftright("__at", 33))
     sums = [F.count("*").alias("__n")] + ([F.sum(value).alias("__v")] if total else [])
     before = W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)  # a row a range
-    of_range = dealt.groupBy("__range").agg(*sums)
+    of_range = at.groupBy("__range").agg(*sums)
     of_range = of_range.select("__range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in of_range.columns[1:]])
-    own = W.partitionBy("__range").orderBy(*order)
-    out = dealt.join(F.broadcast(of_range), "__range").withColumn(place, F.col("__n_before") + F.row_number().over(own) - 1)
+    out = at.join(F.broadcast(of_range), "__range").withColumn(place, F.col("__n_before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
     if total:
-        out = out.withColumn(total, F.col("__v_before") + F.coalesce(F.sum(value).over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        own = W.partitionBy("__range").orderBy("__at").rowsBetween(W.unboundedPreceding, -1)
+        out = out.withColumn(total, F.col("__v_before") + F.coalesce(F.sum(value).over(own), F.lit(0)))
     return out.select(*df.columns, place, *([total] if total else []))
 
 

@@ -248,14 +248,14 @@ def model_files(t):
     return _arpa(t).select(F.col("order").alias("order"), "gram", F.round("logp", 6).alias("logp"), "backoff")
 
 
-@query(f"""WITH {_SQL_ARPA}, s AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, event_type AS w, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS h FROM events WHERE event_id % 3 = 0),
+@query(f"""WITH {_SQL_ARPA}, s AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, event_type AS w, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS h FROM events),
  p AS (SELECT user_id, coalesce(round(-log10(2 + b.c), 6), CASE WHEN s.h IS NULL THEN -0.5 ELSE -0.25 END + round(-log10(1 + u.c), 6)) AS lp FROM s JOIN u ON u.w = s.w LEFT JOIN b ON b.h = s.h AND b.w = s.w)
  SELECT user_id, round(sum(lp) - 2.25, 3) AS logp FROM p GROUP BY user_id""")
 def sentence_scores(t):
     """Log probabilities of sentences under a language model that backs off."""
     from corpusflow.operators import lm
 
-    d = R.collected(t.events.filter("event_id % 3 = 0"), "user_id", "event_type", ["event_id"], name="text")
+    d = R.collected(t.events, "user_id", "event_type", ["event_id"], name="text")
     return lm.joined_scores(d, "user_id", "text", _arpa(t), order=2).select("user_id", F.round("logp", 3).alias("logp"))
 
 
@@ -370,7 +370,7 @@ def repaired_texts(t):
     return t.documents.select("doc_id", F.md5(X.repaired(broken).cast("binary")).alias("digest"))
 
 
-@query("SELECT event_id, round(floor(value * 100) / 16000, 7) AS seconds, 16000 AS rate, 1 AS channels FROM events WHERE event_id % 20 = 0 AND value >= 0.01")
+@query("SELECT event_id, round(floor(value * 100) / 16000, 7) AS seconds, 16000 AS rate, 1 AS channels FROM events WHERE value >= 0.01")
 def wave_headers(t):
     """Rate, channels and seconds of WAV recordings made from numbers."""
     import numpy as np
@@ -385,7 +385,7 @@ def wave_headers(t):
     def recorded(n: pa.Array) -> pa.Array:
         return pa.array([audio.make_wav(np.zeros(k)) for k in n.to_pylist()], pa.binary())
 
-    d = t.events.filter("event_id % 20 = 0 AND value >= 0.01").select("event_id", recorded(F.floor(F.col("value") * 100)).alias("content"))
+    d = t.events.filter("value >= 0.01").select("event_id", recorded(F.floor(F.col("value") * 100)).alias("content"))
     return d.select("event_id", audio.info_column(d).alias("i")).select("event_id", F.round("i.seconds", 7).alias("seconds"), "i.rate", "i.channels")
 
 
@@ -424,9 +424,9 @@ def ordered_shards(t):
     return over.agg(F.sum("n").alias("rows"), F.count("*").alias("shards"), F.count_if(F.col("before") >= F.col("low")).alias("overlapping"))
 
 
-@query("SELECT event_id, k AS chunk, CAST(least(1000, greatest(0, len - k * 1000)) * 16 AS BIGINT) AS samples FROM (SELECT event_id, 500 + event_id % 3000 AS len, unnest(range(0, 3)) AS k FROM events WHERE event_id % 50 = 0)")
+@query("SELECT event_id, k AS chunk, CAST(least(100, len - k * 100) * 16 AS BIGINT) AS samples FROM (SELECT event_id, 50 + event_id % 300 AS len, unnest(range(0, CAST(ceil((50 + event_id % 300) / 100) AS BIGINT))) AS k FROM events)")
 def audio_chunks(t):
-    """Recordings cut into second-long WAVs, as many samples in each as the recording has there."""
+    """Recordings cut into WAVs of a tenth of a second, as many samples in each as the recording has there."""
     import numpy as np
     import pyarrow as pa
     from pyspark.sql.functions import arrow_udf
@@ -437,15 +437,15 @@ def audio_chunks(t):
 
     @arrow_udf("array<binary>")
     def cut(ms: pa.Array) -> pa.Array:
-        return pa.array([audio.slices(audio.make_wav(np.zeros(16 * k)), [(1000 * i, 1000 * i + 1000) for i in range(3)]) for k in ms.to_pylist()], pa.list_(pa.binary()))
+        return pa.array([audio.slices(audio.make_wav(np.zeros(16 * k)), [(100 * i, 100 * i + 100) for i in range(-(-k // 100))]) for k in ms.to_pylist()], pa.list_(pa.binary()))
 
-    d = t.events.filter("event_id % 50 = 0").select("event_id", F.posexplode(cut(500 + F.col("event_id") % 3000)).alias("chunk", "content"))
+    d = t.events.select("event_id", F.posexplode(cut(50 + F.col("event_id") % 300)).alias("chunk", "content"))
     return d.select("event_id", F.col("chunk").cast("long").alias("chunk"), F.round(audio.info_column(d)["seconds"] * 16000).cast("long").alias("samples"))
 
 
 @query()
 def voiced_sections(t):
-    """Voiced spans of recordings by a ring buffer of loud frames (gone through in order: no SQL)."""
+    """Voiced spans of each user's recording, 0.3 s an event, by a ring buffer of loud frames (gone through in order: no SQL)."""
     import numpy as np
     import pyarrow as pa
     from pyspark.sql.functions import arrow_udf
@@ -455,12 +455,14 @@ def voiced_sections(t):
     archives.ship(t.spark)
 
     @arrow_udf("binary")
-    def recorded(k: pa.Array) -> pa.Array:
-        wave = lambda n: np.concatenate([np.zeros(4800 * (1 + n % 3)), 0.5 * np.sin(np.arange(9600 + 160 * (n % 50)) / 5), np.zeros(8000)])
-        return pa.array([audio.make_wav(wave(n)) for n in k.to_pylist()], pa.binary())
+    def recorded(loud: pa.Array) -> pa.Array:
+        tone = 0.5 * np.sin(np.arange(4800) / 5)
+        return pa.array([audio.make_wav(np.concatenate([tone if x else np.zeros(4800) for x in k])) for k in loud.to_pylist()], pa.binary())
 
-    d = t.events.filter("event_id % 100 = 0").select("event_id", recorded("event_id").alias("content"))
-    return d.select("event_id", audio.voice_column(d).alias("v")).select("event_id", "v.start_ms", "v.end_ms")
+    t.spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")  # recordings are long
+    loud = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", F.col("event_type").isin("click", "view").alias("loud")))), lambda x: x["loud"])
+    d = t.events.groupBy("user_id").agg(loud.alias("loud")).select("user_id", recorded("loud").alias("content"))
+    return d.select("user_id", audio.voice_column(d).alias("v")).select("user_id", "v.start_ms", "v.end_ms")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -476,7 +478,7 @@ def corpus_manifest(t):
     from corpusflow.plans import stages
 
     path = folder(t.spark)
-    c = t.conversations.filter("conv_id % 10 = 0").select(F.concat(F.lit("item"), F.col("conv_id").cast("string")).alias("identifier"), "turn", F.lower(flat(F.regexp_replace("text", "[^A-Za-z ]", " "))).alias("text"))
+    c = t.conversations.select(F.concat(F.lit("item"), F.col("conv_id").cast("string")).alias("identifier"), "turn", F.lower(flat(F.regexp_replace("text", "[^A-Za-z ]", " "))).alias("text"))
     file = lambda name, kind: F.struct(F.lit(name).alias("name"), F.lit(kind).alias("format"), F.lit("100").alias("size"))
     items = c.select("identifier").distinct()
     items.select("identifier", F.array(file("talk.mp3", "MP3"), file("talk.srt", "SubRip")).alias("files"), F.struct(F.lit("https://licences.example/by/4.0").alias("licenseurl")).alias("metadata")).write.json(f"{path}/catalogue")

@@ -13,11 +13,11 @@ from corpusflow.plans.catalog import SQL_WORDS, query, seconds_of
 # Filters and joins
 
 
-@query("SELECT doc_id FROM documents JOIN (SELECT doc_id, count(DISTINCT quality) AS k, count(*) AS n FROM labels GROUP BY 1) USING (doc_id) WHERE k = 1 AND n = 1")
+@query("SELECT doc_id FROM documents JOIN (SELECT doc_id, count(quality) AS n FROM labels GROUP BY 1) USING (doc_id) WHERE n = 1")
 def single_entities(t):
     """Rows whose entity is known and one; rows with none or several go."""
-    sets = t.labels.groupBy("doc_id").agg(F.collect_list("quality").alias("q"))
-    return t.documents.select("doc_id").join(sets, "doc_id").filter((F.size("q") == 1) & (F.size(F.array_distinct("q")) == 1)).select("doc_id")
+    sets = t.labels.groupBy("doc_id").agg(F.count("quality").alias("n"))
+    return t.documents.select("doc_id").join(sets.filter("n = 1"), "doc_id").select("doc_id")
 
 
 @query("SELECT event_id, value FROM events WHERE value <= 15")
@@ -78,10 +78,10 @@ def combined_folders(t):
 # Aggregations
 
 
-@query("SELECT l_suppkey, string_agg(l_orderkey || '-' || l_linenumber, ' ' ORDER BY CAST(l_quantity AS VARCHAR), CAST(l_quantity + l_linenumber AS VARCHAR), l_orderkey, l_linenumber) AS utterances FROM lineitem WHERE l_orderkey % 10 = 0 GROUP BY l_suppkey")
+@query("SELECT l_suppkey, string_agg(l_orderkey || '-' || l_linenumber, ' ' ORDER BY CAST(l_quantity AS VARCHAR), CAST(l_quantity + l_linenumber AS VARCHAR), l_orderkey, l_linenumber) AS utterances FROM lineitem GROUP BY l_suppkey")
 def recording_utterances(t):
     """Utterances of each recording in the order of start and end, compared as texts."""
-    d = t.lineitem.filter("l_orderkey % 10 = 0").select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("s"), (F.col("l_quantity") + F.col("l_linenumber")).cast("string").alias("e"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("utt"))
+    d = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("s"), (F.col("l_quantity") + F.col("l_linenumber")).cast("string").alias("e"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("utt"))
     return R.collected(d, "l_suppkey", "utt", ["s", "e", "l_orderkey", "l_linenumber"], name="utterances")
 
 
@@ -110,7 +110,7 @@ def taint_statistics(t):
 def letter_confusions(t):
     """Letters set against each other in local alignments of neighbouring turns (dynamic programming: no SQL)."""
     w = W.partitionBy("conv_id").orderBy("turn")
-    p = t.conversations.withColumn("other", F.lag("text").over(w)).filter("other IS NOT NULL").select("conv_id", F.substring("text", 1, 120).alias("a"), F.substring("other", 1, 120).alias("b"))
+    p = t.conversations.withColumn("other", F.lag("text").over(w)).filter("other IS NOT NULL").select("conv_id", F.col("text").alias("a"), F.col("other").alias("b"))
     return p.select(F.explode(E.letter_pairs(p, "a", "b")).alias("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -161,13 +161,13 @@ def clean_segments(t):
     return E.clean_cores(e, "user_id", "pos").select("user_id", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"), "text")
 
 
-@query("""WITH RECURSIVE u AS (SELECT l_suppkey AS speaker, l_orderkey, l_linenumber, l_quantity AS d, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn FROM lineitem WHERE l_suppkey % 10 = 0),
+@query("""WITH RECURSIVE u AS (SELECT l_suppkey AS speaker, l_orderkey, l_linenumber, l_quantity AS d, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity) AS rn FROM lineitem),
  f AS (SELECT speaker, l_orderkey, l_linenumber, rn, d AS open, 0 AS part FROM u WHERE rn = 1
   UNION ALL SELECT u.speaker, u.l_orderkey, u.l_linenumber, u.rn, CASE WHEN f.open + u.d > 300 THEN u.d ELSE f.open + u.d END, CASE WHEN f.open + u.d > 300 THEN f.part + 1 ELSE f.part END FROM f JOIN u ON u.speaker = f.speaker AND u.rn = f.rn + 1)
  SELECT l_orderkey, l_linenumber, speaker || '-' || lpad(CAST(part AS VARCHAR), 3, '0') AS part FROM f""")
 def speaker_parts_by_seconds(t):
     """Speakers cut into runs of at most so many seconds; a run that would be longer begins anew."""
-    d = t.lineitem.filter("l_suppkey % 10 = 0").select(F.col("l_suppkey").cast("string").alias("speaker"), F.struct("l_orderkey", "l_linenumber").alias("k"), F.col("l_quantity").alias("dur"))
+    d = t.lineitem.select(F.col("l_suppkey").cast("string").alias("speaker"), F.struct("l_orderkey", "l_linenumber").alias("k"), F.col("l_quantity").alias("dur"))
     return S.split_speakers_by_seconds(d, "speaker", "k", "dur", 300.0).select("k.l_orderkey", "k.l_linenumber", "part")
 
 
