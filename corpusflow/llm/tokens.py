@@ -113,56 +113,66 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-#: White space that is no ASCII space, tab or line end; texts with any of it are encoded whole.
-RARE_SPACE = re.compile(rb"[\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf")
-RARE_CONTROL = re.compile(rb"[\x0b\x0c\x1c-\x1f]")
-#: A word of ASCII letters before a punctuation mark, with the white space before it; or white space and what follows it.
-UNIT = re.compile(rb"[ \t\n\r]*+[A-Za-z]++(?=[.,;:!?])|[ \t\n\r]+[^ \t\n\r]*|[^ \t\n\r]+")
-#: One space at most, and ASCII letters: one unit of the vocabulary's pattern.
-PLAIN = re.compile(rb" ?[A-Za-z]+")
-
-
-class ByteUnitIds:
+#: White space that is no ASCII space, tab or line end, and the two marks among the letters of Latin-1; texts with any are encoded whole.
+RARE = re.compile(rb"[\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xc3[\x97\xb7]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf")
+#: What such texts hold; looked for first, since plain searches are fast.
+RARE_HINTS = (b"\xc2\x85", b"\xc2\xa0", b"\xc3\x97", b"\xc3\xb7", b"\xe1\x9a\x80", b"\xe1\xa0\x8e", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80", b"\xef\xbb\xbf")
+RARE_CONTROLS = (b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f")
+#: A word of Latin letters (U+00C0 to U+027F beyond ASCII) before a punctuation mark, with the white space before it; or white space and
+#: what follows it.
+UNIT = re.compile(rb"[ \t\n\r]*+(?:[A-Za-z\xc3-\xc9\x80-\xbf]++(?:(?=[.,;:!? \n])|[^ \t\n\r]*+)|[^ \t\n\r]++)|[ \t\n\r]++")
+#: One space at most, and Latin letters: one piece of the vocabulary's pattern.
+PLAIN = re.compile(rb" ?[A-Za-z\xc3-\xc9\x80-\xbf]+")
+#: Fixed: the vocabulary's pattern, here for ASCII alone.
+ASCII_PATTERN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+
+
+class ByteUnitIds(dict):
     """Ids of whole texts by a byte-level vocabulary, as little-endian unsigned 32-bit bytes.
 
     Its pattern never takes a character and white space after it together, nor a letter and a mark after it, so a text's ids
-    are those of its units in a row.  Each distinct unit goes through the library once while it is remembered, one of letters
-    straight to the library's model; texts with other white space than the common four go through it whole.
+    are those of its units in a row.  Each distinct unit goes through the library once while it is remembered, piece by piece
+    of the pattern straight to the library's model if it is ASCII or a word of Latin letters; texts with other white
+    space than the common four go through the library whole.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.known = word_tokenizer(path), {}
+        super().__init__()
+        self.tokenizer = word_tokenizer(path)
         self.bytes_of = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
-
-    def encode(self, raw: list) -> list[bytes]:
-        """A null text has no ids."""
-        split = [None if b and _rare(b) else UNIT.findall(b) if b else [] for b in raw]
-        wanted = set().union(*(units for units in split if units))
-        if len(self.known) > CACHE_WORDS:
-            self.known = {w: self.known[w] for w in wanted.intersection(self.known)}
-        known, bytes_of, tokenize = self.known, self.bytes_of, self.tokenizer.model.tokenize
-        miss, other = wanted.difference(known), []
-        for w in miss:
-            if PLAIN.fullmatch(w):
-                known[w] = b"".join([bytes_of[t.id] for t in tokenize(w.decode().replace(" ", BYTE_CHARS[32]))])
-            else:
-                other.append(w)
-        for i in range(0, len(other), 5000):
-            part = other[i : i + 5000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = b"".join([bytes_of[i] for i in e.ids])
-        out = [self._whole(b) if units is None else b"".join(map(known.__getitem__, units)) for b, units in zip(raw, split, strict=True)]
-        for w in miss:
-            if len(w) > CACHE_BYTES:
-                del known[w]
-        return out
+        self.tokenize = self.tokenizer.model.tokenize
+
+    def __missing__(self, unit: bytes) -> bytes:
+        if PLAIN.fullmatch(unit):
+            ids = self._piece(unit)
+        elif unit.isascii() and SPECIAL not in unit:
+            parts = ASCII_PATTERN.findall(unit.decode())
+            ids = b"".join([self[p.encode()] for p in parts]) if len(parts) > 1 else self._piece(unit)
+        else:
+            ids = self._whole(unit)
+        if len(unit) <= CACHE_BYTES:
+            self[unit] = ids
+        return ids
+
+    def _piece(self, piece: bytes) -> bytes:
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(piece.decode("latin-1").translate(BYTE_CHARS))])
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
+    def encode(self, raw: list) -> list[bytes]:
+        """A null text has no ids."""
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        known = self.__getitem__
+        return [b"" if not b else self._whole(b) if _rare(b) else b"".join(map(known, UNIT.findall(b))) for b in raw]
+
 
 def _rare(text: bytes) -> bool:
-    return bool((RARE_CONTROL if text.isascii() else RARE_SPACE).search(text))
+    if any(c in text for c in RARE_CONTROLS):
+        return True
+    return not text.isascii() and any(c in text for c in RARE_HINTS) and RARE.search(text) is not None
 
 
 @lru_cache(4)
