@@ -14,10 +14,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.functions import kernels
+from corpusflow.session import ship
+
 EPS = "<eps>"
 
 
@@ -56,6 +60,39 @@ def edit_type(hyp: Column, ref: Column, dur: Column, oov: str | None = None, voc
     return kind.when(known, "cor").when((hyp == EPS) & (ref == EPS), "sil").otherwise("sub")
 
 
+def locally_aligned(df: DataFrame, ref: str, words: str, correct: int = 1, substitution: int = 1, deletion: int = 1, insertion: int = 1, whole_hyp: bool = True, first_pair: bool = False) -> Column:
+    """array<edit line>: the local alignment of each row's ``words`` (array of start, dur, word; silences are ``<eps>``) to ``ref`` (words).
+
+    A deletion lies at the end of the word before it, with no duration; a silence that is set against a word is that word's deletion
+    and then the silence.  Alignments are of rows one by one (``kernels.local_words``); null counts as empty.
+    """
+    ship(df.sparkSession)
+    from pyspark.sql.functions import arrow_udf
+
+    fields = [("start", pa.float64()), ("dur", pa.float64()), ("hyp", pa.string()), ("ref", pa.string()), ("edit_type", pa.string())]
+
+    def lines(told: list[str], said: list[dict]) -> list[dict]:
+        out, now = [], said[0]["start"] if said else 0.0
+        path, _ = kernels.local_words(told, [x["word"] for x in said], correct, substitution, deletion, insertion, whole_hyp, first_pair)
+        for i, j in path:
+            word = None if i is None else told[i]
+            if j is None or (said[j]["word"] == EPS and word is not None):
+                out.append((now, 0.0, EPS, word, "del"))
+            if j is None:
+                continue
+            x = said[j]
+            silent = x["word"] == EPS
+            out.append((x["start"], x["dur"], x["word"], EPS if silent or word is None else word, "sil" if silent else "ins" if word is None else "cor" if word == x["word"] else "sub"))
+            now = x["start"] + x["dur"]
+        return [dict(zip((f for f, _ in fields), row, strict=True)) for row in out]
+
+    @arrow_udf("array<struct<start:double,dur:double,hyp:string,ref:string,edit_type:string>>")
+    def run(refs: pa.Array, heard: pa.Array) -> pa.Array:
+        return pa.array([lines(r or [], h or []) for r, h in zip(refs.to_pylist(), heard.to_pylist(), strict=True)], pa.list_(pa.struct(fields)))
+
+    return run(F.col(ref), F.col(words))
+
+
 @dataclass(frozen=True)
 class SegmentRules:
     """Lengths in seconds; a new segment is one that is not its whole utterance."""

@@ -3,6 +3,7 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.functions import text as X
 from corpusflow.operators import segments as G
 from corpusflow.operators import sequences as S
 from corpusflow.plans.catalog import query
@@ -60,3 +61,14 @@ def merged_edit_lines(t):
     pairs = e.filter("event_id % 9 <> 0").select("user_id", (F.col("pos") * 2).alias("pos"), F.col("event_type").alias("hyp"), ref.alias("ref"))
     pairs = pairs.unionByName(e.filter("event_id % 4 = 0").select("user_id", (F.col("pos") * 2 + 1).alias("pos"), F.lit(G.EPS).alias("hyp"), F.lit("gone").alias("ref")))
     return G.merged_edits(words, pairs, "user_id").withColumn("start", F.round("start", 6))
+
+
+@query()
+def locally_aligned_turns(t):
+    """Turns as timed words, with a silence after every fifth, aligned to the words of the turn before them (dynamic programming: no SQL)."""
+    before = F.lag("text").over(W.partitionBy("conv_id").orderBy("turn"))
+    d = t.conversations.withColumn("ref", X.words(F.lower(before))).withColumn("said", X.words(F.lower("text"))).filter("ref IS NOT NULL")
+    word = lambda w, i: F.struct((i * 0.5).alias("start"), F.lit(0.4).alias("dur"), w.alias("word"))
+    quiet = lambda i: F.when(i % 5 == 4, F.array(F.struct((i * 0.5 + 0.4).alias("start"), F.lit(0.1).alias("dur"), F.lit(G.EPS).alias("word"))))
+    d = d.withColumn("words", F.flatten(F.transform("said", lambda w, i: F.concat(F.array(word(w, i)), F.coalesce(quiet(i), F.array().cast("array<struct<start:double,dur:double,word:string>>"))))))
+    return d.select("conv_id", "turn", F.posexplode(G.locally_aligned(d, "ref", "words")).alias("pos", "line")).select("conv_id", "turn", "pos", F.round("line.start", 3).alias("start"), "line.dur", "line.hyp", "line.ref", "line.edit_type")

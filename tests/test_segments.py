@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from corpusflow.functions import kernels
 from corpusflow.operators import segments as G
 
 EPS = G.EPS
@@ -174,3 +175,56 @@ def test_merged_edits(spark):
     assert got == wanted
     with pytest.raises(Exception, match="words and edits differ in 1"):
         G.merged_edits(spark.createDataFrame([(1, 0, 0.0, 1.0, "a")], t.schema), spark.createDataFrame([(1, 0, "b", "b")], p.schema)).collect()
+
+
+def plain_local(ref, hyp, c, s, d, i, whole):
+    """The table cell by cell, and the way back."""
+    least = -(len(hyp) + 2) if whole else 0
+    best = {(a, b): 0 for a in range(len(ref) + 1) for b in range(len(hyp) + 1)}
+    back: dict = {}
+    if whole:
+        for b in range(1, len(hyp) + 1):
+            best[0, b], back[0, b] = best[0, b - 1] - i, (0, b - 1)
+    top, end = None, None
+    for a in range(1, len(ref) + 1):
+        for b in range(1, len(hyp) + 1):
+            now, way = least, None
+            pair = best[a - 1, b - 1] + (c if ref[a - 1] == hyp[b - 1] else -s)
+            if pair >= now if whole else pair > 0:
+                now, way = pair, (a - 1, b - 1)
+            for cost, cell in ((d, (a - 1, b)), (i, (a, b - 1))):
+                if best[cell] - cost > now:
+                    now, way = best[cell] - cost, cell
+            best[a, b] = now
+            if way:
+                back[a, b] = way
+            if (not whole or b == len(hyp)) and (top is None or now >= top):
+                top, end = now, (a, b)
+    out = []
+    while end in back and (end[1] or not whole):
+        cell = back[end]
+        out.append((cell[0] if cell[0] < end[0] else None, cell[1] if cell[1] < end[1] else None))
+        end = cell
+    return out[::-1], top or 0, end == (0, 0)
+
+
+def test_local_words_against_plain_table():
+    rng = random.Random(6)
+    for _ in range(400):
+        ref, hyp = ([rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        scores = rng.choice([(1, 1, 1, 1), (2, 1, 1, 3), (3, 2, 2, 1)])
+        for whole in (False, True):
+            want, top, corner = plain_local(ref, hyp, *scores, whole)
+            assert kernels.local_words(ref, hyp, *scores, whole, True) == (want, top)
+            short = want[1:] if corner else want
+            assert kernels.local_words(ref, hyp, *scores, whole)[0] == short
+
+
+def test_locally_aligned_lines(spark):
+    words = [(0.0, 0.4, "b"), (0.5, 0.4, "x"), (1.0, 0.4, EPS), (1.5, 0.4, "d"), (2.0, 0.3, "q")]
+    d = spark.createDataFrame([(1, "a b c d".split(), words), (2, None, None), (3, ["a"], None)], "k int, ref array<string>, words array<struct<start:double,dur:double,word:string>>")
+    got = {r.k: [tuple(x) for x in r.lines] for r in d.select("k", G.locally_aligned(d, "ref", "words", correct=3).alias("lines")).collect()}
+    assert got[1] == [(0.0, 0.4, "b", "b", "cor"), (0.5, 0.4, "x", EPS, "ins"), (0.9, 0.0, EPS, "c", "del"), (1.0, 0.4, EPS, EPS, "sil"), (1.5, 0.4, "d", "d", "cor"), (2.0, 0.3, "q", EPS, "ins")]
+    assert got[2] == [] and got[3] == []
+    d = spark.createDataFrame([(1, "z a b c".split(), [(0.0, 0.4, "a"), (0.5, 0.1, EPS), (1.0, 0.4, "c")])], "k int, ref array<string>, words array<struct<start:double,dur:double,word:string>>")
+    assert [tuple(x) for x in d.select(G.locally_aligned(d, "ref", "words", correct=3).alias("x")).first().x] == [(0.0, 0.4, "a", "a", "cor"), (0.4, 0.0, EPS, "b", "del"), (0.5, 0.1, EPS, EPS, "sil"), (1.0, 0.4, "c", "c", "cor")]
