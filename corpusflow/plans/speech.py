@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
+from corpusflow.operators import lexicons as L
 from corpusflow.operators import segments as G
 from corpusflow.operators import sequences as S
 from corpusflow.plans.catalog import query
@@ -72,3 +73,52 @@ def locally_aligned_turns(t):
     quiet = lambda i: F.when(i % 5 == 4, F.array(F.struct((i * 0.5 + 0.4).alias("start"), F.lit(0.1).alias("dur"), F.lit(G.EPS).alias("word"))))
     d = d.withColumn("words", F.flatten(F.transform("said", lambda w, i: F.concat(F.array(word(w, i)), F.coalesce(quiet(i), F.array().cast("array<struct<start:double,dur:double,word:string>>"))))))
     return d.select("conv_id", "turn", F.posexplode(G.locally_aligned(d, "ref", "words")).alias("pos", "line")).select("conv_id", "turn", "pos", F.round("line.start", 3).alias("start"), "line.dur", "line.hyp", "line.ref", "line.edit_type")
+
+
+def pronunciations(t):
+    """(candidates, arcs, soft counts): items' kinds as words, brands as phones; sale lines are places where a word was heard."""
+    items = t.items.filter("kind IS NOT NULL AND brand IS NOT NULL").select("item_id", F.col("kind").alias("word"), F.col("brand").alias("pron"), "size")
+    lexicon = lambda k: items.filter(F.col("size") % 5 == k).select("word", "pron").distinct()
+    c = L.candidates(lexicon(0), lexicon(1), lexicon(2).unionByName(items.select("word", F.lit("SIL").alias("pron")).distinct()), items, ["SIL"])
+    heard = t.sale_lines.filter("sale_id IS NOT NULL AND item_id IS NOT NULL AND line_no IS NOT NULL").join(items.select("item_id", "word", "pron"), "item_id")
+    arcs = heard.groupBy("word", F.col("sale_id").alias("utt"), F.col("line_no").alias("start"), "pron").agg(F.least(F.lit(1.0), F.count("*") / 4).alias("n"))
+    return c, arcs, arcs.groupBy("word", "pron").agg(F.sum("n").alias("n"))
+
+
+_SQL_PRONS = """i AS (SELECT item_id, kind AS word, brand AS pron, size FROM items WHERE kind IS NOT NULL AND brand IS NOT NULL),
+ c AS (SELECT DISTINCT word, pron, ['R', 'G', 'P'][size % 5 + 1] AS source FROM i WHERE size % 5 < 3),
+ a AS (SELECT word, sale_id, line_no, pron, least(1.0, count(*) / 4) AS n FROM sale_lines JOIN i USING (item_id) WHERE sale_id IS NOT NULL AND line_no IS NOT NULL GROUP BY ALL),
+ n AS (SELECT word, pron, sum(n) AS n FROM a GROUP BY ALL),
+ s AS (SELECT word, source, count(*) AS held, CASE source WHEN 'R' THEN 0.6 WHEN 'G' THEN 0.3 ELSE 0.1 END AS mean FROM c GROUP BY ALL),
+ r AS (SELECT word, source, 15.0 * mean / sum(mean) OVER (PARTITION BY word) / held AS prior FROM s),
+ m AS (SELECT c.word, c.pron, source, prior + coalesce(n, 0) AS mass FROM c JOIN r USING (word, source) LEFT JOIN n ON n.word = c.word AND n.pron = c.pron),
+ p AS (SELECT word, pron, source, mass / sum(mass) OVER (PARTITION BY word) AS posterior FROM m)"""
+
+
+@query(f"WITH {_SQL_PRONS} SELECT word, pron, source, round(posterior, 6) AS posterior FROM p")
+def pron_posteriors(t):
+    """Posteriors of pronunciations from soft counts and priors by source."""
+    c, _, counts = pronunciations(t)
+    return L.pron_posteriors(c, counts, {"R": 0.6, "G": 0.3, "P": 0.1}).withColumn("posterior", F.round("posterior", 6))
+
+
+@query()
+def learned_prons(t):
+    """Pronunciations by posterior: number, mass, equals and what the reference adds (held against plain Python)."""
+    c, _, counts = pronunciations(t)
+    return L.select_by_posterior(L.pron_posteriors(c, counts, {"R": 0.6, "G": 0.3, "P": 0.1}))
+
+
+@query()
+def greedy_prons(t):
+    """Pronunciations that are left when those whose loss costs least likelihood go (expectation and maximisation: no SQL)."""
+    c, arcs, _ = pronunciations(t)
+    return L.select_greedily(c, arcs, {"R": 0.01, "G": 0.05, "P": 0.1}, {"R": 0, "G": 10, "P": 10})
+
+
+@query()
+def edited_lexicon(t):
+    """The reference lexicon after the edits that learning by posterior proposes."""
+    c, _, counts = pronunciations(t)
+    learned = L.select_by_posterior(L.pron_posteriors(c, counts, {"R": 0.6, "G": 0.3, "P": 0.1}))
+    return L.edited_lexicon(c.filter("source = 'R'"), L.lexicon_edits(c, learned, counts))
