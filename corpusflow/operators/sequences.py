@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusflow.operators.relational import numbered
+
 
 def sessions(df: DataFrame, key: str, start: str, end: str, gap: float, tie: str) -> DataFrame:
     """Rows numbered by session: a new one where a row begins more than ``gap`` after the row before ended."""
@@ -174,6 +176,41 @@ def combine_utterances(df: DataFrame, least: float, speaker: str = "speaker", ke
     return df.select(speaker, key, F.col("dur").cast("double")).groupBy(speaker).applyInPandas(merge, f"{speaker} string, name string, members array<string>, dur double")
 
 
+def combine_across_speakers(df: DataFrame, least: float, speaker: str = "speaker", key: str = "utt") -> DataFrame:
+    """Utterances merged within a speaker, and what is still short then with its neighbours in the order of (speaker, utt): (name, speaker, members, dur).
+
+    Only what is too short looks for a neighbour, so two neighbours that are both long enough never meet: the order is cut between them,
+    and each stretch is merged on its own.  A stretch is short utterances with single long ones between and around them; only where
+    speaker after speaker is too short as a whole does it grow.  The name is the first member's and their number; the
+    speaker is the one with the most seconds, of equals (to 1e-5) the first by name.
+    """
+    within = combine_utterances(df, least, speaker, key)
+    placed = numbered(within.withColumn("__first", F.col("members")[0]), [speaker, "__first"], "__place")
+    placed = placed.withColumn("__long", ~(F.col("dur") < least - 1e-5))
+    before = placed.select((F.col("__place") + 1).alias("__place"), F.col("__long").alias("__before"))
+    cut = placed.join(before, "__place", "left").withColumn("__cut", (F.col("__long") & F.coalesce("__before", F.lit(False))).cast("long"))
+    stretch = numbered(cut, ["__place"], "__again", "__stretch", "__cut").withColumn("__stretch", F.col("__stretch") + F.col("__cut"))
+    sizes = stretch.groupBy("__stretch").agg(F.count("*").alias("__n"))
+    stretch = stretch.join(sizes, "__stretch").select("__stretch", "__n", "__place", speaker, "members", "dur")
+    alone = stretch.filter("__n = 1").select(F.when(F.size("members") == 1, F.col("members")[0]).otherwise(F.concat(F.col("members")[0], F.lit("-comb"), F.size("members").cast("string"))).alias("name"), speaker, "members", "dur")
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__place")
+        rows = []
+        for a, b in combined(pdf["dur"].tolist(), least):
+            ids = [m for part in pdf["members"].iloc[a:b] for m in part]
+            seconds: dict[str, float] = {}
+            for who, d in zip(pdf[speaker].iloc[a:b], pdf["dur"].iloc[a:b], strict=True):
+                seconds[who] = seconds.get(who, 0.0) + d
+            best = None
+            for who in sorted(seconds):
+                best = who if best is None or seconds[best] < seconds[who] - 1e-5 else best
+            rows.append((ids[0] if len(ids) == 1 else f"{ids[0]}-comb{len(ids)}", best, ids, float(pdf["dur"].iloc[a:b].sum())))
+        return pd.DataFrame(rows, columns=["name", speaker, "members", "dur"])
+
+    return alone.unionByName(stretch.filter("__n > 1").groupBy("__stretch").applyInPandas(merge, f"name string, {speaker} string, members array<string>, dur double"))
+
+
 def split_speakers(df: DataFrame, speaker: str, key: str, most: int) -> DataFrame:
     """Speakers cut into runs of at most ``most`` utterances, numbered with leading zeros."""
     rn = F.row_number().over(W.partitionBy(speaker).orderBy(key)) - 1

@@ -122,3 +122,10 @@ def edited_lexicon(t):
     c, _, counts = pronunciations(t)
     learned = L.select_by_posterior(L.pron_posteriors(c, counts, {"R": 0.6, "G": 0.3, "P": 0.1}))
     return L.edited_lexicon(c.filter("source = 'R'"), L.lexicon_edits(c, learned, counts))
+
+
+@query()
+def combined_across_speakers(t):
+    """Turns merged within a conversation, and what is too short as a whole with its neighbours (greedy: no SQL)."""
+    d = t.conversations.select(F.format_string("c%08d", "conv_id").alias("speaker"), F.format_string("c%08d-%04d", "conv_id", "turn").alias("utt"), (F.greatest(F.length("text"), F.lit(1)) / 100).alias("dur"))
+    return S.combine_across_speakers(d, 8.0).select("name", "speaker", F.size("members").alias("members"), F.round("dur", 4).alias("dur"))

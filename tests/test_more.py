@@ -169,3 +169,57 @@ def test_scores_by_joins(spark):
     table = {tuple(g.split(" ")): (p, b) for _, g, p, b in rows}
     want = {k: lm.sentence_logprob(table, t.split(), 3) for k, t in texts}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def greedy_merge(durations, least):
+    """The rule on one list, with sets of neighbours instead of positions in a list of pieces."""
+    less = lambda x, y: x < y - 1e-5
+    groups = {i: [i] for i in range(len(durations))}
+    total = lambda g: sum(durations[i] for i in g)
+    owner = dict(enumerate(range(len(durations))))
+    todo = [i for i in range(len(durations)) if less(durations[i], least)]
+    while todo:
+        k = todo.pop()
+        if k not in groups or not less(total(groups[k]), least):
+            continue
+        first, last = groups[k][0], groups[k][-1]
+        left = groups[owner[first - 1]] if first else None
+        right = groups[owner[last + 1]] if last + 1 < len(durations) else None
+        if left is None and right is None:
+            break
+        own = total(groups[k])
+        to_left = right is None or (left is not None and not less(total(left) + own, least) and (less(total(right) + own, least) or less(total(left), total(right))))
+        a, b = (left[0], k) if to_left else (k, right[0])
+        groups[a] += groups.pop(b)
+        owner |= dict.fromkeys(groups[a], a)
+        if not to_left:
+            todo.append(k)
+    return [(g[0], g[-1] + 1) for _, g in sorted(groups.items())]
+
+
+def test_combined_across_speakers(spark):
+    import random
+
+    from corpusflow.operators import sequences as S
+
+    rng = random.Random(8)
+    for short in (0.2, 0.6, 1.0):
+        rows = []
+        for k in range(120):
+            whole = rng.random() < short
+            rows += [(f"s{k:03}", f"s{k:03}-{i}", round(rng.uniform(0.1, 0.9 if whole else 4), 2)) for i in range(rng.randint(1, 2 if whole else 4))]
+        want, groups = [], []
+        for spk in sorted({r[0] for r in rows}):
+            own = sorted(r for r in rows if r[0] == spk)
+            groups += [own[a:b] for a, b in greedy_merge([r[2] for r in own], 2.0)]
+        for a, b in greedy_merge([sum(r[2] for r in g) for g in groups], 2.0):
+            members = [r for g in groups[a:b] for r in g]
+            by = {}
+            for r in members:
+                by[r[0]] = by.get(r[0], 0) + r[2]
+            most = max(by.values())
+            ids = [r[1] for r in members]
+            want.append((ids[0] if len(ids) == 1 else f"{ids[0]}-comb{len(ids)}", min(s for s, d in by.items() if d >= most - 1e-5), ids))
+        d = spark.createDataFrame(rows, "speaker string, utt string, dur double").repartition(3)
+        got = [(r.name, r.speaker, r.members) for r in S.combine_across_speakers(d, 2.0).collect()]
+        assert sorted(got) == sorted(want) and len({s for _, s, m in want if len(m) > 1}) > 5
