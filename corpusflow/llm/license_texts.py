@@ -1,4 +1,5 @@
-"""Licence templates: notices, standard headers, opening grants and whole short licences, as they are put into files.
+"""Licence templates: notices and mentions in several phrasings, identifier lines, standard headers, opening grants, whole
+short licences and the beginnings of long ones, as they are put into files.
 
 Fixed values: the public texts of the licences, by (SPDX name, form).
 """
@@ -133,3 +134,48 @@ TEMPLATES: dict[tuple[str, str], str] = {
         "must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."
     ),
 }
+
+
+#: What licences are called in running text, the shorter names first where one is part of another's usual phrase.
+NAMES: dict[str, tuple[str, ...]] = {
+    "AGPL-3.0": ("GNU Affero General Public License version 3", "GNU Affero General Public License v3.0", "GNU AGPL v3", "AGPL-3.0 license"),
+    "Apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache 2.0 license"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0"),
+    "CC-BY-4.0": ("Creative Commons Attribution 4.0 International License", "CC BY 4.0 license"),
+    "CC-BY-SA-4.0": ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0 license"),
+    "GPL-2.0": ("GNU General Public License version 2", "GNU General Public License v2.0", "GNU GPL v2", "GPLv2 license"),
+    "GPL-3.0": ("GNU General Public License version 3", "GNU General Public License v3.0", "GNU GPL v3", "GPLv3 license"),
+    "ISC": ("ISC License",),
+    "LGPL-2.1": ("GNU Lesser General Public License version 2.1", "GNU Lesser General Public License v2.1", "GNU LGPL v2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License version 3", "GNU Lesser General Public License v3.0", "GNU LGPL v3"),
+    "MIT": ("MIT License",),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License, v. 2.0"),
+    "Zlib": ("zlib License",),
+}
+#: "This project is MIT licensed."
+SHORT_NAMES = {"Apache-2.0": ("Apache 2.0",), "BSD-3-Clause": ("BSD 3-Clause",), "BSD-2-Clause": ("BSD 2-Clause",), "ISC": ("ISC",), "MIT": ("MIT",), "GPL-3.0": ("GPLv3", "GPL-3.0"), "GPL-2.0": ("GPLv2", "GPL-2.0"), "MPL-2.0": ("MPL 2.0",), "Zlib": ("zlib",)}
+#: Licences that their line in source files names.
+LINES = ("0BSD", "AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib")
+#: How the long licences begin, which are known by that.
+_GNU_OPENING = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+OPENINGS = {
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> " + _GNU_OPENING,
+    "Apache-2.0": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions.",
+    "GPL-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA " + _GNU_OPENING,
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> " + _GNU_OPENING,
+    "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/> " + _GNU_OPENING,
+    "MPL-2.0": 'Mozilla Public License Version 2.0 1. Definitions 1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.',
+}
+for _license, _names in NAMES.items():
+    for _k, _name in enumerate(_names):
+        TEMPLATES[_license, f"mention {2 * _k}"] = f"under the {_name}"
+        TEMPLATES[_license, f"mention {2 * _k + 1}"] = f"terms of the {_name}"
+for _license, _names in SHORT_NAMES.items():
+    for _k, _name in enumerate(_names):
+        TEMPLATES[_license, f"short {_k}"] = f"is {_name} licensed"
+for _license in LINES:
+    TEMPLATES[_license, "line"] = f"SPDX-License-Identifier: {_license}"
+for _license, _text in OPENINGS.items():
+    TEMPLATES[_license, "opening"] = _text

@@ -381,16 +381,16 @@ def test_licences(spark):
     rng = random.Random(1)
     rows = [(k, "A tale goes before it.\n" + TEMPLATES[n].replace(" ", "\n * ", 9) + " And after it the tale goes on and on.") for k, n in enumerate(keys)]
     more = ["x\nLicensed under CC BY-NC 4.0.\ny", "Released under the MIT License, as is.", "We licensed the stage under the moon of the public", "This work is licensed under the\nGNU General Public License, version 3.", None, "", TEMPLATES["MIT", "body"] + "\n" + TEMPLATES["Apache-2.0", "header"], "Released under the MIT License. " * 5]
-    rows += [(100 + k, t) for k, t in enumerate(more)]
+    rows += [(1000 + k, t) for k, t in enumerate(more)]
     for k, n in enumerate(keys):  # with words changed
         w = TEMPLATES[n].split()
         for _ in range(max(1, len(w) // 12)):
             w[rng.randrange(len(w))] = rng.choice(["zebra", "the", "under"])
-        rows.append((200 + k, "It was so. " + " ".join(w)))
+        rows.append((2000 + k, "It was so. " + " ".join(w)))
     got = {r.doc_id: [tuple(m) for m in r.matches] for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: plain_matches(t) for i, t in rows}
     assert [[m[2:4] for m in got[k]] for k in range(len(keys))] == [[n] for n in keys]
-    names = [[m[2] for m in got[100 + k]] for k in range(len(more))]
+    names = [[m[2] for m in got[1000 + k]] for k in range(len(more))]
     assert names == [["CC-BY-NC-4.0"], ["MIT"], [], ["GPL-3.0"], [], [], ["MIT", "Apache-2.0"], ["MIT"] * 5]
 
 
