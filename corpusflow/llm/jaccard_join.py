@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.llm.arrow import bounded_batches, slices
@@ -49,8 +50,8 @@ COUNTED = (1 << 40) - 1
 BLOCK = 1 << 17
 #: Sizes of a band, the largest over the smallest.
 BAND = 1.02
-#: Candidate pairs that a block of rare n-grams takes.
-BLOCK_PAIRS = 1000
+#: The same for a block of candidate pairs; it holds no more than this, one pair and one document.
+PAIR_BLOCK = 1 << 19
 
 
 def first_part(n: int, percent: int) -> int:
@@ -279,12 +280,18 @@ def multiply(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _pair_blocks(rare: DataFrame) -> DataFrame:
-    """(block, id): every candidate pair lies in one block; pairs of a neighbourhood lie together."""
+    """(block, id): every candidate pair (a, b, na, nb) lies in one block; pairs of a neighbourhood lie together.
+
+    A neighbourhood's pairs are cut in order where their shingles fill a block, so that one b with many partners is in as
+    many blocks as these need.
+    """
     both = rare.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(rare.select(F.col("b").alias("x"), F.col("a").alias("y")))
     label = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("label"))
-    placed = rare.join(label.select(F.col("x").alias("a"), F.col("label").alias("la")), "a").join(label.select(F.col("x").alias("b"), F.col("label").alias("lb")), "b").select("a", "b", F.least("la", "lb").alias("place"))
-    many = placed.groupBy("place").agg(F.ceil(F.count("*") / F.lit(BLOCK_PAIRS)).alias("parts"))
-    placed = placed.join(many, "place").select("a", "b", F.concat_ws("/", F.lit("p"), "place", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("block"))
+    placed = rare.join(label.select(F.col("x").alias("a"), F.col("label").alias("la")), "a").join(label.select(F.col("x").alias("b"), F.col("label").alias("lb")), "b").select("a", "b", "na", "nb", F.least("la", "lb").alias("place"))
+    w = W.partitionBy("place").orderBy("b", "a")
+    cost = F.col("na") + 256 + F.when(F.lag("b").over(w) == F.col("b"), 0).otherwise(F.col("nb") + 256)
+    placed = placed.withColumn("cost", cost).withColumn("upto", F.sum("cost").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    placed = placed.select("a", "b", F.concat_ws("/", F.lit("p"), "place", F.floor(F.col("upto") / F.lit(PAIR_BLOCK))).alias("block"))
     return placed.select("block", F.col("a").alias("id")).unionByName(placed.select("block", F.col("b").alias("id"))).distinct()
 
 
@@ -378,7 +385,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     pairs = candidates(together, percent, HOT).groupBy("hot", "a", "b").agg(F.count("*").alias("k"), F.max("na").alias("na"), F.max("nb").alias("nb"))
     rest = lambda n: F.col(n).cast("long") - _first(F.col(n), percent)  # noqa: E731  what follows a first part
     enough = F.col("k") + F.greatest(rest("na"), rest("nb")) >= _need(F.col("na"), F.col("nb"), percent)
-    found = scratch.table(pairs.filter(F.col("hot") | enough).select("hot", "a", "b", "na"))
+    found = scratch.table(pairs.filter(F.col("hot") | enough).select("hot", "a", "b", "na", "nb"))
     of = scratch.table(components(_links(spark, docs, found, words, percent, scratch), scratch))
     scratch.keep_only(known, classes, of)
     owner = classes.join(of, classes.rep == of.id, "left").select("digest", F.coalesce("component", "rep").alias("component"))

@@ -260,7 +260,7 @@ def plain_components(rows, words, percent):
 def test_components(hot, words, percent, spark, small_data, texts, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", hot)
     monkeypatch.setattr(jaccard_join, "BLOCK", 1 << 11)
-    monkeypatch.setattr(jaccard_join, "BLOCK_PAIRS", 5)
+    monkeypatch.setattr(jaccard_join, "PAIR_BLOCK", 1 << 12)
     monkeypatch.setattr(scratch, "BROADCAST_ROWS", 40 if hot == 3 else 1000)
     rng = random.Random(0)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]

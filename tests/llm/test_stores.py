@@ -175,3 +175,25 @@ def test_band_join(spark):
 @pytest.mark.parametrize("name", ["op11_id_store", "op12_impact_search", "op13_band_join"])
 def test_registered(name):
     assert name in queries.QUERIES and (name in queries.ORACLES) == (name != "op11_id_store")
+
+
+def test_blocks_of_pairs_are_bounded(spark, monkeypatch):
+    """No block has more shingles than the bound, one pair and one document; every pair lies in one block."""
+    from corpusflow.llm import jaccard_join
+
+    rng = random.Random(7)
+    size = {i: rng.choice([1, 20, 300, 3000]) for i in range(400)}
+    pairs = {tuple(sorted(rng.sample(range(400), 2))) for _ in range(1500)} | {(i, 399) for i in range(399)}
+    rare = spark.createDataFrame([(a, b, size[a], size[b]) for a, b in pairs], "a long, b long, na long, nb long")
+    for bound in (2000, 20_000):
+        monkeypatch.setattr(jaccard_join, "PAIR_BLOCK", bound)
+        blocks: dict = {}
+        for r in jaccard_join._pair_blocks(rare).collect():
+            blocks.setdefault(r.block, set()).add(r.id)
+        weight = lambda ids: sum(size[i] + 256 for i in ids)
+        assert max(map(weight, blocks.values())) <= bound + 3 * (3000 + 256)
+        where: dict = {}
+        for name, ids in blocks.items():
+            for i in ids:
+                where.setdefault(i, set()).add(name)
+        assert all(where[a] & where[b] for a, b in pairs) and len(where[399]) > 10
