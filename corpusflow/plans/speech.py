@@ -129,3 +129,21 @@ def combined_across_speakers(t):
     """Turns merged within a conversation, and what is too short as a whole with its neighbours (greedy: no SQL)."""
     d = t.conversations.select(F.format_string("c%08d", "conv_id").alias("speaker"), F.format_string("c%08d-%04d", "conv_id", "turn").alias("utt"), (F.greatest(F.length("text"), F.lit(1)) / 100).alias("dur"))
     return S.combine_across_speakers(d, 8.0).select("name", "speaker", F.size("members").alias("members"), F.round("dur", 4).alias("dur"))
+
+
+@query()
+def segmented_recordings(t):
+    """Conversations as long recordings, their turns (every ninth missing, others put before and after) as transcripts: segments with their text."""
+    from corpusflow.operators import relational as R
+    from corpusflow.plans import longform
+    from corpusflow.session import folder
+
+    turn = t.conversations.select("conv_id", "turn", X.words(F.lower("text")).alias("w"))
+    w = W.partitionBy("conv_id").orderBy("turn", "i")
+    flat = turn.select("conv_id", "turn", F.posexplode("w").alias("i", "word"))
+    words = flat.select(F.col("conv_id").alias("recording"), ((F.row_number().over(w) - 1) * 0.4).alias("start"), F.lit(0.35).alias("dur"), "word")
+    told = turn.filter("turn % 9 <> 8").select("conv_id", F.col("turn").cast("int").alias("turn"), F.array_join("w", " ").alias("text"))
+    told = told.unionByName(t.conversations.select("conv_id").distinct().select("conv_id", F.explode(F.array(F.lit(-1), F.lit(1 << 30))).alias("turn"), F.lit("music and other words that nobody says here").alias("text")))
+    transcripts = R.collected(told, "conv_id", "text", ["turn"], name="text").withColumnRenamed("conv_id", "recording")
+    made = longform.segmented(t.spark, words, transcripts, folder(t.spark), longform.LongForm(document_words=200))
+    return made.select("recording", "segment", "start", "end", "text")

@@ -228,3 +228,50 @@ def test_locally_aligned_lines(spark):
     assert got[2] == [] and got[3] == []
     d = spark.createDataFrame([(1, "z a b c".split(), [(0.0, 0.4, "a"), (0.5, 0.1, EPS), (1.0, 0.4, "c")])], "k int, ref array<string>, words array<struct<start:double,dur:double,word:string>>")
     assert [tuple(x) for x in d.select(G.locally_aligned(d, "ref", "words", correct=3).alias("x")).first().x] == [(0.0, 0.4, "a", "a", "cor"), (0.4, 0.0, EPS, "b", "del"), (0.5, 0.1, EPS, EPS, "sil"), (1.0, 0.4, "c", "c", "cor")]
+
+
+def test_long_recordings(spark, tmp_path):
+    """Passages of imprecise transcripts are found again: recall of spoken words, and texts that are what was said."""
+    from corpusflow.plans import longform
+
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(600)]
+    words, transcripts = [], []
+    for rec in range(4):
+        said = rng.choices(vocabulary, k=700)
+        told = list(said)
+        for i in range(0, len(told), 90):
+            told[i] = "wrong"
+        del told[300:310]
+        told = rng.choices(vocabulary, k=150) + told + rng.choices(vocabulary, k=150)
+        words += [(f"r{rec}", round(0.4 * i, 3), 0.35, w) for i, w in enumerate(said)]
+        transcripts.append((f"r{rec}", " ".join(told)))
+    w = spark.createDataFrame(words, "recording string, start double, dur double, word string")
+    t = spark.createDataFrame(transcripts, "recording string, text string")
+    got = longform.segmented(spark, w, t, str(tmp_path), longform.LongForm(document_words=150))
+    r = longform.recall(got, w).first()
+    assert r.spoken == 2800 and r.found >= 0.9 * r.spoken
+    by = {}
+    for rec, start, dur, word in words:
+        by.setdefault(rec, []).append((start + dur / 2, word))
+    right = total = 0
+    for s in got.collect():
+        spoken = [x for m, x in by[s.recording] if s.start <= m <= s.end]
+        text = [x for x in s.text.split() if x != "<unk>"]
+        right, total = right + sum(x in spoken for x in text), total + len(text)
+    assert right >= 0.97 * total
+
+
+def test_models_of_windows_reach_the_decoder(spark, tmp_path):
+    from corpusflow.plans import longform
+
+    seen = {}
+
+    def decode(heard, models):
+        seen["keys"] = {(r.query.recording, r.query.window) for r in models.select("query").distinct().collect()}
+        return heard
+
+    words = spark.createDataFrame([("a", 0.5 * i, 0.4, f"w{i}") for i in range(100)], "recording string, start double, dur double, word string")
+    text = spark.createDataFrame([("a", " ".join(f"w{i}" for i in range(100)))], "recording string, text string")
+    got = longform.segmented(spark, words, text, str(tmp_path), longform.LongForm(document_words=40, decode=decode)).collect()
+    assert seen["keys"] == {("a", 0), ("a", 1)} and " ".join(r.text for r in got).replace("<unk> ", "").startswith("w0 w1 w2")
