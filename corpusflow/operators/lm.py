@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words
-from corpusflow.session import folder, ship
+from corpusflow.session import folder, ship, written
 
 END = "</w>"
 #: Codes of symbols: 0 between words, then characters, characters at the end of a word (from ENDED), merged symbols (from MADE).
@@ -327,3 +327,60 @@ def score_sentences(df: DataFrame, text: str, model: DataFrame, most_grams: int
         return pa.array([None if t is None else sentence_logprob(sent.value, t.split(), order) for t in texts.to_pylist()], pa.float64())
 
     return run(F.col(text))
+
+
+def kn_levels(docs: DataFrame, text: str, order: int) -> list[DataFrame]:
+    """For orders 1 to ``order``: (history, word, c, k), counts of n-grams and of the distinct words before them, with sentence marks.
+
+    The highest n-grams are counted in the texts; a lower one's count is that of all that end in it, and of the texts that
+    begin with it, which have no word before it.
+    """
+    w = F.concat(F.array(F.lit("<s>")), words(F.lower(F.col(text))), F.array(F.lit("</s>")))
+    lines = docs.select(w.alias("__w"))
+    gram = F.when(F.size("__w") >= order, F.transform(F.sequence(F.lit(1), F.size("__w") - order + 1), lambda i: F.slice("__w", i, order)))
+    level = written(lines.select(F.explode(gram).alias("g")).groupBy("g").agg(F.count("*").alias("c")))
+    out = [level.withColumn("k", F.lit(0).cast("long"))]
+    for n in range(order - 1, 0, -1):
+        starts = lines.filter(F.size("__w") >= n).groupBy(F.slice("__w", 1, n).alias("g")).agg(F.count("*").alias("c"), F.lit(0).cast("long").alias("k"))
+        ends = level.groupBy(F.slice("g", 2, n).alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("k"))
+        level = written(ends.unionByName(starts).groupBy("g").agg(F.sum("c").alias("c"), F.sum("k").alias("k")))
+        out.append(level)
+    return [d.select(F.slice("g", 1, n).alias("history"), F.element_at("g", -1).alias("word"), "c", "k") for n, d in enumerate(reversed(out))]
+
+
+def kn_model(docs: DataFrame, text: str, order: int = 3) -> DataFrame:
+    """(order, gram, logp, backoff): a Kneser-Ney model of any order that backs off, as ``joined_scores`` and ARPA files have it.
+
+    D is n1 / (n1 + 2 n2) of an order's counts, 0 for single words.  f is (c - D) over the history's sum at the highest order, and the same of
+    distinct words before below it; histories that only begin texts have no such words, and keep their counts.  A
+    history's weight is what its f leave, over what the same words leave in the history without its first word; where these
+    leave nothing there is no word to back off to, and its f are raised to a sum of one.
+    """
+    rows = below = None
+    for n, d in enumerate(kn_levels(docs, text, order)):
+        n1, n2 = d.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
+        discount = n1 / (n1 + 2 * n2) if n and n1 else 0.0
+        total = d.groupBy("history").agg(F.sum("c").alias("all"), F.sum("k").alias("kinds"))
+        by_kind = (F.col("kinds") > 0) & F.lit(n < order - 1)
+        f = F.greatest(F.lit(0.0), F.when(by_kind, F.col("k")).otherwise(F.col("c")) - discount) / F.when(by_kind, F.col("kinds")).otherwise(F.col("all"))
+        level = d.join(total, "history").select("history", "word", f.alias("f"))
+        if below is not None:
+            lower = below.select(F.col("history").alias("short"), "word", F.col("f").alias("lower"))
+            both = written(level.withColumn("short", F.slice("history", 2, n)).join(lower, ["short", "word"]))
+            left = both.groupBy("history").agg((1 - F.sum("f")).alias("a"), (1 - F.sum("lower")).alias("b"))
+            level = both.join(left, "history").select("history", "word", F.when(F.col("b") > 1e-12, F.col("f")).otherwise(F.col("f") / (1 - F.col("a"))).alias("f"))
+            weight = left.filter("a > 1e-12 AND b > 1e-12").select(F.col("history").alias("gram"), F.log10(F.col("a") / F.col("b")).alias("backoff"))
+            rows = rows.join(weight, "gram", "left") if n == 1 else rows.filter(F.col("order") < n).unionByName(rows.filter(F.col("order") == n).drop("backoff").join(weight, "gram", "left"))
+        below = level = written(level)
+        own = level.select(F.lit(n + 1).alias("order"), F.concat("history", F.array("word")).alias("gram"), F.when(F.col("f") > 0, F.log10("f")).otherwise(-99.0).alias("logp"))
+        rows = own if rows is None else rows.unionByName(own.withColumn("backoff", F.lit(None).cast("double")))
+        rows = written(rows)
+    if order == 1:
+        rows = rows.withColumn("backoff", F.lit(None).cast("double"))
+    return rows.select("order", F.array_join("gram", " ").alias("gram"), "logp", "backoff")
+
+
+def arpa_lines(model: DataFrame) -> DataFrame:
+    """value: the lines of n-grams in the usual text format."""
+    number = lambda c: F.format_string("%.7f", c)
+    return model.select(F.concat(number("logp"), F.lit("\t"), F.col("gram"), F.coalesce(F.concat(F.lit("\t"), number("backoff")), F.lit(""))).alias("value"))

@@ -114,11 +114,19 @@ def held_out(df: DataFrame, on: Sequence[str], *others: DataFrame) -> DataFrame:
 
 
 def overlap(hyp: DataFrame, ref: DataFrame, key: str = "file") -> DataFrame:
-    """Seconds by which intervals (key, start, end) of two frames overlap, a row a pair that does."""
-    h = hyp.select(key, F.col("start").alias("h_start"), F.col("end").alias("h_end"))
-    r = ref.select(key, F.col("start").alias("r_start"), F.col("end").alias("r_end"))
-    both = h.join(r, key).filter("h_start < r_end AND r_start < h_end")
-    return both.withColumn("seconds", F.least("h_end", "r_end") - F.greatest("h_start", "r_start"))
+    """Seconds by which intervals (key, start, end) of two frames overlap, a row a pair that does.
+
+    Time is cut into buckets as wide as the mean interval, so that an interval has two rows on average; a pair is met in each
+    bucket that both touch and taken in the one where the later of the two begins.  A key with all intervals is as many keys as it has buckets.
+    """
+    size = [d.agg(F.sum(F.abs(F.col("end") - F.col("start"))).cast("double"), F.count("*")).first() for d in (hyp, ref)]
+    width = sum(x[0] or 0.0 for x in size) / max(1, sum(x[1] for x in size)) or 1.0
+    bucket = lambda c: F.floor(c.cast("double") / F.lit(width))
+    cut = lambda d: d.withColumn("__bucket", F.explode(F.sequence(bucket(F.least("start", "end")), bucket(F.greatest("start", "end")))))
+    h = cut(hyp.select(key, "start", "end")).select(key, "__bucket", F.col("start").alias("h_start"), F.col("end").alias("h_end"))
+    r = cut(ref.select(key, "start", "end")).select(key, "__bucket", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    both = h.join(r, [key, "__bucket"]).filter("h_start < r_end AND r_start < h_end").filter(F.col("__bucket") == bucket(F.greatest("h_start", "r_start")))
+    return both.drop("__bucket").withColumn("seconds", F.least("h_end", "r_end") - F.greatest("h_start", "r_start"))
 
 
 def segmentation_scores(hyp: DataFrame, ref: DataFrame, key: str = "file", short: float = 0.2, long: float = 60.0) -> DataFrame:

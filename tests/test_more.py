@@ -223,3 +223,77 @@ def test_combined_across_speakers(spark):
         d = spark.createDataFrame(rows, "speaker string, utt string, dur double").repartition(3)
         got = [(r.name, r.speaker, r.members) for r in S.combine_across_speakers(d, 2.0).collect()]
         assert sorted(got) == sorted(want) and len({s for _, s, m in want if len(m) > 1}) > 5
+
+
+def plain_kn(lines, order):
+    """{gram: (f, weight)} by dictionaries of histories, one n-gram at a time."""
+    count, before = {}, {}
+    for line in lines:
+        w = ["<s>", *line.lower().split(), "</s>"]
+        for i in range(len(w)):
+            for n in range(1, order + 1):
+                if i + n <= len(w):
+                    g = tuple(w[i : i + n])
+                    count[g] = count.get(g, 0) + 1
+                    if i:
+                        before.setdefault(g, set()).add(w[i - 1])
+    f, weight = {}, {}
+    for n in range(1, order + 1):
+        own = {g: c for g, c in count.items() if len(g) == n}
+        n1, n2 = (sum(c == k for c in own.values()) for k in (1, 2))
+        d = n1 / (n1 + 2 * n2) if n > 1 else 0.0
+        for g in own:
+            same = [x for x in own if x[:-1] == g[:-1]]
+            kinds = sum(len(before.get(x, ())) for x in same)
+            if n < order and kinds:
+                f[g] = max(0.0, len(before.get(g, ())) - d) / kinds
+            else:
+                f[g] = (own[g] - d) / sum(own[x] for x in same)
+        for h in {g[:-1] for g in own} if n > 1 else ():
+            after = [g for g in own if g[:-1] == h]
+            a, b = 1 - sum(f[g] for g in after), 1 - sum(f[g[1:]] for g in after)
+            if b <= 1e-12:
+                f |= {g: f[g] / (1 - a) for g in after}
+            elif a > 1e-12:
+                weight[h] = a / b
+    return f, weight
+
+
+def test_kn_model_of_any_order(spark):
+    import math
+    import random
+
+    from corpusflow.operators import lm
+
+    rng = random.Random(11)
+    lines = [" ".join(rng.choices("a b c d e f".split(), [9, 5, 3, 2, 1, 1], k=rng.randint(0, 12))) for _ in range(60)]
+    d = spark.createDataFrame([(x,) for x in lines], "text string")
+    for order in (2, 3, 4):
+        f, weight = plain_kn(lines, order)
+        rows = {tuple(r.gram.split(" ")): r for r in lm.kn_model(d, "text", order).collect()}
+        assert rows.keys() == f.keys()
+        for g, r in rows.items():
+            assert abs((10**r.logp if r.logp > -99 else 0.0) - f[g]) < 1e-9
+            assert (r.backoff is not None) == (g in weight) and (g not in weight or abs(10**r.backoff - weight[g]) < 1e-9)
+
+        def p(history, w):
+            g = (*history, w)
+            return 10 ** rows[g].logp if g in rows and rows[g].logp > -99 else 10 ** (rows[history].backoff or 0.0) * p(history[1:], w) if history else 0.0
+
+        vocabulary = [g[0] for g in rows if len(g) == 1 and g[0] != "<s>"]
+        for h in {g[:-1] for g in rows if len(g) > 1}:
+            assert math.isclose(sum(p(h, w) for w in vocabulary), 1, abs_tol=1e-6)
+
+
+def test_overlaps_in_buckets(spark):
+    import random
+
+    from corpusflow.operators import relational as R
+
+    rng = random.Random(12)
+    spans = lambda n: [(rng.choice("ab"), a := round(rng.uniform(-50, 50), 2), round(a + rng.choice([0, 0.5, 3, 3, 60]), 2)) for _ in range(n)]
+    x, y = spans(120), spans(150)
+    frame = lambda rows: spark.createDataFrame(rows, "file string, start double, end double")
+    got = sorted((r.file, r.h_start, r.h_end, r.r_start, r.r_end) for r in R.overlap(frame(x), frame(y)).collect())
+    assert got == sorted((k, a, b, c, d) for k, a, b in x for q, c, d in y if k == q and a < d and c < b)
+    assert R.overlap(frame(x), frame([])).count() == 0
