@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions import text as X
+from corpusflow.operators import augment as A
 from corpusflow.operators import lexicons as L
 from corpusflow.operators import segments as G
 from corpusflow.operators import sequences as S
@@ -161,3 +162,39 @@ def kn_sentence_scores(t):
     lm.arpa_lines(lm.kn_model(t.documents, "text", 3)).unionByName(unknown).write.text(path)
     asked = t.benchmark.select("item_id", F.lower("text").alias("text"))
     return lm.joined_scores(asked, "item_id", "text", T.arpa(t.spark, path), 3).select("item_id", F.round("logp", 3).alias("logp"))
+
+
+_SQL_ROOMS = """r AS (SELECT p_partkey AS rir, p_brand AS room, CASE WHEN p_size % 3 > 0 THEN p_size / 1000000.0 END AS probability FROM part),
+ t AS (SELECT count(*) FILTER (probability IS NULL) AS none, sum(probability) AS given FROM r),
+ e AS (SELECT rir, room, coalesce(0.7 * probability + 0.3 * even, even) AS p FROM r, (SELECT CASE WHEN none > 0 AND given < 1 THEN (1 - given) / none ELSE 0 END AS even FROM t)),
+ n AS (SELECT rir, room, p / sum(p) OVER () AS p FROM e)"""
+
+
+def rooms(t):
+    """Parts as impulse responses, brands as their rooms; two of three have a probability."""
+    given = F.when(F.col("p_size") % 3 > 0, F.col("p_size") / 1000000.0)
+    return A.smoothed(t.part.select(F.col("p_partkey").alias("rir"), F.col("p_brand").alias("room"), given.alias("probability")), 0.3)
+
+
+@query(f"WITH {_SQL_ROOMS} SELECT room, count(*) AS rirs, round(sum(p), 9) AS probability FROM n GROUP BY room")
+def smoothed_rooms(t):
+    """Smoothed probabilities of rooms: of their impulse responses together."""
+    return rooms(t).groupBy("room").agg(F.count("*").alias("rirs"), F.round(F.sum("probability"), 9).alias("probability"))
+
+
+@query(f"""WITH {_SQL_ROOMS}, c AS (SELECT 'rvb' || k || '-' || o_orderkey AS name FROM orders, (VALUES (1), (2)) v(k)),
+ line AS (SELECT rir, room, coalesce(sum(p) OVER (ORDER BY rir ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a, CASE WHEN lead(rir) OVER (ORDER BY rir) IS NULL THEN 2 ELSE sum(p) OVER (ORDER BY rir ROWS UNBOUNDED PRECEDING) END AS b FROM n WHERE p > 0),
+ u AS (SELECT name, CAST(('0x' || substr(md5('rir/' || name), 1, 8)) AS BIGINT) / 4294967296.0 AS u, CAST(('0x' || substr(md5('wet/' || name), 1, 8)) AS BIGINT) / 4294967296.0 < 0.8 AS wet FROM c)
+ SELECT name, rir, room, wet FROM u ASOF JOIN line ON u.u >= line.a""")
+def reverberated_copies(t):
+    """Two copies of each recording with an impulse response, the same at every run."""
+    named = A.copies(t.orders.select(F.col("o_orderkey").alias("utt")), 2)
+    return A.reverberated(named, rooms(t), 0.8).select("name", "rir", "room", "wet")
+
+
+@query()
+def added_noises(t):
+    """Point noises of the copies: which, through which impulse response, when and how loud (stands on numbering: held against plain Python)."""
+    wet = A.reverberated(A.copies(t.orders.select(F.col("o_orderkey").alias("utt"), (F.col("o_totalprice") / 2000).alias("dur")), 1), rooms(t), 0.8)
+    noises = A.smoothed(t.supplier.select(F.col("s_suppkey").alias("noise"), F.when(F.col("s_suppkey") % 4 == 0, "background").otherwise("foreground").alias("kind"), F.lit(None).cast("double").alias("probability")))
+    return A.noises_added(wet, noises, rooms(t), (20.0, 10.0, 15.0, 5.0, 0.0), (20.0, 10.0), 0.9, 2.0)
