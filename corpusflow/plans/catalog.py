@@ -580,12 +580,8 @@ def speaker_parts(t):
     return S.split_speakers(d, "speaker", "k", 10).select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber", "part")
 
 
-@query()
-def aligned_documents(t):
-    """Benchmark passages found again in whole documents that share eight words in a row with them: fragments of a passage,
-    12 words at most, aligned to the document's text (dynamic programming: no SQL)."""
-    from corpusflow.operators.alignment import align_table, all_in_time
-
+def shared_passages(t):
+    """(doc_id, transcript, item_id, fragments): documents with benchmark passages that share eight words in a row with them."""
     grams = F.expr("CASE WHEN size(words) >= 8 THEN transform(sequence(1, size(words) - 7), i -> xxhash64(slice(words, i, 8))) END")
     worded = lambda df, key: df.select(key, X.words(F.lower("text")).alias("words"))
     gram = lambda df, key: df.select(key, F.explode(F.array_distinct(grams)).alias("gram"))
@@ -595,7 +591,29 @@ def aligned_documents(t):
     parts = F.transform(S.split_documents(F.col("words"), 12), lambda w, i: F.struct((i * 1000).cast("long").alias("start"), ((i + 1) * 1000).cast("long").alias("end"), F.array_join(w, " ").alias("transcript")))
     passages = worded(t.benchmark, "item_id").select("item_id", parts.alias("fragments"))
     d = t.documents.select("doc_id", F.col("text").alias("transcript")).join(shared, "doc_id").join(passages, "item_id")
-    return all_in_time(align_table(d)).select("item_id", "doc_id", F.size("fragments").alias("n"), F.size("alignments.label").alias("aligned"), F.round(F.array_max("alignments.cer").cast("double"), 4).alias("worst_cer"))
+    return d
+
+
+def aligned_passages(t, settings=None):
+    from corpusflow.operators.alignment import Settings, align_table, all_in_time
+
+    made = all_in_time(align_table(shared_passages(t), settings=settings or Settings()))
+    return made.select("item_id", "doc_id", F.size("fragments").alias("n"), F.size("alignments.label").alias("aligned"), F.round(F.array_max("alignments.cer").cast("double"), 4).alias("worst_cer"))
+
+
+@query()
+def aligned_documents(t):
+    """Benchmark passages found again in whole documents that share eight words in a row with them: fragments of a passage,
+    12 words at most, aligned to the document's text (dynamic programming: no SQL)."""
+    return aligned_passages(t)
+
+
+@query()
+def snapped_documents(t):
+    """The same with the ends of matches moved to where they fit best."""
+    from corpusflow.operators.alignment import Settings
+
+    return aligned_passages(t, Settings(snap=True))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 5")

@@ -313,12 +313,12 @@ def headed_csv(t):
     return d.crossJoin(F.broadcast(d.agg(F.count("*").alias("rows"))))  # one row
 
 
-@query("SELECT 'rec' || l_orderkey || ' decode /audio/' || l_orderkey || '.mp3 |' AS line FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 5 > 0")
+@query("SELECT 'rec' || l_orderkey || ' decode /audio/' || l_orderkey || '.mp3 |' AS line FROM (SELECT l_orderkey, sum(l_quantity) * 2e6 AS bytes FROM lineitem GROUP BY 1) WHERE l_orderkey % 5 > 0 AND bytes <= 250e6")
 def unfinished_recordings(t):
-    """Conversion lines for recordings that have no result yet."""
+    """Conversion lines for recordings that have no result yet and are not too large."""
     path = folder(t.spark)
     name = F.format_string("rec%d", "l_orderkey")
-    audio = t.lineitem.select(name.alias("name"), F.format_string("/audio/%d.mp3", "l_orderkey").alias("path")).distinct()
+    audio = t.lineitem.groupBy("l_orderkey").agg((F.sum("l_quantity") * 2e6).alias("bytes")).select(name.alias("name"), F.format_string("/audio/%d.mp3", "l_orderkey").alias("path"), "bytes")
     archives.write_scp(audio, t.lineitem.filter("l_orderkey % 5 = 0").select(name.alias("name")), path, "decode {} |")
     return t.spark.read.text(path).select(F.col("value").alias("line"))
 
@@ -329,12 +329,7 @@ def sample_lists(t):
     path = folder(t.spark)
     d = t.documents.select(F.concat(F.lit("wav/"), F.col("doc_id").cast("string"), F.lit(".wav")).alias("wav_filename"), F.col("n_chars").alias("wav_filesize"), F.col("source").alias("transcript"), F.coalesce("lang", F.lit("none")).alias("list"))
     archives.write_samples(d, path)
-    lists = [r["list"] for r in d.select("list").distinct().collect()]
-    out = None
-    for name in sorted(lists):
-        part = T.samples_csv(t.spark, f"{path}/list={name}").withColumn("list", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return T.samples_csv(t.spark, path)
 
 
 @query("SELECT url, md5(html) AS digest FROM pages WHERE page_id % 2 = 1")

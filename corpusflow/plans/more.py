@@ -383,3 +383,11 @@ def entity_counts(t):
 
     found = models.entities(t.pages, "page_id", "html", {"PERCENT": r"[0-9]+(?:\.[0-9]+)?\s*%", "YEAR": r"20[0-9][0-9]"})
     return found.groupBy("tag").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, lang, 'conversation' AS domain, 'web' AS collected FROM documents")
+def annotated_rows(t):
+    """Constant values on all rows."""
+    from corpusflow.plans import stages
+
+    return stages.annotate(t.documents.select("doc_id", "lang"), {"domain": "conversation", "collected": "web"})

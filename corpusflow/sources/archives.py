@@ -314,9 +314,15 @@ def _headers(stream: io.BytesIO) -> dict[str, str]:
     return out
 
 
-def write_scp(audio: DataFrame, done: DataFrame, path: str, command: str = "cat {}") -> None:
-    """``name command`` lines for recordings without a result yet (both frames have ``name``; audio has ``path``)."""
-    todo = audio.join(done.select("name").distinct(), "name", "left_anti")
+#: Fixed: recordings of more bytes are not converted.
+MOST_BYTES = 250_000_000
+
+
+def write_scp(audio: DataFrame, done: DataFrame, path: str, command: str = "cat {}", most_bytes: int = MOST_BYTES) -> None:
+    """``name command`` lines for recordings without a result yet (both frames have ``name``; audio has ``path``), if they are not too
+    large (``bytes``, where audio has it)."""
+    small = audio.filter(F.col("bytes") <= most_bytes) if "bytes" in audio.columns else audio
+    todo = small.join(done.select("name").distinct(), "name", "left_anti")
     before, after = command.split("{}")
     todo.select(F.concat(F.col("name"), F.lit(" " + before), F.col("path"), F.lit(after)).alias("value")).write.mode("overwrite").text(path)
 
