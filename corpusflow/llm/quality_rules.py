@@ -5,8 +5,8 @@ one bit in ``fail_bits``.  What is kept is decided later by versioned policies,
 over those bits, and a rule's effect is found by bitwise aggregation over the ledger: no text is
 read again for a new policy or an ablation.
 
-Defined results: a null or empty text has no words and fails ``few_words``; repeated rows give
-repeated rows; an empty table gives an empty ledger; extra columns are ignored by ``ledger`` and
+Defined results: a null or empty text has no words and fails ``few_words``; texts are measured
+whole, in work that grows with their length; repeated rows give repeated rows; an empty table gives an empty ledger; extra columns are ignored by ``ledger`` and
 passed through by ``keep_documents``.
 """
 

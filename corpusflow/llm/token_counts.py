@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.arrow import bounded_batches, slices
+from corpusflow.llm.arrow import bounded_batches, fresh, slices
 from corpusflow.llm.tokens import rank_tokenizer
 
 RULES = ("majority", "first", "last")
@@ -94,7 +94,7 @@ def by_field(df: DataFrame, fields: Sequence[str], vocabulary: str, pattern: str
     for f in fields:
         total = total + F.coalesce(F.octet_length(F.col(f).cast("string")), F.lit(0))
         ends.append(total)
-    slim = df.select(*keys, whole.alias("__text"), F.array(*ends).alias("__ends"))
+    slim = df.select(*keys, whole.alias(fresh(df, "__text")), F.array(*ends).alias(fresh(df, "__ends")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.select(*keys).schema) + ", tokens array<bigint>"
     n = len(keys)
 

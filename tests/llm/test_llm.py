@@ -813,6 +813,8 @@ def test_fields(spark):
 
     d = spark.createDataFrame([(1, "title", "the body"), (2, None, "")], "doc_id long, a string, b string")
     got = {r.doc_id: r.n_tokens for r in token_counts.by_field(d, ["a", "b"], P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()}
+    clash = d.selectExpr("doc_id AS __text", "doc_id AS __ends", "a", "b")
+    assert {r["__text"]: r.n_tokens for r in token_counts.by_field(clash, ["a", "b"], P.path("byte_bpe_50k.tiktoken"), P.PATTERN, keys=["__text", "__ends"]).collect()} == got
     assert got[2] == {"a": 0, "b": 0} and sum(got[1].values()) > 0
 
 
