@@ -220,28 +220,29 @@ def split_speakers(df: DataFrame, speaker: str, key: str, most: int) -> DataFram
 def split_speakers_by_seconds(df: DataFrame, speaker: str, key: str, duration: str, most: float) -> DataFrame:
     """Speakers cut into runs of at most ``most`` seconds: an utterance that would make a run longer begins the next one.
 
-    The sum starts anew at each cut, so a speaker's durations (numbers alone) are folded in order.
+    The sum starts anew at each cut, so a speaker's durations (numbers alone) are folded in order, as the sorted rows of a
+    partition come in: a task holds a batch of rows, however many a speaker has.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(duration).cast("double").alias("d"))))
-    per = df.groupBy(speaker).agg(rows.alias("__rows"))
-    kind = dict(df.dtypes)[key]
+    kinds = dict(df.dtypes)
+    rows = df.select(speaker, key, F.col(duration).cast("double").alias("__d")).repartition(speaker).sortWithinPartitions(speaker, key, "__d")
 
     def cut(batches):
         import pyarrow as pa
 
+        begun, own, part, held = False, None, 0, 0.0
         for batch in batches:
-            keys, parts = [], []
-            for who, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                part, held = 0, 0.0
-                for n, r in enumerate(own):
-                    if n and held + r["d"] > most:
-                        part, held = part + 1, 0.0
-                    held += r["d"]
-                    keys.append((who, r["k"]))
-                    parts.append(f"{who}-{part:03d}")
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], batch.schema.field(0).type), pa.array([k[1] for k in keys], batch.schema.field(1).type.value_type.field("k").type), pa.array(parts, pa.string())], names=[speaker, key, "part"])
-
-    return per.mapInArrow(cut, f"{speaker} {dict(df.dtypes)[speaker]}, {key} {kind}, part string")
+            parts = []
+            for who, d in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if not begun or who != own:
+                    begun, own, part, held = True, who, 0, d
+                elif held + d > most:
+                    part, held = part + 1, d
+                else:
+                    held += d
+                parts.append(f"{who}-{part:03d}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.string())], names=[speaker, key, "part"])
+
+    return rows.mapInArrow(cut, f"{speaker} {kinds[speaker]}, {key} {kinds[key]}, part string")
 
 
 def speech_segments(frames: DataFrame, key: str, frame_s: float, speech: str, least: float = 0.0, pad: float = 0.0, most: float = 0.0) -> DataFrame:

@@ -31,3 +31,16 @@ def test_voice_of_recordings_in_pieces(spark, small_data):
         users.setdefault(user, []).extend([loud] * 10)
     want = {u: audio.voiced_spans(np.array(v)) for u, v in users.items()}
     assert {r.user_id: list(zip(r.start_ms, r.end_ms, strict=True)) for r in d.collect()} == want
+
+
+def test_speakers_are_cut_as_their_rows_come_in(spark):
+    rng = np.random.default_rng(3)
+    rows = [("hot" if i % 3 else f"s{i % 40}", int(k), float(d)) for i, (k, d) in enumerate(zip(rng.permutation(30_000), rng.integers(1, 50, 30_000), strict=True))]
+    got = S.split_speakers_by_seconds(spark.createDataFrame(rows, "speaker string, utt long, dur double").repartition(7), "speaker", "utt", "dur", 300.0)
+    assert "collect_list" not in plan(got)
+    want, state = set(), {}
+    for who, k, d in sorted(rows):
+        part, held = state.get(who, (0, 0.0))
+        state[who] = (part + 1, d) if held and held + d > 300 else (part, held + d)
+        want.add((who, k, f"{who}-{state[who][0]:03d}"))
+    assert {tuple(r) for r in got.collect()} == want
