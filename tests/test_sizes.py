@@ -44,3 +44,13 @@ def test_speakers_are_cut_as_their_rows_come_in(spark):
         state[who] = (part + 1, d) if held and held + d > 300 else (part, held + d)
         want.add((who, k, f"{who}-{state[who][0]:03d}"))
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_recordings_of_any_length_are_converted(spark, tmp_path):
+    rows = [(k, 1, float(q)) for k, q in ((1, 10), (2, 1000), (5, 10), (6, 126))]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.line.split()[0] for r in QUERIES["unfinished_recordings"](spark, str(tmp_path)).collect()}
+    assert got == {"rec1", "rec2", "rec6"}
+    d = spark.createDataFrame([("a", "/a", 5.0), ("b", "/b", 6.0), ("c", "/c", 4.0)], "name string, path string, bytes double")
+    archives.write_scp(d, d.filter("name = 'c'").select("name"), f"{tmp_path}/scp", "cat {} |", 5)
+    assert [r.value for r in spark.read.text(f"{tmp_path}/scp").collect()] == ["a cat /a |"]  # the operator's own gate
