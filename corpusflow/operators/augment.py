@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.relational import digest_order, numbered
 
-#: Parts of the line from 0 to 1 that a choice is looked up in.
-PARTS = 1024
+#: Probabilities are added up as decimals, so that a sum does not depend on how the rows lie.
+EXACT = "decimal(27,26)"
 
 
 def chance(*key: Column, seed: str) -> Column:
@@ -24,25 +24,45 @@ def smoothed(items: DataFrame, weight: float = 0.0, probability: str = "probabil
     """``items`` with probabilities that sum to one: those that have none share what the others leave, and the others are drawn
     towards such a share by ``weight``.  Where the others leave nothing, those without one get none."""
     p = F.col(probability)
-    total = items.agg(F.count_if(p.isNull()).alias("__none"), F.coalesce(F.sum(p), F.lit(0.0)).alias("__given"))  # one row
+    added = lambda c: F.sum(c.cast("decimal(38,26)")).cast("double")
+    total = items.agg(F.count_if(p.isNull()).alias("__none"), F.coalesce(added(p), F.lit(0.0)).alias("__given"))  # one row
     even = F.when((F.col("__none") > 0) & (F.col("__given") < 1), (1 - F.col("__given")) / F.col("__none")).otherwise(0.0)
     d = items.crossJoin(F.broadcast(total)).withColumn("__p", F.coalesce((1 - weight) * p + weight * even, even))
-    whole = d.agg(F.sum("__p").alias("__sum"))  # one row
+    whole = d.agg(added(F.col("__p")).alias("__sum"))  # one row
     return d.crossJoin(F.broadcast(whole)).withColumn(probability, F.col("__p") / F.col("__sum")).select(*items.columns)
 
 
+def _parts(n: Column) -> Column:
+    """A power of two that is no less than ``n``: as many equal parts of the line from 0 to 1."""
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n, F.lit(1)).cast("double")))).cast("int")
+
+
+def _part(u: Column) -> Column:
+    return F.least(F.floor(u * F.col("__parts")), F.col("__parts") - 1).cast("int")
+
+
+def _looked_up(df: DataFrame, u: str, line: DataFrame, of: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the row of ``line`` (__from, __to, ``of``) that ``u`` falls in.
+
+    Both sides meet by equal parts of the line, as many as it has rows: a part has one row or two on average, weighed by how often it is asked for.
+    """
+    size = line.groupBy(*of).agg(_parts(F.count("*")).alias("__parts"))  # a row for each line
+    sized = lambda d: d.join(size, list(of)) if of else d.crossJoin(F.broadcast(size))
+    rows = sized(line).withColumn("__part", F.explode(F.sequence(_part(F.col("__from")), _part(F.col("__to"))))).drop("__parts")
+    asked = sized(df).withColumn("__part", _part(F.col(u))).drop("__parts")
+    return asked.join(rows, [*of, "__part"]).filter((F.col(u) >= F.col("__from")) & (F.col(u) < F.col("__to"))).drop("__part", "__from", "__to")
+
+
 def picked(df: DataFrame, u: str, items: DataFrame, order: str, probability: str = "probability") -> DataFrame:
-    """``df`` with the columns of one of ``items`` (few, each with its probability), by where ``u`` falls among their cumulated probabilities.
+    """``df`` with the columns of one of ``items`` (each with its probability), by where ``u`` falls among their cumulated probabilities.
 
-    Both sides meet by equal parts of the line; the list of items may be as long as it likes.
+    The list of items may be as long as it likes: it is added up by ranges of ``order``.
     """
-    w = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)  # a list of rooms or noises
-    line = items.filter(F.col(probability) > 0).withColumn("__to", F.sum(probability).over(w))
-    line = line.withColumn("__from", F.coalesce(F.lag("__to").over(W.orderBy(order)), F.lit(0.0))).withColumn("__to", F.when(F.lead("__to").over(W.orderBy(order)).isNull(), 2.0).otherwise(F.col("__to")))
-    part = lambda c: F.least(F.floor(c * PARTS), F.lit(PARTS - 1)).cast("int")
-    line = line.withColumn("__part", F.explode(F.sequence(part(F.col("__from")), part(F.col("__to"))))).drop(probability)
-    asked = df.withColumn("__part", part(F.col(u)))
-    return asked.join(line, "__part").filter((F.col(u) >= F.col("__from")) & (F.col(u) < F.col("__to"))).drop("__part", "__from", "__to")
+    line = numbered(items.filter(F.col(probability) > 0).withColumn("__p", F.col(probability).cast(EXACT)), [order], "__place", "__before", "__p")
+    line = line.crossJoin(F.broadcast(line.agg(F.max("__place").alias("__last"))))  # one row
+    upto = (F.col("__before").cast("decimal(37,26)") + F.col("__p")).cast("double")  # the next row's __from, to the last bit
+    line = line.select(*[c for c in items.columns if c != probability], F.col("__before").cast("double").alias("__from"), F.when(F.col("__place") == F.col("__last"), 2.0).otherwise(upto).alias("__to"))
+    return _looked_up(df, u, line)
 
 
 def cyclic(df: DataFrame, order: Sequence[str], values: Sequence[float], name: str = "value", seed: str = "cycle") -> DataFrame:

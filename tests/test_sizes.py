@@ -1,8 +1,13 @@
 """What keeps large tables within bounds: rows folded as they come in, audio made in pieces, choices looked up in parts."""
 
+import bisect
+import math
+from decimal import Decimal
+
 import numpy as np
 
 from corpusflow.functions import audio
+from corpusflow.operators import augment as A
 from corpusflow.operators import sequences as S
 from corpusflow.plans.queries import QUERIES
 from corpusflow.sources import archives
@@ -59,3 +64,19 @@ def test_recordings_of_any_length_are_converted(spark, tmp_path):
 def test_audio_is_made_in_pieces(spark, small_data):
     for name in ("wave_headers", "audio_chunks"):
         assert "ArrowEvalPython" not in plan(QUERIES[name](spark, small_data))  # no column of audio of 10,000 rows
+
+
+def test_choices_from_many_items(spark):
+    n = 6_000
+    weights = [(i * 37 % 50 + 1) / 1e6 for i in range(n)]
+    items = spark.createDataFrame([(i, f"r{i % 2}", w) for i, w in enumerate(weights)], "rir long, room string, probability double").repartition(5)
+    rooms = A.smoothed(items).persist()
+    told = {r.rir: r.probability for r in rooms.collect()}
+    assert all(told[i] == w / math.fsum(weights) for i, w in enumerate(weights))  # to the last bit, however the rows lie
+    exact, ends = Decimal(0), []
+    for i in range(n):
+        exact += Decimal(repr(told[i])).quantize(Decimal(10) ** -26)
+        ends.append(float(exact))
+    asked = spark.createDataFrame([(k, x) for k, x in enumerate([0.0, 0.25, 0.999999999, *ends[: n - 1 : 7]])], "k int, u double")
+    got = {r.k: r.rir for r in A.picked(asked, "u", rooms, "rir").collect()}
+    assert got == {r.k: min(bisect.bisect_right(ends, r.u), n - 1) for r in asked.collect()}
