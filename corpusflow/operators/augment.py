@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.operators.relational import digest_order, numbered
+from corpusflow.session import written
 
 #: Probabilities are added up as decimals, so that a sum does not depend on how the rows lie.
 EXACT = "decimal(27,26)"
@@ -95,12 +96,13 @@ def noises_added(wet: DataFrame, noises: DataFrame, rooms: DataFrame, foreground
     count = F.floor(chance(F.col("name"), seed="count") * F.col("__most")).cast("int") + 1
     d = some.select("name", "room", "dur", F.explode(F.sequence(F.lit(1), count)).alias("k"))
     d = picked(d.withColumn("__u", chance(F.col("name"), F.col("k"), seed="noise")), "__u", noises.select("noise", "kind", "probability"), "noise").drop("__u")
-    in_room = rooms.select("rir", F.col("room").alias("__room"), "probability")
-    w = W.partitionBy("__room").orderBy("rir").rowsBetween(W.unboundedPreceding, W.currentRow)
-    line = in_room.filter("probability > 0").withColumn("__to", F.sum("probability").over(w) / F.sum("probability").over(W.partitionBy("__room"))).withColumn("__from", F.coalesce(F.lag("__to").over(W.partitionBy("__room").orderBy("rir")), F.lit(0.0)))
-    line = line.withColumn("__to", F.when(F.lead("rir").over(W.partitionBy("__room").orderBy("rir")).isNull(), 2.0).otherwise(F.col("__to")))
-    d = d.withColumn("__u", chance(F.col("name"), F.col("k"), seed="noise rir"))
-    d = d.join(F.broadcast(line.drop("probability")) if line.count() <= 100_000 else line.drop("probability"), (F.col("room") == F.col("__room")) & (F.col("__u") >= F.col("__from")) & (F.col("__u") < F.col("__to")))
+    w = W.partitionBy("room").orderBy("rir").rowsBetween(W.unboundedPreceding, W.currentRow)
+    own = F.sum(F.col("probability").cast(EXACT))
+    line = written(rooms.filter("probability > 0").select("room", "rir", (own.over(w).cast("double") / own.over(W.partitionBy("room")).cast("double")).alias("__to")))
+    by = W.partitionBy("room").orderBy("rir")
+    line = line.select("room", "rir", F.coalesce(F.lag("__to").over(by), F.lit(0.0)).alias("__from"), F.when(F.lead("rir").over(by).isNull(), 2.0).otherwise(F.col("__to")).alias("__to"))
+    d = _looked_up(d.withColumn("__u", chance(F.col("name"), F.col("k"), seed="noise rir")), "__u", line, ["room"])
     front = F.col("kind") == "foreground"
     d = d.select("name", "k", "noise", "kind", "rir", F.when(front, F.round(chance(F.col("name"), F.col("k"), seed="start") * F.col("dur"), 2)).otherwise(0.0).alias("start"))
+    d = written(d)  # numbered twice, by kind
     return cyclic(d.filter(front), ["name", "k"], foreground, "snr", "foreground").unionByName(cyclic(d.filter(~front), ["name", "k"], background, "snr", "background"))

@@ -80,3 +80,7 @@ def test_choices_from_many_items(spark):
     asked = spark.createDataFrame([(k, x) for k, x in enumerate([0.0, 0.25, 0.999999999, *ends[: n - 1 : 7]])], "k int, u double")
     got = {r.k: r.rir for r in A.picked(asked, "u", rooms, "rir").collect()}
     assert got == {r.k: min(bisect.bisect_right(ends, r.u), n - 1) for r in asked.collect()}
+    wet = spark.range(3000).selectExpr("concat('x', id) AS name", "concat('r', id % 2) AS room", "100.0D AS dur")
+    noises = spark.createDataFrame([("n", "foreground", 1.0)], "noise string, kind string, probability double")
+    d = A.noises_added(wet, noises, rooms, [1.0], [1.0])
+    assert "BroadcastNestedLoopJoin" not in plan(d) and len({(r.name, r.k) for r in d.collect()}) == d.count()
