@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -356,7 +356,7 @@ def kn_model(docs: DataFrame, text: str, order: int = 3) -> DataFrame:
     history's weight is what its f leave, over what the same words leave in the history without its first word; where these
     leave nothing there is no word to back off to, and its f are raised to a sum of one.
     """
-    rows = below = None
+    below, levels, weights = None, [], []
     for n, d in enumerate(kn_levels(docs, text, order)):
         n1, n2 = d.agg(F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
         discount = n1 / (n1 + 2 * n2) if n and n1 else 0.0
@@ -369,15 +369,15 @@ def kn_model(docs: DataFrame, text: str, order: int = 3) -> DataFrame:
             both = written(level.withColumn("short", F.slice("history", 2, n)).join(lower, ["short", "word"]))
             left = both.groupBy("history").agg((1 - F.sum("f")).alias("a"), (1 - F.sum("lower")).alias("b"))
             level = both.join(left, "history").select("history", "word", F.when(F.col("b") > 1e-12, F.col("f")).otherwise(F.col("f") / (1 - F.col("a"))).alias("f"))
-            weight = left.filter("a > 1e-12 AND b > 1e-12").select(F.col("history").alias("gram"), F.log10(F.col("a") / F.col("b")).alias("backoff"))
-            rows = rows.join(weight, "gram", "left") if n == 1 else rows.filter(F.col("order") < n).unionByName(rows.filter(F.col("order") == n).drop("backoff").join(weight, "gram", "left"))
-        below = level = written(level)
+            weights.append(left.filter("a > 1e-12 AND b > 1e-12").select(F.col("history").alias("gram"), F.log10(F.col("a") / F.col("b")).alias("backoff")))
+        below = written(level)
+        levels.append(below)
+    parts = []
+    for n, level in enumerate(levels):
         own = level.select(F.lit(n + 1).alias("order"), F.concat("history", F.array("word")).alias("gram"), F.when(F.col("f") > 0, F.log10("f")).otherwise(-99.0).alias("logp"))
-        rows = own if rows is None else rows.unionByName(own.withColumn("backoff", F.lit(None).cast("double")))
-        rows = written(rows)
-    if order == 1:
-        rows = rows.withColumn("backoff", F.lit(None).cast("double"))
-    return rows.select("order", F.array_join("gram", " ").alias("gram"), "logp", "backoff")
+        own = own.join(weights[n], "gram", "left") if n < len(weights) else own.withColumn("backoff", F.lit(None).cast("double"))
+        parts.append(own.select("order", F.array_join("gram", " ").alias("gram"), "logp", "backoff"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def arpa_lines(model: DataFrame) -> DataFrame:

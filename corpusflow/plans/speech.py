@@ -159,7 +159,7 @@ def kn_sentence_scores(t):
 
     path = folder(t.spark)
     unknown = t.spark.createDataFrame([("\\1-grams:",), ("-7.0\t<unk>",)], "value string")
-    lm.arpa_lines(lm.kn_model(t.documents, "text", 3)).unionByName(unknown).write.text(path)
+    lm.arpa_lines(lm.kn_model(t.documents, "text", 3)).unionByName(unknown).write.option("compression", "gzip").text(path)
     asked = t.benchmark.select("item_id", F.lower("text").alias("text"))
     return lm.joined_scores(asked, "item_id", "text", T.arpa(t.spark, path), 3).select("item_id", F.round("logp", 3).alias("logp"))
 

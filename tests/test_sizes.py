@@ -3,6 +3,7 @@
 import bisect
 import math
 from decimal import Decimal
+from pathlib import Path
 
 import numpy as np
 
@@ -84,3 +85,14 @@ def test_choices_from_many_items(spark):
     noises = spark.createDataFrame([("n", "foreground", 1.0)], "noise string, kind string, probability double")
     d = A.noises_added(wet, noises, rooms, [1.0], [1.0])
     assert "BroadcastNestedLoopJoin" not in plan(d) and len({(r.name, r.k) for r in d.collect()}) == d.count()
+
+
+def test_model_levels_are_written_once(spark):
+    from corpusflow.operators import lm
+
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(root.glob("table-*"))
+    model = lm.kn_model(spark.createDataFrame([("a b c a b",), ("b c",)], "text string"), "text", 2)
+    assert len(set(root.glob("table-*")) - before) == 5  # counts and levels of two orders, and the higher one beside the lower
+    assert {(r.order, r.gram) for r in model.filter("order = 2").collect()} >= {(2, "<s> a"), (2, "a b"), (2, "c </s>")}
+    assert model.filter("order = 1 AND gram = 'a' AND backoff IS NOT NULL").count() == 1
