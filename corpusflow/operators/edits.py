@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import kernels
 from corpusflow.session import ship
+from corpusflow.functions.arrow import by_row
 
 
 def aligned_words(df: DataFrame, ref: str, hyp: str) -> Column:
@@ -56,7 +57,7 @@ def letter_pairs(df: DataFrame, query: str, text: str) -> Column:
 
     @arrow_udf("map<string,bigint>")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([sorted(kernels.local_align(x or "", y or "", 0, len(y or ""))[3].items()) for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
+        return by_row(lambda x, y: sorted(kernels.local_align(x or "", y or "", 0, len(y or ""))[3].items()), kind, left, right)
 
     return run(F.col(query), F.col(text))
 

@@ -9,6 +9,7 @@ from corpusflow.operators import edits as E
 from corpusflow.operators import relational as R
 from corpusflow.operators import sequences as S
 from corpusflow.plans.catalog import SQL_WORDS, query, seconds_of
+from corpusflow.session import tasks
 
 # Filters and joins
 
@@ -110,7 +111,7 @@ def taint_statistics(t):
 def letter_confusions(t):
     """Letters set against each other in local alignments of neighbouring turns (dynamic programming: no SQL)."""
     w = W.partitionBy("conv_id").orderBy("turn")
-    p = t.conversations.withColumn("other", F.lag("text").over(w)).filter("other IS NOT NULL").select("conv_id", F.col("text").alias("a"), F.col("other").alias("b"))
+    p = t.conversations.withColumn("other", F.lag("text").over(w)).filter("other IS NOT NULL").select("conv_id", F.col("text").alias("a"), F.col("other").alias("b")).repartition(tasks(t.spark))
     return p.select(F.explode(E.letter_pairs(p, "a", "b")).alias("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
