@@ -13,6 +13,7 @@ from corpusflow.functions import text as X
 from corpusflow.operators import alignment as A
 from corpusflow.operators import relational as R
 from corpusflow.operators import sequences as S
+from corpusflow.session import tasks
 from corpusflow.sources import text_formats as T
 
 
@@ -70,7 +71,8 @@ def corpus_stages(c: Corpus) -> list[Stage]:
         ctm = T.files(spark, c.words, "*.ctm").select(X.stem(F.col("path")).alias("utt"), T.ctm_words(X.guess_text(F.col("content"))).alias("words"))
         texts = T.files(spark, c.transcripts).select(X.tail(F.col("path")).alias("text_document_id"), X.tail(F.col("path"), back=2).alias("identifier"), X.srt_text(X.guess_text(F.col("content"))).alias("transcript"))
         both = m.join(ctm, "utt").join(texts, ["identifier", "text_document_id"])
-        return A.all_in_time(A.align_table(both.withColumn("fragments", S.fragments(F.col("words"), *c.fragment_ms)).drop("words"))).drop("fragments", "transcript")
+        both = both.withColumn("fragments", S.fragments(F.col("words"), *c.fragment_ms)).drop("words").repartition(tasks(spark))
+        return A.all_in_time(A.align_table(both)).drop("fragments", "transcript")
 
     def manifest(spark, read):
         return A.manifest(A.kept_alignments(read("aligned"), *c.cer, *c.duration_ms))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from corpusflow.session import ship
+from corpusflow.session import ship, tasks
 
 
 def read_tar(spark: SparkSession, path: str, value: bool = True, glob: str = "*.tar*") -> DataFrame:
@@ -206,7 +206,7 @@ def write_files(df: DataFrame, path: str) -> None:
     """Each row's ``value`` in a file of its ``name`` below ``path``."""
     ship(df.sparkSession)
     df.sparkSession.dataSource.register(FileSink)
-    df.select("name", "value").write.format("files").mode("append").save(path)
+    df.select("name", "value").repartition(tasks(df.sparkSession)).write.format("files").mode("append").save(path)
 
 
 def _tar_rows(data: bytes) -> Iterator[tuple[str, bytes]]:

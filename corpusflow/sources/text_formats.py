@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow import schemas
 from corpusflow.functions import text as X
+from corpusflow.session import tasks
 
 
 def catalogue(spark: SparkSession, path, partitions: int | None = None) -> DataFrame:
@@ -21,9 +22,18 @@ def declared_json(spark: SparkSession, paths, schema, lines: bool = True) -> Dat
 
 
 def files(spark: SparkSession, path: str, glob: str | None = None, content: bool = True) -> DataFrame:
-    """Binary files (path, modificationTime, length, content); without content no byte is read."""
+    """Binary files (path, modificationTime, length, content); without content no byte is read.
+
+    Folders within are listed by as many tasks as the session shuffles to, not by one for each.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    df = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), tasks(spark))))
+    try:
+        df = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    finally:
+        spark.conf.set(name, before)
     return df if content else df.drop("content")
 
 
