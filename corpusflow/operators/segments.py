@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.functions import kernels
+from corpusflow.functions.arrow import by_row
 from corpusflow.session import ship
 
 EPS = "<eps>"
@@ -88,7 +89,7 @@ def locally_aligned(df: DataFrame, ref: str, words: str, correct: int = 1, subst
 
     @arrow_udf("array<struct<start:double,dur:double,hyp:string,ref:string,edit_type:string>>")
     def run(refs: pa.Array, heard: pa.Array) -> pa.Array:
-        return pa.array([lines(r or [], h or []) for r, h in zip(refs.to_pylist(), heard.to_pylist(), strict=True)], pa.list_(pa.struct(fields)))
+        return by_row(lambda r, h: lines(r or [], h or []), pa.list_(pa.struct(fields)), refs, heard)
 
     return run(F.col(ref), F.col(words))
 

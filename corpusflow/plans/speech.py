@@ -9,6 +9,7 @@ from corpusflow.operators import lexicons as L
 from corpusflow.operators import segments as G
 from corpusflow.operators import sequences as S
 from corpusflow.plans.catalog import query
+from corpusflow.session import tasks
 
 RULES = G.SegmentRules(unscored=("error",))
 KINDS = ("sil", "del", "sub", "ins", "fix", "sil") + ("cor",) * 44
@@ -73,6 +74,7 @@ def locally_aligned_turns(t):
     word = lambda w, i: F.struct((i * 0.5).alias("start"), F.lit(0.4).alias("dur"), w.alias("word"))
     quiet = lambda i: F.when(i % 5 == 4, F.array(F.struct((i * 0.5 + 0.4).alias("start"), F.lit(0.1).alias("dur"), F.lit(G.EPS).alias("word"))))
     d = d.withColumn("words", F.flatten(F.transform("said", lambda w, i: F.concat(F.array(word(w, i)), F.coalesce(quiet(i), F.array().cast("array<struct<start:double,dur:double,word:string>>"))))))
+    d = d.repartition(tasks(t.spark))
     return d.select("conv_id", "turn", F.posexplode(G.locally_aligned(d, "ref", "words")).alias("pos", "line")).select("conv_id", "turn", "pos", F.round("line.start", 3).alias("start"), "line.dur", "line.hyp", "line.ref", "line.edit_type")
 
 
