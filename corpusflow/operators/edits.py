@@ -23,7 +23,7 @@ def aligned_words(df: DataFrame, ref: str, hyp: str) -> Column:
 
     @arrow_udf("array<struct<ref:string,hyp:string,op:string>>")
     def run(refs: pa.Array, hyps: pa.Array) -> pa.Array:
-        return pa.array([[dict(zip(("ref", "hyp", "op"), x, strict=True)) for x in kernels.edit_operations((r or "").split(), (h or "").split())] for r, h in zip(refs.to_pylist(), hyps.to_pylist(), strict=True)], kind)
+        return by_row(lambda r, h: [dict(zip(("ref", "hyp", "op"), x, strict=True)) for x in kernels.edit_operations((r or "").split(), (h or "").split())], kind, refs, hyps)
 
     return run(F.col(ref), F.col(hyp))
 
@@ -117,7 +117,7 @@ def repetitions_fixed(edits: DataFrame, unscored: Sequence[str] = (), key: str =
 
     @arrow_udf("array<int>")
     def found(hyps: pa.Array, kinds: pa.Array) -> pa.Array:
-        return pa.array([kernels.repeated(h or [], k or []) for h, k in zip(hyps.to_pylist(), kinds.to_pylist(), strict=True)], pa.list_(pa.int32()))
+        return by_row(lambda h, k: kernels.repeated(h or [], k or []), pa.list_(pa.int32()), hyps, kinds)
 
     silent = lambda c: F.coalesce(F.col(c).isin(silence, *unscored), F.lit(True))
     kind = F.when((F.col("edit_type") == "sub") & silent("ref"), F.lit("ins")).otherwise(F.col("edit_type"))

@@ -17,6 +17,7 @@ from corpusflow.operators import corpus as C
 from corpusflow.operators import relational as R
 from corpusflow.operators import sequences as S
 from corpusflow.operators import splits as P
+from corpusflow.session import tasks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -723,6 +724,7 @@ def utterance_edits(t):
 
     w = W.partitionBy("conv_id").orderBy("turn")
     p = t.conversations.withColumn("ref", F.lag("text").over(w)).filter("ref IS NOT NULL")
+    p = p.select("conv_id", "turn", "ref", "text").repartition(tasks(t.spark))
     ops = p.select("conv_id", "turn", edits.aligned_words(p, "ref", "text").alias("ops"))
     return ops.select("conv_id", "turn", edits.edit_counts(F.col("ops")).alias("n")).select("conv_id", "turn", "n.*")
 

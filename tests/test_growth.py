@@ -72,3 +72,11 @@ def test_rows_through_python_a_slice_at_a_time():
 @pytest.mark.parametrize("name", ["locally_aligned_turns", "utterance_edits"])
 def test_turns_are_dealt_to_all_tasks(spark, small_data, name):
     assert "REPARTITION_BY_NUM" in plan_of(QUERIES[name](spark, small_data))
+
+
+def test_aligned_words_of_empty_texts(spark):
+    from corpusflow.operators import edits
+
+    d = spark.createDataFrame([("a b", "a c"), (None, "x"), ("", None)], "ref string, hyp string").coalesce(1)
+    got = [[tuple(x) for x in r[0]] for r in d.select(edits.aligned_words(d, "ref", "hyp")).collect()]
+    assert got == [[("a", "a", "C"), ("b", "c", "S")], [(None, "x", "I")], []]
