@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import kernels
 from corpusflow.session import ship
+from corpusflow.session import ship
+
+#: Pairs of texts whose similarities are remembered within a batch: names come again and again.
+KNOWN_PAIRS = 10_000
 from corpusflow.functions.arrow import by_row
 
 
@@ -40,10 +45,13 @@ def similarities(df: DataFrame, a: str, b: str, names: Sequence[str]) -> Column:
 
     chosen = {n: kernels.SIMILARITIES[n] for n in names}
     kind = pa.struct([(n, pa.float64()) for n in chosen])
+    def told(x: str | None, y: str | None) -> dict[str, float]:
+        return {n: float(f(x or "", y or "")) for n, f in chosen.items()}
+
 
     @arrow_udf(f"struct<{','.join(f'{n}:double' for n in chosen)}>")
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array([{n: float(f(x or "", y or "")) for n, f in chosen.items()} for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True)], kind)
+        return by_row(lru_cache(maxsize=KNOWN_PAIRS)(told), kind, left, right)
 
     return run(F.col(a), F.col(b))
 
