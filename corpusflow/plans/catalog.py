@@ -598,7 +598,7 @@ def shared_passages(t):
 def aligned_passages(t, settings=None):
     from corpusflow.operators.alignment import Settings, align_table, all_in_time
 
-    made = all_in_time(align_table(shared_passages(t), settings=settings or Settings()))
+    made = all_in_time(align_table(shared_passages(t).repartition(tasks(t.spark)), settings=settings or Settings()))
     return made.select("item_id", "doc_id", F.size("fragments").alias("n"), F.size("alignments.label").alias("aligned"), F.round(F.array_max("alignments.cer").cast("double"), 4).alias("worst_cer"))
 
 
