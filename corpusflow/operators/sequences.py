@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusflow.operators.relational import numbered
+from corpusflow.session import tasks
 
 
 def sessions(df: DataFrame, key: str, start: str, end: str, gap: float, tie: str) -> DataFrame:
@@ -144,36 +146,45 @@ def combined(durations: list[float], least: float) -> list[tuple[int, int]]:
     and the one after it if they are alike or neither will do.  Differences up to 1e-5 don't count.
     """
     less = lambda x, y: x < y - 1e-5
-    pieces = [(i, i + 1, d) for i, d in enumerate(durations)]
-    k = len(pieces) - 1
-    while k >= 0 and len(pieces) > 1:
-        own = pieces[k][2]
+    pieces, done = [(i, i + 1, d) for i, d in enumerate(durations)], []  # up to the one that is looked at; those after it, the next one last
+    while pieces and len(pieces) + len(done) > 1:
+        start, end, own = pieces[-1]
         if not less(own, least):
-            k -= 1
+            done.append(pieces.pop())
             continue
-        before, after = (pieces[j][2] if 0 <= j < len(pieces) else None for j in (k - 1, k + 1))
+        before, after = pieces[-2][2] if len(pieces) > 1 else None, done[-1][2] if done else None
         enough_before = before is not None and not less(before + own, least)
         enough_after = after is not None and not less(after + own, least)
         to_left = after is None or (before is not None and enough_before and (not enough_after or less(before, after)))
-        at = k - 1 if to_left else k
-        (start, _, d), (_, end, e) = pieces[at : at + 2]
-        pieces[at : at + 2] = [(start, end, d + e)]
-        k = at
-    return [(a, b) for a, b, _ in pieces]
+        if to_left:
+            pieces.pop()
+            pieces[-1] = (pieces[-1][0], end, before + own)
+        else:
+            pieces[-1] = (start, done.pop()[1], own + after)
+    return [(a, b) for a, b, _ in pieces + done[::-1]]
+
+
+def _seconds(dur: pa.ChunkedArray) -> tuple[list[float], np.ndarray]:
+    """Durations, NaN for null, and what they add to sums."""
+    d = dur.to_numpy()
+    return d.tolist(), np.nan_to_num(d, nan=0.0, posinf=np.inf, neginf=-np.inf)
 
 
 def combine_utterances(df: DataFrame, least: float, speaker: str = "speaker", key: str = "utt") -> DataFrame:
     """Utterances (speaker, utt, dur) merged within a speaker, in order of key: (speaker, name, members, dur)."""
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        rows = []
-        for a, b in combined(pdf["dur"].tolist(), least):
-            ids = pdf[key].iloc[a:b].tolist()
-            rows.append((pdf[speaker].iloc[0], ids[0] if b == a + 1 else f"{ids[0]}-comb{b - a}", ids, float(pdf["dur"].iloc[a:b].sum())))
-        return pd.DataFrame(rows, columns=[speaker, "name", "members", "dur"])
+    def merge(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(key, "ascending"), ("dur", "ascending")])  # one order, whatever order the rows came in
+        durations, seconds = _seconds(group.column("dur"))
+        ids, spans = group.column(key).to_pylist(), combined(durations, least)
+        names = [ids[a] if b == a + 1 else f"{ids[a]}-comb{b - a}" for a, b in spans]
+        sums = [float(seconds[a:b].sum()) for a, b in spans]
+        own = group.column(speaker).combine_chunks().slice(0, 1).to_pylist() * len(spans)
+        columns = [pa.array(own, pa.string()), pa.array(names, pa.string()), pa.array([ids[a:b] for a, b in spans], pa.list_(pa.string())), pa.array(sums, pa.float64())]
+        return pa.Table.from_arrays(columns, names=[speaker, "name", "members", "dur"])
 
-    return df.select(speaker, key, F.col("dur").cast("double")).groupBy(speaker).applyInPandas(merge, f"{speaker} string, name string, members array<string>, dur double")
+    rows = df.select(F.col(speaker).cast("string").alias(speaker), F.col(key).cast("string").alias(key), F.col("dur").cast("double")).repartition(tasks(df.sparkSession), speaker)
+    return rows.groupBy(speaker).applyInArrow(merge, f"{speaker} string, name string, members array<string>, dur double")
 
 
 def combine_across_speakers(df: DataFrame, least: float, speaker: str = "speaker", key: str = "utt") -> DataFrame:
@@ -194,21 +205,24 @@ def combine_across_speakers(df: DataFrame, least: float, speaker: str = "speaker
     stretch = stretch.join(sizes, "__stretch").select("__stretch", "__n", "__place", speaker, "members", "dur")
     alone = stretch.filter("__n = 1").select(F.when(F.size("members") == 1, F.col("members")[0]).otherwise(F.concat(F.col("members")[0], F.lit("-comb"), F.size("members").cast("string"))).alias("name"), speaker, "members", "dur")
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__place")
-        rows = []
-        for a, b in combined(pdf["dur"].tolist(), least):
-            ids = [m for part in pdf["members"].iloc[a:b] for m in part]
+    def merge(group: pa.Table) -> pa.Table:
+        group = group.sort_by("__place")
+        durations, sums = _seconds(group.column("dur"))
+        members, who_said, rows = group.column("members").to_pylist(), group.column(speaker).to_pylist(), []
+        for a, b in combined(durations, least):
+            ids = [m for part in members[a:b] for m in part]
             seconds: dict[str, float] = {}
-            for who, d in zip(pdf[speaker].iloc[a:b], pdf["dur"].iloc[a:b], strict=True):
+            for who, d in zip(who_said[a:b], durations[a:b], strict=True):
                 seconds[who] = seconds.get(who, 0.0) + d
             best = None
             for who in sorted(seconds):
                 best = who if best is None or seconds[best] < seconds[who] - 1e-5 else best
-            rows.append((ids[0] if len(ids) == 1 else f"{ids[0]}-comb{len(ids)}", best, ids, float(pdf["dur"].iloc[a:b].sum())))
-        return pd.DataFrame(rows, columns=["name", speaker, "members", "dur"])
+            rows.append((ids[0] if len(ids) == 1 else f"{ids[0]}-comb{len(ids)}", best, ids, float(sums[a:b].sum())))
+        kinds = (pa.string(), pa.string(), pa.list_(pa.string()), pa.float64())
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["name", speaker, "members", "dur"])
 
-    return alone.unionByName(stretch.filter("__n > 1").groupBy("__stretch").applyInPandas(merge, f"name string, {speaker} string, members array<string>, dur double"))
+    several = stretch.filter("__n > 1").repartition(tasks(df.sparkSession), "__stretch")
+    return alone.unionByName(several.groupBy("__stretch").applyInArrow(merge, f"name string, {speaker} string, members array<string>, dur double"))
 
 
 def split_speakers(df: DataFrame, speaker: str, key: str, most: int) -> DataFrame:
