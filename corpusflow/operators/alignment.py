@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import kernels
+from corpusflow.functions.arrow import by_row
 from corpusflow.schemas import ALIGNMENT, MAPPING
-from corpusflow.session import ship
+from corpusflow.session import ship, tasks
 
 
 def candidates(catalogue: DataFrame, audio_formats=("MP3", "VBR MP3"), audio_end: str = ".mp3", text_format: str = "SubRip") -> tuple[DataFrame, DataFrame]:
@@ -28,14 +28,18 @@ def candidates(catalogue: DataFrame, audio_formats=("MP3", "VBR MP3"), audio_end
 def match_documents(audio: DataFrame, text: DataFrame) -> DataFrame:
     """One-to-one (identifier, audio_document_id, text_document_id): a stable matching by edit distance of the names."""
     ship(audio.sparkSession)
-    both = audio.join(text, "identifier").select("identifier", "audio_document_id", "text_document_id", F.levenshtein("audio_document_id", "text_document_id").alias("distance"))
+    n = tasks(audio.sparkSession)  # matching is long beside its rows: partitions by item are not put together
+    pairs = audio.repartition(n, "identifier").join(text.repartition(n, "identifier"), "identifier")
+    both = pairs.select("identifier", "audio_document_id", "text_document_id", F.levenshtein("audio_document_id", "text_document_id").alias("distance"))
 
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        cost = {(a, t): d for a, t, d in zip(pdf["audio_document_id"], pdf["text_document_id"], pdf["distance"], strict=True)}
-        pairs = kernels.stable_match(sorted(set(pdf["audio_document_id"])), sorted(set(pdf["text_document_id"])), lambda a, b: cost.get((a, b), cost.get((b, a))))
-        return pd.DataFrame([(pdf["identifier"].iloc[0], a, t) for a, t in pairs], columns=MAPPING.names)
+    def match(group: pa.Table) -> pa.Table:
+        item, left, right, distance = (group.column(c).to_pylist() for c in (*MAPPING.names, "distance"))
+        cost = dict(zip(zip(left, right, strict=True), distance, strict=True))
+        pairs = kernels.stable_match(sorted(set(left)), sorted(set(right)), lambda a, b: cost.get((a, b), cost.get((b, a))))
+        columns = [item[:1] * len(pairs), [a for a, _ in pairs], [b for _, b in pairs]]
+        return pa.Table.from_arrays([pa.array(c, pa.string()) for c in columns], names=MAPPING.names)
 
-    return both.groupBy("identifier").applyInPandas(match, MAPPING)
+    return both.groupBy("identifier").applyInArrow(match, MAPPING)
 
 
 @dataclass(frozen=True)
@@ -122,12 +126,12 @@ def align_table(docs: DataFrame, fragments: str = "fragments", transcript: str =
 
     @arrow_udf(ALIGNMENT)
     def run(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        def told(f: list[dict] | None, t: str | None) -> dict | None:
+            found = _in_time(lambda: align_document(f or [], t or "", settings), settings.seconds)
+            return None if found is None else dict(zip(names, ([x[k] for x in found] for k in ("start", "end", "label", "cer", "wer", "hypothesis")), strict=True))
+
         for frags, texts in parts:
-            rows = []
-            for f, t in zip(frags.to_pylist(), texts.to_pylist(), strict=True):
-                found = _in_time(lambda f=f, t=t: align_document(f or [], t or "", settings), settings.seconds)
-                rows.append(None if found is None else dict(zip(names, ([x[k] for x in found] for k in ("start", "end", "label", "cer", "wer", "hypothesis")), strict=True)))
-            yield pa.array(rows, pa.struct([pa.field(f.name, {"bigint": pa.list_(pa.int64()), "string": pa.list_(pa.string()), "float": pa.list_(pa.float32())}[f.dataType.elementType.simpleString()]) for f in ALIGNMENT.fields]))
+            yield by_row(told, pa.struct([pa.field(f.name, {"bigint": pa.list_(pa.int64()), "string": pa.list_(pa.string()), "float": pa.list_(pa.float32())}[f.dataType.elementType.simpleString()]) for f in ALIGNMENT.fields]), frags, texts)
 
     return docs.withColumn("alignments", run(F.col(fragments), F.col(transcript))).withColumn("timed_out", F.col("alignments").isNull())
 

@@ -116,3 +116,11 @@ def test_combined_utterances_in_one_order(spark):
     rows = [("s", f"u{i % 7}", float(d)) for i, d in enumerate([3, 9, 1, 4, 12, 6, 2, 8, 5, 7, 11, 10, 13, 0])]
     got = [sorted(map(tuple, combine_utterances(spark.createDataFrame(r, "speaker string, utt string, dur double"), 10.0).select("name", "dur").collect())) for r in (rows, rows[::-1])]
     assert got[0] == got[1] and sum(d for _, d in got[0]) == 91
+
+
+def test_matching_of_one_sided_items(spark):
+    from corpusflow.operators.alignment import match_documents
+
+    a = spark.createDataFrame([("i", "x1"), ("i", "x2"), ("j", "y")], "identifier string, audio_document_id string")
+    b = spark.createDataFrame([("i", "x2.txt"), ("k", "z")], "identifier string, text_document_id string")
+    assert [tuple(r) for r in match_documents(a, b).collect()] == [("i", "x2", "x2.txt")]
