@@ -8,6 +8,7 @@ import json
 import struct
 import tarfile
 from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -272,15 +273,19 @@ def write_tar(df: DataFrame, path: str, codec: str = "", mode: str = "overwrite"
     df.select("key", "value").write.format("tar").mode(mode).option("codec", codec).save(path)
 
 
+#: Pages of a web archive that are handed on at once.
+PAGES = 256
+
+
 def warc_pages(spark: SparkSession, path: str, glob: str = "*.warc*") -> DataFrame:
-    """(url, html) of the HTML responses in WARC archives."""
+    """(url, html) of the HTML responses in WARC archives.  A task holds the archives of its split and ``PAGES`` pages of one."""
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows = list(warc_responses(content.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()), pa.array([h for _, h in rows], pa.string())], names=["url", "html"])
+                for rows in batched(warc_responses(content.as_py()), PAGES):
+                    yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in rows], pa.string()), pa.array([h for _, h in rows], pa.string())], names=["url", "html"])
 
     content = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path).select("content")
     return content.mapInArrow(run, "url string, html string")
@@ -288,7 +293,7 @@ def warc_pages(spark: SparkSession, path: str, glob: str = "*.warc*") -> DataFra
 
 def warc_responses(data: bytes) -> Iterator[tuple[str, str]]:
     """(address, body) of response records with HTML content."""
-    stream = io.BytesIO(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
     while True:
         line = stream.readline()
         if not line:
