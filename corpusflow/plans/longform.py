@@ -15,6 +15,7 @@ from corpusflow.operators import edits as E
 from corpusflow.operators import segments as G
 from corpusflow.operators import sequences as S
 from corpusflow.plans.stages import Stage, run
+from corpusflow.session import shuffled_joins, tasks
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,7 @@ def references(scored: DataFrame, docs: DataFrame, c: LongForm) -> DataFrame:
 def window_lines(heard: DataFrame, refs: DataFrame, c: LongForm) -> DataFrame:
     """(recording, window, pos, start, dur, hyp, ref, edit_type): each window's words aligned to its reference."""
     said = heard.groupBy(F.struct("recording", "window").alias("query")).agg(F.array_sort(F.collect_list(F.struct("start", "dur", F.lower("word").alias("word")))).alias("words"))
-    d = said.join(refs.select("query", F.split("text", " ").alias("ref")), "query")
+    d = said.join(refs.select("query", F.split("text", " ").alias("ref")), "query").repartition(tasks(heard.sparkSession))
     lines = G.locally_aligned(d, "ref", "words", c.correct, c.penalty, c.penalty, c.penalty, whole_hyp=True, first_pair=True)
     return d.select("query.*", F.posexplode(lines).alias("pos", "x")).select("recording", "window", "pos", "x.*")
 
@@ -115,8 +116,9 @@ def long_form_stages(words: DataFrame, transcripts: DataFrame, c: LongForm = Lon
 
 
 def segmented(spark: SparkSession, words: DataFrame, transcripts: DataFrame, folder: str, c: LongForm = LongForm()) -> DataFrame:
-    """(recording, n, segment, start, end, text)."""
-    return run(spark, long_form_stages(words, transcripts, c), folder)
+    """(recording, n, segment, start, end, text).  All tables of the stages grow with the recordings, so their joins shuffle."""
+    with shuffled_joins(spark):
+        return run(spark, long_form_stages(words, transcripts, c), folder)
 
 
 def recall(segments: DataFrame, spoken: DataFrame) -> DataFrame:
