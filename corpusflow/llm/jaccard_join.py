@@ -372,7 +372,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     chosen = known.join(reps, "id", "left_semi").filter("n > 0")
     some = F.explode(F.slice("low", F.lit(1), F.ceil(F.size("low") / 2).cast("int"))).alias("gram")
     counted = chosen.select(some).select(F.col("gram").bitwiseAND(F.lit(COUNTED)).alias("gram")).groupBy("gram").count().filter(F.col("count") > HOT)
-    places = counted.select((F.col("gram").bitwiseAND(F.lit((1 << MAP_BITS) - 1))).alias("at")).distinct().toPandas()["at"].to_numpy()
+    places = counted.select((F.col("gram").bitwiseAND(F.lit((1 << MAP_BITS) - 1))).alias("at")).distinct().toArrow()["at"].to_numpy()
     bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
     first = entries(chosen, bits.tobytes(), percent, whole=False)

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.session import ship
+
 #: Rows of one or two numbers that may be broadcast (8 to 16 MB); more are joined by shuffle.
 BROADCAST_ROWS = 500_000
+#: Nodes that ``stars`` holds at once.
+HELD_NODES = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,14 +65,43 @@ def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
 
 
+def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of one task as (node, smallest node that these edges join it with); after ``HELD_NODES`` nodes begun anew."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = up = parent.setdefault(up, up)
+            x = up
+        return x
+
+    def told() -> pa.RecordBatch:
+        pairs = [(x, r) for x in list(parent) if (r := root(x)) != x]
+        return pa.RecordBatch.from_pydict({"u": pa.array([x for x, _ in pairs], pa.int64()), "v": pa.array([r for _, r in pairs], pa.int64())})
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+        if len(parent) > HELD_NODES:
+            yield told()
+            parent.clear()
+    yield told()
+
+
 def components(edges: DataFrame, scratch: Scratch, rounds: int = 100) -> DataFrame:
     """Connected components of ``edges`` (a, b): (id, component), the component's smallest id.
 
     Alternating large-star and small-star steps; a step joins each node with its smallest neighbour, so
-    no neighbourhood is ever gathered, and rounds grow with the logarithm of the longest chain.  Should
-    ``rounds`` not be enough, that is an error, never an unfinished result.
+    no neighbourhood is ever gathered, and rounds grow with the logarithm of the longest chain.  Before the first and after
+    each, a task puts its own edges together (``stars``): jobs and plans cost the driver memory, and few rounds are left.
+    Neither makes edges more or larger, so a state that a round leaves as it is has one edge for each node, to its component.
+    Should ``rounds`` not be enough, that is an error, never an unfinished result.
     """
-    at = scratch.table(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    ship(scratch.spark)
+    pairs = lambda df: df.distinct().mapInArrow(stars, "u long, v long")
+    at = scratch.table(pairs(edges.filter("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v"))))
     seen = None
     for _ in range(rounds):
         mark = at.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -78,7 +113,7 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 100) -> DataFra
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(least, "u")
-        after = scratch.table(down.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        after = scratch.table(pairs(down.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))))
         scratch.drop(at)
         at = after
     else:

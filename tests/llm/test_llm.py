@@ -12,6 +12,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from corpusflow.llm import jaccard_join, jpeg, language_id, license_scan, media, packing, quality_classifier, quality_rules, queries, scratch, secret_scan, sentence_pieces, shingles, token_counts, tokens
@@ -354,6 +355,29 @@ def test_word_hashes_are_by_word():
     assert len(shingles.word_hashes("x ".encode() * 100_000)) == 100_000
 
 
+def test_edges_are_joined_in_tasks_before_rounds(spark):
+    """A chain takes a round or two, not the logarithm of its length: each round's jobs stay in the driver's memory."""
+    edges = [(i, i + 1) for i in range(3000)]
+    random.Random(3).shuffle(edges)
+    tables = scratch.Scratch(spark)
+    got = scratch.components(spark.createDataFrame(edges, "a long, b long"), tables).collect()
+    assert len(got) == 3001 and {r.component for r in got} == {0}
+    assert len(tables.paths) <= 3
+
+
+def test_stars_begun_anew_lose_no_edge(monkeypatch):
+    monkeypatch.setattr(scratch, "HELD_NODES", 3)
+    rows = [(5, 4), (4, 3), (9, 8), (8, 3), (7, 5), (2, 1)]
+    batches = [pa.RecordBatch.from_pydict({"u": [u], "v": [v]}) for u, v in rows]
+    out = [p for b in scratch.stars(iter(batches)) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    assert all(u > v for u, v in out) and len(out) <= len(rows)
+    reach = {x: x for p in rows for x in p}
+    for _ in rows:
+        for u, v in out:
+            reach[u] = reach[v] = min(reach[u], reach[v])
+    assert reach == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 7: 3, 8: 3, 9: 3}
+
+
 def test_graph_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)]
