@@ -118,15 +118,17 @@ def greedy_choice(soft: np.ndarray, times: np.ndarray, sources: Sequence[str], a
 def select_greedily(c: DataFrame, arcs: DataFrame, alpha: Mapping[str, float] | None = None, beta: Mapping[str, float] | None = None, delta: float = 1e-9) -> DataFrame:
     """(word, pron) kept of ``c``, by soft counts of arcs (word, utt, start, pron, n): ``greedy_choice`` for each word that has arcs.
 
-    Equal rows of soft counts are counted before they meet in a word's task, which holds its distinct rows: ``MOST_ROWS`` at most.
+    Places where the same was heard are counted before they go to their word's pronunciations, and equal rows of soft counts before they
+    meet in a word's task, which holds its distinct rows: ``MOST_ROWS`` at most.
     Shares of a word with one pronunciation need no arcs, but words without any are left out.
     """
     ship(c.sparkSession)
     alpha, beta = ({s: float((x or {}).get(s, 0)) for s in SOURCES} for x in (alpha, beta))
     prons = best_source(c).groupBy("word").agg(F.array_sort(F.collect_list(F.struct("pron", "source"))).alias("prons"))
-    places = arcs.groupBy("word", "utt", "start").agg(F.map_from_entries(F.collect_list(F.struct("pron", "n"))).alias("soft"))
-    rows = places.join(prons, "word").select("word", "prons", F.transform("prons", lambda p: F.coalesce(F.try_element_at("soft", p["pron"]), F.lit(0.0)).cast("double")).alias("soft"))
-    rows = rows.groupBy("word", "soft").agg(F.count("*").alias("times"), F.first("prons").alias("prons"))
+    places = arcs.groupBy("word", "utt", "start").agg(F.array_sort(F.collect_list(F.struct("pron", "n"))).alias("heard"))
+    kinds = places.groupBy("word", "heard").agg(F.count("*").alias("times")).withColumn("soft", F.map_from_entries("heard"))
+    rows = kinds.join(prons, "word").select("word", "prons", "times", F.transform("prons", lambda p: F.coalesce(F.try_element_at("soft", p["pron"]), F.lit(0.0)).cast("double")).alias("soft"))
+    rows = rows.groupBy("word", "soft").agg(F.sum("times").alias("times"), F.first("prons").alias("prons"))
 
     def choose(group: pa.Table) -> pa.Table:
         if group.num_rows > MOST_ROWS:
