@@ -291,8 +291,7 @@ def kn_counts(t):
  SELECT h AS history, count(*) AS words, CAST(floor(sum(p) * 10000 + 0.4137) AS BIGINT) AS mass, CAST(floor(max(p) * 1000000 + 0.4137) AS BIGINT) AS most FROM x GROUP BY h""")
 def kn_bigrams(t):
     """Interpolated Kneser-Ney bigram probabilities of the documents, summed up by history (ten-thousandths and millionths)."""
-    p = C.interpolated(C.kn_probabilities(C.kn_counts(t.documents, "text")))
-    per = p.groupBy(F.get("history", F.lit(0)).alias("history")).agg(F.count("*").alias("words"), F.sum("p").alias("mass"), F.max("p").alias("most"))
+    per = C.interpolated_sums(t.documents, "text")
     return per.select("history", "words", F.floor(F.col("mass") * 10000 + 0.4137).alias("mass"), F.floor(F.col("most") * 1000000 + 0.4137).alias("most"))
 
 
