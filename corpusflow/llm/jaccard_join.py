@@ -7,7 +7,7 @@ links with less:
 * For similarity t two sets of sizes a and b must share ``need(a, b)`` n-grams, so each must have one of
   its first ``a - ceil(t a) + 1`` n-grams, in any order that is the same for all, in the other's first
   ones.  The order puts n-grams that many documents share last (a bit map of those, counted over all
-  documents; which ones it holds affects speed alone).
+  documents and all that is stored of their sets, twice a first part; which ones it holds affects speed alone).
 * Over these first parts the overlap counts of each pair are added up; a pair is dropped when its count
   plus all that may follow is less than ``need``.
 
@@ -15,7 +15,7 @@ Pairs that are left meet in blocks of bounded size, where the product of whole s
 N-grams that more than ``HOT`` first parts hold give no pairs.  Their documents form groups (by the
 document with the largest share of common n-grams); a group is cut by hash into blocks, multiplied each
 by itself, and then only documents that are not yet in the component of most of the group meet the whole
-group, block by block.  Where these are many, they meet by bands of like size, and only those with enough n-grams that
+group, block by block.  Where these are many, they meet by bands of the sizes they can link with, and only those with enough n-grams that
 another document of the group has, too (``_banded``): pages of one template that are no near copies meet no one.
 A block returns a spanning forest of its links, never all pairs.
 
@@ -70,6 +70,12 @@ def _need(a, b, percent: int):
     return F.floor((part + whole - 1 - F.pmod(part + whole - 1, whole)) / whole)
 
 
+def _sizes(n, r, percent: int):
+    """The least and the largest size of a set that a set of size n can link with by r shared n-grams, as columns; none if they cross."""
+    n, part = n.cast("long"), r.cast("long") * F.lit(100 + percent)
+    return n + 1 - _first(n, percent), F.floor((part - F.pmod(part, F.lit(percent))) / percent) - n
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
@@ -343,21 +349,25 @@ def _banded(docs: DataFrame, apart: DataFrame, member: DataFrame, words: int, pe
     """(asked, every) of groups with many documents apart, by pairs of size bands, without documents that can have no link there.
 
     An n-gram that no other document of the group has is in no overlap.  So a document with r others can only link with
-    one of a band if r is the least overlap with the band's smallest size, or more.
+    one of a band if r is the least overlap with the band's smallest size, or more.  That is at hand before any band is: r and
+    the document's size bound the other's, so a document goes to the bands between alone, and to none if there is no such
+    size; documents of the group are in the bands for which one is asked.
     """
+    band = lambda n: F.floor(F.log(n) / F.log(F.lit(BAND)) + F.lit(1e-9)).cast("int")
     whole = scratch.table(member.select("leader", "id", "n").distinct())
     grams = sets_of(docs, whole.select("id").distinct(), words).join(whole.select("leader", "id"), "id").select("leader", "id", F.explode("grams").alias("gram"))
     alone = grams.groupBy("leader", "gram").agg(F.min("id").alias("id"), F.max("id").alias("last")).filter("id = last").groupBy("leader", "id").agg(F.count("*").alias("alone"))
-    band = F.floor(F.log("n") / F.log(F.lit(BAND)) + F.lit(1e-9)).cast("int")
-    sized = scratch.table(whole.join(alone, ["leader", "id"], "left").select("leader", "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r"), band.alias("band")))
-    reach = int(np.ceil(np.log(100 / percent) / np.log(BAND))) + 1
+    sized = whole.join(alone, ["leader", "id"], "left").select("leader", "id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("r"))
+    least, most = _sizes(F.col("n"), F.col("r"), percent)
+    sized = scratch.table(sized.withColumns({"least": least, "most": most}).filter("least <= most").withColumns({"band": band(F.col("n")), "least": band(F.col("least")), "most": band(F.col("most"))}))
     lows = small(scratch.table(sized.groupBy("leader", F.col("band").alias("other")).agg(F.min("n").alias("low"))))
-    near = lambda df: df.withColumn("other", F.explode(F.sequence(F.col("band") - reach, F.col("band") + reach))).join(lows, ["leader", "other"])
-    fits = lambda df: near(df).filter(F.col("r") >= _need(F.col("n"), F.col("low"), percent))
+    fits = F.col("r") >= _need(F.col("n"), F.col("low"), percent)
     key = lambda a, b: F.concat_ws(":", "leader", a, b).alias("leader")
-    asked = scratch.table(fits(sized.join(apart.select("leader", "id"), ["leader", "id"], "left_semi")).select(key("band", "other"), "id", "n"))
-    every = scratch.table(fits(sized).select(key("other", "band"), "id", "n").join(small(asked.select("leader").distinct()), "leader", "left_semi"))
-    return asked.join(small(every.select("leader").distinct()), "leader", "left_semi"), every
+    mine = sized.join(apart.select("leader", "id"), ["leader", "id"], "left_semi").withColumn("other", F.explode(F.sequence("least", "most")))
+    asked = scratch.table(mine.join(lows, ["leader", "other"]).filter(fits).select("leader", "band", "other", "id", "n"))
+    asks = asked.groupBy("leader", F.col("other").alias("band"), F.col("band").alias("other")).agg(F.min("n").alias("low"))
+    every = scratch.table(sized.join(small(scratch.table(asks)), ["leader", "band"]).filter(fits).select(key("other", "band"), "id", "n"))
+    return asked.select(key("band", "other"), "id", "n").join(small(every.select("leader").distinct()), "leader", "left_semi"), every
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -370,8 +380,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, key:
     classes = scratch.table(classes)
     reps = small(classes.select(F.col("rep").alias("id")).distinct())
     chosen = known.join(reps, "id", "left_semi").filter("n > 0")
-    some = F.explode(F.slice("low", F.lit(1), F.ceil(F.size("low") / 2).cast("int"))).alias("gram")
-    counted = chosen.select(some).select(F.col("gram").bitwiseAND(F.lit(COUNTED)).alias("gram")).groupBy("gram").count().filter(F.col("count") > HOT)
+    counted = chosen.select(F.explode("low").alias("gram")).select(F.col("gram").bitwiseAND(F.lit(COUNTED)).alias("gram")).groupBy("gram").count().filter(F.col("count") > HOT)
     places = counted.select((F.col("gram").bitwiseAND(F.lit((1 << MAP_BITS) - 1))).alias("at")).distinct().toArrow()["at"].to_numpy()
     bits = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))

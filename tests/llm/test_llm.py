@@ -325,6 +325,67 @@ def test_pages_of_one_template(spark, monkeypatch):
     assert seen and seen[0][0] < seen[0][1] / 2
 
 
+def made_by_explode(spark, since: int) -> tuple[int, Counter]:
+    """The last execution's number, and the rows that explode made in those after ``since``, by its argument."""
+    store, out, last = spark._jsparkSession.sharedState().statusStore(), Counter(), since
+    runs = store.executionsList()
+    for run in (runs.apply(i) for i in range(runs.size())):
+        last = max(last, run.executionId())
+        if run.executionId() > since:
+            got, nodes = store.executionMetrics(run.executionId()), store.planGraph(run.executionId()).allNodes()
+            for node in (nodes.apply(i) for i in range(nodes.size())):
+                what = re.match(r"Generate explode\((\w+)", node.desc())
+                for metric in (node.metrics().apply(i) for i in range(node.metrics().size())) if what else ():
+                    if metric.name() == "number of output rows" and got.contains(metric.accumulatorId()):
+                        out[what[1]] += int(got.apply(metric.accumulatorId()).replace(",", ""))
+    return last, out
+
+
+def test_documents_with_a_common_passage_form_no_group(spark, monkeypatch):
+    """A passage in a third of each text puts no document into a hot group, so that no whole set is exploded."""
+    monkeypatch.setattr(jaccard_join, "HOT", 10)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1 << 13)
+    rng = random.Random(0)
+    passage = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{passage} " + " ".join(f"x{rng.randrange(10**6)}" for _ in range(80))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 300, 30)]
+    since, _ = made_by_explode(spark, -1)
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d).collect()}
+    _, made = made_by_explode(spark, since)
+    assert got == plain_components(rows, 4, 85) and got[1000] == (118, 0)
+    assert made["low"] > 0 and not made["grams"] and not made["sequence"]
+
+
+def test_bands_between_sizes(spark, monkeypatch):
+    """The sizes that a document can link with, by brute force; a document apart is dealt to the bands between them alone."""
+    from pyspark.sql import functions as F
+
+    pairs = [(n, r) for n in range(1, 120) for r in range(n + 1)]
+    d = spark.createDataFrame(pairs, "n long, r long")
+    for percent in (80, 85):
+        got = {(x.n, x.r): (x.least, x.most) for x in d.select("n", "r", *(c.alias(k) for c, k in zip(jaccard_join._sizes(F.col("n"), F.col("r"), percent), ("least", "most"), strict=True))).collect()}
+        for n, r in pairs:
+            fit = [m for m in range(1, 200) if -(-(n + m) * percent // (100 + percent)) <= min(r, m)]
+            least, most = got[n, r]
+            assert all(least <= m <= most for m in fit) and (least <= most or not fit)
+    monkeypatch.setattr(jaccard_join, "HOT", 10)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1 << 13)
+    for size in (150, 300):
+        rng, rows = random.Random(0), []
+        for i in range(size):
+            w = [f"w{k}" for k in range(120 - i % 3)]
+            for k in range(3 + i % 3):
+                w[rng.randrange(len(w))] = f"x{i}_{k}"
+            rows.append((i, " ".join(w)))
+        since, _ = made_by_explode(spark, -1)
+        d = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d).collect()}
+        _, made = made_by_explode(spark, since)
+        assert got == plain_components(rows, 4, 85)
+        assert made["grams"] > 0 and made["sequence"] <= 10 * size
+
+
 def test_links_of_a_block():
     rng = np.random.default_rng(0)
     sets = [np.unique(rng.integers(0, 30, 12)).astype(np.int64) for _ in range(40)]
