@@ -155,13 +155,13 @@ def segmented_recordings(t):
 @query()
 def kn_sentence_scores(t):
     """Benchmark passages under a Kneser-Ney model of order 3 of all documents, written as ARPA lines and read again (held against plain Python)."""
-    from corpusflow.operators import lm
+    from corpusflow.operators import lm, trigrams
     from corpusflow.session import folder
     from corpusflow.sources import text_formats as T
 
     path = folder(t.spark)
-    unknown = t.spark.createDataFrame([("\\1-grams:",), ("-7.0\t<unk>",)], "value string")
-    lm.arpa_lines(lm.kn_model(t.documents, "text", 3)).unionByName(unknown).write.option("compression", "gzip").text(path)
+    t.spark.createDataFrame([("\\1-grams:",), ("-7.0\t<unk>",)], "value string").write.option("compression", "gzip").text(path)
+    trigrams.write_arpa(t.documents, "text", path)
     asked = t.benchmark.select("item_id", F.lower("text").alias("text"))
     return lm.joined_scores(asked, "item_id", "text", T.arpa(t.spark, path), 3).select("item_id", F.round("logp", 3).alias("logp"))
 

@@ -85,9 +85,13 @@ def lexicon(spark: SparkSession, path, with_prob: bool = False) -> DataFrame:
 
 def arpa(spark: SparkSession, path: str) -> DataFrame:
     """(order, gram, logp, backoff) of an ARPA model: lines of numbers and words between its section marks."""
-    lines = spark.read.text(path).select(F.split("value", "\t").alias("c")).filter((F.size("c") >= 2) & F.get("c", F.lit(0)).try_cast("double").isNotNull())
-    gram = F.get("c", F.lit(1))
-    return lines.select(F.size(F.split(gram, " ")).alias("order"), gram.alias("gram"), F.get("c", F.lit(0)).cast("double").alias("logp"), F.coalesce(F.get("c", F.lit(2)).try_cast("double"), F.lit(0.0)).alias("backoff"))
+    cells = lambda n: F.substring_index("value", "\t", n)
+    last = lambda c: F.substring_index(c, "\t", -1)
+    lines = spark.read.text(path).filter(F.contains("value", F.lit("\t")) & cells(1).try_cast("double").isNotNull())
+    gram = last(cells(2))
+    spaces = F.octet_length(gram) - F.octet_length(F.replace(gram, F.lit(" "), F.lit("")))
+    backoff = F.when(cells(3) != cells(2), last(cells(3)).try_cast("double"))
+    return lines.select((spaces + 1).alias("order"), gram.alias("gram"), cells(1).cast("double").alias("logp"), F.coalesce(backoff, F.lit(0.0)).alias("backoff"))
 
 
 def dataset_csv(spark: SparkSession, path) -> DataFrame:
