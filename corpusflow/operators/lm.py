@@ -293,16 +293,21 @@ def joined_scores(df: DataFrame, key: str, text: str, model: DataFrame, order: i
     """
     marked = F.concat(F.array(F.lit("<s>")), words(F.col(text)), F.array(F.lit("</s>")))
     flat = df.select(key, F.posexplode(marked).alias("pos", "w"))
-    said = flat.select(F.col("w").alias("gram")).distinct()
-    known = written(model.filter(F.col("order") == 1).join(said, "gram", "left_semi").select("gram")).select(F.col("gram").alias("w"), F.lit(True).alias("known")).distinct()
-    flat = flat.join(known, "w", "left").select(key, "pos", F.when(F.col("known") | F.col("w").isin("<s>", "</s>"), F.col("w")).otherwise(F.lit(unknown)).alias("w"))
     place = W.partitionBy(key).orderBy("pos")
+    last = F.collect_list("w").over(place.rowsBetween(1 - order, 0))  # a place's n-grams end in it; any of their words may be unknown
+    either = lambda i: F.array_distinct(F.array(F.get("last", i), F.lit(unknown)))
+    longer = lambda g, k: F.flatten(F.transform(either(F.size("last") - k), lambda w: F.transform(g, lambda x: F.concat_ws(" ", w, x))))
+    every = [either(F.size("last") - 1)]
+    for k in range(2, order + 1):
+        every.append(F.when(F.size("last") >= k, longer(every[-1], k)).otherwise(F.array().cast("array<string>")))
+    grams = flat.select(last.alias("last")).select(F.explode(F.concat(*every)).alias("gram")).distinct()
+    model = written(model.join(written(grams), "gram", "left_semi"))  # read once, whole; what the texts can't ask for is not handed on
+    of = lambda n: model.filter(F.col("order") == n)
+    known = of(1).select(F.col("gram").alias("w"), F.lit(True).alias("known")).distinct()
+    flat = flat.join(known, "w", "left").select(key, "pos", F.when(F.col("known") | F.col("w").isin("<s>", "</s>"), F.col("w")).otherwise(F.lit(unknown)).alias("w"))
     back = lambda k: F.lag("w", k).over(place) if k else F.col("w")
     gram = lambda first, last: F.when(F.col("pos") >= first, F.concat_ws(" ", *[back(k) for k in range(first, last - 1, -1)]))
-    asked = written(flat.select(key, "pos", *[gram(n - 1, 0).alias(f"g{n}") for n in range(1, order + 1)], *[gram(n - 1, 1).alias(f"h{n}") for n in range(2, order + 1)]).filter("pos > 0"))
-    grams = asked.select(F.explode(F.array(F.lit(unknown), *[c for c in asked.columns if c not in (key, "pos")])).alias("gram")).filter("gram IS NOT NULL").distinct()
-    model = written(model.join(written(grams), "gram", "left_semi"))  # read once, whole; what the texts don't ask for is not handed on
-    of = lambda n: model.filter(F.col("order") == n)
+    asked = flat.select(key, "pos", *[gram(n - 1, 0).alias(f"g{n}") for n in range(1, order + 1)], *[gram(n - 1, 1).alias(f"h{n}") for n in range(2, order + 1)]).filter("pos > 0")
     for n in range(1, order + 1):
         asked = asked.join(of(n).select(F.col("gram").alias(f"g{n}"), F.col("logp").alias(f"p{n}")), f"g{n}", "left")
         if n > 1:
