@@ -21,6 +21,8 @@ END = "</w>"
 ENDED, MADE = 0x110001, 0x220001
 #: Characters of words in a block; merges that rounds apply anew before the blocks are rewritten; pairs that reach the driver.
 BLOCK, KEPT_STEPS, RANKED = 500_000, 24, 1000
+#: N-grams that texts ask for and that may be sent to every worker.
+ASKED = 500_000
 
 
 def learn_merges(counts: Mapping[str, int], merges: int, least: int = 2) -> list[tuple[str, str]]:
@@ -301,7 +303,10 @@ def joined_scores(df: DataFrame, key: str, text: str, model: DataFrame, order: i
     for k in range(2, order + 1):
         every.append(F.when(F.size("last") >= k, longer(every[-1], k)).otherwise(F.array().cast("array<string>")))
     grams = flat.select(last.alias("last")).select(F.explode(F.concat(*every)).alias("gram")).distinct()
-    model = written(model.join(written(grams), "gram", "left_semi"))  # read once, whole; what the texts can't ask for is not handed on
+    grams = written(grams)
+    if grams.count() <= ASKED:  # else the model is shuffled, however large
+        grams = F.broadcast(grams)
+    model = written(model.join(grams, "gram", "left_semi"))  # read once, whole; what the texts can't ask for is not handed on
     of = lambda n: model.filter(F.col("order") == n)
     known = of(1).select(F.col("gram").alias("w"), F.lit(True).alias("known")).distinct()
     flat = flat.join(known, "w", "left").select(key, "pos", F.when(F.col("known") | F.col("w").isin("<s>", "</s>"), F.col("w")).otherwise(F.lit(unknown)).alias("w"))
